@@ -22,6 +22,12 @@ def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(read_table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from helixframe.llm.suffix_dedup import dedup
+
+    return dedup(read_table(spark, sf_dir, "documents"))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from helixframe.llm.url_filter import judge_urls, rules_table
 
@@ -49,6 +55,7 @@ def op10_transport_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_packing": op1_packing,
+    "op2_suffix_dedup": op2_suffix_dedup,
     "op7_url_filter": op7_url_filter,
     "op8_sharding": op8_sharding,
     "op10_transport_stream": op10_transport_stream,
