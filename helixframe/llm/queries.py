@@ -28,6 +28,12 @@ def op2_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup(read_table(spark, sf_dir, "documents"))
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from helixframe.llm.near_dedup import near_duplicates
+
+    return near_duplicates(read_table(spark, sf_dir, "documents"), percent=85)
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from helixframe.llm.url_filter import judge_urls, rules_table
 
@@ -56,6 +62,7 @@ def op10_transport_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_suffix_dedup": op2_suffix_dedup,
+    "op3_near_dedup": op3_near_dedup,
     "op7_url_filter": op7_url_filter,
     "op8_sharding": op8_sharding,
     "op10_transport_stream": op10_transport_stream,

@@ -40,3 +40,7 @@ def segments(batches, overlap: int, size: int = SEGMENT) -> Iterator[tuple[np.nd
                     held, count = [], 0
     if held:
         yield flush()
+
+
+#: Lower-cases A-Z in UTF-8 bytes.
+LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
