@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from helixframe.session import read_table
@@ -34,6 +34,33 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"), percent=85)
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from helixframe.llm.licenses import scan_licenses
+
+    found = scan_licenses(read_table(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.size("sentence_ids").cast("long").alias("n_sentences"),
+                        F.array_join("sentence_ids", ",").alias("sentence_ids"), F.array_join("licenses", ",").alias("licenses"))
+
+
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from helixframe.llm.decontamination import scan
+
+    return scan(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+def id_remainder(by: int) -> Column:
+    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % by
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from helixframe.llm.language_id import identify, train
+
+    docs = read_table(spark, sf_dir, "documents")
+    model = train(docs.where(id_remainder(3) != 1))
+    flagged = docs.select("doc_id", F.coalesce(id_remainder(3) == 1, F.lit(False)).alias("held_out"), "text")
+    return identify(flagged, model, keep=("held_out",))
+
+
 def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     from helixframe.llm.url_filter import judge_urls, rules_table
 
@@ -53,6 +80,16 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from helixframe.llm.quality import score, train
+
+    docs = read_table(spark, sf_dir, "documents")
+    labels = read_table(spark, sf_dir, "labels").where(id_remainder(5) != 0).select("doc_id", F.col("quality").alias("label"))
+    flagged = docs.select("doc_id", F.coalesce(id_remainder(5) == 0, F.lit(False)).alias("held_out"), "text")
+    scored = score(flagged, train(docs, labels), keep=("held_out",))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 def op10_transport_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     from helixframe.llm.media import transport_columns
 
@@ -63,14 +100,50 @@ QUERIES = {
     "op1_packing": op1_packing,
     "op2_suffix_dedup": op2_suffix_dedup,
     "op3_near_dedup": op3_near_dedup,
+    "op4_license_scan": op4_license_scan,
+    "op5_decontamination": op5_decontamination,
+    "op6_language_id": op6_language_id,
     "op7_url_filter": op7_url_filter,
     "op8_sharding": op8_sharding,
+    "op9_quality": op9_quality,
     "op10_transport_stream": op10_transport_stream,
 }
 
 _RULES_SQL = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in RULES)
 
+
+def _license_sql() -> str:
+    """The sentence rules in SQL, from the same tables."""
+    from helixframe.llm.licenses import RULES as rules
+    from helixframe.llm.licenses import SENTENCES, TRIGGERS
+
+    known = ", ".join(f"('{s}', '{i}')" for i, s in SENTENCES)
+    steps, column = "", "s0"
+    for k, (name, ids) in enumerate(rules, 1):
+        seq = "," + ",,".join(ids) + ","
+        steps += (f", r{k} AS (SELECT *, CASE WHEN strpos({column}, '{seq}') > 0 THEN '{name},' ELSE '' END AS l{k}, "
+                  f"replace({column}, '{seq}', ',') AS s{k} FROM {f'r{k - 1}' if k > 1 else 'ids'})")
+        column = f"s{k}"
+    triggers = " OR ".join(f"contains(low, '{t}')" for t in TRIGGERS)
+    found = " || ".join(f"l{k}" for k in range(1, len(rules) + 1))
+    return f"""
+WITH known(sentence, id) AS (VALUES {known}),
+low AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents),
+parts AS (
+  SELECT doc_id, generate_subscripts(p, 1) AS k, unnest(p) AS part
+  FROM (SELECT doc_id, string_split_regex(low, '[.!?;][ \t]+|[\r\n]+') AS p FROM low WHERE {triggers})),
+named AS (
+  SELECT doc_id, k, id FROM parts JOIN known ON trim(regexp_replace(part, '[^a-z0-9]+', ' ', 'g')) = sentence),
+ids AS (
+  SELECT low.doc_id, coalesce(n, 0) AS n, coalesce(j, '') AS j, ',' || coalesce(replace(j, ',', ',,'), '') || ',' AS s0
+  FROM low LEFT JOIN (SELECT doc_id, count(*) AS n, string_agg(id, ',' ORDER BY k) AS j FROM named GROUP BY doc_id) USING (doc_id))
+{steps}
+SELECT doc_id, n AS n_sentences, j AS sentence_ids, rtrim({found}, ',') AS licenses FROM r{len(rules)}
+"""
+
+
 ORACLES = {
+    "op4_license_scan": _license_sql(),
     "op7_url_filter": f"""
 WITH RECURSIVE rules(rh, rp, v) AS (VALUES {_RULES_SQL}),
 p AS (
