@@ -163,8 +163,8 @@ def build(items: list[tuple[str, list[bytes]]], window: int) -> Automaton:
 
 
 def scan(df: DataFrame, benchmark: DataFrame, window: int = 10, key: str = "doc_id", text: str = "text",
-         item: str = "item_id", item_text: str = "text", clean: bool = False, max_span: int = 0) -> DataFrame:
-    """Per row: ``key, n_words, n_hit, n_items, items_sha256, contaminated``.
+         item: str = "item_id", item_text: str = "text", clean: bool = False, max_span: int = 0, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Per row: ``key``, the columns of ``keep``, ``n_words, n_hit, n_items, items_sha256, contaminated``.
 
     A window is ``window`` consecutive words of an item, or a shorter item as a
     whole; ``n_hit`` counts the document's words inside any occurrence. With
@@ -173,7 +173,7 @@ def scan(df: DataFrame, benchmark: DataFrame, window: int = 10, key: str = "doc_
 
     Null and empty texts have no words; items without words match nothing;
     items with equal text are all reported; a repeated item_id counts once.
-    Repeated rows repeat, other columns are left out, an empty table stays
+    Repeated rows repeat, columns not in ``keep`` are left out, an empty table stays
     empty and an empty benchmark hits nothing.
     """
     spark = df.sparkSession
@@ -185,14 +185,16 @@ def scan(df: DataFrame, benchmark: DataFrame, window: int = 10, key: str = "doc_
     rows = benchmark.select(F.col(item).cast("string"), item_text).collect()
     listed = sorted((r[0], words(r[1])) for r in rows if r[0] is not None)
     shipped = spark.sparkContext.broadcast([listed[i::parts] for i in range(parts)])
-    kind = dict(df.dtypes)[key]
+    made = {"n_words", "n_hit", "n_items", "items_sha256", "contaminated", "items", "coverage", "clean_text"}
+    keep = tuple(c for c in keep if c != key and c not in made)
+    fields = ", ".join(f"`{c}` {t}" for c, t in df.select(key, *keep).dtypes)
     extra = ", items array<string>, coverage double, clean_text string" * clean
 
     def run(batches):
         automata = [build(x, window) for x in shipped.value]
         for batch in batches:
             out = []
-            for value in batch.column(1).to_pylist():
+            for value in batch.column(batch.num_columns - 1).to_pylist():
                 tokens = words(value)
                 mark, names = np.zeros(len(tokens), bool), set()
                 for a in automata:
@@ -208,9 +210,9 @@ def scan(df: DataFrame, benchmark: DataFrame, window: int = 10, key: str = "doc_
             types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.bool_(), *[pa.list_(pa.string()), pa.float64(), pa.string()] * clean]
             names = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated", *["items", "coverage", "clean_text"] * clean]
             columns = list(zip(*out)) if out else [[]] * len(types)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(columns, types))], [key, *names])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *(pa.array(c, t) for c, t in zip(columns, types))], [key, *keep, *names])
 
-    return df.select(key, text).mapInArrow(run, f"`{key}` {kind}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean" + extra)
+    return df.select(key, *keep, F.col(text).alias("_text")).mapInArrow(run, f"{fields}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean" + extra)
 
 
 _SPAN = re.compile(rb"[^ ]+")

@@ -417,19 +417,23 @@ def cut(raw: bytes, begin: np.ndarray, end: np.ndarray) -> bytes:
 
 
 def dedup(df: DataFrame, length: int = 100, key: str = "doc_id", text: str = "text", keep_text: bool = False,
-          bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
-    """Per row: ``key, n_bytes, n_removed, n_spans, kept_sha256`` (and ``kept_text`` with ``keep_text``).
+          keep: tuple[str, ...] = (), bucket_bytes: int = BUCKET_BYTES) -> DataFrame:
+    """Per row: ``key``, the columns of ``keep``, ``n_bytes, n_removed, n_spans, kept_sha256`` (and ``kept_text`` with ``keep_text``).
 
     ``key`` is an integer and unique; rows that repeat a key count as one
     document and get the union of their spans. Rows with a null key neither
     remove nor lose anything. Null texts are empty. Bytes that a cut leaves
-    without their character are dropped from ``kept_text`` alone. Other
-    columns are left out; an empty table stays empty.
+    without their character are dropped from ``kept_text`` alone. Columns
+    not in ``keep`` are left out; an empty table stays empty.
     """
     spans = repeated_spans(df, length, key, text, bucket_bytes).groupBy("doc").agg(
         F.collect_list("begin").alias("begins"), F.collect_list("end").alias("ends"))
-    joined = df.select(F.col(key).cast("long").alias("_id"), F.col(text).alias("_text")).join(spans, F.col("_id") == F.col("doc"), "left").select("_id", "_text", "begins", "ends")
-    schema = f"`{key}` long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_text string" * keep_text
+    made = {"n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"}
+    keep = tuple(c for c in keep if c != key and c not in made)
+    own = df.select(F.col(key).cast("long").alias("_id"), F.col(text).alias("_text"), *(F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)))
+    joined = own.join(spans, F.col("_id") == F.col("doc"), "left").select("_id", "_text", "begins", "ends", *own.columns[2:])
+    fields = "".join(f"`{c}` {t}, " for c, t in df.select(*keep).dtypes)
+    schema = f"`{key}` long, {fields}n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_text string" * keep_text
 
     def run(batches):
         for batch in batches:
@@ -444,7 +448,7 @@ def dedup(df: DataFrame, length: int = 100, key: str = "doc_id", text: str = "te
                 rows.append((n, n - len(kept), runs, hashlib.sha256(kept).hexdigest(), *[kept.decode(errors="ignore")] * keep_text))
             types = [pa.int64(), pa.int64(), pa.int64(), pa.string(), *[pa.string()] * keep_text]
             columns = list(zip(*rows)) if rows else [[]] * len(types)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(c, t) for c, t in zip(columns, types))],
-                                             [key, "n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept_text"] * keep_text])
+            yield pa.RecordBatch.from_arrays([batch.column(0), *batch.columns[4:], *(pa.array(c, t) for c, t in zip(columns, types))],
+                                             [key, *keep, "n_bytes", "n_removed", "n_spans", "kept_sha256", *["kept_text"] * keep_text])
 
     return joined.mapInArrow(run, schema)
