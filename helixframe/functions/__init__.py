@@ -1 +1 @@
-
+"""Column functions and the fixed code tables of the structural domain."""

@@ -1 +1 @@
-
+"""Incremental ingestion of new files."""
