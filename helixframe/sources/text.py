@@ -141,9 +141,9 @@ def parse_clstr(lines: DataFrame, keys: list[str], ord_: str = "ord", value: str
     return rows.withColumn("_rep", rep).select(*keys, F.regexp_replace("_rep", "^P", "A").alias("representative"), "member")
 
 
-def parse_pairs(lines: DataFrame, value: str = "value") -> DataFrame:
+def parse_pairs(lines: DataFrame, value: str = "value", keep: list[str] = ()) -> DataFrame:
     """``a, b``: the first two columns of every line."""
-    return lines.select(F.split_part(value, F.lit("\t"), F.lit(1)).alias("a"), F.split_part(value, F.lit("\t"), F.lit(2)).alias("b"))
+    return lines.select(*keep, F.split_part(value, F.lit("\t"), F.lit(1)).alias("a"), F.split_part(value, F.lit("\t"), F.lit(2)).alias("b"))
 
 
 def edge_table(pairs: DataFrame, a: str, b: str, ignored: list[str], polymer: Column) -> DataFrame:
