@@ -276,7 +276,7 @@ def split_train_valid(components: DataFrame, categories: list[str], ratio: float
     group of rows that hold a name and counts.
     """
     totals = components.agg(*(F.sum(c).alias(c) for c in categories)).first()
-    keep = {c: min(int((totals[c] or 0) * (1 - ratio)), least) for c in categories}
+    keep = {c: min(int((totals[c] or 0) * (1 - ratio) + 1e-9), least) for c in categories}
     must = F.lit(False)
     for c in categories:
         must |= F.col(c) > keep[c]

@@ -107,11 +107,13 @@ def range_extract(t: Tables):
     return found.select("p_partkey", "sequence").unionByName(failed.withColumn("sequence", F.lit(None).cast("string")))
 
 
-@query("""WITH w AS (SELECT doc_id, string_split(trim(regexp_replace(text, '[ \\n]+', ' ', 'g')), ' ') AS t FROM documents),
+@query("""WITH w AS (SELECT doc_id, string_split(trim(regexp_replace(text, '[ \\n]+', ' ', 'g')), ' ') AS t FROM (SELECT min(doc_id) AS doc_id, text FROM documents GROUP BY text)),
 s AS (SELECT DISTINCT doc_id, array_to_string(t[i:i + 7], ' ') AS g FROM (SELECT doc_id, t, unnest(range(1, len(t) - 6)) AS i FROM w WHERE len(t) >= 8))
 SELECT a.doc_id AS id1, b.doc_id AS id2, count(*) AS n FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY 1, 2""")
 def similar_candidates(t: Tables):
-    return cluster.shared_shingles(t.documents, "doc_id", "text", 8)
+    """Pairs of different texts; copies of a text are its first document."""
+    firsts = t.documents.groupBy("text").agg(F.min("doc_id").alias("doc_id"))
+    return cluster.shared_shingles(firsts, "doc_id", "text", 8)
 
 
 def names(t: Tables):

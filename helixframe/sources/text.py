@@ -24,12 +24,20 @@ def list_pairs(spark: SparkSession, folder: str, pattern: str, output: str, suff
     return list_files(spark, folder, pattern).select("path", F.concat(F.lit(output.rstrip("/") + "/"), "stem", F.lit(suffix)).alias("output"))
 
 
-def read_lines(spark: SparkSession, path: str, sep: str = "\n") -> DataFrame:
-    """``file, ord, value`` in file order."""
+def read_lines(spark: SparkSession, path: str, sep: str = "\n", dense: bool = True) -> DataFrame:
+    """``file, ord, value`` in file order.
+
+    A dense ``ord`` counts a file's lines from 0, in one window a file, for
+    reports and annotations. Large files take ``dense=False``: ``ord`` is then
+    the place of the split and of the line in it, which sorts alike and needs
+    no shuffle.
+    """
     rows = spark.read.option("lineSep", sep).option("recursiveFileLookup", "true").text(path)
-    rows = rows.select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("_b"), F.monotonically_increasing_id().alias("_i"), "value")
-    w = Window.partitionBy("file").orderBy("_b", "_i")
-    return rows.withColumn("ord", F.row_number().over(w) - 1).select("file", "ord", "value")
+    rows = rows.select(F.col("_metadata.file_path").alias("file"), F.struct(F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("line")).alias("ord"), "value")
+    if not dense:
+        return rows
+    w = Window.partitionBy("file").orderBy("ord")
+    return rows.withColumn("ord", F.row_number().over(w) - 1)
 
 
 def read_wholes(spark: SparkSession, path: str) -> DataFrame:
@@ -52,7 +60,7 @@ def fasta_header(df: DataFrame, header: str = "header") -> DataFrame:
 
 
 def read_fasta(spark: SparkSession, path: str) -> DataFrame:
-    rows = parse_fasta(read_lines(spark, path, "\n>").where(F.length(F.trim("value")) > 0))
+    rows = parse_fasta(read_lines(spark, path, "\n>", dense=False).where(F.length(F.trim("value")) > 0))
     return fasta_header(rows.select("file", "ord", "header", "sequence"))
 
 
@@ -159,7 +167,7 @@ def split_blocks(chunks: DataFrame, value: str = "value") -> DataFrame:
 
 
 def read_blocks(spark: SparkSession, path: str) -> DataFrame:
-    return split_blocks(read_lines(spark, path, "\ndata_"))
+    return split_blocks(read_lines(spark, path, "\ndata_", dense=False))
 
 
 def equal_length(rows: DataFrame, keys: list[str], length: Column) -> tuple[DataFrame, DataFrame]:
