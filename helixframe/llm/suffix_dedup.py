@@ -35,7 +35,7 @@ K = 16
 #: Text bytes that one bucket stands for, and the most shuffle partitions asked for.
 BUCKET_BYTES, MAX_PARTITIONS = 8 << 20, 50_000
 #: Text bytes that a map task gathers before it ships, and entries of a bucket's new batch.
-TASK_BYTES, BATCH = 32 << 20, 20_000
+TASK_BYTES, BATCH = 16 << 20, 20_000
 
 _SEED = np.random.default_rng(20240229)
 _BYTE = _SEED.integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -153,11 +153,14 @@ class Level:
 
     def split(self) -> tuple[Level, Level]:
         """What still may own a window, and what repeats entirely."""
+        live = self.owning()
+        return self.take(live), self.take(~live)
+
+    def owning(self) -> np.ndarray:
+        """Entries with a window that is not marked."""
         l = np.arange(self.room + 1)
         length = self.ctx.shape[1] - self.room
-        valid = (self.left[:, None] >= l) & (self.right[:, None] >= length - l)
-        live = (valid & ~self.done).any(1)
-        return self.take(live), self.take(~live)
+        return ((self.left[:, None] >= l) & (self.right[:, None] >= length - l) & ~self.done).any(1)
 
     def take(self, mask: np.ndarray) -> Level:
         place = np.cumsum(mask) - 1
@@ -206,42 +209,52 @@ class Family:
         return tuple(np.concatenate(x) for x in zip(*self.out)) if self.out else tuple(np.zeros(0, np.int64) for _ in range(3))
 
 
-def _contexts(buf: np.ndarray, j: np.ndarray, p0: np.ndarray, p1: np.ndarray, length: int) -> np.ndarray:
-    """Bytes from ``length - K`` before to ``length`` after each anchor; zero where no window of it reaches."""
-    reach = np.arange(-(length - K), length)
-    at = j[:, None] + reach
-    inside = (at >= p0[:, None]) & (at < p1[:, None] + length)
-    return np.where(inside, buf[np.clip(at, 0, len(buf) - 1)], np.uint8(0))
+_codec = pa.Codec("zstd", compression_level=3)
 
 
-_codec = pa.Codec("zstd", compression_level=1)
+def _planes(x: np.ndarray) -> bytes:
+    """The lowest bytes of all numbers, then the next ones: most planes are all zeros."""
+    return x.astype("<i8").view(np.uint8).reshape(-1, 8).T.tobytes()
 
 
-def _pack(h, doc, at, left, right, body: np.ndarray) -> bytes:
-    raw = b"".join([np.int64(len(h)).tobytes(), h.tobytes(), doc.tobytes(), at.tobytes(), left.tobytes(), right.tobytes(), body.tobytes()])
+def _pack(doc, at, left, right, body: np.ndarray) -> bytes:
+    raw = b"".join([np.int64(len(doc)).tobytes(), _planes(doc), _planes(at), left.tobytes(), right.tobytes(), body.tobytes()])
     return np.int64(len(raw)).tobytes() + _codec.compress(raw, asbytes=True)
 
 
-def _unpack(blob: bytes, length: int, wanted=None):
-    size = int(np.frombuffer(blob, np.int64, 1)[0])
-    raw = _codec.decompress(blob[8:], size, asbytes=True)
-    n, o = int(np.frombuffer(raw, np.int64, 1)[0]), 8
-    parts = []
-    for kind in (np.uint64, np.int64, np.int64, np.uint8, np.uint8):
-        parts.append(np.frombuffer(raw, kind, n, o))
-        o += n * np.dtype(kind).itemsize
-    h, doc, at, left, right = parts
-    if wanted is None:
-        return h
-    keep = wanted(h)
-    left, right = left.astype(np.int64), right.astype(np.int64)
-    body = np.frombuffer(raw, np.uint8, offset=o)
-    begin = np.cumsum(left + right) - (left + right)
-    begin, left, right = begin[keep], left[keep], right[keep]
-    reach = np.arange(-(length - K), length)
+class Blob:
+    """Entries as they were shipped; ``first`` is the anchors' first bytes."""
+
+    def __init__(self, blob: bytes):
+        raw = _codec.decompress(blob[8:], int(np.frombuffer(blob, np.int64, 1)[0]), asbytes=True)
+        n = int(np.frombuffer(raw, np.int64, 1)[0])
+        self.doc, self.at = (np.ascontiguousarray(np.frombuffer(raw, np.uint8, 8 * n, o).reshape(8, n).T).view("<i8").ravel() for o in (8, 8 + 8 * n))
+        self.left, self.right = (np.frombuffer(raw, np.uint8, n, o).astype(np.int64) for o in (8 + 16 * n, 8 + 17 * n))
+        self.body = np.frombuffer(raw, np.uint8, offset=8 + 18 * n)
+        self.begin = np.cumsum(self.left + self.right) - (self.left + self.right)
+
+    def names(self) -> np.ndarray:
+        """A number of each entry's anchor, from its bytes."""
+        at = (self.begin + self.left)[:, None] + np.arange(K)
+        word = np.ascontiguousarray(self.body[at]).view("<u8")
+        return _mixed(_mixed(word[:, 0]) * _ODD + word[:, 1])
+
+    def level(self, keep: np.ndarray, length: int) -> Level:
+        return _gather(self.doc, self.at, self.left, self.right, self.body, self.begin, np.flatnonzero(keep), length)
+
+
+def _gather(doc, at, left, right, body, begin, which: np.ndarray, length: int) -> Level:
+    """A level of some entries, in the order of their owners."""
+    which = which[np.lexsort((at[which], doc[which]))]
+    left, right = left[which].astype(np.int32), right[which].astype(np.int32)
+    reach = np.arange(-(length - K), length, dtype=np.int32)
     inside = (reach >= -left[:, None]) & (reach < right[:, None])
-    ctx = np.where(inside, body[np.clip(begin[:, None] + left[:, None] + reach, 0, max(len(body) - 1, 0))], np.uint8(0)) if len(begin) else np.zeros((0, len(reach)), np.uint8)
-    return Level(doc[keep], at[keep], left, right, ctx)
+    ctx = np.zeros(inside.shape, np.uint8)
+    for i in range(0, len(which), 4096):
+        part = slice(i, i + 4096)
+        from_ = (begin[which[part]] + left[part])[:, None] + reach
+        ctx[part] = np.where(inside[part], body[np.clip(from_, 0, len(body) - 1)], np.uint8(0))
+    return Level(doc[which], at[which], left, right, ctx)
 
 
 OUT = "bucket int, doc long, begin long, end long, blob binary"
@@ -275,27 +288,21 @@ def _ship(gathered: list[tuple[np.ndarray, ...]], length: int, buckets: int):
     same[order[:-1]] |= equal
     live = np.ones(len(h), bool)
     some = np.flatnonzero(same)
-    reach = np.arange(-(length - K), length)
     # groups of equal anchors stay together; parts bound the memory
     some = some[np.argsort(h[some], kind="stable")]
-    cuts, family_spans = [0], []
+    cuts, marked = [0], []
     while cuts[-1] < len(some):
-        end = min(cuts[-1] + 4 * BATCH, len(some))
+        end = min(cuts[-1] + BATCH, len(some))
         while end < len(some) and h[some[end]] == h[some[end - 1]]:
             end += 1
         cuts.append(end)
     for a, b in zip(cuts, cuts[1:]):
         part = some[a:b]
         part = part[np.lexsort((at[part], doc[part]))]
-        lf, rt = left[part].astype(np.int64), right[part].astype(np.int64)
-        inside = (reach >= -lf[:, None]) & (reach < rt[:, None])
-        ctx = np.where(inside, body[np.clip(begin[part][:, None] + lf[:, None] + reach, 0, len(body) - 1)], np.uint8(0))
-        level = Level(doc[part], at[part], lf, rt, ctx).scan()
-        family_spans.append(level.spans())
-        l = np.arange(level.room + 1)
-        valid = (lf[:, None] >= l) & (rt[:, None] >= length - l)
-        live[part] = (valid & ~level.done).any(1)
-    for spans in family_spans:
+        level = _gather(doc, at, left, right, body, begin, part, length).scan()
+        marked.append(level.spans())
+        live[part] = level.owning()
+    for spans in marked:
         yield from _span_rows(spans, buckets)
     keep = np.flatnonzero(live)
     bucket = ((h[keep] >> np.uint64(11)) % np.uint64(buckets)).astype(np.int64)
@@ -309,7 +316,7 @@ def _ship(gathered: list[tuple[np.ndarray, ...]], length: int, buckets: int):
         ends = np.cumsum(sizes)
         take = np.repeat(begin[k] - (ends - sizes), sizes) + np.arange(int(ends[-1]))
         ids.append(int(bucket[a]))
-        blobs.append(_pack(h[k], doc[k], at[k], left[k], right[k], body[take]))
+        blobs.append(_pack(doc[k], at[k], left[k], right[k], body[take]))
         if len(ids) >= 64:
             yield _rows(ids, *([None] * len(ids) for _ in range(3)), blobs)
             ids, blobs = [], []
@@ -343,22 +350,23 @@ def _reduce(length: int, buckets: int):
     """Rows come sorted by bucket. Spans pass; of blobs, only entries whose anchor repeats are unpacked."""
 
     def bucket_rows(blobs):
-        hashes, counts = np.unique(np.concatenate([np.unique(_unpack(b, length)) for b in blobs]), return_counts=True)
-        many = [hashes[counts > 1]]
-        for b in blobs:  # an anchor may repeat within one blob alone
-            x, c = np.unique(_unpack(b, length), return_counts=True)
-            many.append(x[c > 1])
-        many = np.unique(np.concatenate(many))
+        names, counts = [], []
+        for b in blobs:
+            x, c = np.unique(Blob(b).names(), return_counts=True)
+            names.append(x)
+            counts.append(c)
+        names, back = np.unique(np.concatenate(names), return_inverse=True)
+        many = names[np.bincount(back, np.concatenate(counts)) > 1]
         if not len(many):
             return
-        family, waiting, held = Family(), None, 0
-        wanted = lambda h: many[np.minimum(np.searchsorted(many, h), len(many) - 1)] == h
+        family, waiting = Family(), None
         for b in blobs:
-            level = _unpack(b, length, wanted)
-            if not len(level):
+            blob = Blob(b)
+            own = blob.names()
+            keep = many[np.minimum(np.searchsorted(many, own), len(many) - 1)] == own
+            if not keep.any():
                 continue
-            order = np.lexsort((level.at, level.doc))
-            level = Level(level.doc[order], level.at[order], level.left[order], level.right[order], level.ctx[order])
+            level = blob.level(keep, length)
             waiting = level if waiting is None else Level.merged(waiting, level)
             if len(waiting) >= BATCH:
                 family.add(waiting)
@@ -402,6 +410,16 @@ def repeated_spans(df: DataFrame, length: int = 100, key: str = "doc_id", text:
     return shipped.mapInArrow(_reduce(length, buckets), OUT).select("doc", "begin", "end")
 
 
+def _squeezed(batches):
+    for batch in batches:
+        small = [t and np.int64(len(t)).tobytes() + _codec.compress(t, asbytes=True) for t in batch.column(1).cast(pa.binary()).to_pylist()]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(small, pa.binary()), *batch.columns[2:]], batch.schema.names)
+
+
+def _expand(small: bytes | None) -> bytes:
+    return _codec.decompress(small[8:], int(np.frombuffer(small, np.int64, 1)[0]), asbytes=True) if small else b""
+
+
 def union_spans(begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Maximal runs of the union; touching spans are one run."""
     order = np.argsort(begin, kind="stable")
@@ -431,6 +449,8 @@ def dedup(df: DataFrame, length: int = 100, key: str = "doc_id", text: str = "te
     made = {"n_bytes", "n_removed", "n_spans", "kept_sha256", "kept_text"}
     keep = tuple(c for c in keep if c != key and c not in made)
     own = df.select(F.col(key).cast("long").alias("_id"), F.col(text).alias("_text"), *(F.col(c).alias(f"_k{i}") for i, c in enumerate(keep)))
+    # what is joined is moved: the texts go compressed
+    own = own.mapInArrow(_squeezed, ", ".join(f"`{c}` {'binary' if c == '_text' else t}" for c, t in own.dtypes))
     joined = own.join(spans, F.col("_id") == F.col("doc"), "left").select("_id", "_text", "begins", "ends", *own.columns[2:])
     fields = "".join(f"`{c}` {t}, " for c, t in df.select(*keep).dtypes)
     schema = f"`{key}` long, {fields}n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_text string" * keep_text
@@ -439,7 +459,7 @@ def dedup(df: DataFrame, length: int = 100, key: str = "doc_id", text: str = "te
         for batch in batches:
             rows = []
             for i in range(batch.num_rows):
-                raw = (batch.column(1)[i].as_py() or "").encode()
+                raw = _expand(batch.column(1)[i].as_py())
                 n, runs, kept = len(raw), 0, raw
                 if batch.column(2)[i].is_valid:
                     begin = batch.column(2)[i].values.to_numpy(zero_copy_only=False)
