@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from helixframe.llm.textbytes import memory_of, settle
+
 GRAMS = (1, 2, 3, 4)
 SLOTS = 1 << 16
 #: Training rows used, at most (about): a sample by hash, whatever the input's size.
@@ -27,7 +29,9 @@ SWITCH = 12.0
 WORST = 12.0
 #: Share of a language's words that a script must have to count as its script.
 SCRIPT_SHARE = 0.001
-CACHE_WORDS = 600_000
+CACHE_WORDS = 400_000
+#: Bytes of words that are held as objects at a time (by eight a word).
+SLICE_BYTES = 2 << 20
 
 # fixed values: first code points of script ranges (Unicode blocks) and the script's number
 SCRIPT_STARTS = np.array([0x0, 0x370, 0x400, 0x530, 0x590, 0x600, 0x700, 0x900, 0x980, 0xE00, 0xE80, 0x10A0, 0x1100, 0x1200, 0x1E00, 0x1F00, 0x2000, 0x3040, 0x3100, 0x3400, 0xAC00, 0xD800, 0xF900, 0xFB00, 0xFF00, 0x20000, 0x30000])
@@ -78,6 +82,7 @@ class Model:
 
 
 def _counts(batches):
+    memory_of("language_id")
     by: dict[str, Counter] = {}
     for batch in batches:
         for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -150,13 +155,23 @@ class Scorer:
         self.known.update(zip(new, range(self.used, self.used + len(new))))
         self.used += len(new)
 
-    def rows(self, texts: list[list[bytes]]) -> list[np.ndarray]:
+    def rows(self, texts: pa.Array) -> list[np.ndarray]:
+        """Each text's words as places in the tables; words are held for a slice of texts at a time."""
         if self.used > CACHE_WORDS:
             self._reset()
-        new = list(set().union(*texts).difference(self.known)) if texts else []
-        if new:
-            self._learn(new)
-        return [np.fromiter(map(self.known.__getitem__, t), np.int64, len(t)) for t in texts]
+        out: list[np.ndarray] = []
+        at = 0
+        while at < len(texts):
+            split, held = [], 0
+            while at < len(texts) and (not split or held < SLICE_BYTES):
+                split.append(words(texts[at].as_py()) if self.model.languages else [])
+                held += len(split[-1]) * 8
+                at += 1
+            new = list(set().union(*split).difference(self.known))
+            if new:
+                self._learn(new)
+            out += [np.fromiter(map(self.known.__getitem__, t), np.int32, len(t)) for t in split]
+        return out
 
 
 def viterbi(scores: np.ndarray, rows: list[np.ndarray], switch: float = SWITCH) -> list[np.ndarray]:
@@ -213,11 +228,10 @@ def identify(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text
     shipped = df.sparkSession.sparkContext.broadcast(model)
 
     def run(batches):
+        memory_of("language_id")
         scorer, names = Scorer(shipped.value), shipped.value.languages
         for batch in batches:
-            texts = batch.column(batch.num_columns - 1).to_pylist()
-            split = [words(t) if names else [] for t in texts]
-            rows = scorer.rows(split)
+            rows = scorer.rows(batch.column(batch.num_columns - 1))
             preds, scores, found = [], [], []
             for row, path in zip(rows, viterbi(scorer.scores, rows, switch)):
                 letters = scorer.letters[row]
@@ -232,6 +246,8 @@ def identify(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text
             extra = [pa.array(found, kinds)] if spans else []
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(preds, pa.string()), pa.array(scores, pa.float64()), *extra],
                                              [key, *keep, "lang_pred", "score", *["lang_spans"] * spans])
+        del scorer
+        settle()
 
     schema = f"{fields}, lang_pred string, score double" + ", lang_spans array<struct<lang string, begin long, end long>>" * spans
     return df.select(key, *keep, F.col(text).alias("_text")).mapInArrow(run, schema)
