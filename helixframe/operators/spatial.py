@@ -57,10 +57,10 @@ def contact_graph(points: DataFrame, radius: float, group: list[str], idx: str,
 def apply_operators(points: DataFrame, operators: DataFrame, keys: list[str], xyz: tuple[str, str, str] = ("x", "y", "z")) -> DataFrame:
     """Every point under every operator of its key: ``p' = M p + v``.
 
-    ``operators`` has ``oper_id``, ``m11..m33`` and ``v1..v3``; a null
-    coordinate stays null.
+    ``operators`` has ``oper_id`` (which may be one of the keys), ``m11..m33``
+    and ``v1..v3``; a null coordinate stays null.
     """
     joined = points.join(operators, keys)
     x, y, z = (F.col(c) for c in xyz)
     out = [(F.col(f"m{r}1") * x + F.col(f"m{r}2") * y + F.col(f"m{r}3") * z + F.col(f"v{r}")).alias(c) for r, c in zip((1, 2, 3), xyz)]
-    return joined.select(*(c for c in points.columns if c not in xyz), "oper_id", *out)
+    return joined.select(*(c for c in points.columns if c not in xyz and c != "oper_id"), "oper_id", *out)
