@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 
 from helixframe.llm import decontamination, language_id, near_dedup, packing, suffix_dedup
 from helixframe.llm.queries import tokenizer_path
+from helixframe.llm.textbytes import small_batches
 from helixframe.session import read_table, shared_dir
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -26,6 +27,7 @@ WINDOW, COVERAGE = 10, 0.5
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops documents without any letter and sets ``lang`` where it was null."""
+    small_batches(spark)
     model = language_id.train(docs)
     found = language_id.identify(docs, model, keep=("text", "lang", "source", "n_chars"))
     return found.where("lang_pred <> 'und'").withColumn("lang", F.coalesce("lang", "lang_pred")).select(COLUMNS)
@@ -33,12 +35,14 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the smallest id of every group."""
+    small_batches(spark)
     gone = near_dedup.near_duplicates(docs).where("not kept").select("doc_id")
     return docs.join(gone, "doc_id", "left_anti").select(COLUMNS)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts later copies of long passages; a document of which nothing is left goes."""
+    small_batches(spark)
     cut = suffix_dedup.dedup(docs, REPEAT_BYTES, keep=("lang", "source", "n_chars"), keep_text=True)
     whole = F.col("n_removed") == 0
     return cut.where("n_removed = 0 or kept_text <> ''").select(
@@ -48,6 +52,7 @@ def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cuts passages of ``benchmark``; a document that is mostly such passages goes."""
+    small_batches(spark)
     clean = decontamination.scan(docs, read_table(spark, sf_dir, "benchmark"), WINDOW, clean=True, keep=("lang", "source", "n_chars"))
     return clean.where(F.col("coverage") <= COVERAGE).select(
         "doc_id", F.col("clean_text").alias("text"), "lang", "source",
@@ -56,6 +61,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packs the documents' tokens into sequences."""
+    small_batches(spark)
     return packing.pack_documents(docs, tokenizer_path())
 
 

@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from helixframe.llm.textbytes import memory_of, settle
+
 #: Item words that one automaton holds; bounds what is shipped to a task.
 MAX_ITEM_WORDS = 2_000_000
 
@@ -191,6 +193,7 @@ def scan(df: DataFrame, benchmark: DataFrame, window: int = 10, key: str = "doc_
     extra = ", items array<string>, coverage double, clean_text string" * clean
 
     def run(batches):
+        memory_of("decontamination")
         automata = [build(x, window) for x in shipped.value]
         for batch in batches:
             out = []
@@ -211,6 +214,7 @@ def scan(df: DataFrame, benchmark: DataFrame, window: int = 10, key: str = "doc_
             names = ["n_words", "n_hit", "n_items", "items_sha256", "contaminated", *["items", "coverage", "clean_text"] * clean]
             columns = list(zip(*out)) if out else [[]] * len(types)
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *(pa.array(c, t) for c, t in zip(columns, types))], [key, *keep, *names])
+        settle()
 
     return df.select(key, *keep, F.col(text).alias("_text")).mapInArrow(run, f"{fields}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean" + extra)
 

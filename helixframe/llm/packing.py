@@ -22,12 +22,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from helixframe.llm.textbytes import memory_of, settle
 from helixframe.session import materialize
 
 CAPACITY = 4096
 END_ID = 1
-#: Words a Python worker remembers; beyond it the memory starts anew, so it is bounded.
-CACHE_WORDS = 1_200_000
+#: Words a Python worker remembers; beyond it, those met once are forgotten, and all if that isn't enough.
+CACHE_WORDS = 1_100_000
 #: Rows that one rank window may hold before a length's pieces are split further.
 RANK_ROWS = 100_000
 
@@ -53,6 +54,7 @@ class WordIds:
 
     def _reset(self) -> None:
         self.known: dict[bytes, int] = {}
+        self.once: set[bytes] = set()
         self.count, self.flat = 0, np.zeros(1 << 16, np.uint32)
         self.starts, self.sizes = np.zeros(1 << 15, np.int64), np.zeros(1 << 15, np.int32)
         self.used = 0
@@ -74,6 +76,23 @@ class WordIds:
             self.used += len(part)
             self.count += total
 
+    def _forget(self) -> None:
+        """Keeps the words met more than once, or none if those are too many already."""
+        kept = [(w, i) for w, i in self.known.items() if w not in self.once]
+        if len(kept) > CACHE_WORDS // 2:
+            self._reset()
+            return
+        at = np.fromiter((i for _, i in kept), np.int64, len(kept))
+        sizes, starts, flat = self.sizes[at], self.starts[at], self.flat
+        ends = np.cumsum(sizes, dtype=np.int64)
+        total = int(ends[-1]) if len(ends) else 0
+        packed = flat[np.repeat(starts - (ends - sizes), sizes) + np.arange(total)]
+        self._reset()
+        self.flat = np.concatenate([packed, self.flat])
+        self.starts, self.sizes = np.concatenate([ends - sizes, self.starts]), np.concatenate([sizes, self.sizes])
+        self.count, self.used = total, len(kept)
+        self.known = {w: i for i, (w, _) in enumerate(kept)}
+
     def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
         """The ids of each text, in order."""
         if self.exact:
@@ -81,11 +100,14 @@ class WordIds:
                 yield np.asarray(e.ids, np.uint32)
             return
         split = [_STOP.sub(rb"\1 \2", t.encode().translate(_LOWER)).split(b" ") for t in texts]
+        met = set().union(*split)
+        self.once -= met
         if self.used > CACHE_WORDS:
-            self._reset()
-        new = set().union(*split).difference(self.known) if split else set()
+            self._forget()
+        new = met.difference(self.known)
         if new:
             self._learn(list(new))
+            self.once |= new
         for words in split:
             at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
             sizes = self.sizes[at]
@@ -94,13 +116,11 @@ class WordIds:
             yield self.flat[np.repeat(self.starts[at] - (ends - sizes), sizes) + np.arange(total)]
 
 
-_tokenizers: dict[tuple[str, bool], WordIds] = {}
-
-
 def _word_ids(path: str, exact: bool) -> WordIds:
-    if (path, exact) not in _tokenizers:
-        _tokenizers[path, exact] = WordIds(path, exact)
-    return _tokenizers[path, exact]
+    known = memory_of("packing")
+    if (path, exact) not in known:
+        known[path, exact] = WordIds(path, exact)
+    return known[path, exact]
 
 
 def token_pieces(df: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY,
@@ -131,6 +151,7 @@ def token_pieces(df: DataFrame, tokenizer: str, key: str = "doc_id", text: str =
                 columns = list(zip(*rows)) if rows else [[]] * len(types)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0).take(pa.array(owner, pa.int64())), *(pa.array(c, t) for c, t in zip(columns, types))], names)
+        settle()
 
     return df.select(key, text).mapInArrow(run, f"`{key}` {kind}, piece int, start long, length long, ids_crc32 long" + ", ids array<long>" * keep_ids)
 

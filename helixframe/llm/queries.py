@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from helixframe.llm.textbytes import small_batches
 from helixframe.session import read_table
 
 RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
@@ -96,6 +97,16 @@ def op10_transport_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transport_columns(read_table(spark, sf_dir, "documents"))
 
 
+def _tuned(query):
+    """The query in a session whose Arrow batches have the size its tasks expect."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 QUERIES = {
     "op1_packing": op1_packing,
     "op2_suffix_dedup": op2_suffix_dedup,
@@ -108,6 +119,7 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_transport_stream": op10_transport_stream,
 }
+QUERIES = {name: _tuned(query) for name, query in QUERIES.items()}
 
 _RULES_SQL = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in RULES)
 
@@ -142,7 +154,52 @@ SELECT doc_id, n AS n_sentences, j AS sentence_ids, rtrim({found}, ',') AS licen
 """
 
 
+_LOW = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+_NEAR_SQL = f"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, string_split(trim(regexp_replace({_LOW}, '[ \\x09-\\x0D]+', ' ', 'g'), ' '), ' ') AS t FROM documents),
+sized AS (SELECT doc_id, t, CASE WHEN t[1] = '' THEN 0 ELSE len(t) END AS n FROM w),
+sets AS (
+  SELECT DISTINCT doc_id, array_to_string(t[i:i + 4], ' ') AS s
+  FROM (SELECT doc_id, t, unnest(range(1, greatest(n - 4, 1) + 1)) AS i FROM sized WHERE n > 0)),
+counts AS (SELECT doc_id, count(*) AS n FROM sets GROUP BY doc_id),
+pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM sets a JOIN sets b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY 1, 2),
+links AS (
+  SELECT a, b FROM pairs JOIN counts x ON x.doc_id = a JOIN counts y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+twoway AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+reach(n, m) AS (SELECT a, a FROM twoway UNION SELECT twoway.b, reach.m FROM reach JOIN twoway ON twoway.a = reach.n),
+low AS (SELECT n, min(m) AS m FROM reach GROUP BY n)
+SELECT d.doc_id, coalesce(c.n, 0) AS n_shingles, coalesce(m, d.doc_id) AS component_id, coalesce(m, d.doc_id) = d.doc_id AS kept
+FROM documents d LEFT JOIN counts c ON c.doc_id = d.doc_id LEFT JOIN low ON low.n = d.doc_id
+"""
+
+_LEAKS_SQL = f"""
+WITH d AS (
+  SELECT doc_id, string_split(trim(regexp_replace({_LOW}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+', ' ', 'g'), ' '), ' ') AS t FROM documents),
+docs AS (SELECT doc_id, t, CASE WHEN t[1] = '' THEN 0 ELSE len(t) END AS n FROM d),
+i AS (
+  SELECT item_id, string_split(trim(regexp_replace({_LOW}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+', ' ', 'g'), ' '), ' ') AS t FROM benchmark),
+items AS (SELECT item_id, t, len(t) AS n, least(len(t), 10) AS k FROM i WHERE t[1] <> ''),
+wanted AS (
+  SELECT DISTINCT item_id, k, array_to_string(t[p:p + k - 1], ' ') AS w
+  FROM (SELECT item_id, t, k, unnest(range(1, n - k + 2)) AS p FROM items)),
+runs AS (
+  SELECT doc_id, k, p, array_to_string(t[p:p + k - 1], ' ') AS w
+  FROM (SELECT doc_id, t, k, unnest(range(1, n - k + 2)) AS p FROM docs, (SELECT DISTINCT k FROM items) WHERE n >= k)),
+hits AS (SELECT doc_id, p, k, item_id FROM runs JOIN wanted USING (k, w)),
+spots AS (SELECT doc_id, count(DISTINCT q) AS n_hit FROM (SELECT doc_id, unnest(range(p, p + k)) AS q FROM hits) GROUP BY doc_id),
+named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM hits) GROUP BY doc_id)
+SELECT docs.doc_id, CAST(n AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM docs LEFT JOIN spots ON spots.doc_id = docs.doc_id LEFT JOIN named ON named.doc_id = docs.doc_id
+"""
+
 ORACLES = {
+    "op3_near_dedup": _NEAR_SQL,
+    "op5_decontamination": _LEAKS_SQL,
     "op4_license_scan": _license_sql(),
     "op7_url_filter": f"""
 WITH RECURSIVE rules(rh, rp, v) AS (VALUES {_RULES_SQL}),

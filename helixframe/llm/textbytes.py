@@ -44,3 +44,36 @@ def segments(batches, overlap: int, size: int = SEGMENT) -> Iterator[tuple[np.nd
 
 #: Lower-cases A-Z in UTF-8 bytes.
 LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
+
+
+def settle() -> None:
+    """Gives memory that a task has freed back to the system; Python workers outlive their tasks."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
+_held: dict[str, dict] = {}
+
+
+def memory_of(operator: str) -> dict:
+    """What a Python worker remembers for an operator between tasks; other operators' memory goes."""
+    for other in [k for k in _held if k != operator]:
+        del _held[other]
+    return _held.setdefault(operator, {})
+
+
+#: Rows and bytes of the Arrow batches that tasks of the text operators take in.
+BATCH_ROWS, BATCH_BYTES = 4000, 16 << 20
+
+
+def small_batches(spark) -> None:
+    """Sets the session's Arrow batches to the size the text operators are made for."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
