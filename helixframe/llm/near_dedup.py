@@ -7,11 +7,14 @@ share a child for each chosen token with probability ``t``. Small nodes are
 compared exhaustively; nodes that stay large are branched on.
 
 To find components it is enough to lose no link *between* components. So every
-node's documents are first compared with the node's leader (as many pairs as
-members), those links are confirmed on full sets and merged, and only nodes
-whose documents still belong to several components go on: they are compared
-exhaustively or branched on, and only pairs across components are confirmed.
-A node that is one group of copies, however large, costs no more than its size.
+node's documents are first compared with the node's leader, the document whose
+tokens are the most common (the original among its copies), as many pairs as
+members. Those links are confirmed on full sets and merged, and only nodes
+whose documents still belong to several components go on. A small one is
+compared exhaustively. In a large one, documents close to the leader are
+compared with the whole node, in blocks of bounded size, and leave it; the rest
+is branched on. Comparisons take place where the sets are: a block yields the
+links that merge components, never its pairs.
 """
 
 from __future__ import annotations
@@ -23,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.llm.textbytes import LOWER
+from helixframe.llm.textbytes import LOWER, memory_of, settle
 from helixframe.operators.components import connected_components
 from helixframe.session import materialize
 
@@ -44,7 +47,7 @@ _SPACE[[9, 10, 11, 12, 13, 32]] = True
 _powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
-def _mixed(h: np.ndarray) -> np.ndarray:
+def _scrambled(h: np.ndarray) -> np.ndarray:
     h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
     h = (h ^ (h >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
     return h ^ (h >> np.uint64(31))
@@ -66,7 +69,7 @@ def word_hashes(raw: bytes) -> np.ndarray:
     begin, end = edge[::2], edge[1::2]
     forth, back = _power(len(buf) + 1)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[buf] * forth[: len(buf)], dtype=np.uint64)])
-    return _mixed((sums[end] - sums[begin]) * back[begin] + (end - begin).astype(np.uint64))
+    return _scrambled((sums[end] - sums[begin]) * back[begin] + (end - begin).astype(np.uint64))
 
 
 def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
@@ -79,7 +82,7 @@ def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
     h = np.full(n - width + 1, width, np.uint64)
     for i in range(width):
         h = h + words[i : n - width + 1 + i] * _STEP[i]
-    return np.unique(_mixed(h))
+    return np.unique(_scrambled(h))
 
 
 def is_link(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
@@ -88,6 +91,7 @@ def is_link(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
 
 
 def _signatures(batches):
+    memory_of("near_dedup")
     for batch in batches:
         rows = []
         for text in batch.column(1).to_pylist():
@@ -98,6 +102,7 @@ def _signatures(batches):
         yield pa.RecordBatch.from_arrays(
             [batch.column(0), pa.array(n, pa.int64()), pa.array(whole, pa.binary()), pa.array(sketch, pa.list_(pa.int32()))],
             ["id", "n", "whole", "sketch"])
+    settle()
 
 
 def _child(node: Column, i: int, sketch: str = "sketch") -> Column:
@@ -110,57 +115,127 @@ def _agreement(a: str, b: str) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
 
 
-def _across(least: int):
-    """Pairs of one node, of several components, whose sketches agree often enough."""
+#: How a row takes part in its unit: with all others, as a pivot, or as a pivot's partner; a partner that
+#: is a pivot elsewhere too meets pivots of smaller id only, so that such a pair is compared once.
+ALL, PIVOT, PARTNER, BOTH = 3, 2, 0, 1
 
-    def pairs(ids, labels, sketches):
-        for i in range(len(ids) - 1):
-            near = ((sketches[i + 1 :] == sketches[i]).sum(1) >= least) & (labels[i + 1 :] != labels[i])
-            for k in np.flatnonzero(near):
-                yield min(ids[i], ids[i + 1 + k]), max(ids[i], ids[i + 1 + k])
 
-    def emit(found):
-        a, b = zip(*found)
-        return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+def _near(i: int, ids, labels, side, sketches, least: int) -> tuple[np.ndarray, np.ndarray]:
+    """Later rows of a unit that row ``i`` may be linked with across components, and all later agreements."""
+    same = (sketches[i + 1 :] == sketches[i]).sum(1)
+    theirs, smaller = side[i + 1 :], ids[i] < ids[i + 1 :]
+    meets = {ALL: theirs == ALL, PIVOT: (theirs == PARTNER) | ((theirs == BOTH) & smaller), PARTNER: theirs == PIVOT, BOTH: (theirs == PIVOT) & ~smaller}[int(side[i])]
+    return np.flatnonzero((same >= least) & (labels[i + 1 :] != labels[i]) & meets), same
+
+
+def _by_unit(batches, width: int):
+    """The rows of one unit after the other: arrays ``unit, id, label, side, sketches`` and lists of further columns."""
+    held: list[tuple] = []
+
+    def whole():
+        return [np.concatenate([h[k] for h in held]) for k in range(5)] + [[v for h in held for v in h[k]] for k in range(5, 5 + width)]
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        unit, ids, labels, side = (batch.column(i).to_numpy(zero_copy_only=False) for i in range(4))
+        sketch = batch.column(4)
+        sketches = sketch.values.slice(sketch.offsets[0].as_py(), batch.num_rows * TOKENS).to_numpy(zero_copy_only=False).reshape(-1, TOKENS)
+        edges = np.flatnonzero(np.concatenate([[True], unit[1:] != unit[:-1], [True]]))
+        for x, y in zip(edges, edges[1:]):
+            if held and unit[x] != held[0][0][0]:
+                yield whole()
+                held = []
+            held.append((unit[x:y], ids[x:y], labels[x:y], side[x:y], sketches[x:y], *(batch.column(5 + k).slice(x, y - x).to_pylist() for k in range(width))))
+    if held:
+        yield whole()
+
+
+def _promising(least: int):
+    """Of rows ``unit, id, label, side, sketch`` sorted by unit, those with a near one across components."""
 
     def run(batches):
-        current, held, found = None, [], set()
+        for unit, ids, labels, side, sketches in _by_unit(batches, 0):
+            mark = np.zeros(len(ids), bool)
+            if not (labels == labels[0]).all():
+                for i in range(len(ids) - 1):
+                    near, _ = _near(i, ids, labels, side, sketches, least)
+                    mark[near + i + 1] = True
+                    mark[i] |= len(near) > 0
+            if mark.any():
+                yield pa.RecordBatch.from_arrays([pa.array(x[mark]) for x in (unit, ids, labels, side)], ["unit", "id", "label", "side"])
+        settle()
 
-        def close():
-            node = [np.concatenate(x) for x in zip(*held)]
-            if len(node[0]) > 1:
-                found.update((int(x), int(y)) for x, y in pairs(*node))
+    return run
 
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            node = batch.column(0).to_numpy(zero_copy_only=False)
-            ids, labels = (batch.column(i).to_numpy(zero_copy_only=False) for i in (1, 2))
-            sketches = batch.column(3).values.slice(batch.column(3).offsets[0].as_py(), batch.num_rows * TOKENS).to_numpy(zero_copy_only=False).reshape(-1, TOKENS)
-            edges = np.flatnonzero(np.concatenate([[True], node[1:] != node[:-1], [True]]))
-            for x, y in zip(edges, edges[1:]):
-                if node[x] != current:
-                    if held:
-                        close()
-                    current, held = node[x], []
-                held.append((ids[x:y], labels[x:y], sketches[x:y]))
-            if len(found) > 10_000:
-                yield emit(found)
-                found = set()
-        if held:
-            close()
-        if found:
-            yield emit(found)
+
+def _across(least: int, percent: int):
+    """Links that merge components within a unit: rows ``unit, id, label, side, sketch, body`` sorted by unit."""
+
+    def links(ids, labels, side, sketches, bodies):
+        agree, left, right = [], [], []
+        for i in range(len(ids) - 1):
+            near, same = _near(i, ids, labels, side, sketches, least)
+            agree.append(same[near])
+            left.append(np.full(len(near), i))
+            right.append(near + i + 1)
+        order = np.argsort(-np.concatenate(agree), kind="stable")
+        left, right = np.concatenate(left)[order], np.concatenate(right)[order]
+        root = {int(x): int(x) for x in labels}
+
+        def top(x):
+            while root[x] != x:
+                root[x] = root[root[x]]
+                x = root[x]
+            return x
+
+        sets: dict[int, np.ndarray] = {}
+
+        def set_of(i):
+            if i not in sets:
+                sets[i] = shingles(_expand(bodies[i]))
+            return sets[i]
+
+        for i, j in zip(left.tolist(), right.tolist()):
+            x, y = top(int(labels[i])), top(int(labels[j]))
+            if x != y and is_link(set_of(i), set_of(j), percent):
+                root[max(x, y)] = min(x, y)
+                yield int(ids[i]), int(ids[j])
+
+    def run(batches):
+        for _, ids, labels, side, sketches, bodies in _by_unit(batches, 1):
+            if len(ids) > 1:
+                yield _pairs_batch(list(links(ids, labels, side, sketches, bodies)))
+        settle()
 
     return run
 
 
+def _pairs_batch(found: list[tuple[int, int]]) -> pa.RecordBatch:
+    a, b = zip(*found) if found else ([], [])
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
+_codec = pa.Codec("zstd", compression_level=3)
+
+
+def _squeeze(batches):
+    for batch in batches:
+        raw = [(t or "").encode() for t in batch.column(1).to_pylist()]
+        small = [np.int64(len(t)).tobytes() + _codec.compress(t, asbytes=True) for t in raw]
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(small, pa.binary())], ["id", "body"])
+
+
+def _expand(small: bytes) -> str:
+    return _codec.decompress(small[8:], int(np.frombuffer(small, np.int64, 1)[0]), asbytes=True).decode()
+
+
 def _confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` that are links on their full sets."""
     # the many-sided end first: its texts move once; the leaders' come last and may be hot
     joined = (
-        pairs.join(texts.select(F.col("id").alias("b"), F.col("text").alias("tb")), "b")
-        .join(texts.select(F.col("id").alias("a"), F.col("text").alias("ta")), "a")
+        pairs.join(texts.select(F.col("id").alias("b"), F.col("body").alias("tb")), "b")
+        .join(texts.select(F.col("id").alias("a"), F.col("body").alias("ta")), "a")
         .select("a", "b", "ta", "tb")
     )
 
@@ -170,21 +245,45 @@ def _confirm(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
             keep = np.zeros(batch.num_rows, bool)
             for i, a in enumerate(batch.column(0).to_pylist()):
                 if a != last:
-                    last, own = a, shingles(batch.column(2)[i].as_py())
-                keep[i] = is_link(own, shingles(batch.column(3)[i].as_py()), percent)
+                    last, own = a, shingles(_expand(batch.column(2)[i].as_py()))
+                keep[i] = is_link(own, shingles(_expand(batch.column(3)[i].as_py())), percent)
             yield batch.select(["a", "b"]).filter(pa.array(keep))
 
     return materialize(joined.mapInArrow(run, "a long, b long"), "nd-links")
 
 
-def _labelled(rows: DataFrame, components: DataFrame) -> DataFrame:
-    return rows.join(components.withColumnRenamed("node", "id"), "id", "left").select(
-        "node", "id", F.coalesce("component", "id").alias("label"))
+def _mixed(rows: DataFrame, key: str) -> DataFrame:
+    """Keys whose rows carry several labels, and their size."""
+    return rows.groupBy(key).agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select(key, "size")
 
 
-def _mixed_nodes(rows: DataFrame) -> DataFrame:
-    """Nodes whose rows carry several labels, and their size."""
-    return rows.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi").select("node", "size")
+def _cross_units(pivots: DataFrame, partners: DataFrame, key: str, block: int) -> DataFrame:
+    """``unit, id, label, side``: every pivot of a key meets every partner, in units of at most two blocks.
+
+    A pivot is repeated once for each block of partners and the other way round.
+    """
+    sizes = pivots.groupBy(key).agg(F.count(F.lit(1)).alias("_l")).join(partners.groupBy(key).agg(F.count(F.lit(1)).alias("_r")), key)
+    parts = lambda c: F.ceil(F.col(c) / F.lit(block)).cast("int")
+    own = lambda c: F.pmod(F.xxhash64("id"), parts(c)).cast("int")
+    every = lambda c: F.explode(F.sequence(F.lit(0), parts(c) - 1))
+    left = pivots.join(sizes, key).select(key, "id", "label", F.lit(PIVOT).alias("side"), own("_l").alias("_p"), every("_r").alias("_q"))
+    right = partners.join(sizes, key).select(key, "id", "label", "side", every("_l").alias("_p"), own("_r").alias("_q"))
+    return left.unionByName(right).select(F.xxhash64(F.lit("block"), key, "_p", "_q").alias("unit"), "id", "label", "side")
+
+
+def _pivot_units(rows: DataFrame, key: str, block: int) -> DataFrame:
+    """Units for all pairs across components of a key's rows, one of which is ``close``.
+
+    Most of a group of copies is one component by now. So pivots outside the
+    key's most common component meet all rows, and the others meet only the
+    rows outside it.
+    """
+    main = rows.groupBy(key).agg(F.mode("label").alias("_m"))
+    rows = materialize(rows.join(main, key).withColumn("odd", F.col("label") != F.col("_m")).drop("_m"), "nd-pivots")
+    side = F.when(F.col("close") & F.col("odd"), BOTH).otherwise(PARTNER).alias("side")
+    first = _cross_units(rows.where("close and odd"), rows.select(key, "id", "label", side), key, block)
+    second = _cross_units(rows.where("close and not odd"), rows.where("odd and not close").select(key, "id", "label", F.lit(PARTNER).alias("side")), key, block)
+    return first.unionByName(second.select(first.columns))
 
 
 def near_duplicates(df: DataFrame, percent: int = 80, key: str = "doc_id", text: str = "text", trees: int = TREES,
@@ -206,56 +305,70 @@ def near_duplicates(df: DataFrame, percent: int = 80, key: str = "doc_id", text:
     signed = materialize(docs.mapInArrow(_signatures, "id long, n long, whole binary, sketch array<int>"), "nd-sketch")
     alive = signed.where("n > 0 and id is not null")
     firsts = alive.groupBy("whole").agg(F.min("id").alias("first"))
-    classes = materialize(signed.select("id", "n", "whole").join(firsts, "whole", "left").select("id", "n", F.coalesce("first", "id").alias("first"), F.col("first").isNotNull().alias("live")), "nd-classes")
+    classes = materialize(signed.select("id", "n", "whole").join(firsts, "whole", "left").select("id", "n", F.when(F.col("id").isNotNull(), F.coalesce("first", "id")).alias("first"), (F.col("first").isNotNull() & F.col("id").isNotNull()).alias("live")), "nd-classes")
     sketches = materialize(
         alive.select("id", "sketch").join(classes.where("live and id = first").select("id").distinct(), "id", "left_semi").dropDuplicates(["id"]), "nd-firsts")
 
     roots = [F.xxhash64(F.lit("tree"), F.lit(t)) for t in range(trees)]
     children = F.array_distinct(F.array(*(_child(r, i) for r in roots for i in range(CHOSEN))))
     spread = sketches.select("id", F.explode(children).alias("node"))
-    leaders = spread.groupBy("node").agg(F.count(F.lit(1)).alias("size"), F.min("id").alias("a")).where("size > 1").select("node", "a")
-    nodes = materialize(spread.join(leaders, "node").select("node", "id", "a"), "nd-nodes")
-
-    # a link has 64 agreements of at least percent - 5 standard deviations
+    sizes = spread.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
+    shared = materialize(spread.join(sizes, "node").select("node", "id", "size"), "nd-nodes")
+    members = materialize(sketches.join(shared.select("id").distinct(), "id", "left_semi"), "nd-members")
+    tokens = members.select("id", F.posexplode("sketch").alias("token", "value"))
+    common = tokens.groupBy("token", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    weight = tokens.join(common, ["token", "value"]).groupBy("id").agg(F.sum("n").alias("weight"))
+    ranked = shared.join(weight, "id").select("node", "id", F.struct("weight", (-F.col("id")).alias("id")).alias("rank"))
+    leaders = ranked.groupBy("node").agg((-F.max("rank")["id"]).alias("a"))
+    nodes = materialize(shared.join(leaders, "node"), "nd-led")
+
+    # of 64 tokens a link agrees in at least percent less 5 standard deviations
     p = percent / 100
     least = max(1, int(TOKENS * (p - 5 * (p * (1 - p) / TOKENS) ** 0.5)))
     star = nodes.where("id <> a").select("a", F.col("id").alias("b")).distinct()
-    own = sketches.select(F.col("id").alias("b"), F.col("sketch").alias("sb"))
-    other = sketches.select(F.col("id").alias("a"), F.col("sketch").alias("sa"))
+    own = members.select(F.col("id").alias("b"), F.col("sketch").alias("sb"))
+    other = members.select(F.col("id").alias("a"), F.col("sketch").alias("sa"))
     stars = materialize(star.join(own, "b").join(other, "a").where(_agreement("sa", "sb") >= least).select("a", "b"), "nd-star")
-    members = nodes.select("id").distinct()
-    texts = materialize(docs.join(members, "id", "left_semi").dropDuplicates(["id"]), "nd-texts")
+    texts = materialize(docs.join(members.select("id"), "id", "left_semi").dropDuplicates(["id"]).mapInArrow(_squeeze, "id long, body binary"), "nd-texts")
     links = _confirm(stars, texts, percent)
-    groups = materialize(connected_components(links, "a", "b"), "nd-groups")
-
-    rows = _labelled(nodes, groups)
-    ready = []
-    for level in range(depth + 1):
-        rows = materialize(rows, "nd-level")
-        mixed = _mixed_nodes(rows)
-        ready.append(rows.join(mixed.where(F.col("size") <= small).select("node"), "node", "left_semi"))
-        large = materialize(rows.join(mixed.where(F.col("size") > small), "node"), "nd-large")
-        if large.isEmpty():
-            break
-        if level < depth:
-            kids = F.array_distinct(F.array(*(_child(F.col("node"), i) for i in range(CHOSEN))))
-            rows = large.join(sketches, "id").select(F.explode(kids).alias("node"), "id", "label").distinct()
-        else:
-            # what no token parts: all pairs in blocks of bounded size
-            parts = F.ceil(F.col("size") / F.lit(small)).cast("int")
-            own_part = F.pmod(F.xxhash64("id"), parts).cast("int")
-            ready.append(
-                large.withColumn("_p", own_part).withColumn("_q", F.explode(F.sequence(F.lit(0), parts - 1)))
-                .select(F.xxhash64("node", F.least("_p", "_q"), F.greatest("_p", "_q")).alias("node"), "id", "label"))
-    todo = ready[0]
-    for more in ready[1:]:
+    groups = materialize(connected_components(links, "a", "b"), "nd-groups").withColumnRenamed("node", "id")
+
+    rows = nodes.join(groups, "id", "left").withColumn("label", F.coalesce("component", "id")).drop("component", "size")
+    rows = materialize(rows.join(_mixed(rows, "node"), "node"), "nd-mixed")
+    units = [rows.where(F.col("size") <= small).select(F.col("node").alias("unit"), "id", "label", F.lit(ALL).alias("side"))]
+    large = rows.where(F.col("size") > small)
+    near = stars.select("a", F.col("b").alias("id"), F.lit(True).alias("close"))
+    large = large.drop("size").join(near, ["a", "id"], "left").withColumn("close", F.coalesce("close", F.col("id") == F.col("a")))
+    large = materialize(large, "nd-large")
+    if not large.isEmpty():
+        led = large.groupBy("a", "id").agg(F.min("label").alias("label"), F.max("close").alias("close"))
+        some = led.groupBy("a").agg(F.sum(F.col("close").cast("int")).alias("n")).where("n > 1").select("a")
+        units.append(_pivot_units(led.join(some, "a"), "a", 4 * small))
+        rows = large.where("not close").select("node", "id", "label")
+        for level in range(depth + 1):
+            mixed = _mixed(rows, "node")
+            rows = materialize(rows.join(mixed, "node"), "nd-level")
+            units.append(rows.where(F.col("size") <= small).select(F.col("node").alias("unit"), "id", "label", F.lit(ALL).alias("side")))
+            rows = rows.where(F.col("size") > small)
+            if rows.isEmpty():
+                break
+            if level == depth:  # what no token parts
+                units.append(_pivot_units(rows.select("node", "id", "label", F.lit(True).alias("close")), "node", 4 * small))
+            else:
+                kids = F.array_distinct(F.array(*(_child(F.col("node"), i) for i in range(CHOSEN))))
+                rows = rows.drop("size").join(members, "id").select(F.explode(kids).alias("node"), "id", "label").distinct()
+    todo = units[0]
+    for more in units[1:]:
         todo = todo.unionByName(more)
+    # which rows have anybody to compare with is seen from the sketches; only those move with their texts
+    kind = ", ".join(f"{c} {t}" for c, t in todo.select("unit", "id", "label", "side").dtypes)
+    sketched = todo.join(members, "id").select("unit", "id", "label", "side", "sketch").repartition("unit").sortWithinPartitions("unit")
+    promising = materialize(sketched.mapInArrow(_promising(least), kind), "nd-near")
     crossing = (
-        todo.join(sketches, "id").select("node", "id", "label", "sketch")
-        .repartition("node").sortWithinPartitions("node").mapInArrow(_across(least), "a long, b long").distinct()
+        promising.join(members, "id").join(texts, "id").select("unit", "id", "label", "side", "sketch", "body")
+        .repartition("unit").sortWithinPartitions("unit").mapInArrow(_across(least, percent), "a long, b long")
     )
-    crossing = materialize(crossing.join(stars, ["a", "b"], "left_anti"), "nd-cross")
-    links = links.unionByName(_confirm(crossing, texts, percent))
+    links = links.unionByName(materialize(crossing, "nd-cross"))
     final = connected_components(links, "a", "b").select(F.col("node").alias("first"), "component")
     return classes.join(final, "first", "left").select(
         F.col("id").alias(key), F.col("n").alias("n_shingles"),
