@@ -4,8 +4,9 @@ A byte is removed if a ``length``-byte string covers it that also starts
 earlier (smaller document id, or same document and smaller offset).
 
 Every window of ``length`` bytes picks an anchor: its smallest 16-byte string
-by hash, the leftmost of equals. The choice depends on the window's bytes
-alone, so equal windows have equal anchors at equal offsets and comparing
+by hash, the leftmost of equals; strings known to be very common (from a
+bounded sample of documents) come last. The choice depends on the window's
+bytes alone, so equal windows have equal anchors at equal offsets and comparing
 windows that share an anchor loses no match. Consecutive windows of one anchor
 form an entry: the anchor's suffix, the bytes before it, and its owner (where
 it starts). Entries are dealt out by their anchor's hash.
@@ -17,7 +18,8 @@ which every group of equal windows keeps its earliest owner and marks the
 rest; levels of like size merge, so a bucket holds logarithmically many. The
 same scan runs over every map task's own entries first: what repeats there is
 marked at once and shipped once, so a passage that a third of all documents
-share reaches its bucket once a task, whatever its number of copies.
+share reaches its bucket once a task, whatever its number of copies; windows
+that reach out of such a passage find an anchor outside it, so they spread.
 """
 
 from __future__ import annotations
@@ -29,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.llm.textbytes import segments
+from helixframe.llm.textbytes import memory_of, segments, settle
 
 K = 16
 #: Text bytes that one bucket stands for, and the most shuffle partitions asked for.
@@ -37,6 +39,9 @@ BUCKET_BYTES, MAX_PARTITIONS = 8 << 20, 50_000
 #: Text bytes that a map task gathers before it ships, and entries of a bucket's new batch.
 TASK_BYTES, BATCH = 16 << 20, 20_000
 
+#: Documents whose strings are counted to find the common ones, characters of each, and the share that makes a string common.
+SAMPLE, SAMPLE_CHARS, COMMON_SHARE = 600, 1 << 15, 0.02
+
 _SEED = np.random.default_rng(20240229)
 _BYTE = _SEED.integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -49,17 +54,59 @@ def _mixed(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(27))
 
 
-def anchors(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
-    """Entries of the segments ``[starts, ends)`` of ``buf``: hash, anchor, first and last window."""
-    if len(buf) < length:
-        return (np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(3)))
+def _hashes(buf: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of every ``K`` bytes."""
     h, step, factor = _BYTE[buf], 1, int(_ODD)
     while step < K:
         h = h[:-step] * np.uint64(factor) + h[step:]
         factor = factor * factor & (1 << 64) - 1
         step *= 2
-    h = _mixed(h)
-    low = (h >> _POS << _POS) | np.arange(len(h), dtype=np.uint64)
+    return _mixed(h)
+
+
+class Common:
+    """A set of hashes with a bit table in front, for many lookups of which few succeed."""
+
+    def __init__(self, hashes: np.ndarray):
+        self.hashes = np.unique(hashes)
+        self.table = np.zeros(1 << 20, bool)
+        self.table[(self.hashes >> np.uint64(44)).astype(np.int64)] = True
+
+    def places(self, h: np.ndarray) -> np.ndarray:
+        """Places of the hashes that are in the set."""
+        if not len(self.hashes):
+            return np.zeros(0, np.int64)
+        some = np.flatnonzero(self.table[(h >> np.uint64(44)).astype(np.int32)])
+        at = np.minimum(np.searchsorted(self.hashes, h[some]), len(self.hashes) - 1)
+        return some[self.hashes[at] == h[some]]
+
+
+def common_strings(docs: DataFrame, sample: int = SAMPLE) -> np.ndarray:
+    """Hashes of the strings that many documents share, from about ``sample`` documents drawn by hash.
+
+    They only steer which anchors windows prefer, so that no bucket gets the
+    surroundings of a passage that a large part of all documents has; the
+    result doesn't depend on them. The sample's texts are bounded in number and
+    length, and so is what comes back.
+    """
+    total, grain = docs.count(), 1 << 20
+    part = docs.where(F.pmod(F.xxhash64("doc", F.lit("common")), F.lit(grain)) < int(grain * min(1.0, sample / max(total, 1))) + 1)
+    texts = part.select(F.substring("text", 1, SAMPLE_CHARS).alias("t")).where("t is not null").limit(2 * sample).toArrow()["t"].to_pylist()
+    found = [np.unique(_hashes(np.frombuffer(t.encode(), np.uint8))) for t in texts if len(t.encode()) >= K]
+    if len(found) < 50:
+        return np.zeros(0, np.uint64)
+    names, count = np.unique(np.concatenate(found), return_counts=True)
+    return names[count >= max(5, COMMON_SHARE * len(found))]
+
+
+def anchors(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int, common: Common) -> tuple[np.ndarray, ...]:
+    """Entries of the segments ``[starts, ends)`` of ``buf``: hash, anchor, first and last window."""
+    if len(buf) < length:
+        return (np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(3)))
+    h = _hashes(buf)
+    rank = h >> np.uint64(1)
+    rank[common.places(h)] |= np.uint64(1 << 63)
+    low = (rank >> _POS << _POS) | np.arange(len(h), dtype=np.uint64)
     width, span = length - K + 1, 1
     while span * 2 <= width:
         low = np.minimum(low[:-span], low[span:])
@@ -324,11 +371,13 @@ def _ship(gathered: list[tuple[np.ndarray, ...]], length: int, buckets: int):
         yield _rows(ids, *([None] * len(ids) for _ in range(3)), blobs)
 
 
-def _map(length: int, buckets: int):
+def _map(length: int, buckets: int, hashes: np.ndarray):
     def run(batches):
+        common = Common(hashes)
+        memory_of("suffix_dedup")
         gathered, held = [], 0
         for buf, doc, base, starts, ends in segments(batches, length - 1):
-            h, j, p0, p1 = anchors(buf, starts, ends, length)
+            h, j, p0, p1 = anchors(buf, starts, ends, length, common)
             which = np.searchsorted(starts, p0, side="right") - 1
             shift = base[which] - starts[which]
             left, right = (j - p0).astype(np.uint8), (p1 + length - j).astype(np.uint8)
@@ -342,6 +391,8 @@ def _map(length: int, buckets: int):
                 gathered, held = [], 0
         if gathered:
             yield from _ship(gathered, length, buckets)
+        gathered = []
+        settle()
 
     return run
 
@@ -392,6 +443,8 @@ def _reduce(length: int, buckets: int):
                 blobs.append(data[i].as_py())
         if blobs:
             yield from bucket_rows(blobs)
+        blobs = []
+        settle()
 
     return run
 
@@ -406,7 +459,7 @@ def repeated_spans(df: DataFrame, length: int = 100, key: str = "doc_id", text:
     buckets = max(1, -(-total // bucket_bytes))
     parts = int(min(max(buckets, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))), MAX_PARTITIONS))
     buckets = max(buckets, parts)
-    shipped = docs.mapInArrow(_map(length, buckets), OUT).repartition(parts, "bucket").sortWithinPartitions("bucket")
+    shipped = docs.mapInArrow(_map(length, buckets, common_strings(docs)), OUT).repartition(parts, "bucket").sortWithinPartitions("bucket")
     return shipped.mapInArrow(_reduce(length, buckets), OUT).select("doc", "begin", "end")
 
 
