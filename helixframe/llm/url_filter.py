@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from helixframe.operators.components import connected_components
 from helixframe.session import materialize
 
+#: Parts that a host's rows are dealt over.
+SALTS = 16
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -50,8 +52,8 @@ def match_rules(urls: DataFrame, rules: DataFrame, host: str = "host", path: str
 
     The rules are joined to the distinct hosts, each exploded into as many
     domain suffixes as the longest rule has labels, so a hot host is looked up
-    once; the result goes back to the rows by host (an outer join that Spark
-    can split by size).
+    once; the result goes back to the rows by host and salt, so a hot host's
+    rows are dealt over several tasks.
     """
     labels = rules.agg(F.max(F.size(F.split("rule_host", r"\."))).alias("n")).first()["n"] or 0
     ends = F.array_distinct(F.array(*(F.substring_index("_h", ".", -i) for i in range(1, max(labels, 1) + 1))))
@@ -62,10 +64,12 @@ def match_rules(urls: DataFrame, rules: DataFrame, host: str = "host", path: str
         .groupBy("_h")
         .agg(F.collect_set(F.struct(F.length(rule).alias("n"), (F.col("verdict") == "allow").alias("allow"), rule.alias("rule"), "verdict", "rule_path")).alias("_rules"))
     )
-    joined = urls.join(per_host, F.col(host) == F.col("_h"), "left")
+    per_host = per_host.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salt = F.pmod(F.xxhash64(path, *[c for c in urls.columns if c not in (host, path)]), F.lit(SALTS)).cast("int")
+    joined = urls.withColumn("_u", salt).join(per_host, (F.col(host) == F.col("_h")) & (F.col("_u") == F.col("_s")), "left")
     best = F.array_max(F.filter("_rules", lambda r: F.startswith(F.col(path), r["rule_path"])))
     return joined.withColumn("_best", best).select(
-        *(urls[c] for c in urls.columns), F.col("_best.rule").alias("rule"), F.col("_best.verdict").alias("rule_verdict")
+        *urls.columns, F.col("_best.rule").alias("rule"), F.col("_best.verdict").alias("rule_verdict")
     )
 
 
