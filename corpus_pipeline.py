@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from helixframe.llm import decontamination, language_id, near_dedup, packing, suffix_dedup
 from helixframe.llm.queries import tokenizer_path
-from helixframe.llm.textbytes import small_batches
+from helixframe.llm.textbytes import expanded, small_batches, squeezed
 from helixframe.session import read_table, shared_dir
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
@@ -37,7 +37,8 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """Keeps the document with the smallest id of every group."""
     small_batches(spark)
     gone = near_dedup.near_duplicates(docs).where("not kept").select("doc_id")
-    return docs.join(gone, "doc_id", "left_anti").select(COLUMNS)
+    kept = squeezed(docs.select(COLUMNS), "text").join(gone, "doc_id", "left_anti")
+    return expanded(kept, "text").select(COLUMNS)
 
 
 def cut_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

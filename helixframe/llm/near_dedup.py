@@ -329,7 +329,8 @@ def near_duplicates(df: DataFrame, percent: int = 80, key: str = "doc_id", text:
     own = members.select(F.col("id").alias("b"), F.col("sketch").alias("sb"))
     other = members.select(F.col("id").alias("a"), F.col("sketch").alias("sa"))
     stars = materialize(star.join(own, "b").join(other, "a").where(_agreement("sa", "sb") >= least).select("a", "b"), "nd-star")
-    texts = materialize(docs.join(members.select("id"), "id", "left_semi").dropDuplicates(["id"]).mapInArrow(_squeeze, "id long, body binary"), "nd-texts")
+    texts = docs.mapInArrow(_squeeze, "id long, body binary").join(members.select("id"), "id", "left_semi")
+    texts = materialize(texts.dropDuplicates(["id"]), "nd-texts")
     links = _confirm(stars, texts, percent)
     groups = materialize(connected_components(links, "a", "b"), "nd-groups").withColumnRenamed("node", "id")
 

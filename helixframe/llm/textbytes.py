@@ -77,3 +77,43 @@ def small_batches(spark) -> None:
     """Sets the session's Arrow batches to the size the text operators are made for."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
+def _codec():
+    import pyarrow as pa
+
+    return pa.Codec("zstd", compression_level=3)
+
+
+def squeezed(df, text: str):
+    """``df`` with one text column compressed, for joins that move whole rows; null stays null."""
+    import pyarrow as pa
+
+    names = df.columns
+    at = names.index(text)
+
+    def run(batches):
+        codec = _codec()
+        for batch in batches:
+            raw = batch.column(at).cast(pa.binary()).to_pylist()
+            small = [t if t is None else np.int64(len(t)).tobytes() + codec.compress(t, asbytes=True) for t in raw]
+            yield pa.RecordBatch.from_arrays([pa.array(small, pa.binary()) if i == at else c for i, c in enumerate(batch.columns)], names)
+
+    return df.mapInArrow(run, ", ".join(f"`{c}` {'binary' if c == text else t}" for c, t in df.dtypes))
+
+
+def expanded(df, text: str):
+    """Undoes ``squeezed``."""
+    import pyarrow as pa
+
+    names = df.columns
+    at = names.index(text)
+
+    def run(batches):
+        codec = _codec()
+        for batch in batches:
+            small = batch.column(at).to_pylist()
+            raw = [t if t is None else codec.decompress(t[8:], int(np.frombuffer(t, np.int64, 1)[0]), asbytes=True).decode() for t in small]
+            yield pa.RecordBatch.from_arrays([pa.array(raw, pa.string()) if i == at else c for i, c in enumerate(batch.columns)], names)
+
+    return df.mapInArrow(run, ", ".join(f"`{c}` {'string' if c == text else t}" for c, t in df.dtypes))
