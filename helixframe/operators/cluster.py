@@ -30,17 +30,21 @@ def route_sequences(seqs: DataFrame, heavy: DataFrame, light: DataFrame, kind: s
     return joined.withColumn("route", route).select(*seqs.columns, "route")
 
 
+def _kmers(seqs: DataFrame, key: str, sequence: str, k: int) -> DataFrame:
+    """``id, w``: the distinct k-mers of every sequence."""
+    text = F.col(sequence)
+    words = F.transform(F.sequence(F.lit(1), F.length(text) - (k - 1)), lambda i: F.substr(text, i, F.lit(k)))
+    return seqs.where(F.length(text) >= k).select(F.col(key).alias("id"), F.explode(F.array_distinct(words)).alias("w"))
+
+
 def shared_kmers(seqs: DataFrame, key: str, sequence: str, k: int = 6, hot: int | None = None) -> DataFrame:
     """``id1, id2, n``: pairs (id1 < id2) that share ``n`` distinct k-mers.
 
-    K-mers in more than ``hot`` sequences don't pair up sequence to sequence:
-    their sequences pair with the smallest of them only, so a common word costs
-    as many rows as it has sequences and its group stays connected through it.
+    K-mers in more than ``hot`` sequences are dealt over blocks of about that
+    many sequences and every two blocks meet, so no pair is left out and no
+    task holds a whole common word.
     """
-    text = F.col(sequence)
-    words = F.transform(F.sequence(F.lit(1), F.length(text) - (k - 1)), lambda i: F.substr(text, i, F.lit(k)))
-    rows = seqs.where(F.length(text) >= k).select(F.col(key).alias("id"), F.explode(F.array_distinct(words)).alias("w"))
-    return _pairs_by_word(rows, hot)
+    return _pairs_by_word(_kmers(seqs, key, sequence, k), hot)
 
 
 def shared_shingles(docs: DataFrame, key: str, text: str, size: int = 8, hot: int | None = None) -> DataFrame:
@@ -51,16 +55,46 @@ def shared_shingles(docs: DataFrame, key: str, text: str, size: int = 8, hot: in
 
 
 def _pairs_by_word(rows: DataFrame, hot: int | None) -> DataFrame:
-    counts = rows.groupBy("w").agg(F.count(F.lit(1)).alias("_n"), F.min("id").alias("_low")).where("_n > 1")
-    marked = rows.join(counts, "w")
-    some = marked if hot is None else marked.where(F.col("_n") <= hot)
-    a, b = some.select("w", F.col("id").alias("id1")), some.select("w", F.col("id").alias("id2"))
-    pairs = a.join(b, "w").where("id1 < id2").select("id1", "id2")
-    if hot is not None:
-        pairs = pairs.unionByName(marked.where((F.col("_n") > hot) & (F.col("id") != F.col("_low"))).select(F.col("_low").alias("id1"), F.col("id").alias("id2")))
+    counts = rows.groupBy("w").agg(F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    pairs = _meet(rows.join(counts, "w"), [], hot).select(F.least("id1", "id2").alias("id1"), F.greatest("id1", "id2").alias("id2"))
     return pairs.groupBy("id1", "id2").agg(F.count(F.lit(1)).alias("n"))
 
 
+def _meet(rows: DataFrame, columns: list[str], hot: int | None) -> DataFrame:
+    """Every two rows ``id, w, _n`` of one word once: ``w, id1, id2`` and the columns with 1 and 2 at their end.
+
+    A word of ``_n`` rows has ``_n / hot`` blocks; a row goes to every pair of blocks that its own is in.
+    The rows are few bytes but their pairs many, so the join is not broadcast.
+    """
+    blocks = F.lit(1) if hot is None else F.ceil(F.col("_n") / hot).cast("int")
+    dealt = rows.select("w", "id", *columns, blocks.alias("_b")).withColumn("_own", F.pmod(F.xxhash64("id"), F.col("_b")).cast("int"))
+    side = lambda k: [F.col(c).alias(f"{c}{k}") for c in ["id", *columns]]
+    first = dealt.select("w", F.col("_own").alias("_i"), F.explode(F.sequence("_own", F.col("_b") - 1)).alias("_j"), *side(1))
+    second = dealt.select("w", F.explode(F.sequence(F.lit(0), "_own")).alias("_i"), F.col("_own").alias("_j"), *side(2))
+    return first.join(second.hint("merge"), ["w", "_i", "_j"]).where("_i < _j or id1 < id2").drop("_i", "_j")
+
+
+def candidate_pairs(seqs: DataFrame, key: str, sequence: str, cover: float, k: int, least_shared: int, hot: int | None) -> DataFrame:
+    """``id1, id2, _a, _b``: all pairs (id1 < id2) that share ``least_shared`` k-mers and whose lengths allow the coverage.
+
+    A sequence's k-mers are ordered from rare to common. Two sequences with
+    ``least_shared`` common k-mers have the first of these among all but the
+    last ``least_shared - 1`` of both lists, so only those are joined, and the
+    pair is taken where that first one meets.
+    """
+    words = _kmers(seqs, key, sequence, k)
+    ranked = words.join(words.groupBy("w").agg(F.count(F.lit(1)).alias("_n")), "w")
+    lists = ranked.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("_n", "w"))).alias("ws")).where(F.size("ws") >= least_shared)
+    lists = lists.join(seqs.select(F.col(key).alias("id"), F.col(sequence).alias("s")), "id")
+    head = F.filter(F.slice("ws", F.lit(1), F.size("ws") - (max(least_shared, 1) - 1)), lambda x: x["_n"] > 1)
+    rows = materialize(lists.select("id", "s", F.col("ws.w").alias("ws"), F.explode(head).alias("h")).select("id", "s", "ws", "h._n", "h.w"), "kmers")
+    met = _meet(rows, ["s", "ws"], hot).where(F.least(F.length("s1"), F.length("s2")) >= cover * F.greatest(F.length("s1"), F.length("s2")))
+    common = F.array_intersect("ws1", "ws2")
+    met = met.where((F.size(common) >= least_shared) & (F.element_at(common, 1) == F.col("w")))
+    low = F.col("id1") < F.col("id2")
+    return met.select(F.least("id1", "id2").alias("id1"), F.greatest("id1", "id2").alias("id2"), F.when(low, F.col("s1")).otherwise(F.col("s2")).alias("_a"), F.when(low, F.col("s2")).otherwise(F.col("s1")).alias("_b"))
+
+
 def align(a: str, b: str, match: int = 2, mismatch: int = -1, open_: int = -5, extend: int = -1) -> tuple[str, str]:
     """Global affine-gap alignment of two strings; ties prefer a match, then a gap in ``b``."""
     n, m = len(a), len(b)
@@ -120,19 +154,85 @@ def align_pairs(pairs: DataFrame, a: str, b: str, keys: list[str]) -> DataFrame:
     return pairs.select(*keys, a, b).mapInPandas(run, schema)
 
 
+def align_counts(xs, ys, match: int = 2, mismatch: int = -1, open_: int = -5, extend: int = -1, batch: int = 4096) -> tuple[np.ndarray, np.ndarray]:
+    """Matches and columns without a gap of ``align(x, y)`` for many pairs at once.
+
+    The counts follow the scores with the choices that ``align`` takes on its way back.
+    """
+    xs, ys = ([np.frombuffer((s or "").encode("utf-32-le"), np.int32) for s in side] for side in (xs, ys))
+    la, lb = (np.array([len(s) for s in side], np.int64) for side in (xs, ys))
+    out = np.zeros(len(xs), np.int64)  # matches in the upper half, columns in the lower
+    order = np.lexsort((lb, la))
+    for at in range(0, len(order), batch):
+        part = order[at : at + batch]
+        n, m = int(la[part].max()), int(lb[part].max())
+        if len(part) * 8 < m:  # a few long pairs: whole rows at once
+            for p in part:
+                a, b = (v[p].tobytes().decode("utf-32-le").replace("-", "\uffff") for v in (xs, ys))  # a "-" of the text is no gap
+                a, b = align(a, b, match, mismatch, open_, extend)
+                out[p] = (sum(u == v for u, v in zip(a, b)) << 32) + sum(u != "-" and v != "-" for u, v in zip(a, b))
+            continue
+        x, y = np.full((n, len(part)), -1, np.int32), np.full((m, len(part)), -2, np.int32)
+        for c, p in enumerate(part):
+            x[: la[p], c], y[: lb[p], c] = xs[p], ys[p]
+        best = np.empty((m + 1, len(part)), np.int32)
+        best[0] = 0
+        best[1:] = (open_ + extend * np.arange(m))[:, None]
+        down, count = np.full_like(best, -(10**9)), np.zeros(best.shape, np.int64)
+        dcount = count.copy()
+        for i in range(1, n + 1):
+            opened, longer = best + open_, down + extend
+            dcount = np.where(opened >= longer, count, dcount)
+            down = np.maximum(opened, longer)
+            same = y == x[i - 1]
+            diag = best[:-1] + np.where(same, match, mismatch).astype(np.int32)
+            top = np.maximum(diag, down[1:])
+            tcount = np.where(diag >= down[1:], count[:-1] + 1 + (same.astype(np.int64) << 32), dcount[1:])
+            best, count = np.empty_like(best), np.empty_like(count)
+            best[0], count[0] = down[0], 0
+            right, rcount = np.full(len(part), -(10**9), np.int32), np.zeros(len(part), np.int64)
+            for j in range(1, m + 1):
+                opened, longer = best[j - 1] + open_, right + extend
+                rcount = np.where(opened >= longer, count[j - 1], rcount)
+                right = np.maximum(opened, longer)
+                count[j] = np.where(top[j - 1] >= right, tcount[j - 1], rcount)
+                best[j] = np.maximum(top[j - 1], right)
+            ends = np.flatnonzero(la[part] == i)
+            out[part[ends]] = count[lb[part[ends]], ends]
+    return out >> 32, out & 0xFFFFFFFF
+
+
 def similar_pairs(seqs: DataFrame, key: str, sequence: str, identity: float, cover: float, k: int = 6, least_shared: int = 1, hot: int | None = 1000) -> DataFrame:
     """``id1, id2, identity``: aligned pairs of enough identity that cover both sequences.
 
-    Candidates share k-mers; lengths that can't reach the coverage are pruned
-    before any alignment. Sequences travel to the pairs once per side.
+    Candidates are all pairs with ``least_shared`` common k-mers; lengths that
+    can't reach the coverage are pruned before any alignment. ``hot`` is the
+    block size of common k-mers and changes no result. Equal sequences pair up
+    like any others: collapse them first with ``first_copies``.
     """
-    cand = shared_kmers(seqs, key, sequence, k, hot).where(F.col("n") >= least_shared)
-    s1 = seqs.select(F.col(key).alias("id1"), F.col(sequence).alias("_a"))
-    s2 = seqs.select(F.col(key).alias("id2"), F.col(sequence).alias("_b"))
-    pairs = cand.join(s1, "id1").join(s2, "id2").where(F.least(F.length("_a"), F.length("_b")) >= cover * F.greatest(F.length("_a"), F.length("_b")))
-    done = align_pairs(pairs.withColumns({"_la": F.length("_a"), "_lb": F.length("_b")}), "_a", "_b", ["id1", "id2", "_la", "_lb"])
-    covered = (F.col("columns") >= cover * F.col("_la")) & (F.col("columns") >= cover * F.col("_lb"))
-    return done.where(covered & (F.col("matches") >= identity * F.col("columns"))).select("id1", "id2", (F.col("matches") / F.col("columns")).alias("identity"))
+    pairs = candidate_pairs(seqs, key, sequence, cover, k, least_shared, hot)
+    kind = dict(pairs.dtypes)["id1"]
+
+    def run(frames):
+        for pdf in frames:
+            n, columns = align_counts(pdf["_a"], pdf["_b"])
+            longest = np.maximum(pdf["_a"].str.len(), pdf["_b"].str.len())
+            good = (columns >= cover * longest) & (n >= identity * columns)
+            yield pdf[["id1", "id2"]].assign(identity=n / np.maximum(columns, 1))[good]
+
+    return pairs.mapInPandas(run, f"id1 {kind}, id2 {kind}, identity double")
+
+
+def first_copies(seqs: DataFrame, key: str, sequence: str) -> DataFrame:
+    """``key, sequence, first``: ``first`` is the smallest key of an equal sequence; a null is equal to none."""
+    firsts = seqs.where(F.col(sequence).isNotNull()).groupBy(F.col(sequence).alias("_s")).agg(F.min(key).alias("first"))
+    return seqs.select(key, sequence).join(firsts, F.col(sequence) == F.col("_s"), "left").select(key, sequence, F.coalesce("first", key).alias("first"))
+
+
+def with_copies(clusters: DataFrame, copies: DataFrame, key: str, representative: str = "representative") -> DataFrame:
+    """The clusters of first copies for every sequence: a copy goes with its first one."""
+    found = clusters.select(F.col(key).alias("first"), representative)
+    return copies.select(key, "first").join(found, "first").select(key, representative)
 
 
 def cluster_components(seqs: DataFrame, key: str, links: DataFrame, a: str = "id1", b: str = "id2") -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from helixframe.operators import cluster, msa, sequences, templates
 from helixframe.plans.base import Tables, query
+from helixframe.session import materialize
 
 ROW_SQL = """SELECT p_partkey, p_brand, regexp_replace(upper(p_name), '[^A-Z]', '-', 'g') AS a, lower(substr(p_type, 1, 1 + CAST(p_partkey % 3 AS INT))) AS ins FROM part"""
 
@@ -123,16 +124,18 @@ def names(t: Tables):
 
 @query()
 def similar_clusters(t: Tables):
-    seqs = names(t)
-    links = cluster.similar_pairs(seqs, "id", "sequence", 0.8, 0.8, 6, 4, hot=200)
-    return cluster.cluster_components(seqs, "id", links)
+    copies = materialize(cluster.first_copies(names(t), "id", "sequence"), "copies")
+    seqs = copies.where("id = first").select("id", "sequence")
+    links = materialize(cluster.similar_pairs(seqs, "id", "sequence", 0.8, 0.8, 6, 4, hot=200), "links")
+    return cluster.with_copies(cluster.cluster_components(seqs, "id", links), copies, "id")
 
 
 @query()
 def greedy_representatives(t: Tables):
-    seqs = names(t)
-    links = cluster.similar_pairs(seqs, "id", "sequence", 0.9, 0.8, 6, 4, hot=200)
-    return cluster.greedy_clusters(seqs, "id", "sequence", links)
+    copies = materialize(cluster.first_copies(names(t), "id", "sequence"), "copies")
+    seqs = copies.where("id = first").select("id", "sequence")
+    links = materialize(cluster.similar_pairs(seqs, "id", "sequence", 0.9, 0.8, 6, 4, hot=200), "links")
+    return cluster.with_copies(cluster.greedy_clusters(seqs, "id", "sequence", links), copies, "id")
 
 
 @query("""WITH c AS (SELECT l_partkey AS id, min(l_suppkey) AS rep FROM lineitem WHERE l_quantity >= 45 GROUP BY 1)

@@ -189,6 +189,43 @@ def test_greedy_clusters(spark):
     assert rows(cluster.cluster_components(seqs, "id", links)) == [(1, 1), (2, 1), (3, 1), (4, 4)]
 
 
+def test_align_counts():
+    rng = random.Random(12)
+    word = lambda n: "".join(rng.choices("ACG", k=rng.randint(0, n)))
+    for xs, ys in (([word(12) for _ in range(300)], [word(12) for _ in range(300)]), (["ACGT" * 30], [word(200)])):
+        done = [cluster.align(x, y) for x, y in zip(xs, ys)]
+        n, columns = cluster.align_counts(xs, ys)
+        assert n.tolist() == [sum(p == q for p, q in zip(*r)) for r in done]
+        assert columns.tolist() == [sum(p != "-" and q != "-" for p, q in zip(*r)) for r in done]
+    assert [v.tolist() for v in cluster.align_counts(["A-CD"], ["A-CD"])] == [[4], [4]]
+
+
+def test_similar_pairs_with_common_words(spark):
+    rng = random.Random(13)
+    made = {i: rng.choice(["ACDEFGHIK", "LMNPQRSTV"]) + "".join(rng.choices("ACDE", k=rng.randint(2, 6))) for i in range(60)}
+    seqs = spark.createDataFrame(list(made.items()), "id long, s string")
+    words = {i: {s[p : p + 6] for p in range(len(s) - 5)} for i, s in made.items()}
+    counts = {(i, j): len(words[i] & words[j]) for i in made for j in made if i < j and words[i] & words[j]}
+    want = []
+    for (i, j), n in counts.items():
+        x, y = cluster.align(made[i], made[j])
+        same, columns = sum(p == q for p, q in zip(x, y)), sum(p != "-" and q != "-" for p, q in zip(x, y))
+        if n >= 4 and columns >= 0.8 * max(len(made[i]), len(made[j])) and same >= 0.8 * columns:
+            want.append((i, j))
+    assert len(want) > 60
+    for hot in (5, 1000, None):  # words of up to about 30 sequences
+        assert sorted((r.id1, r.id2) for r in cluster.similar_pairs(seqs, "id", "s", 0.8, 0.8, 6, 4, hot).collect()) == sorted(want)
+        assert {(r.id1, r.id2): r.n for r in cluster.shared_kmers(seqs, "id", "s", 6, hot).collect()} == counts
+
+
+def test_copies_go_with_their_first(spark):
+    seqs = spark.createDataFrame([(1, "AAC"), (2, "AAC"), (3, None), (4, None), (5, "C")], "id long, s string")
+    copies = cluster.first_copies(seqs, "id", "s")
+    assert {r.id: r.first for r in copies.collect()} == {1: 1, 2: 1, 3: 3, 4: 4, 5: 5}
+    found = spark.createDataFrame([(1, 5), (3, 3), (4, 4), (5, 5)], "id long, representative long")
+    assert rows(cluster.with_copies(found, copies, "id")) == [(1, 5), (2, 5), (3, 3), (4, 4), (5, 5)]
+
+
 def test_precedence_of_clusterings(spark):
     df = lambda xs: spark.createDataFrame(xs, "id string, rep string")
     got = cluster.merge_clusterings([df([("a", "A1")]), df([("a", "P1"), ("b", "P1")])], "id", "rep")
