@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from itertools import permutations
+import sys
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -209,51 +209,97 @@ def graph_dedup(nodes: DataFrame, edges: DataFrame, rounds: int = 3) -> DataFram
 
 
 def canonical_form(labels: dict, edges: set) -> str:
-    """``(A)(B)…|(i,j)…`` of a small graph, the same for every numbering of its nodes."""
+    """``(A)(B)…|(i,j)…`` of a graph, the same for every numbering of its nodes.
+
+    Colours are refined; where ties are left, each node of the smallest tied
+    group is put first in turn and colours are refined again. The smallest
+    trace of group sizes, then the smallest string, wins. Groups of twins (the
+    same neighbours) need no choice, and a choice that an automorphism found so
+    far maps to an earlier one is left out, which changes no result.
+    """
     near = {n: set() for n in labels}
     for u, v in edges:
         near[u].add(v)
         near[v].add(u)
-    colour = {n: str(labels[n]) for n in labels}
-    for _ in range(len(labels)):
-        sign = {n: (colour[n], tuple(sorted(colour[m] for m in near[n]))) for n in labels}
-        rank = {s: i for i, s in enumerate(sorted(set(sign.values())))}
-        new = {n: f"{rank[sign[n]]:06d}" for n in labels}
-        if len(set(new.values())) == len(set(colour.values())) and _ > 0:
-            break
-        colour = new
-    groups: dict[tuple, list] = {}
-    for n in labels:
-        groups.setdefault((str(labels[n]), colour[n]), []).append(n)
-    ordered = [groups[k] for k in sorted(groups)]
+
+    def refine(colour: dict) -> dict:
+        size = len(set(colour.values()))
+        while True:
+            sign = {n: (colour[n], tuple(sorted(colour[m] for m in near[n]))) for n in colour}
+            rank = {s: i for i, s in enumerate(sorted(set(sign.values())))}
+            colour = {n: rank[sign[n]] for n in colour}
+            if len(rank) == size:
+                return colour
+            size = len(rank)
 
     def text(order: list) -> str:
         at = {n: i for i, n in enumerate(order)}
-        pairs = sorted((min(at[u], at[v]), max(at[u], at[v])) for u, v in edges)
+        pairs = sorted({(min(at[u], at[v]), max(at[u], at[v])) for u, v in edges})
         return "".join(f"({labels[n]})" for n in order) + "|" + "".join(f"({i},{j})" for i, j in pairs)
 
-    best, size = None, 1
-    for g in ordered:
-        for k in range(2, len(g) + 1):
-            size *= k
-    if size > 5040:  # ties beyond this are broken by node name: deterministic, not canonical
-        return text([n for g in ordered for n in sorted(g)])
-
-    def walk(i: int, order: list):
-        nonlocal best
-        if i == len(ordered):
-            t = text(order)
-            best = t if best is None or t < best else best
-            return
-        for p in permutations(ordered[i]):
-            walk(i + 1, order + list(p))
-
-    walk(0, [])
-    return best or "|"
+    def twins(group: list) -> bool:
+        n = group[0]
+        return all(near[m] == near[n] for m in group) or all(near[m] | {m} == near[n] | {n} for m in group)
+
+    leaves: list[tuple[tuple, str, list, list]] = []  # the first leaf and the best: trace, string, order, path
+    same: list[dict] = []  # automorphisms
+
+    def orbit(start: set, path: list) -> set:
+        maps = [g for g in same if all(g[n] == n for n in path)]
+        found, todo = set(start), list(start)
+        while todo:
+            n = todo.pop()
+            for g in maps:
+                if g[n] not in found:
+                    found.add(g[n])
+                    todo.append(g[n])
+        return found
+
+    def walk(colour: dict, path: list, trace: tuple) -> int:
+        """The depth to go on from: less than ``len(path)`` if this branch is equal to an earlier one."""
+        groups: dict[int, list] = {}
+        for n, c in colour.items():
+            groups.setdefault(c, []).append(n)
+        cells = [groups[c] for c in sorted(groups)]
+        trace = (*trace, tuple(len(c) for c in cells))
+        if leaves and trace > leaves[-1][0][: len(trace)]:
+            return len(path)
+        tied = [c for c in cells if len(c) > 1 and not twins(c)]
+        if not tied:
+            order = [n for c in cells for n in c]
+            leaf = (trace, text(order), order, path)
+            for other in leaves:
+                if other[:2] == leaf[:2]:
+                    same.append(dict(zip(order, other[2])))
+                    same.append(dict(zip(other[2], order)))
+                    return next(i for i, (x, y) in enumerate(zip(path, other[3])) if x != y)
+            if not leaves:
+                leaves.append(leaf)
+            elif leaf[:2] < leaves[-1][:2]:
+                leaves[1:] = [leaf]
+            return len(path)
+        done: set = set()
+        for n in min(tied, key=len):
+            if done and n in orbit(done, path):
+                continue
+            done.add(n)
+            back = walk(refine({m: (c, m != n) for m, c in colour.items()}), [*path, n], trace)
+            if back < len(path):
+                return back
+        return len(path)
+
+    rank = {x: i for i, x in enumerate(sorted({str(x) for x in labels.values()}))}
+    limit = sys.getrecursionlimit()
+    sys.setrecursionlimit(max(limit, 2 * len(labels) + 1000))
+    try:
+        walk(refine({n: rank[str(x)] for n, x in labels.items()}), [], ())
+    finally:
+        sys.setrecursionlimit(limit)
+    return leaves[-1][1]
 
 
 def canonical_strings(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """``gid, canonical``: one string per small graph (a branched chain)."""
+    """``gid, canonical``: one string per graph (a branched chain)."""
     ns = nodes.groupBy("gid").agg(F.collect_list(F.struct(F.col("node").cast("string").alias("node"), F.coalesce("label", F.lit("")).alias("label"))).alias("ns"))
     es = edges.groupBy("gid").agg(F.collect_list(F.struct(F.col("u").cast("string").alias("u"), F.col("v").cast("string").alias("v"))).alias("es"))
     whole = ns.join(es, "gid", "left")

@@ -105,7 +105,7 @@ def graph_dedup(t: Tables):
 
 @query()
 def canonical_string(t: Tables):
-    lines = t.lineitem.where("l_quantity >= 48").select("l_orderkey", "l_partkey", "l_suppkey").distinct().join(
+    lines = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey").distinct().join(
         t.part.select(F.col("p_partkey").alias("l_partkey"), "p_type"), "l_partkey")
     nodes = lines.select(F.col("l_orderkey").alias("gid"), F.concat(F.lit("p"), "l_partkey").alias("node"), F.col("p_type").alias("label")).unionByName(
         lines.select(F.col("l_orderkey").alias("gid"), F.concat(F.lit("s"), "l_suppkey").alias("node"), F.lit("SUPPLIER").alias("label"))).distinct()

@@ -272,6 +272,27 @@ def test_canonical_form_ignores_numbering():
         assert graph.canonical_form(labels, edges) == graph.canonical_form({p[i]: labels[i] for i in labels}, {(p[i], p[j]) for i, j in edges})
 
 
+def test_canonical_form_with_many_ties():
+    rng = random.Random(5)
+    ring = lambda at, n: {(at + i, at + (i + 1) % n) for i in range(n)}
+    star = {(0, i) for i in range(1, 9)}
+    arms = {(0, i) for i in range(1, 9)} | {(i, i + 8) for i in range(1, 9)}
+    grid = {(i, 5 + j) for i in range(5) for j in range(5)} - {(i, 5 + i) for i in range(5)}
+    cube = {(i, i ^ b) for i in range(16) for b in (1, 2, 4, 8) if i < i ^ b}
+    graphs = [(9, star), (17, arms), (10, {(i, 5 + j) for i in range(5) for j in range(5)}), (10, grid), (12, ring(0, 12)), (12, ring(0, 6) | ring(6, 6)),
+              (12, ring(0, 3) | ring(3, 9)), (16, cube), (14, set()), (20, {(0, 1)} | {(i % 2, i) for i in range(2, 20)}), (300, {(0, i) for i in range(1, 300)})]
+    forms = []
+    for n, edges in graphs:
+        labels = {i: "S" if i == 0 and n in (9, 17, 300) else "A" for i in range(n)}
+        forms.append(graph.canonical_form(labels, edges))
+        for _ in range(4):
+            p = rng.sample(range(n), n)
+            order = rng.sample(range(n), n)
+            assert graph.canonical_form({f"x{p[i]}": labels[i] for i in order}, {(f"x{p[i]}", f"x{p[j]}") for i, j in edges}) == forms[-1]
+    assert len(set(forms)) == len(forms)
+    assert graph.canonical_form({}, set()) == "|"
+
+
 def test_split_has_no_leak(spark):
     df = spark.createDataFrame([(i, i % 7, i % 3) for i in range(60)], "component int, P long, L long")
     got = {r.component: r.split for r in graph.split_train_valid(df, ["P", "L"], 0.9, 100).collect()}
