@@ -1,14 +1,19 @@
 """License scan by sentence rules.
 
-A text is split into sentences, each is normalised (lower case, every run of
-other characters than letters and digits one space) and mapped to the
-identifier of a known license sentence. The sequence of identifiers is then
+A text is split into pieces at sentence ends, semicolons and line ends, each is
+normalised (lower case, every run of other characters than letters and digits
+one space), and a piece, or a run of pieces that no sentence end or blank line
+parts, is mapped to the identifier of a known license sentence. So hard-wrapped
+notices, with comment marks or without, read as one line does. The sequence of
+identifiers is then
 matched against ordered rules: a rule names a license for a run of
 identifiers and uses that run up, so longer, more specific rules come first.
 """
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -60,27 +65,40 @@ RULES = [
     ("CC-BY-SA-4.0", ["ccbysa_line"]),
 ]
 
-#: Every known sentence has one of these; a text with none of them is not split.
+#: A text is only split if it has one of these or, for each sentence without any of these, its longest word.
 TRIGGERS = ["licen", "permission", "software", "redistribut"]
-assert all(any(t in s for t in TRIGGERS) for _, s in SENTENCES)
+
+
+def normal_form(sentence: str) -> str:
+    return re.sub("[^a-z0-9]+", " ", sentence.lower()).strip()
 
 
 def scan_licenses(df: DataFrame, key: str = "doc_id", text: str = "text",
                   sentences: list[tuple[str, str]] = SENTENCES, rules: list[tuple[str, list[str]]] = RULES) -> DataFrame:
     """Per row: ``key``, ``sentence_ids`` (in text order) and ``licenses`` (in rule order), both arrays.
 
-    A rule counts once a text. Sentences end at ``.!?;`` before a space or tab
-    and at line ends; unknown sentences are skipped. Null, empty and unlicensed
-    texts give empty arrays; repeated rows repeat; other columns are left out.
-    The tables are literals of the plan, for lists of some hundred entries.
+    A rule counts once a text. Pieces end at ``.!?;`` before white space and at
+    line ends; a known sentence may run over semicolons and line ends, but not
+    over ``.!?`` or a line without letters and digits. Unknown sentences are
+    skipped. Null, empty and unlicensed texts give empty arrays; repeated rows
+    repeat; other columns are left out. The tables are literals of the plan,
+    for lists of some hundred entries.
     """
     low = F.translate(F.coalesce(F.col(text), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    table = F.create_map(*(F.lit(x) for i, s in sentences for x in (s, i)))
+    known = {normal_form(s): i for i, s in sentences}
+    table = F.create_map(*(F.lit(x) for s, i in known.items() for x in (s, i)))
+    marks = TRIGGERS + sorted({max(s.split(), key=len) for s in known if not any(t in s for t in TRIGGERS)})
     worth = F.lit(False)
-    for t in TRIGGERS:
+    for t in marks:
         worth = worth | F.contains(F.col("_low"), F.lit(t))
-    normal = F.transform(F.split("_low", r"[.!?;][ \t]+|[\r\n]+"), lambda s: F.trim(F.regexp_replace(s, "[^a-z0-9]+", " ")))
-    ids = F.filter(F.transform(normal, lambda s: F.element_at(table, s)), lambda i: i.isNotNull())
+    # the lower-case text has no capitals: H stands for a sentence end, S for a border that a sentence may run over
+    cut = F.col("_low")
+    for pattern, mark in ((r"[.!?](?=[ \t\r\n])|(?:\r\n?+|\n)(?=[^a-z0-9\r\n]*[\r\n])", "H"), (r";(?=[ \t])|[\r\n]+", "S"), ("[^a-z0-9HS]+", " "), ("[ S]*+H[ HS]*+", "H"), (" ?S[ S]*+", "S")):
+        cut = F.regexp_replace(cut, pattern, mark)
+    # the longest first, so that a sentence wins over its own beginning
+    runs = "|".join(s.replace(" ", "[ S]") for s in sorted(known, key=len, reverse=True))
+    hits = F.regexp_extract_all(F.concat(F.lit("H"), F.trim(cut), F.lit("H")), F.lit(f"(?<=[HS])(?:{runs})(?=[HS])"), F.lit(0))
+    ids = F.transform(hits, lambda s: F.element_at(table, F.replace(s, F.lit("S"), F.lit(" "))))
     out = df.select(F.col(key), low.alias("_low"))
     out = out.select(key, F.when(worth, ids).otherwise(F.array().cast("array<string>")).alias("sentence_ids"))
     # doubled commas let neighbouring runs keep their own borders

@@ -414,6 +414,63 @@ def test_licenses(spark):
     assert licenses.scan_licenses(table(spark, [])).count() == 0
 
 
+MIT = """Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+"""
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+APACHE = """Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License.
+"""
+GPL = """This program is free software; you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation; either version {} of the License, or
+(at your option) any later version.
+
+You should have received a copy of the GNU General Public License
+along with this program; if not, write to the Free Software Foundation.
+"""
+
+
+def test_wrapped_licenses(spark):
+    texts = {"MIT-text": MIT, "MIT": "The MIT License\n\n" + MIT, "BSD-2-Clause": BSD, "Apache-2.0": APACHE,
+             "GPL-2.0-or-later": GPL.format(2), "GPL-3.0-or-later": GPL.format(3).replace("software;", "software:")}
+    looks = [lambda t: t, lambda t: t.replace("\n", "\r\n"), lambda t: "/*\n" + "".join(f" * {x}\n" for x in t.splitlines()) + " */", lambda t: "".join(f"# {x}\n" for x in t.splitlines()),
+             lambda t: "Some words.\n" + t + "\nOther words"]
+    want = {(k, name): name for name in texts for k in range(len(looks))}
+    rows = [(i, looks[k](texts[name])) for i, (k, name) in enumerate(want)]
+    got = {r.doc_id: list(r.licenses) for r in licenses.scan_licenses(table(spark, rows)).collect()}
+    assert got == {i: [name] for i, name in enumerate(want.values())}
+    apart = [(1, "Released under\n\nthe MIT license."), (2, "Released under. The MIT license"), (3, "Not released under\nthe MIT license"), (4, "Released under\nthe MIT license")]
+    got = {r.doc_id: list(r.sentence_ids) for r in licenses.scan_licenses(table(spark, apart)).collect()}
+    assert got == {1: ["mit_title"], 2: ["mit_title"], 3: ["mit_title"], 4: ["mit_line"]}
+    own = licenses.scan_licenses(table(spark, [(1, "All rights\nreserved, forever!")]), sentences=[("own", "All rights reserved, forever")], rules=[("Own", ["own"])])
+    assert [list(r.licenses) for r in own.collect()] == [["Own"]]
+
+
 # URLs
 
 
