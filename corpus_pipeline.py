@@ -26,11 +26,17 @@ WINDOW, COVERAGE = 10, 0.5
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drops documents without any letter and sets ``lang`` where it was null."""
+    """Drops documents without any letter; ``lang`` is the language found.
+
+    Where no row has both a text and a ``lang``, no language is learned: the
+    documents with a letter stay and ``lang`` is as given.
+    """
     small_batches(spark)
     model = language_id.train(docs)
-    found = language_id.identify(docs, model, keep=("text", "lang", "source", "n_chars"))
-    return found.where("lang_pred <> 'und'").withColumn("lang", F.coalesce("lang", "lang_pred")).select(COLUMNS)
+    if not model.languages:
+        return docs.where(F.col("text").rlike(r"\p{L}")).select(COLUMNS)
+    found = language_id.identify(docs, model, keep=("text", "source", "n_chars"))
+    return found.where("lang_pred <> 'und'").withColumn("lang", F.col("lang_pred")).select(COLUMNS)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

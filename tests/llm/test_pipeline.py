@@ -6,6 +6,7 @@ sys.path.insert(0, __file__.rsplit("/tests/", 1)[0])
 
 import corpus_pipeline
 import numpy as np
+from pyspark.sql import functions as F
 
 from helixframe.llm import decontamination, queries
 from helixframe.session import read_table
@@ -60,6 +61,22 @@ def test_stages(spark, tmp_path):
             assert {r.doc_id for r in rows} == set(before) and check_packing(rows, 4096)
 
 
+def test_language_stage_sets_lang(spark):
+    docs = read_table(spark, SMALL, "documents")
+    named = {r.doc_id: r.lang for r in docs.collect()}
+    wrong = docs.where("lang = 'fr'").orderBy("doc_id").limit(3).select((F.col("doc_id") + 100000).alias("doc_id"), "text", F.lit("de").alias("lang"), "source", "n_chars")
+    got = {r.doc_id: r.lang for r in corpus_pipeline.identify_language(spark, docs.unionByName(wrong), SMALL).collect()}
+    assert [got[d] for d in sorted(got) if d >= 100000] == ["fr"] * 3
+    assert sum(got[d] == v for d, v in named.items()) > 0.9 * len(named)
+
+
+def test_language_stage_without_languages(spark):
+    docs = read_table(spark, SMALL, "documents").withColumn("lang", F.lit(None).cast("string"))
+    extra = spark.createDataFrame([(900, "12 34", None, "s", 5), (901, None, None, None, None), (902, "", None, "s", 0)], docs.schema)
+    got = corpus_pipeline.identify_language(spark, docs.unionByName(extra), SMALL).collect()
+    assert {r.doc_id for r in got} == {r.doc_id for r in docs.collect()} and {r.lang for r in got} == {None}
+
+
 def test_run(spark):
     assert corpus_pipeline.run(spark, SMALL).count() > 100
     assert set(queries.ORACLES) <= set(queries.QUERIES)
