@@ -39,9 +39,10 @@ def category_counts(t: Tables):
 EDGES_SQL = """SELECT DISTINCT 'p' || lpad(CAST(l_partkey AS VARCHAR), 9, '0') AS a, 's' || lpad(CAST(l_suppkey AS VARCHAR), 9, '0') AS b FROM lineitem WHERE l_quantity = 50 AND l_discount = 0.1"""
 
 
-def edges(t: Tables):
+def edges(t: Tables, whole: bool = False):
     name = lambda c, k: F.concat(F.lit(k), F.lpad(F.col(c).cast("string"), 9, "0"))
-    return t.lineitem.where("l_quantity = 50 and l_discount = 0.1").select(name("l_partkey", "p").alias("a"), name("l_suppkey", "s").alias("b")).distinct()
+    lines = t.lineitem if whole else t.lineitem.where("l_quantity = 50 and l_discount = 0.1")
+    return lines.select(name("l_partkey", "p").alias("a"), name("l_suppkey", "s").alias("b")).distinct()
 
 
 def closure(edge_sql: str, node: str = "node") -> str:
@@ -67,9 +68,10 @@ FROM (SELECT * FROM lineitem WHERE l_quantity >= 49) x JOIN (SELECT * FROM linei
 JOIN part a ON a.p_partkey = x.l_partkey JOIN part b ON b.p_partkey = y.l_partkey"""
 
 
-def order_graphs(t: Tables, least: int = 49):
+def order_graphs(t: Tables, least: int | None = 49):
     """Orders as graphs: nodes are parts labelled with their brand, every two parts of an order are linked."""
-    lines = t.lineitem.where(F.col("l_quantity") >= least).select("l_orderkey", "l_partkey").distinct().join(
+    lines = t.lineitem.where(F.col("l_quantity") >= least) if least else t.lineitem
+    lines = lines.select("l_orderkey", "l_partkey").distinct().join(
         t.part.select(F.col("p_partkey").alias("l_partkey"), "p_brand"), "l_partkey")
     contacts = lines.select("l_orderkey", F.col("l_partkey").alias("src")).join(lines.select("l_orderkey", F.col("l_partkey").alias("dst")), "l_orderkey").where("src < dst")
     return graph.molecule_graphs(lines, contacts, "l_orderkey", "l_partkey", "p_brand", "src", "dst")
@@ -100,7 +102,7 @@ def graph_tables(t: Tables):
 
 @query()
 def graph_dedup(t: Tables):
-    return graph.graph_dedup(*order_graphs(t, 45))
+    return graph.graph_dedup(*order_graphs(t, None))
 
 
 @query()
@@ -116,10 +118,10 @@ def canonical_string(t: Tables):
 @query()
 def split_components(t: Tables):
     """Components of part and supplier with the supplier's region as category, split for training and validation."""
-    labels, _ = graph.split_by_components(edges(t), "a", "b")
+    labels, _ = graph.split_by_components(edges(t, whole=True), "a", "b")
     kinds = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
         F.concat(F.lit("s"), F.lpad(F.col("s_suppkey").cast("string"), 9, "0")).alias("b"), F.concat(F.lit("r"), "n_regionkey").alias("region"))
-    rows = edges(t).join(labels.withColumnRenamed("node", "a"), "a").join(kinds, "b")
+    rows = edges(t, whole=True).join(labels.withColumnRenamed("node", "a"), "a").join(kinds, "b")
     counts = materialize(rows.groupBy("component").pivot("region", [f"r{i}" for i in range(5)]).count().na.fill(0), "kinds")
     return graph.split_train_valid(counts, [f"r{i}" for i in range(5)])
 
