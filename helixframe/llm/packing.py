@@ -12,9 +12,11 @@ place by their rank among the pieces of their length.
 
 from __future__ import annotations
 
-import re
+import json
+import os
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -27,100 +29,186 @@ from helixframe.session import materialize
 
 CAPACITY = 4096
 END_ID = 1
-#: Words a Python worker remembers; beyond it, those met once are forgotten, and all if that isn't enough.
-CACHE_WORDS = 1_100_000
+#: Pieces of text a Python worker remembers (about 30 bytes each), and the places they are looked up in.
+CACHE_WORDS, SLOTS = 1_000_000, 1 << 21
+_SHIFT = np.uint64(64 - 21)
 #: Rows that one rank window may hold before a length's pieces are split further.
-RANK_ROWS = 100_000
+RANK_ROWS = 20_000
+
+#: Bytes of text that are split into pieces at a time.
+CHUNK = 2 << 20
 
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ\n", b"abcdefghijklmnopqrstuvwxyz ")
-_STOP = re.compile(rb"([a-z])([.,])(?= |$)")
+# byte classes: space, letter, digit, other ASCII sign, and what may belong to either side (apostrophes,
+# other white space and non-ASCII characters, which normalisation may join or the pre-tokenizer may class alike)
+_SPACE, _LETTER, _DIGIT, _SIGN, _STICKY = range(5)
+_CLASS = np.full(256, _STICKY, np.uint8)
+_CLASS[33:127] = _SIGN
+_CLASS[[39]] = _STICKY
+_CLASS[32] = _SPACE
+_CLASS[48:58] = _DIGIT
+_CLASS[97:123] = _LETTER
+_PREV, _NEXT = np.divmod(np.arange(25), 5)
+_INNER = ((_PREV != _NEXT) & (_PREV != _STICKY) & (_NEXT != _STICKY)) | ((_PREV == _DIGIT) & (_NEXT == _DIGIT))
+_BEGINS = (_NEXT != _SPACE) & ((_PREV == _SPACE) | _INNER)
+_ENDS = (_PREV != _SPACE) & ((_NEXT == _SPACE) | _INNER)
+_LOWEST = np.array([0, *((1 << 8 * n) - 1 for n in range(1, 9))], np.uint64)
+_ODD = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
+
+# fixed values: the normaliser and the pre-tokenizer for which texts may be cut into pieces
+NORMALIZER = {"type": "Sequence", "normalizers": [{"type": "NFC"}, {"type": "Replace", "pattern": {"Regex": r"\s+"}, "content": " "}, {"type": "Lowercase"}]}
+PRE_TOKENIZER = {"type": "Sequence", "pretokenizers": [
+    {"type": "Split", "pattern": {"Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}, "behavior": "Removed", "invert": True},
+    {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": True, "use_regex": False}]}
+
+
+def _scrambled(h: np.ndarray) -> np.ndarray:
+    h = (h ^ (h >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    return h ^ (h >> np.uint64(29))
+
+
+def piece_keys(raw: bytes, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A 64-bit hash of the bytes of every piece; ``raw`` has eight spare bytes at its end."""
+    words = np.ndarray(len(raw) - 7, np.dtype("<u8"), raw, strides=(1,))
+    h = size.astype(np.uint64) * _ODD[1]
+    some, at, left = np.arange(len(begin)), begin, size
+    while len(some):
+        h[some] = _scrambled(h[some] * _ODD[1] ^ (words[at] & _LOWEST[np.minimum(left, 8)]) * _ODD[0])
+        more = left > 8
+        some, at, left = some[more], at[more] + 8, left[more] - 8
+    return h
+
+
+def _cuts(text: bytes) -> Iterator[bytes]:
+    """A long text in parts of about ``CHUNK`` bytes that begin at a space; without any space it is one part."""
+    at = 0
+    while len(text) - at > CHUNK:
+        end = text.rfind(b" ", at + 1, at + CHUNK)
+        end = text.find(b" ", at + CHUNK) if end < 0 else end
+        if end < 0:
+            break
+        yield text[at:end]
+        at = end
+    yield text[at:]
 
 
 class WordIds:
-    """Token ids of texts for a tokenizer that never joins across white space.
-
-    A text is split at spaces and line ends only (and before a full stop or
-    comma that ends an ASCII word), and every distinct word is encoded by the
-    tokenizer once; the ids of a text are the ids of its words. This holds for
-    vocabularies whose pre-tokens end at white space and at the border between
-    letters and punctuation, in lower case; others must use ``exact=True``.
+    """Token ids of texts, each distinct piece of text being encoded by the tokenizer once.
+
+    With the normaliser and pre-tokenizer above, a text may be cut at spaces
+    and line ends, where two ASCII classes (letters, digits, signs) meet, and
+    between digits: no pre-token spans such a place and none of the steps looks
+    across it. Other tokenizers encode whole texts (``exact``), and so do
+    texts with one of the added tokens in any case, which are looked for before
+    normalisation. Pieces are known by a 64-bit hash of their bytes in a table
+    of ``SLOTS`` places, of which a newcomer takes its own; beyond
+    ``CACHE_WORDS`` everything is forgotten, so the memory is bounded.
     """
 
-    def __init__(self, path: str, exact: bool = False):
+    def __init__(self, path: str, exact: bool = False, end_id: int = END_ID):
+        # tasks fill the cores already
+        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
-        self.tokenizer, self.exact = Tokenizer.from_file(path), exact
+        self.tokenizer, self.end_id = Tokenizer.from_file(path), end_id
+        with open(path, encoding="utf-8") as f:
+            told = json.load(f)
+        model, added = told["model"], told["added_tokens"]
+        plain = (
+            told["normalizer"] == NORMALIZER and told["pre_tokenizer"] == PRE_TOKENIZER and model["type"] == "BPE"
+            and not model.get("dropout") and not any(t["normalized"] or t["lstrip"] or t["rstrip"] for t in added)
+        )
+        self.exact = exact or not plain
+        self.added = [t["content"].encode().translate(_LOWER) for t in added]
         self._reset()
 
     def _reset(self) -> None:
-        self.known: dict[bytes, int] = {}
-        self.once: set[bytes] = set()
-        self.count, self.flat = 0, np.zeros(1 << 16, np.uint32)
-        self.starts, self.sizes = np.zeros(1 << 15, np.int64), np.zeros(1 << 15, np.int32)
-        self.used = 0
-
-    def _learn(self, words: list[bytes]) -> None:
-        for i in range(0, len(words), 20_000):
-            part = words[i : i + 20_000]
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast([w.decode() for w in part], add_special_tokens=False)]
-            sizes = np.fromiter(map(len, ids), np.int32, len(ids))
-            total = int(sizes.sum())
-            while self.count + total > len(self.flat):
-                self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
-            self.flat[self.count : self.count + total] = np.fromiter((x for y in ids for x in y), np.uint32, total)
-            while self.used + len(part) > len(self.sizes):
-                self.starts, self.sizes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.sizes))
-            self.starts[self.used : self.used + len(part)] = self.count + np.cumsum(sizes) - sizes
-            self.sizes[self.used : self.used + len(part)] = sizes
-            self.known.update(zip(part, range(self.used, self.used + len(part))))
-            self.used += len(part)
-            self.count += total
-
-    def _forget(self) -> None:
-        """Keeps the words met more than once, or none if those are too many already."""
-        kept = [(w, i) for w, i in self.known.items() if w not in self.once]
-        if len(kept) > CACHE_WORDS // 2:
-            self._reset()
-            return
-        at = np.fromiter((i for _, i in kept), np.int64, len(kept))
-        sizes, starts, flat = self.sizes[at], self.starts[at], self.flat
-        ends = np.cumsum(sizes, dtype=np.int64)
-        total = int(ends[-1]) if len(ends) else 0
-        packed = flat[np.repeat(starts - (ends - sizes), sizes) + np.arange(total)]
-        self._reset()
-        self.flat = np.concatenate([packed, self.flat])
-        self.starts, self.sizes = np.concatenate([ends - sizes, self.starts]), np.concatenate([sizes, self.sizes])
-        self.count, self.used = total, len(kept)
-        self.known = {w: i for i, (w, _) in enumerate(kept)}
-
-    def encode(self, texts: list[str]) -> Iterator[np.ndarray]:
-        """The ids of each text, in order."""
-        if self.exact:
-            for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False):
-                yield np.asarray(e.ids, np.uint32)
-            return
-        split = [_STOP.sub(rb"\1 \2", t.encode().translate(_LOWER)).split(b" ") for t in texts]
-        met = set().union(*split)
-        self.once -= met
+        self.keys, self.place = np.zeros(SLOTS, np.uint64), np.zeros(SLOTS, np.int32)
+        self.flat, self.starts, self.sizes = np.zeros(1 << 16, np.uint32), np.zeros(1 << 15, np.int64), np.zeros(1 << 15, np.int32)
+        # entry 0 is the end of a document
+        self.flat[0], self.sizes[0], self.count, self.used = self.end_id, 1, 1, 1
+
+    def _learn(self, keys: np.ndarray, words: list[bytes]) -> np.ndarray:
+        """Encodes new pieces; their entries."""
+        ids: list = [None] * len(words)
+        others, model = [], self.tokenizer.model
+        for i, w in enumerate(words):
+            if w.isalpha():
+                ids[i] = [t.id for t in model.tokenize(w.decode())]
+            else:
+                others.append(i)
+        for a in range(0, len(others), 20_000):
+            part = others[a : a + 20_000]
+            for i, e in zip(part, self.tokenizer.encode_batch_fast([words[i].decode() for i in part], add_special_tokens=False)):
+                ids[i] = e.ids
+        sizes = np.fromiter(map(len, ids), np.int32, len(ids))
+        total, n = int(sizes.sum()), len(ids)
+        while self.count + total > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        while self.used + n > len(self.sizes):
+            self.starts, self.sizes = (np.concatenate([x, np.zeros_like(x)]) for x in (self.starts, self.sizes))
+        self.flat[self.count : self.count + total] = np.fromiter(chain.from_iterable(ids), np.uint32, total)
+        at = np.arange(self.used, self.used + n)
+        self.starts[at], self.sizes[at] = self.count + np.cumsum(sizes) - sizes, sizes
+        slot = (keys >> _SHIFT).astype(np.int64)
+        self.keys[slot], self.place[slot] = keys, at
+        self.used += n
+        self.count += total
+        return at
+
+    def _chunk(self, parts: list[bytes], ended: bool = True) -> list[np.ndarray]:
+        """The ids of each lower-cased part, with the end of a document if ``ended``."""
         if self.used > CACHE_WORDS:
-            self._forget()
-        new = met.difference(self.known)
-        if new:
-            self._learn(list(new))
-            self.once |= new
-        for words in split:
-            at = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-            sizes = self.sizes[at]
-            ends = np.cumsum(sizes)
-            total = int(ends[-1]) if len(ends) else 0
-            yield self.flat[np.repeat(self.starts[at] - (ends - sizes), sizes) + np.arange(total)]
-
-
-def _word_ids(path: str, exact: bool) -> WordIds:
+            self._reset()
+        raw = b" " + b" ".join(parts) + b" " * 9
+        kind = _CLASS[np.frombuffer(raw, np.uint8)]
+        pair = kind[:-1] * np.uint8(5) + kind[1:]
+        begin, end = np.flatnonzero(_BEGINS[pair]) + 1, np.flatnonzero(_ENDS[pair]) + 1
+        key = piece_keys(raw, begin, end - begin)
+        slot = (key >> _SHIFT).astype(np.int64)
+        entry = self.place[slot].astype(np.int64)
+        new = np.flatnonzero((self.keys[slot] != key) | (entry == 0))
+        if len(new):
+            names, first, back = np.unique(key[new], return_index=True, return_inverse=True)
+            at = new[first]
+            entry[new] = self._learn(names, [raw[a:b] for a, b in zip(begin[at].tolist(), end[at].tolist())])[back]
+        last = np.searchsorted(begin, np.cumsum(np.fromiter(map(len, parts), np.int64, len(parts)) + 1))
+        if ended:
+            entry = np.insert(entry, last, 0)
+            last = last + np.arange(1, len(parts) + 1)
+        sizes = self.sizes[entry].astype(np.int64)
+        tops = np.cumsum(sizes)
+        flat = self.flat[np.repeat(self.starts[entry] - (tops - sizes), sizes) + np.arange(int(sizes.sum()))]
+        cuts = np.concatenate([[0], tops])[last]
+        return [flat[a:b] for a, b in zip(np.concatenate([[0], cuts]), cuts)]
+
+    def encode(self, texts: Iterable[bytes]) -> Iterator[np.ndarray]:
+        """The ids of each UTF-8 text and then the end of the document, in order."""
+        group: list[bytes] = []
+        held = 0
+        for text in texts:
+            low = text.translate(_LOWER)
+            whole = self.exact or any(t in low for t in self.added)
+            if whole or held + len(low) > CHUNK:
+                yield from self._chunk(group) if group else ()
+                group, held = [], 0
+            if whole:
+                ids = self.tokenizer.encode(text.decode(), add_special_tokens=False).ids
+                yield np.append(np.asarray(ids, np.uint32), np.uint32(self.end_id))
+            elif len(low) > CHUNK:
+                parts = [self._chunk([part], ended=False)[0] for part in _cuts(low)]
+                yield np.append(np.concatenate(parts), np.uint32(self.end_id))
+            else:
+                group.append(low)
+                held += len(low)
+        yield from self._chunk(group) if group else ()
+
+
+def _word_ids(path: str, exact: bool, end_id: int) -> WordIds:
     known = memory_of("packing")
-    if (path, exact) not in known:
-        known[path, exact] = WordIds(path, exact)
-    return known[path, exact]
+    if (path, exact, end_id) not in known:
+        known[path, exact, end_id] = WordIds(path, exact, end_id)
+    return known[path, exact, end_id]
 
 
 def token_pieces(df: DataFrame, tokenizer: str, key: str = "doc_id", text: str = "text", capacity: int = CAPACITY,
@@ -136,14 +224,14 @@ def token_pieces(df: DataFrame, tokenizer: str, key: str = "doc_id", text: str =
     types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), *[pa.list_(pa.int64())] * keep_ids]
 
     def run(batches):
-        words = _word_ids(tokenizer, exact)
+        words = _word_ids(tokenizer, exact, end_id)
         for big in batches:
             for at in range(0, big.num_rows, 2000):
                 batch = big.slice(at, 2000)
                 rows, owner = [], []
-                texts = [t or "" for t in batch.column(1).to_pylist()]
+                texts = batch.column(1).fill_null("").cast(pa.binary()).to_pylist()
                 for i, ids in enumerate(words.encode(texts)):
-                    ids = np.append(ids, np.uint32(end_id)).astype("<u4")
+                    ids = ids.astype("<u4", copy=False)
                     for piece, begin in enumerate(range(0, len(ids), capacity)):
                         part = ids[begin : begin + capacity]
                         owner.append(i)

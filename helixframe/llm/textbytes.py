@@ -70,7 +70,7 @@ def memory_of(operator: str) -> dict:
 
 
 #: Rows and bytes of the Arrow batches that tasks of the text operators take in.
-BATCH_ROWS, BATCH_BYTES = 4000, 16 << 20
+BATCH_ROWS, BATCH_BYTES = 2000, 8 << 20
 
 
 def small_batches(spark) -> None:

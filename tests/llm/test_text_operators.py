@@ -203,16 +203,44 @@ def test_decontamination_edges(spark):
 # packing
 
 
-def test_token_ids_are_the_tokenizers(spark):
+TRICKY = [
+    "", " \n\n ", "it's!!. a..b don't, x'. 'S <|endoftext|>a <|startoftext|>\tz\x1cq", "ÉÉ İΣ ΑΣ. 12.5, 3. a1.", "naïve.\ncafé, ’s", "é. Å,",
+    "see <|EndOfText|> here <|ENDOFTEXT|>", "<|StartOfText|>x", "a\u0338 =\u0338 <\u0338", "'retore 'llama,'s1", "K ; \u037e", "x" * 5000,
+]
+
+
+def test_token_ids_are_the_tokenizers(spark, monkeypatch):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(queries.tokenizer_path())
-    texts = [r.text for r in read_table(spark, SMALL, "documents").collect()]
-    texts += ["", " \n\n ", "it's!!. a..b don't, x'. 'S <|endoftext|>a <|startoftext|>\tz\x1cq", "ÉÉ İΣ ΑΣ. 12.5, 3. a1.", "naïve.\ncafé, ’s", "é. Å,"]
+    rng = random.Random(3)
+    signs = [*"abcABCzZ09 '.,;-<>|\n\t\0\x1c\x7f", *"éÉßİıΣσς\u0338\u0301\xa0\u2003K\u037e中文١½ⅷ’…«😀\u200d", "'s", "'re", "'LL", "<|endoftext|>", "<|EndOfText|>"]
+    texts = [r.text for r in read_table(spark, SMALL, "documents").collect()] + TRICKY
+    texts += ["".join(rng.choices(signs, k=rng.randint(0, 40))) for _ in range(20_000)]
+    want = [[*e.ids, 1] for e in tok.encode_batch(texts, add_special_tokens=False)]
     words = packing.WordIds(queries.tokenizer_path())
-    for _ in range(2):
-        assert [x.tolist() for x in words.encode(texts)] == [e.ids for e in tok.encode_batch(texts, add_special_tokens=False)]
-        words._forget()
+    assert not words.exact
+    for chunk in (packing.CHUNK, 300):  # short chunks cut texts
+        monkeypatch.setattr(packing, "CHUNK", chunk)
+        assert [x.tolist() for x in words.encode([t.encode() for t in texts])] == want
+    monkeypatch.setattr(packing, "CACHE_WORDS", 500)  # everything is forgotten now and then
+    assert [x.tolist() for x in words.encode([t.encode() for t in texts])] == want
+
+
+def test_other_tokenizers_encode_whole_texts(tmp_path):
+    import json
+
+    from tokenizers import Tokenizer
+
+    with open(queries.tokenizer_path(), encoding="utf-8") as f:
+        told = json.load(f)
+    told["normalizer"] = None
+    path = str(tmp_path / "cased.json")
+    with open(path, "w", encoding="utf-8") as f:
+        json.dump(told, f)
+    words, tok = packing.WordIds(path), Tokenizer.from_file(path)
+    assert words.exact
+    assert [x.tolist() for x in words.encode([t.encode() for t in TRICKY])] == [[*e.ids, 1] for e in tok.encode_batch(TRICKY, add_special_tokens=False)]
 
 
 def check_packing(rows, capacity):
