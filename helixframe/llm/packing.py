@@ -32,8 +32,8 @@ END_ID = 1
 #: Pieces of text a Python worker remembers (about 30 bytes each), and the places they are looked up in.
 CACHE_WORDS, SLOTS = 1_000_000, 1 << 21
 _SHIFT = np.uint64(64 - 21)
-#: Rows that one rank window may hold before a length's pieces are split further.
-RANK_ROWS = 20_000
+#: Rows of one length that are ranked together: at least so many, and at most a share of all rows.
+RANK_ROWS, RANK_SHARE = 2_000, 10_000
 
 #: Bytes of text that are split into pieces at a time.
 CHUNK = 2 << 20
@@ -309,7 +309,7 @@ def pack_pieces(pieces: DataFrame, key: str = "doc_id", capacity: int = CAPACITY
     spark = pieces.sparkSession
     pieces = pieces.drop("sequence_id", "offset")
     histogram = {r["length"]: r["n"] for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
-    parts = max(1, -(-max(histogram.values(), default=1) // RANK_ROWS))
+    parts = max(1, -(-max(histogram.values(), default=1) // max(RANK_ROWS, sum(histogram.values()) // RANK_SHARE)))
     taken: dict[int, int] = {}
     slots = []
     for lengths, times, first in plan_bins(histogram, capacity):

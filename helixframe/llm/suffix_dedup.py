@@ -15,7 +15,10 @@ In each bucket the entries arrive in batches. A batch gets a suffix array (the
 entries sorted by what follows the anchor, and by what precedes it, with
 longest common prefixes). It is merge-scanned against an existing level, in
 which every group of equal windows keeps its earliest owner and marks the
-rest; levels of like size merge, so a bucket holds logarithmically many. The
+rest; levels of like size merge, so a bucket holds logarithmically many. Windows equal
+to the one a short period before them (runs of one letter, of dashes, of a
+repeated line) are found where they stand, by comparing the run with itself,
+and only a run's first period makes entries. The
 same scan runs over every map task's own entries first: what repeats there is
 marked at once and shipped once, so a passage that a third of all documents
 share reaches its bucket once a task, whatever its number of copies; windows
@@ -41,6 +44,8 @@ TASK_BYTES, BATCH = 16 << 20, 20_000
 
 #: Documents whose strings are counted to find the common ones, characters of each, and the share that makes a string common.
 SAMPLE, SAMPLE_CHARS, COMMON_SHARE = 600, 1 << 15, 0.02
+#: Longest period whose repeats are found where they stand.
+MAX_PERIOD = 1024
 
 _SEED = np.random.default_rng(20240229)
 _BYTE = _SEED.integers(1, 1 << 63, 256, np.uint64) * np.uint64(2) + np.uint64(1)
@@ -91,7 +96,7 @@ def common_strings(docs: DataFrame, sample: int = SAMPLE) -> np.ndarray:
     """
     total, grain = docs.count(), 1 << 20
     part = docs.where(F.pmod(F.xxhash64("doc", F.lit("common")), F.lit(grain)) < int(grain * min(1.0, sample / max(total, 1))) + 1)
-    texts = part.select(F.substring("text", 1, SAMPLE_CHARS).alias("t")).where("t is not null").limit(2 * sample).toArrow()["t"].to_pylist()
+    texts = part.where("text is not null").select(F.substring("text", 1, SAMPLE_CHARS).alias("t"), F.xxhash64("doc", "text").alias("h")).orderBy("h").limit(2 * sample).toArrow()["t"].to_pylist()
     found = [np.unique(_hashes(np.frombuffer(t.encode(), np.uint8))) for t in texts if len(t.encode()) >= K]
     if len(found) < 50:
         return np.zeros(0, np.uint64)
@@ -99,10 +104,50 @@ def common_strings(docs: DataFrame, sample: int = SAMPLE) -> np.ndarray:
     return names[count >= max(5, COMMON_SHARE * len(found))]
 
 
+def _edges(at: np.ndarray, valid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First and last window of every run of valid windows of one anchor."""
+    first, last = valid.copy(), valid.copy()
+    first[1:] &= (at[1:] != at[:-1]) | ~valid[:-1]
+    last[:-1] &= (at[1:] != at[:-1]) | ~valid[1:]
+    return np.flatnonzero(first), np.flatnonzero(last)
+
+
+def periodic(buf: np.ndarray, starts: np.ndarray, h: np.ndarray, j: np.ndarray, p0: np.ndarray, p1: np.ndarray, length: int) -> np.ndarray:
+    """Windows that are equal to the one a period before them in their segment.
+
+    In a run of period ``d`` anchors of one hash follow each other at that
+    distance; a run of such entries is compared with the bytes ``d`` before it.
+    """
+    out = np.zeros(len(buf), bool)
+    which = np.searchsorted(starts, p0, side="right") - 1
+    order = np.argsort(h, kind="stable")
+    d = np.zeros(len(h), np.int64)
+    close = (h[order[1:]] == h[order[:-1]]) & (which[order[1:]] == which[order[:-1]]) & (j[order[1:]] - j[order[:-1]] <= MAX_PERIOD)
+    d[order[1:][close]] = (j[order[1:]] - j[order[:-1]])[close]
+    go = np.concatenate([[False], (d[1:] == d[:-1]) & (which[1:] == which[:-1])])
+    heads = np.flatnonzero((d > 0) & ~go)
+    tails = np.flatnonzero((d > 0) & ~np.concatenate([go[1:], [False]]))
+    for a, b in zip(heads.tolist(), tails.tolist()):
+        gap = int(d[a])
+        low, high = max(int(p0[a]), int(starts[which[a]]) + gap), int(p1[b]) + 1
+        if low >= high:
+            continue
+        wrong = np.zeros(high - low + length, np.int32)
+        np.cumsum(buf[low : high - 1 + length] != buf[low - gap : high - 1 + length - gap], out=wrong[1:])
+        out[low:high] = wrong[length:] == wrong[:-length]
+    return out
+
+
 def anchors(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int, common: Common) -> tuple[np.ndarray, ...]:
-    """Entries of the segments ``[starts, ends)`` of ``buf``: hash, anchor, first and last window."""
+    """Entries of the segments ``[starts, ends)`` of ``buf``, and windows that repeat at once.
+
+    Hash, anchor, first and last window of every entry; first and last window
+    of every run that repeats what stands a short period before it. Those are
+    in no entry: the run's first period stands for them all.
+    """
+    none = np.zeros(0, np.int64)
     if len(buf) < length:
-        return (np.zeros(0, np.uint64), *(np.zeros(0, np.int64) for _ in range(3)))
+        return np.zeros(0, np.uint64), none, none, none, none, none
     h = _hashes(buf)
     rank = h >> np.uint64(1)
     rank[common.places(h)] |= np.uint64(1 << 63)
@@ -119,13 +164,14 @@ def anchors(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int,
     np.add.at(valid, starts[fits], 1)
     np.add.at(valid, ends[fits] - length + 1, -1)
     valid = np.cumsum(valid[:-1], dtype=np.int8) > 0
-    first = valid.copy()
-    first[1:] &= (at[1:] != at[:-1]) | ~valid[:-1]
-    last = valid.copy()
-    last[:-1] &= (at[1:] != at[:-1]) | ~valid[1:]
-    p0, p1 = np.flatnonzero(first), np.flatnonzero(last)
+    p0, p1 = _edges(at, valid)
+    j = at[p0]
+    again = periodic(buf, starts, h[j], j, p0, p1, length)[: len(valid)] & valid
+    if not again.any():
+        return h[j], j, p0, p1, none, none
+    p0, p1 = _edges(at, valid & ~again)
     j = at[p0]
-    return h[j], j, p0, p1
+    return h[j], j, p0, p1, *_edges(np.searchsorted(starts, np.arange(len(valid)), side="right"), again)
 
 
 class Level:
@@ -313,8 +359,22 @@ def _rows(bucket, doc, begin, end, blob) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip((bucket, doc, begin, end, blob), _TYPES)], _NAMES)
 
 
+def _united(doc: np.ndarray, begin: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Spans of the same document that overlap or touch as one."""
+    if not len(doc):
+        return doc, begin, end
+    names, rank = np.unique(doc, return_inverse=True)
+    base = rank.astype(np.int64) << np.int64(40)
+    order = np.argsort(base + begin, kind="stable")
+    begin, top = (base + begin)[order], np.maximum.accumulate((base + end)[order])
+    first = np.concatenate([[True], begin[1:] > top[:-1]])
+    last = np.concatenate([first[1:], [True]])
+    low = (1 << 40) - 1
+    return names[begin[first] >> 40], begin[first] & low, top[last] & low
+
+
 def _span_rows(spans, buckets: int):
-    doc, begin, end = spans
+    doc, begin, end = _united(*spans)
     for i in range(0, len(doc), 50_000):
         part = slice(i, i + 50_000)
         n = len(doc[part])
@@ -349,8 +409,8 @@ def _ship(gathered: list[tuple[np.ndarray, ...]], length: int, buckets: int):
         level = _gather(doc, at, left, right, body, begin, part, length).scan()
         marked.append(level.spans())
         live[part] = level.owning()
-    for spans in marked:
-        yield from _span_rows(spans, buckets)
+    if marked:
+        yield from _span_rows([np.concatenate(x) for x in zip(*marked)], buckets)
     keep = np.flatnonzero(live)
     bucket = ((h[keep] >> np.uint64(11)) % np.uint64(buckets)).astype(np.int64)
     order = np.argsort(bucket, kind="stable")
@@ -377,7 +437,11 @@ def _map(length: int, buckets: int, hashes: np.ndarray):
         memory_of("suffix_dedup")
         gathered, held = [], 0
         for buf, doc, base, starts, ends in segments(batches, length - 1):
-            h, j, p0, p1 = anchors(buf, starts, ends, length, common)
+            h, j, p0, p1, r0, r1 = anchors(buf, starts, ends, length, common)
+            if len(r0):
+                which = np.searchsorted(starts, r0, side="right") - 1
+                shift = base[which] - starts[which]
+                yield from _span_rows((doc[which], r0 + shift, r1 + length + shift), buckets)
             which = np.searchsorted(starts, p0, side="right") - 1
             shift = base[which] - starts[which]
             left, right = (j - p0).astype(np.uint8), (p1 + length - j).astype(np.uint8)

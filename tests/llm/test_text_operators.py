@@ -94,6 +94,59 @@ def test_repeats_edge_cases(spark):
     assert len(twice) == 2 and twice[0] == twice[1]
 
 
+def test_repeats_of_periodic_texts():
+    """Runs of short periods, whole, broken and over segment borders; then very long ones, whose entries stay few."""
+    import pyarrow as pa
+
+    from helixframe.llm import textbytes
+
+    def removed(docs, size):
+        part = lambda b, o: textbytes.segments(b, o, size)
+        suffix_dedup.segments, kept = part, suffix_dedup.segments
+        try:
+            batch = pa.RecordBatch.from_arrays([pa.array([d for d, _ in docs], pa.int64()), pa.array([t for _, t in docs])], ["doc", "text"])
+            mapped = pa.Table.from_batches(list(suffix_dedup._map(100, 3, np.zeros(0, np.uint64))([batch]))).sort_by("bucket")
+            by = defaultdict(list)
+            for out in suffix_dedup._reduce(100, 3)(mapped.to_batches()):
+                for d, a, b in zip(out["doc"].to_pylist(), out["begin"].to_pylist(), out["end"].to_pylist()):
+                    by[d].append((a, b))
+        finally:
+            suffix_dedup.segments = kept
+        out = {}
+        for d, t in docs:
+            hit = np.zeros(len(t.encode()), bool)
+            for a, b in by[d]:
+                hit[a:b] = True
+            out[d] = hit
+        return out, mapped
+
+    rng = random.Random(8)
+    line = "".join(rng.choices("abcdefgh ", k=90))
+    for trial in range(60):
+        docs = []
+        for d in range(6):
+            unit = rng.choice(["a", "ab", "xyz", line, line[:33], "é", "-" * 40 + "+"])
+            text = unit * rng.randint(1, 30)
+            for _ in range(rng.randint(0, 3)):
+                at = rng.randrange(len(text))
+                text = text[:at] + rng.choice("aq") * rng.randint(0, 3) + text[at:]
+            docs.append((d, text + rng.choice(["", line * 3, "b" * 150])))
+        got, _ = removed(docs, rng.choice([150, 700, 1 << 21]))
+        seen = set()
+        for d, t in docs:
+            raw, want = t.encode(), np.zeros(len(t.encode()), bool)
+            for p in range(len(raw) - 99):
+                want[p : p + 100] |= raw[p : p + 100] in seen
+                seen.add(raw[p : p + 100])
+            assert (got[d] == want).all()
+    for unit in ("a", "ab", line):
+        text = unit * (3_000_000 // len(unit))
+        got, mapped = removed([(1, text)], 1 << 21)
+        # the bytes that only strings of the first period cover
+        assert int((~got[1]).sum()) == len(unit) and not got[1][: len(unit)].any()
+        assert mapped.num_rows < 50
+
+
 # near duplicates
 
 
