@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.session import materialize
+from helixframe.session import materialize, scratch
 
 
 def connected_components(
@@ -17,37 +17,30 @@ def connected_components(
     edge to the smallest neighbour, so the edge table becomes a forest of
     stars in a logarithmic number of rounds. Both steps are ``min`` aggregates
     with map-side combine and equi-joins, so a hub costs rows, not one task's
-    memory. Each round is written to the shared folder to cut the lineage.
+    memory. Each round is written to the shared folder to cut the lineage, and
+    so is the result; the rounds' tables go at the end.
 
     Null endpoints are dropped, self-loops only name their node, repeated and
     reversed edges count once, an empty table gives an empty result.
     """
-    pairs = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).where(
-        F.col("a").isNotNull() & F.col("b").isNotNull()
-    )
-    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    links = materialize(
-        pairs.where("a <> b")
-        .select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
-        .distinct(),
-        "cc-links",
-    )
-    mark = _signature(links)
-    for _ in range(max_rounds):
-        if mark[0] == 0:
-            break
-        links = materialize(_small_star(_large_star(links)), "cc-links")
-        new = _signature(links)
-        if new == mark:
-            break
-        mark = new
-    else:
-        raise RuntimeError(f"components did not settle in {max_rounds} rounds")
-    return (
-        nodes.join(links.withColumnRenamed("a", "node"), "node", "left")
-        .groupBy("node")
-        .agg(F.coalesce(F.min("b"), F.col("node")).alias("component"))
-    )
+    with scratch(edges.sparkSession):
+        pairs = edges.select(F.col(src).alias("a"), F.col(dst).alias("b")).where(F.col("a").isNotNull() & F.col("b").isNotNull())
+        links = materialize(pairs.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "cc-links")
+        nodes = links.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        links = links.where("a <> b")
+        mark = _signature(links)
+        for _ in range(max_rounds):
+            if mark[0] == 0:
+                break
+            links = materialize(_small_star(_large_star(links)), "cc-links")
+            new = _signature(links)
+            if new == mark:
+                break
+            mark = new
+        else:
+            raise RuntimeError(f"components did not settle in {max_rounds} rounds")
+        found = nodes.join(links.withColumnRenamed("a", "node"), "node", "left").groupBy("node").agg(F.coalesce(F.min("b"), F.col("node")).alias("component"))
+        return materialize(found, "components", lasting=True)
 
 
 def _signature(links: DataFrame) -> tuple:

@@ -5,10 +5,16 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 
+#: Folders of the tables materialized so far, a list for each ``scratch`` within another.
+_made: list[list[str]] = [[]]
+
+
 def get_session(app: str = "helixframe", cores: str = "*") -> SparkSession:
     """A local session with the settings the test-suite and bench use."""
     return (
@@ -27,26 +33,50 @@ def get_session(app: str = "helixframe", cores: str = "*") -> SparkSession:
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share: ``spark.checkpoint.dir`` as the cluster names it.
 
-    Only where it is unset (single-machine tests) a temporary folder is made
-    and set, so that ``checkpoint()`` and written tables use the same place.
+    Only where it is unset on a local master a temporary folder is made and
+    set, so that ``checkpoint()`` and written tables use the same place; a
+    cluster must name one.
     """
     sc = spark.sparkContext
     named = spark.conf.get("spark.checkpoint.dir", None)
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return named or current.get()
+    if named is None and not sc.master.startswith("local[") and sc.master != "local":
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     target = named or tempfile.mkdtemp(prefix="helixframe-")
     sc.setCheckpointDir(target)
     return target
 
 
-def materialize(df: DataFrame, name: str = "t") -> DataFrame:
-    """Cut lineage by writing ``df`` as Parquet in the shared folder and rereading it."""
+def materialize(df: DataFrame, name: str = "t", lasting: bool = False) -> DataFrame:
+    """Cut lineage by writing ``df`` as Parquet in the shared folder and rereading it.
+
+    A ``lasting`` table outlives the innermost ``scratch``.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _made[-2 if lasting and len(_made) > 1 else -1].append(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Deletes at its end the tables materialized within; only for work whose results are written by then."""
+    _made.append([])
+    try:
+        yield
+    finally:
+        release(spark, _made.pop())
+
+
+def release(spark: SparkSession, paths: list[str]) -> None:
+    """Deletes materialized tables that nothing reads any more."""
+    for path in paths:
+        place = spark._jvm.org.apache.hadoop.fs.Path(path)
+        place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
