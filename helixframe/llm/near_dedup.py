@@ -28,7 +28,7 @@ from pyspark.sql import functions as F
 
 from helixframe.llm.textbytes import LOWER, memory_of, settle
 from helixframe.operators.components import connected_components
-from helixframe.session import materialize
+from helixframe.session import materialize, scratch
 
 SHINGLE = 5
 TOKENS = 64
@@ -44,7 +44,6 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _STEP = _RNG.integers(1, 1 << 63, SHINGLE, np.uint64) * np.uint64(2) + np.uint64(1)
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
-_powers = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
 
 def _scrambled(h: np.ndarray) -> np.ndarray:
@@ -53,23 +52,35 @@ def _scrambled(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> np.uint64(31))
 
 
-def _power(n: int) -> tuple[np.ndarray, np.ndarray]:
-    while len(_powers[0]) < n:
-        k = len(_powers[0])
-        for i, base in enumerate((_BASE, _INVERSE)):
-            _powers[i] = np.concatenate([_powers[i], _powers[i] * np.uint64(pow(base, k, 1 << 64))])
-    return _powers[0], _powers[1]
+def _powers(base: int, n: int) -> np.ndarray:
+    out = np.full(n, np.uint64(base))
+    out[0] = 1
+    return np.cumprod(out, dtype=np.uint64)
+
+
+#: Bytes that are hashed at a time, and the powers of the base and its inverse up to there.
+BLOCK = 1 << 18
+_FORTH, _BACK = _powers(_BASE, BLOCK), _powers(_INVERSE, BLOCK + 1)
 
 
 def word_hashes(raw: bytes) -> np.ndarray:
-    """A 64-bit hash of every word of lower-cased bytes."""
+    """A 64-bit hash of every word of lower-cased bytes; a word's hash doesn't depend on its place."""
     buf = np.frombuffer(raw, np.uint8)
     inside = np.concatenate([[False], ~_SPACE[buf], [False]])
     edge = np.flatnonzero(inside[1:] != inside[:-1])
     begin, end = edge[::2], edge[1::2]
-    forth, back = _power(len(buf) + 1)
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[buf] * forth[: len(buf)], dtype=np.uint64)])
-    return _scrambled((sums[end] - sums[begin]) * back[begin] + (end - begin).astype(np.uint64))
+    out = np.zeros(len(begin), np.uint64)
+    for base in range(0, len(buf), BLOCK):
+        part = buf[base : base + BLOCK]
+        sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTE[part] * _FORTH[: len(part)], dtype=np.uint64)])
+        a, b = np.searchsorted(end, base, side="right"), np.searchsorted(begin, base + len(part))
+        # a word over a border is the sum of its parts, each shifted to its place in the word
+        left, right = np.maximum(begin[a:b], base), np.minimum(end[a:b], base + len(part))
+        shift = np.array([pow(_BASE, int(x), 1 << 64) for x in left - begin[a:b] if x], np.uint64)
+        value = (sums[right - base] - sums[left - base]) * _BACK[left - base]
+        value[left > begin[a:b]] *= shift
+        out[a:b] += value
+    return _scrambled(out + (end - begin).astype(np.uint64))
 
 
 def shingles(text: str | None, size: int = SHINGLE) -> np.ndarray:
@@ -105,12 +116,18 @@ def _signatures(batches):
     settle()
 
 
-def _child(node: Column, i: int, sketch: str = "sketch") -> Column:
-    """The node's ``i``-th chosen token, and its value, as a child."""
-    token = F.pmod(F.xxhash64(node, F.lit(i)), F.lit(TOKENS)).cast("int")
+def _child(node: Column, token: Column, sketch: str = "sketch") -> Column:
+    """The child of ``node`` by the value of one of its chosen tokens."""
     return F.xxhash64(node, token, F.element_at(sketch, token + 1))
 
 
+#: A branched node's chosen tokens: those of least hash among the ones that its path hasn't used.
+_CHOSEN = (
+    f"slice(array_sort(transform(filter(sequence(0, {TOKENS - 1}), t -> getbit(used, t) = 0), "
+    f"t -> struct(xxhash64(node, t) AS h, t AS t))), 1, {CHOSEN}).t"
+)
+
+
 def _agreement(a: str, b: str) -> Column:
     return F.aggregate(F.zip_with(a, b, lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x)
 
@@ -295,13 +312,25 @@ def near_duplicates(df: DataFrame, percent: int = 80, key: str = "doc_id", text:
     Documents with ``100 * intersection >= percent * union`` are linked;
     ``component_id`` is the smallest key reachable and ``kept`` marks it.
     Empty and null texts are linked with nothing. A link at similarity ``t``
-    is missed by the roots with probability ``(1 - t) ** (trees * CHOSEN)``.
+    is missed by the roots with probability ``(1 - t) ** (trees * CHOSEN)``,
+    each root choosing tokens of its own. In a node that is branched on, a link
+    of two documents that are both far from its leader goes on with probability
+    ``1 - (1 - t) ** CHOSEN`` a level, in each of the roots that it shares.
 
     ``key`` is an integer and unique; rows that repeat a key and its text are
     classed alike, a null key has no component and is kept. Other columns are
     left out; an empty table stays empty.
     """
     docs = df.select(F.col(key).cast("long").alias("id"), F.col(text).alias("text"))
+    with scratch(df.sparkSession):
+        classes = materialize(_classes(docs, percent, trees, small, depth), "near-duplicates", lasting=True)
+    return classes.select(
+        F.col("id").alias(key), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"),
+        F.coalesce(F.col("id") == F.col("component"), F.lit(True)).alias("kept"))
+
+
+def _classes(docs: DataFrame, percent: int, trees: int, small: int, depth: int) -> DataFrame:
+    """``id, n, component`` of every row."""
     signed = materialize(docs.mapInArrow(_signatures, "id long, n long, whole binary, sketch array<int>"), "nd-sketch")
     alive = signed.where("n > 0 and id is not null")
     firsts = alive.groupBy("whole").agg(F.min("id").alias("first"))
@@ -309,11 +338,12 @@ def near_duplicates(df: DataFrame, percent: int = 80, key: str = "doc_id", text:
     sketches = materialize(
         alive.select("id", "sketch").join(classes.where("live and id = first").select("id").distinct(), "id", "left_semi").dropDuplicates(["id"]), "nd-firsts")
 
-    roots = [F.xxhash64(F.lit("tree"), F.lit(t)) for t in range(trees)]
-    children = F.array_distinct(F.array(*(_child(r, i) for r in roots for i in range(CHOSEN))))
-    spread = sketches.select("id", F.explode(children).alias("node"))
+    # no two roots choose the same token, as long as there are enough
+    picks = [int(t) for t in np.resize(np.random.default_rng(5150).permutation(TOKENS), trees * CHOSEN)]
+    children = [F.struct(_child(F.xxhash64(F.lit("tree"), F.lit(k // CHOSEN)), F.lit(t)).alias("node"), F.expr(f"shiftleft(1L, {t})").alias("used")) for k, t in enumerate(picks)]
+    spread = sketches.select("id", F.inline(F.array(*children))).distinct()
     sizes = spread.groupBy("node").agg(F.count(F.lit(1)).alias("size")).where("size > 1")
-    shared = materialize(spread.join(sizes, "node").select("node", "id", "size"), "nd-nodes")
+    shared = materialize(spread.join(sizes, "node").select("node", "used", "id", "size"), "nd-nodes")
     members = materialize(sketches.join(shared.select("id").distinct(), "id", "left_semi"), "nd-members")
     tokens = members.select("id", F.posexplode("sketch").alias("token", "value"))
     common = tokens.groupBy("token", "value").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -345,7 +375,7 @@ def near_duplicates(df: DataFrame, percent: int = 80, key: str = "doc_id", text:
         led = large.groupBy("a", "id").agg(F.min("label").alias("label"), F.max("close").alias("close"))
         some = led.groupBy("a").agg(F.sum(F.col("close").cast("int")).alias("n")).where("n > 1").select("a")
         units.append(_pivot_units(led.join(some, "a"), "a", 4 * small))
-        rows = large.where("not close").select("node", "id", "label")
+        rows = large.where("not close").select("node", "used", "id", "label")
         for level in range(depth + 1):
             mixed = _mixed(rows, "node")
             rows = materialize(rows.join(mixed, "node"), "nd-level")
@@ -356,8 +386,9 @@ def near_duplicates(df: DataFrame, percent: int = 80, key: str = "doc_id", text:
             if level == depth:  # what no token parts
                 units.append(_pivot_units(rows.select("node", "id", "label", F.lit(True).alias("close")), "node", 4 * small))
             else:
-                kids = F.array_distinct(F.array(*(_child(F.col("node"), i) for i in range(CHOSEN))))
-                rows = rows.drop("size").join(members, "id").select(F.explode(kids).alias("node"), "id", "label").distinct()
+                chosen = rows.select("node", "used").distinct().select("node", F.explode(F.expr(_CHOSEN)).alias("t"))
+                rows = rows.join(chosen, "node").join(members, "id").select(
+                    _child(F.col("node"), F.col("t")).alias("node"), F.col("used").bitwiseOR(F.expr("shiftleft(1L, t)")).alias("used"), "id", "label")
     todo = units[0]
     for more in units[1:]:
         todo = todo.unionByName(more)
@@ -371,7 +402,4 @@ def near_duplicates(df: DataFrame, percent: int = 80, key: str = "doc_id", text:
     )
     links = links.unionByName(materialize(crossing, "nd-cross"))
     final = connected_components(links, "a", "b").select(F.col("node").alias("first"), "component")
-    return classes.join(final, "first", "left").select(
-        F.col("id").alias(key), F.col("n").alias("n_shingles"),
-        F.coalesce("component", "first").alias("component_id"),
-        F.coalesce(F.col("id") == F.coalesce("component", "first"), F.lit(True)).alias("kept"))
+    return classes.join(final, "first", "left").select("id", "n", F.coalesce("component", "first").alias("component"))

@@ -382,11 +382,10 @@ def _span_rows(spans, buckets: int):
 
 
 def _ship(gathered: list[tuple[np.ndarray, ...]], length: int, buckets: int):
-    """Scans a task's own repeats, then yields spans and the buckets' blobs."""
-    h, doc, at, left, right = (np.concatenate(x) for x in list(zip(*gathered))[:5])
-    bodies = [g[5] for g in gathered]
+    """Scans a task's own repeats, then yields spans and the buckets' blobs; empties the list."""
+    h, doc, at, left, right, body = (np.concatenate(x) for x in zip(*gathered))
+    gathered.clear()
     size = left.astype(np.int64) + right
-    body = np.concatenate(bodies)
     begin = np.cumsum(size) - size
     order = np.argsort(h, kind="stable")
     same = np.zeros(len(h), bool)
@@ -452,10 +451,9 @@ def _map(length: int, buckets: int, hashes: np.ndarray):
             held += len(buf)
             if held >= TASK_BYTES:
                 yield from _ship(gathered, length, buckets)
-                gathered, held = [], 0
+                held = 0
         if gathered:
             yield from _ship(gathered, length, buckets)
-        gathered = []
         settle()
 
     return run

@@ -7,7 +7,7 @@ from collections.abc import Iterator
 import numpy as np
 
 #: Bytes of one buffer; positions in a buffer must fit 24 bits.
-SEGMENT = 2 << 20
+SEGMENT = 1 << 20
 
 
 def segments(batches, overlap: int, size: int = SEGMENT) -> Iterator[tuple[np.ndarray, ...]]:
