@@ -51,7 +51,7 @@ def test_stages(spark, tmp_path):
             assert {d: r.text for d, r in rows.items()} == brute_cut([(d, r.text) for d, r in before.items()])
         elif name == "decontamination":
             bench = [(str(r.item_id), decontamination.words(r.text)) for r in read_table(spark, SMALL, "benchmark").collect()]
-            automaton = decontamination.build(sorted(bench), 10)
+            automaton = decontamination.Automaton(sorted(bench), 10)
             for d, r in before.items():
                 n = int(automaton.hits(decontamination.words(r.text))[0].sum())
                 assert (d in rows) == (n <= 0.5 * len(decontamination.words(r.text)))

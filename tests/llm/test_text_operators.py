@@ -9,6 +9,7 @@ import numpy as np
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from helixframe.llm import decontamination, language_id, licenses, media, near_dedup, packing, quality, queries, sharding, suffix_dedup, url_filter
 from helixframe.llm.textbytes import LOWER
@@ -230,7 +231,7 @@ def test_automaton_is_brute_force():
         letters, window = ("abc" if trial % 2 else "abcdef"), rng.choice([3, 5, 10])
         items = sorted((str(i), " ".join(rng.choices(letters, k=rng.randint(0, 14)))) for i in range(6))
         text = " ".join(rng.choices(letters, k=60))
-        automaton = decontamination.build([(k, decontamination.words(t)) for k, t in items], window)
+        automaton = decontamination.Automaton([(k, decontamination.words(t)) for k, t in items], window)
         mark, found = automaton.hits(decontamination.words(text))
         names = sorted(automaton.names[k] for k in found)
         want = brute_hits([(0, text)], items, window)[0]
@@ -243,11 +244,23 @@ def test_decontamination_is_exact(spark):
     assert got == brute_hits([tuple(r) for r in docs.select("doc_id", "text").collect()], [(str(r[0]), r[1]) for r in bench.select("item_id", "text").collect()])
 
 
+def test_a_large_benchmark_takes_several_passes(spark, monkeypatch):
+    docs, bench = read_table(spark, SMALL, "documents"), read_table(spark, SMALL, "benchmark")
+    long = [(9001, " ".join(r.text or "" for r in docs.orderBy("doc_id").limit(12).collect()))]
+    bench = bench.select(F.col("item_id").cast("long"), "text").unionByName(spark.createDataFrame(long, "item_id long, text string"))
+    monkeypatch.setattr(decontamination, "PIECE_WORDS", 30)
+    whole = decontamination.scan(docs, bench, clean=True, keep=("lang",)).collect()
+    assert {r[0]: tuple(r[2:7]) for r in whole} == brute_hits([tuple(r) for r in docs.select("doc_id", "text").collect()], [(str(r[0]), r[1]) for r in bench.collect()])
+    monkeypatch.setattr(decontamination, "MAX_ITEM_WORDS", sum(len(decontamination.words(r.text)) for r in bench.collect()) // 3)
+    parts = decontamination.scan(docs, bench, clean=True, keep=("lang",)).collect()
+    assert sorted(map(str, parts)) == sorted(map(str, whole))
+
+
 def test_decontamination_edges(spark):
     items = table(spark, [(1, "One two, three four five six seven eight nine ten eleven"), (2, "short item"), (3, None), (4, ""), (None, "null item words")], "item_id long, text string")
     rows = [(1, "x ONE two three four five six seven eight nine ten y"), (2, "a Short, item!"), (3, None), (4, ""), (5, "null item words"), (1, "x")]
     got = decontamination.scan(clashing(spark, rows), items, clean=True, keep=("lang", "n_words")).collect()
-    assert [(r.n_hit, r.n_items, r.contaminated) for r in got] == [(10, 1, True), (2, 1, True), (0, 0, False), (0, 0, False), (0, 0, False), (0, 0, False)]
+    assert [(r.n_hit, r.n_items, r.contaminated) for r in got] == [(10, 1, True), (2, 1, True), (0, 0, False), (0, 0, False), (3, 0, True), (0, 0, False)]
     assert got[0].clean_text == "x  y" and got[1].clean_text == "a !" and got[2].clean_text is None
     assert decontamination.scan(table(spark, rows), items.limit(0)).where("contaminated").count() == 0
     assert decontamination.scan(table(spark, []), items).count() == 0
