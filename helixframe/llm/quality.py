@@ -16,10 +16,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from helixframe.session import materialize, scratch
+
 HALF, STEP, DIM, FILTERS = 256, 4, 4, 16
-#: Labelled rows that training uses (about), and chunks of each.
-TRAIN_ROWS, TRAIN_CHUNKS = 2_400, 4
-EPOCHS, BATCH, RATE = 14, 32, 0.004
+#: Labelled rows that training uses (about), and the bytes of their texts at most.
+TRAIN_ROWS, TRAIN_BYTES = 2_400, 24 << 20
+EPOCHS, BATCH, RATE = 10, 32, 0.004
 #: Bytes that are scored together.
 BLOCK = 1 << 20
 
@@ -95,9 +97,7 @@ def fit(chunks: np.ndarray, owner: np.ndarray, labels: np.ndarray, seed: int = 5
     for epoch in range(EPOCHS):
         order = rng.permutation(len(labels))
         for b in range(0, len(order), BATCH):
-            docs = [d for d in order[b : b + BATCH] if len(by_doc[d])]
-            if not docs:
-                continue
+            docs = order[b : b + BATCH]
             which = np.concatenate([by_doc[d] for d in docs])
             group = np.repeat(np.arange(len(docs)), [len(by_doc[d]) for d in docs])
             data = np.roll(chunks[which], -int(rng.integers(STEP)), axis=1)
@@ -108,10 +108,9 @@ def fit(chunks: np.ndarray, owner: np.ndarray, labels: np.ndarray, seed: int = 5
             rows, cols = np.arange(len(which))[:, None], np.arange(FILTERS)
             top = z[rows, at, cols] + net.bias
             h = np.maximum(top, 0)
-            n = np.bincount(group)[:, None]
-            mean = np.zeros((len(docs), FILTERS), np.float32)
-            np.add.at(mean, group, h)
-            mean /= n
+            n = np.bincount(group)[:, None].astype(np.float32)
+            # chunks come document by document
+            mean = np.add.reduceat(h, np.concatenate([[0], np.cumsum(n[:-1], dtype=np.int64)]), axis=0) / n
             p = 1 / (1 + np.exp(-(mean @ net.out[:-1] + net.out[-1])))
             error = (p - labels[docs]).astype(np.float32) / len(docs)
             g_out = np.append(error @ mean, error.sum())
@@ -123,7 +122,8 @@ def fit(chunks: np.ndarray, owner: np.ndarray, labels: np.ndarray, seed: int = 5
             for shift, part in ((0, net.filters[:, :FILTERS]), (1, net.filters[:, FILTERS:])):
                 flow = (g_top[:, :, None] * part.T).reshape(len(which), FILTERS, STEP, DIM)
                 bytes_at = data[np.arange(len(which))[:, None, None], (at + shift)[:, :, None] * STEP + np.arange(STEP)]
-                np.add.at(g_embed, bytes_at, flow)
+                for k in range(DIM):
+                    g_embed[:, k] += np.bincount(bytes_at.ravel(), flow[..., k].ravel(), 256)
             step += 1
             for w, g, m, v in zip(weights, (g_embed, g_filters, g_bias, g_out), first, second):
                 m += 0.1 * (g - m)
@@ -132,39 +132,40 @@ def fit(chunks: np.ndarray, owner: np.ndarray, labels: np.ndarray, seed: int = 5
     return net
 
 
-def _pieces(raw: bytes) -> list[bytes]:
-    """Evenly spread training chunks of a text."""
-    width = 2 * HALF
-    spare = max(0, len(raw) - width)
-    n = min(TRAIN_CHUNKS, 1 + spare // HALF)
-    return [raw[(p := spare * i // max(n - 1, 1)) : p + width].ljust(width, b"\0") for i in range(n)]
+def training_chunks(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The overlapping chunks of whole texts, as scoring takes them, and each one's text."""
+    counts = [max(1, -(-len(t) // HALF) - 1) for t in texts]
+    halves = np.frombuffer(b"".join(t.ljust((n + 1) * HALF, b"\0") for t, n in zip(texts, counts)), np.uint8).reshape(-1, HALF)
+    owner = np.repeat(np.arange(len(texts)), counts)
+    first = np.arange(len(owner)) + owner
+    return np.concatenate([halves[first], halves[first + 1]], 1), owner
 
 
 def train(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "label",
-          max_rows: int = TRAIN_ROWS) -> Network:
-    """Learns from about ``max_rows`` of ``labels`` (key, label), a bounded number of chunks of each text.
+          max_rows: int = TRAIN_ROWS, max_bytes: int = TRAIN_BYTES) -> Network:
+    """Learns from the whole texts of a sample of ``labels`` (key, label).
 
-    The sample is drawn by the hash of the key, so it is small enough to be
-    sent to the tasks that read the texts. Null labels and keys are left out; a
+    The sample is drawn by the hash of the key: about ``max_rows`` rows, and of
+    those, in the hash's order, as many as have ``max_bytes`` together, so it is
+    small enough to be sent to one place. Null labels and keys are left out; a
     null text is an empty one. Without rows the network gives one half.
     """
     rows = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("_o"), F.col(label).cast("int").alias("label"))
     total = rows.count()
     grain = 1 << 20
-    sample = rows.where(F.pmod(F.xxhash64("_o", F.lit("quality")), F.lit(grain)) < math.ceil(grain * min(1.0, max_rows / max(total, 1))))
-    picked = docs.join(F.broadcast(sample), F.col(key) == F.col("_o")).select(F.col(text).alias("text"), "label", "_o")
-
-    def cut(batches):
-        for batch in batches:
-            parts = [b"".join(_pieces((t or "").encode())) for t in batch.column(0).to_pylist()]
-            yield pa.RecordBatch.from_arrays([pa.array(parts, pa.binary()), batch.column(1), batch.column(2)], ["chunks", "label", "o"])
-
-    kind = dict(labels.dtypes)[key]
-    got = picked.mapInArrow(cut, f"chunks binary, label int, o {kind}").orderBy("o", "label").toArrow()
-    labels = got["label"].to_numpy().astype(np.float32)
-    parts = [np.frombuffer(c, np.uint8).reshape(-1, 2 * HALF) for c in got["chunks"].to_pylist()]
-    owner = np.repeat(np.arange(len(parts)), [len(p) for p in parts]) if parts else np.zeros(0, int)
-    return fit(np.concatenate(parts) if parts else np.zeros((0, 2 * HALF), np.uint8), owner, labels)
+    order = F.xxhash64("_o", F.lit("quality"))
+    sample = rows.where(F.pmod(order, F.lit(grain)) < math.ceil(grain * min(1.0, max_rows / max(total, 1))))
+    with scratch(docs.sparkSession):
+        picked = docs.join(F.broadcast(sample), F.col(key) == F.col("_o")).select(
+            order.alias("h"), "label", F.coalesce(text, F.lit("")).alias("text"))
+        picked = materialize(picked.withColumn("n", F.octet_length("text").cast("long")), "labelled")
+        sizes = picked.groupBy("h").agg(F.sum("n").alias("n")).orderBy("h").toArrow()
+        whole = int((np.cumsum(sizes["n"].to_numpy()) <= max_bytes).sum())
+        last = sizes["h"][whole - 1].as_py() if whole else None
+        got = picked.where(F.col("h") <= F.lit(last)).orderBy("h", "label", "text").select("label", "text").toArrow()
+    if not got.num_rows:
+        return fit(np.zeros((0, 2 * HALF), np.uint8), np.zeros(0, int), np.zeros(0, np.float32))
+    return fit(*training_chunks([t.encode() for t in got["text"].to_pylist()]), got["label"].to_numpy().astype(np.float32))
 
 
 def score(df: DataFrame, net: Network, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = ()) -> DataFrame:
