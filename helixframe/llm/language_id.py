@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 from collections import Counter
+from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -32,6 +33,8 @@ SCRIPT_SHARE = 0.001
 CACHE_WORDS = 400_000
 #: Bytes of words that are held as objects at a time (by eight a word).
 SLICE_BYTES = 2 << 20
+#: Bytes that the Viterbi pass keeps for the way back, for one text at least.
+PATH_BYTES = 48 << 20
 
 # fixed values: first code points of script ranges (Unicode blocks) and the script's number
 SCRIPT_STARTS = np.array([0x0, 0x370, 0x400, 0x530, 0x590, 0x600, 0x700, 0x900, 0x980, 0xE00, 0xE80, 0x10A0, 0x1100, 0x1200, 0x1E00, 0x1F00, 0x2000, 0x3040, 0x3100, 0x3400, 0xAC00, 0xD800, 0xF900, 0xFB00, 0xFF00, 0x20000, 0x30000])
@@ -101,15 +104,15 @@ def _counts(batches):
 
 
 def train(df: DataFrame, lang: str = "lang", text: str = "text", order: str = "doc_id", max_rows: int = TRAIN_ROWS) -> Model:
-    """Learns from rows with a language and a text; about ``max_rows`` of them, chosen by the hash of ``order``.
+    """Learns from rows with a language and a text; about ``max_rows`` of them, chosen by the hash of ``order`` (where that is null, of the text).
 
     The counts are summed on the cluster; what comes back is at most a fixed
     number of slots per language. Without usable rows no language is learned.
     """
-    rows = df.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.col(order).alias("_o")).where("lang is not null and text is not null")
+    rows = df.select(F.col(lang).alias("lang"), F.col(text).alias("text"), F.coalesce(F.xxhash64(F.col(order)), F.lit(0)).alias("_o"), F.col(order).isNull().alias("_n")).where("lang is not null and text is not null")
     total = rows.count()
     grain = 1 << 20
-    picked = rows.where(F.pmod(F.xxhash64("_o", F.lit("lid")), F.lit(grain)) < math.ceil(grain * min(1.0, max_rows / max(total, 1)))).select("lang", "text")
+    picked = rows.where(F.pmod(F.xxhash64("_o", F.when(F.col("_n"), F.col("text")), F.lit("lid")), F.lit(grain)) < math.ceil(grain * min(1.0, max_rows / max(total, 1)))).select("lang", "text")
     summed = picked.mapInArrow(_counts, "lang string, slot int, n double").groupBy("lang", "slot").agg(F.sum("n").alias("n")).toArrow()
     names, slot, n = summed["lang"].to_pylist(), summed["slot"].to_numpy(), summed["n"].to_numpy()
     languages = sorted(set(names))
@@ -187,15 +190,17 @@ def viterbi(scores: np.ndarray, rows: list[np.ndarray], switch: float = SWITCH)
     starts = np.cumsum(sizes[order]) - sizes[order]
     value = scores[flat[starts[: active[0]]]].copy()
     ends = np.zeros(len(rows), np.uint8)
-    stays, bests = [], []
+    # what the way back needs, in flat arrays: step after step, a row for each text still active
+    at = np.concatenate([[0], np.cumsum(active)])
+    stays, bests = np.empty((int(at[-1]), scores.shape[1]), bool), np.empty(int(at[-1]), np.uint8)
     for t in range(1, steps):
         n = active[t]
         ends[n : active[t - 1]] = value[n : active[t - 1]].argmax(1)
         value = value[:n]
         best = value.argmax(1)
         top = value[np.arange(n), best][:, None] - np.float32(switch)
-        stays.append(value >= top)
-        bests.append(best.astype(np.uint8))
+        stays[at[t] : at[t + 1]] = value >= top
+        bests[at[t] : at[t + 1]] = best
         value = np.maximum(value, top) + scores[flat[starts[:n] + t]]
     ends[: active[-1]] = value.argmax(1)
     out = np.zeros(len(flat), np.uint8)
@@ -205,13 +210,24 @@ def viterbi(scores: np.ndarray, rows: list[np.ndarray], switch: float = SWITCH)
         if t < steps - 1:
             m = active[t + 1]
             k = np.arange(m)
-            state[:m] = np.where(stays[t][k, state[:m]], state[:m], bests[t])
+            state[:m] = np.where(stays[at[t + 1] + k, state[:m]], state[:m], bests[at[t + 1] : at[t + 2]])
         out[starts[:n] + t] = state[:n]
     for place, i in enumerate(order):
         paths[i] = out[starts[place] : starts[place] + sizes[i]]
     return paths
 
 
+def paths(scores: np.ndarray, rows: list[np.ndarray], switch: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Rows with their best paths, as many texts at a time as the memory for the way back allows."""
+    part: list[np.ndarray] = []
+    for row in rows:
+        if part and (sum(map(len, part)) + len(row)) * (scores.shape[1] + 1) > PATH_BYTES:
+            yield from zip(part, viterbi(scores, part, switch))
+            part = []
+        part.append(row)
+    yield from zip(part, viterbi(scores, part, switch))
+
+
 def identify(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text", keep: tuple[str, ...] = (),
              spans: bool = False, switch: float = SWITCH) -> DataFrame:
     """Per row: ``key``, the columns of ``keep``, ``lang_pred`` and ``score``; with ``spans`` also ``lang_spans``.
@@ -233,7 +249,7 @@ def identify(df: DataFrame, model: Model, key: str = "doc_id", text: str = "text
         for batch in batches:
             rows = scorer.rows(batch.column(batch.num_columns - 1))
             preds, scores, found = [], [], []
-            for row, path in zip(rows, viterbi(scorer.scores, rows, switch)):
+            for row, path in paths(scorer.scores, rows, switch):
                 letters = scorer.letters[row]
                 weight = np.bincount(path, letters, len(names)) if len(row) else np.zeros(1)
                 total = weight.sum()

@@ -43,17 +43,82 @@ SENTENCES = [
     ("bsd_grant", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met"),
     ("bsd_source", "redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer"),
     ("bsd_binary", "redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution"),
+    ("bsd_names", "neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("bsd_as_is", "this software is provided by the copyright holders and contributors as is and any express or implied warranties including but not limited to the implied warranties of merchantability and fitness for a particular purpose are disclaimed"),
+    ("bsd_liability", "in no event shall the copyright holder or contributors be liable for any direct indirect incidental special exemplary or consequential damages including but not limited to procurement of substitute goods or services loss of use data or profits or business interruption however caused and on any theory of liability whether in contract strict liability or tort including negligence or otherwise arising in any way out of the use of this software even if advised of the possibility of such damage"),
+    ("mit_as_is", "the software is provided as is without warranty of any kind express or implied including but not limited to the warranties of merchantability fitness for a particular purpose and noninfringement"),
+    ("mit_liability", "in no event shall the authors or copyright holders be liable for any claim damages or other liability whether in an action of contract tort or otherwise arising from out of or in connection with the software or the use or other dealings in the software"),
+    ("isc_grant", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies"),
+    ("bsd0_grant", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted"),
+    ("isc_as_is", "the software is provided as is and the author disclaims all warranties with regard to this software including all implied warranties of merchantability and fitness"),
+    ("mpl2_notice", "this source code form is subject to the terms of the mozilla public license v"),
+    ("mpl2_copy", "if a copy of the mpl was not distributed with this file you can obtain one at http mozilla org mpl 2 0"),
+    ("mpl2_copy_tls", "if a copy of the mpl was not distributed with this file you can obtain one at https mozilla org mpl 2 0"),
+    ("gpl_warranty", "this program is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose"),
+    ("gpl_see", "see the gnu general public license for more details"),
+    ("lgpl21_terms", "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 2 1 of the license or at your option any later version"),
+    ("lgpl3_terms", "this library is free software you can redistribute it and or modify it under the terms of the gnu lesser general public license as published by the free software foundation either version 3 of the license or at your option any later version"),
+    ("lgpl_warranty", "this library is distributed in the hope that it will be useful but without any warranty without even the implied warranty of merchantability or fitness for a particular purpose"),
+    ("lgpl_see", "see the gnu lesser general public license for more details"),
+    ("lgpl_received", "you should have received a copy of the gnu lesser general public license along with this library"),
+    ("agpl_terms", "this program is free software you can redistribute it and or modify it under the terms of the gnu affero general public license as published by the free software foundation either version 3 of the license or at your option any later version"),
+    ("agpl_see", "see the gnu affero general public license for more details"),
+    ("agpl_received", "you should have received a copy of the gnu affero general public license along with this program"),
+    ("epl1_notice", "this program and the accompanying materials are made available under the terms of the eclipse public license v1 0 which accompanies this distribution and is available at http www eclipse org legal epl v10 html"),
+    ("epl2_notice", "this program and the accompanying materials are made available under the terms of the eclipse public license 2 0 which is available at https www eclipse org legal epl 2 0"),
+    ("cc0_dedication", "to the extent possible under law the author s have dedicated all copyright and related and neighboring rights to this software to the public domain worldwide"),
+    ("cc0_warranty", "this software is distributed without any warranty"),
+    ("cc0_received", "you should have received a copy of the cc0 public domain dedication along with this software"),
+    ("unlicense_free", "this is free and unencumbered software released into the public domain"),
+    ("unlicense_anyone", "anyone is free to copy modify publish use compile sell or distribute this software either in source code form or as a compiled binary for any purpose commercial or non commercial and by any means"),
+    ("zlib_as_is", "this software is provided as is without any express or implied warranty"),
+    ("zlib_liability", "in no event will the authors be held liable for any damages arising from the use of this software"),
+    ("zlib_grant", "permission is granted to anyone to use this software for any purpose including commercial applications and to alter it and redistribute it freely subject to the following restrictions"),
+    ("boost_line", "distributed under the boost software license version 1 0"),
 ]
 
+# fixed values: identifiers of the public license list that tags name; those with a line above are left out
+TAGS = [
+    "0BSD", "AGPL-3.0-only", "AGPL-3.0-or-later", "BSD-2-Clause", "BSD-3-Clause", "BSL-1.0", "CC-BY-4.0", "CC-BY-SA-4.0", "CC0-1.0", "EPL-1.0", "EPL-2.0",
+    "GPL-2.0-only", "GPL-2.0-or-later", "GPL-3.0-or-later", "ISC", "LGPL-2.1-only", "LGPL-2.1-or-later", "LGPL-3.0-only", "LGPL-3.0-or-later", "MPL-2.0",
+    "Unlicense", "Zlib",
+]
+SENTENCES += [("spdx_" + re.sub("[^a-z0-9]+", "_", t.lower()), "spdx license identifier " + re.sub("[^a-z0-9]+", " ", t.lower())) for t in TAGS]
+
 # fixed values: ordered rules over the identifiers
 RULES = [
     ("Apache-2.0", ["apache_grant", "apache_use", "apache_copy", "apache_warranty", "apache_see"]),
     ("Apache-2.0-header", ["apache_grant", "apache_use"]),
+    ("MIT", ["mit_title", "mit_grant", "mit_notice", "mit_as_is", "mit_liability"]),
+    ("MIT", ["mit_title_spdx", "mit_grant", "mit_notice", "mit_as_is", "mit_liability"]),
     ("MIT", ["mit_title", "mit_grant", "mit_notice"]),
+    ("MIT", ["mit_title_spdx", "mit_grant", "mit_notice"]),
+    ("MIT-text", ["mit_grant", "mit_notice", "mit_as_is", "mit_liability"]),
     ("MIT-text", ["mit_grant", "mit_notice"]),
+    ("BSD-3-Clause", ["bsd_grant", "bsd_source", "bsd_binary", "bsd_names", "bsd_as_is", "bsd_liability"]),
+    ("BSD-3-Clause", ["bsd_grant", "bsd_source", "bsd_binary", "bsd_names"]),
+    ("BSD-2-Clause", ["bsd_grant", "bsd_source", "bsd_binary", "bsd_as_is", "bsd_liability"]),
     ("BSD-2-Clause", ["bsd_grant", "bsd_source", "bsd_binary"]),
+    ("GPL-3.0-or-later", ["gpl_terms", "gpl_warranty", "gpl_see", "gpl_received"]),
     ("GPL-3.0-or-later", ["gpl_terms", "gpl_received"]),
+    ("GPL-2.0-or-later", ["gpl2_terms", "gpl_warranty", "gpl_see", "gpl_received"]),
     ("GPL-2.0-or-later", ["gpl2_terms", "gpl_received"]),
+    ("LGPL-2.1-or-later", ["lgpl21_terms", "lgpl_warranty", "lgpl_see", "lgpl_received"]),
+    ("LGPL-2.1-or-later", ["lgpl21_terms", "lgpl_received"]),
+    ("LGPL-3.0-or-later", ["lgpl3_terms", "lgpl_warranty", "lgpl_see", "lgpl_received"]),
+    ("LGPL-3.0-or-later", ["lgpl3_terms", "lgpl_received"]),
+    ("AGPL-3.0-or-later", ["agpl_terms", "gpl_warranty", "agpl_see", "agpl_received"]),
+    ("AGPL-3.0-or-later", ["agpl_terms", "agpl_received"]),
+    ("MPL-2.0", ["mpl2_notice", "mpl2_copy"]),
+    ("MPL-2.0", ["mpl2_notice", "mpl2_copy_tls"]),
+    ("ISC", ["isc_grant", "isc_as_is"]),
+    ("0BSD", ["bsd0_grant", "isc_as_is"]),
+    ("EPL-1.0", ["epl1_notice"]),
+    ("EPL-2.0", ["epl2_notice"]),
+    ("CC0-1.0", ["cc0_dedication", "cc0_warranty"]),
+    ("Unlicense", ["unlicense_free", "unlicense_anyone"]),
+    ("Zlib", ["zlib_as_is", "zlib_liability", "zlib_grant"]),
+    ("BSL-1.0", ["boost_line"]),
     ("Apache-2.0-reference", ["apache_line"]),
     ("Apache-2.0-tag", ["spdx_apache"]),
     ("MIT-reference", ["mit_line"]),
@@ -64,6 +129,7 @@ RULES = [
     ("CC-BY-4.0", ["ccby_line"]),
     ("CC-BY-SA-4.0", ["ccbysa_line"]),
 ]
+RULES += [(t + "-tag", ["spdx_" + re.sub("[^a-z0-9]+", "_", t.lower())]) for t in TAGS]
 
 #: A text is only split if it has one of these or, for each sentence without any of these, its longest word.
 TRIGGERS = ["licen", "permission", "software", "redistribut"]
@@ -77,7 +143,7 @@ def scan_licenses(df: DataFrame, key: str = "doc_id", text: str = "text",
                   sentences: list[tuple[str, str]] = SENTENCES, rules: list[tuple[str, list[str]]] = RULES) -> DataFrame:
     """Per row: ``key``, ``sentence_ids`` (in text order) and ``licenses`` (in rule order), both arrays.
 
-    A rule counts once a text. Pieces end at ``.!?;`` before white space and at
+    A rule counts once a text, and so does a license that several rules name. Pieces end at ``.!?;`` before white space and at
     line ends; a known sentence may run over semicolons and line ends, but not
     over ``.!?`` or a line without letters and digits. Unknown sentences are
     skipped. Null, empty and unlicensed texts give empty arrays; repeated rows
@@ -108,5 +174,5 @@ def scan_licenses(df: DataFrame, key: str = "doc_id", text: str = "text",
         run = "," + ",,".join(seq) + ","
         names.append(F.when(F.contains(F.col("_s"), F.lit(run)), F.lit(name)))
         out = out.withColumn(f"_l{len(names)}", names[-1]).withColumn("_s", F.replace("_s", F.lit(run), F.lit(",")))
-    found = F.array_compact(F.array(*(f"_l{k}" for k in range(1, len(names) + 1))))
+    found = F.array_distinct(F.array_compact(F.array(*(f"_l{k}" for k in range(1, len(names) + 1)))))
     return out.select(key, "sentence_ids", found.alias("licenses"))

@@ -196,21 +196,22 @@ def padded(text: str | None) -> tuple[bytes, int]:
 
 
 SCHEMA = (
-    "n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string"
+    "n_bytes long, payload_bytes long, payload_sha256 string, tail_crc32 long, media_bytes long, media_sha256 string, feature string, "
+    "pts array<long>, random_access array<long>"
 )
 
 
 def transport_columns(df: DataFrame, key: str = "doc_id", text: str = "text", keep_media: bool = False) -> DataFrame:
     """Stores every text as a transport stream and describes what is read back.
 
-    One output row per input row: ``key``, the digests of SCHEMA, and with
-    ``keep_media`` also ``media`` (the stream), ``pts`` (every unit's
-    timestamp) and ``random_access`` (numbers of the units that are entry
-    points). Null and empty texts become 64 zero bytes; repeated rows repeat;
+    One output row per input row: ``key``, the columns of SCHEMA, of which
+    ``pts`` holds every unit's timestamp and ``random_access`` the numbers of
+    the units that are entry points, and with ``keep_media`` also ``media``
+    (the stream). Null and empty texts become 64 zero bytes; repeated rows repeat;
     other columns are left out. Rows are independent, so no rows move.
     """
     kind = dict(df.dtypes)[key]
-    schema = f"`{key}` {kind}, {SCHEMA}" + ", media binary, pts array<long>, random_access array<long>" * keep_media
+    schema = f"`{key}` {kind}, {SCHEMA}" + ", media binary" * keep_media
 
     def run(batches):
         for batch in batches:
@@ -223,12 +224,11 @@ def transport_columns(df: DataFrame, key: str = "doc_id", text: str = "text", ke
                     f"packets={back.packets};units={len(back.pts)};entries={len(back.random_access)};"
                     f"pts={back.pts[0]}..{back.pts[-1]};gaps={back.continuity_errors};types={sorted(t for f in back.programs.values() for t in f.values())}"
                 )
-                row = [n, len(back.payload), hashlib.sha256(back.payload).hexdigest(), zlib.crc32(back.payload[-64:]), len(media), hashlib.sha256(media).hexdigest(), feature]
-                rows.append(row + [media, back.pts.tolist(), back.random_access.tolist()] * keep_media)
-            types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string()]
-            names = ["n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"]
-            if keep_media:
-                types, names = types + [pa.binary(), pa.list_(pa.int64()), pa.list_(pa.int64())], names + ["media", "pts", "random_access"]
+                row = [n, len(back.payload), hashlib.sha256(back.payload).hexdigest(), zlib.crc32(back.payload[-64:]), len(media), hashlib.sha256(media).hexdigest(), feature, back.pts.tolist(), back.random_access.tolist()]
+                rows.append(row + [media] * keep_media)
+            types = [pa.int64(), pa.int64(), pa.string(), pa.int64(), pa.int64(), pa.string(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64())]
+            names = ["n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature", "pts", "random_access"]
+            types, names = types + [pa.binary()] * keep_media, names + ["media"] * keep_media
             columns = list(zip(*rows)) if rows else [[]] * len(types)
             yield pa.RecordBatch.from_arrays([keys, *(pa.array(c, t) for c, t in zip(columns, types))], [key, *names])
 

@@ -130,12 +130,16 @@ def _license_sql() -> str:
     from helixframe.llm.licenses import SENTENCES, TRIGGERS
 
     known = ", ".join(f"('{s}', '{i}')" for i, s in SENTENCES)
-    steps, column = "", "s0"
+    steps, column, first = "", "s0", {}
     for k, (name, ids) in enumerate(rules, 1):
         seq = "," + ",,".join(ids) + ","
-        steps += (f", r{k} AS (SELECT *, CASE WHEN strpos({column}, '{seq}') > 0 THEN '{name},' ELSE '' END AS l{k}, "
+        # a license that an earlier rule has found is not named again
+        again = " OR ".join(f"l{j} <> ''" for j in first.get(name, []))
+        new = f"strpos({column}, '{seq}') > 0" + (f" AND NOT ({again})" if again else "")
+        steps += (f", r{k} AS (SELECT *, CASE WHEN {new} THEN '{name},' ELSE '' END AS l{k}, "
                   f"replace({column}, '{seq}', ',') AS s{k} FROM {f'r{k - 1}' if k > 1 else 'ids'})")
         column = f"s{k}"
+        first.setdefault(name, []).append(k)
     triggers = " OR ".join(f"contains(low, '{t}')" for t in TRIGGERS)
     found = " || ".join(f"l{k}" for k in range(1, len(rules) + 1))
     return f"""

@@ -69,20 +69,23 @@ def shard(df: DataFrame, key: str, n_shards: int, vnodes: int = 128, load: float
     """Adds ``shard`` and ``slot`` (gapless from 0 in each shard) to every row.
 
     ``order`` names further columns that break ties of equal keys; rows equal
-    in all of them are interchangeable. Null keys share one ring position.
+    in all of them are interchangeable. Null keys share one ring position, and
+    so do the rows of a repeated key, which are ranked in one task: a key
+    should name few rows.
     Columns named shard or slot are replaced; an empty table stays empty.
     """
     spark = df.sparkSession
-    rows = df.drop("shard", "slot").withColumn("_h", F.xxhash64(F.col(key)))
-    rows = rows.withColumn("_cell", F.shiftrightunsigned("_h", 64 - CELL_BITS).cast("int"))
-    counts = {r["_cell"]: r["n"] for r in rows.groupBy("_cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+    kept = [c for c in df.columns if c not in ("shard", "slot")]
+    # the caller's columns travel in a struct, so no name of theirs can clash
+    rows = df.select(F.xxhash64(F.col(key)).alias("h"), F.struct(*kept).alias("row"))
+    rows = rows.withColumn("cell", F.shiftrightunsigned("h", 64 - CELL_BITS).cast("int"))
+    counts = {r["cell"]: r["n"] for r in rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
     plan = segments(counts, n_shards, vnodes, load)
-    table = spark.createDataFrame(plan, "_c int, _from long, _to long, shard int, _slot long")
-    rank = F.row_number().over(Window.partitionBy("_cell").orderBy("_h", key, *order)) - 1
+    table = spark.createDataFrame(plan, "c int, first long, end long, shard int, base long")
+    rank = F.row_number().over(Window.partitionBy("cell").orderBy("h", *(F.col("row")[c] for c in (key, *order)))) - 1
     # at most one segment more than cells and shards together: a bounded table
     return (
-        rows.withColumn("_rank", rank)
-        .join(F.broadcast(table), (F.col("_cell") == F.col("_c")) & (F.col("_rank") >= F.col("_from")) & (F.col("_rank") < F.col("_to")))
-        .withColumn("slot", F.col("_slot") + F.col("_rank") - F.col("_from"))
-        .drop("_h", "_cell", "_rank", "_c", "_from", "_to", "_slot")
+        rows.withColumn("rank", rank)
+        .join(F.broadcast(table), (F.col("cell") == F.col("c")) & (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("end")))
+        .select("row.*", "shard", (F.col("base") + F.col("rank") - F.col("first")).alias("slot"))
     )

@@ -73,28 +73,44 @@ def match_rules(urls: DataFrame, rules: DataFrame, host: str = "host", path: str
     )
 
 
+def resolve(url: Column, target: Column) -> Column:
+    """A link's target seen from a page's url: absolute, ``//host``, ``/path``, ``?query`` or relative, dot segments resolved."""
+    scheme = F.regexp_extract(url, r"^[^:/?#]*", 0)
+    origin = F.concat(scheme, F.lit("://"), url_host(url))
+    folder = F.regexp_extract(url_path(url), r"^.*/", 0)
+    path, rest = F.regexp_extract(target, r"^[^?#]*", 0), F.regexp_extract(target, r"^[^?#]*(.*)$", 1)
+    full = F.when(F.startswith(path, F.lit("/")), path).otherwise(F.concat(F.when(folder == "", "/").otherwise(folder), path))
+    steps = F.split(full, "/")
+    kept = F.aggregate(
+        steps, F.array().cast("array<string>"),
+        lambda acc, x: F.when(x == "..", F.slice(acc, F.lit(1), F.greatest(F.size(acc) - 1, F.least(F.size(acc), F.lit(1))))).when(x == ".", acc).otherwise(F.concat(acc, F.array(x))))
+    ends = F.when(F.element_at(steps, -1).isin(".", ".."), "/").otherwise("")
+    return (
+        F.when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*://"), target)
+        .when(F.startswith(target, F.lit("//")), F.concat(scheme, F.lit(":"), target))
+        .when(target.rlike(r"^[A-Za-z][A-Za-z0-9+.-]*:") | (target == ""), F.lit(None).cast("string"))
+        .when(path == "", F.concat(origin, url_path(url), rest))
+        .otherwise(F.concat(origin, F.array_join(kept, "/"), ends, rest))
+    )
+
+
 def html_edges(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
-    """``(src, dst)`` nodes from canonical links and meta-refresh redirects.
+    """``(src, dst)`` nodes from all canonical links and meta-refresh redirects.
 
-    Targets are absolute or start with a single ``/``; other relative targets
+    Targets are resolved against the page's url; other schemes (``mailto:``)
     and targets equal to the page itself are left out. Null html or url: none.
     """
     body = F.col(html)
-    tag = lambda word: F.regexp_extract(body, rf"(?i)<(?:link|meta)\b(?=[^>]*{word})[^>]*>", 0)
-    canon = F.regexp_extract(tag(r"\brel\s*=\s*[\"']?canonical\b"), r"(?i)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1)
-    fresh = F.regexp_extract(tag(r"\bhttp-equiv\s*=\s*[\"']?refresh\b"), r"(?i)\burl\s*=\s*[\"']?([^\"'\s>]+)", 1)
+    tags = lambda word: F.regexp_extract_all(body, F.lit(rf"(?i)<(?:link|meta)\b(?=[^>]*{word})[^>]*>"), F.lit(0))
+    target = lambda found, name: F.transform(found, lambda t: F.regexp_extract(t, rf"(?i)\b{name}\s*=\s*[\"']?([^\"'\s>]+)", 1))
+    canon = target(tags(r"\brel\s*=\s*[\"']?canonical\b"), "href")
+    fresh = target(tags(r"\bhttp-equiv\s*=\s*[\"']?refresh\b"), "url")
     lower = F.lower(body)
     return (
         pages.where(F.col(url).isNotNull() & (lower.contains("canonical") | lower.contains("http-equiv")))
-        .select(F.col(url).alias("_u"), F.explode(F.array(canon, fresh)).alias("_t"))
-        .select(
-            url_node(F.col("_u")).alias("src"),
-            url_node(
-                F.when(F.startswith("_t", F.lit("/")) & ~F.startswith("_t", F.lit("//")),
-                       F.concat(F.regexp_extract("_u", r"^[^:/?#]*", 0), F.lit("://"), url_host(F.col("_u")), F.col("_t")))
-                .otherwise(F.col("_t"))
-            ).alias("dst"),
-        )
+        .select(F.col(url).alias("_u"), F.explode(F.array_distinct(F.concat(canon, fresh))).alias("_t"))
+        .where("_t <> ''")
+        .select(url_node(F.col("_u")).alias("src"), url_node(resolve(F.col("_u"), F.col("_t"))).alias("dst"))
         .where("src <> dst")
     )
 

@@ -390,9 +390,39 @@ def test_one_more_shard_moves_little(spark):
     assert sharding.shard(table(spark, []), "doc_id", 3).count() == 0
 
 
+def test_shards_are_a_walk_round_the_ring(spark):
+    """Key by key: each goes to the next virtual node clockwise whose shard has room."""
+    keys = spark.range(700).select((F.col("id") * 7919).alias("_rank"), F.lit("u").alias("_cell"), F.lit(3).alias("_h"), F.lit(9).alias("row"))
+    hashes = sorted((r.h & (1 << 64) - 1, r[0]) for r in keys.select("_rank", F.xxhash64("_rank").alias("h")).collect())
+    for n, load in ((5, 1.0), (6, 1.0), (5, 1.3)):
+        got = sharding.shard(keys, "_rank", n, vnodes=4, load=load)
+        assert got.columns == ["_rank", "_cell", "_h", "row", "shard", "slot"]
+        got = {r[0]: (r.shard, r.slot) for r in got.collect()}
+        room = [700 // n + (s < 700 % n) for s in range(n)] if load == 1.0 else [-int(-load * 700 // n)] * n
+        places, used, want = sharding.ring(n, 4), [0] * n, {}
+        for h, key in hashes:
+            cell = h >> 64 - sharding.CELL_BITS
+            start = next((i for i, (c, _) in enumerate(places) if c >= cell), 0)
+            s = next(s for _, s in places[start:] + places[:start] if used[s] < room[s])
+            want[key] = (s, used[s])
+            used[s] += 1
+        assert got == want
+
+
 # transport streams
 
 
+def test_a_stream_written_by_hand():
+    """Tables as common encoders write them, one unit over two packets, the second one stuffed."""
+    pat = bytes.fromhex("474000100000b00d0001c100000001f0002ab104b2").ljust(188, b"\xff")
+    pmt = bytes.fromhex("475000100002b0120001c10000e100f0001be100f00015bd4d56").ljust(188, b"\xff")
+    one = bytes.fromhex("47410030075000007b0c7e00" + "000001e000b4808005210007d861") + b"A" * 162
+    two = bytes.fromhex("47010031ad00").ljust(178, b"\xff") + b"B" * 10
+    back = media.demux(pat + pmt + one + two)
+    assert back.payload == b"A" * 162 + b"B" * 10 and back.programs == {1: {0x100: 0x1B}}
+    assert back.pts.tolist() == [126000] and back.random_access.tolist() == [0] and back.continuity_errors == 0
+
+
 @settings(max_examples=60, deadline=None)
 @given(st.binary(min_size=1, max_size=9000))
 def test_stream_round_trip(payload):
@@ -549,6 +579,55 @@ along with this program; if not, write to the Free Software Foundation.
 """
 
 
+BSD = """Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice, this
+   list of conditions and the following disclaimer.
+
+2. Redistributions in binary form must reproduce the above copyright notice,
+   this list of conditions and the following disclaimer in the documentation
+   and/or other materials provided with the distribution.
+"""
+NAMES = """
+3. Neither the name of the copyright holder nor the names of its
+   contributors may be used to endorse or promote products derived from
+   this software without specific prior written permission.
+"""
+MPL = """/* This Source Code Form is subject to the terms of the Mozilla Public
+ * License, v. 2.0. If a copy of the MPL was not distributed with this
+ * file, You can obtain one at https://mozilla.org/MPL/2.0/. */
+"""
+ISC = """Permission to use, copy, modify, and/or distribute this software for any
+purpose with or without fee is hereby granted, provided that the above
+copyright notice and this permission notice appear in all copies.
+
+THE SOFTWARE IS PROVIDED "AS IS" AND THE AUTHOR DISCLAIMS ALL WARRANTIES WITH
+REGARD TO THIS SOFTWARE INCLUDING ALL IMPLIED WARRANTIES OF MERCHANTABILITY AND
+FITNESS. IN NO EVENT
+"""
+LGPL = """This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.
+
+This library is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the GNU
+Lesser General Public License for more details.
+
+You should have received a copy of the GNU Lesser General Public
+License along with this library; if not, write to the Free Software
+"""
+
+
+def test_more_licenses(spark):
+    unlicense = "This is free and unencumbered software released into the public domain.\n\nAnyone is free to copy, modify, publish, use, compile, sell, or\ndistribute this software, either in source code form or as a compiled\nbinary, for any purpose, commercial or non-commercial, and by any\nmeans.\n"
+    rows = [(1, BSD), (2, BSD + NAMES), (3, MPL), (4, ISC), (5, LGPL), (6, unlicense), (7, "// SPDX-License-Identifier: MPL-2.0\n" + MPL + MPL), (8, "# SPDX-License-Identifier: BSD-3-Clause\n")]
+    got = {r.doc_id: list(r.licenses) for r in licenses.scan_licenses(table(spark, rows)).collect()}
+    assert got == {1: ["BSD-2-Clause"], 2: ["BSD-3-Clause"], 3: ["MPL-2.0"], 4: ["ISC"], 5: ["LGPL-2.1-or-later"], 6: ["Unlicense"], 7: ["MPL-2.0", "MPL-2.0-tag"], 8: ["BSD-3-Clause-tag"]}
+
+
 def test_wrapped_licenses(spark):
     texts = {"MIT-text": MIT, "MIT": "The MIT License\n\n" + MIT, "BSD-2-Clause": BSD, "Apache-2.0": APACHE,
              "GPL-2.0-or-later": GPL.format(2), "GPL-3.0-or-later": GPL.format(3).replace("software;", "software:")}
@@ -583,6 +662,10 @@ def test_redirects_carry_blocks(spark):
     more = table(spark, [("http://other.com/", "https://spam.net/z")], "src string, dst string")
     again = {r.page_id: r.verdict for r in url_filter.judge_urls(df, rules, more).collect()}
     assert again[4] == "block" and again[11] == "allow"
+    for target, want in (("//bad.net/z", "block"), ("../y/./w?q=1#f", "block"), ("?p=2", "block"), ("mailto:x@y", "allow"), ("z", "allow")):
+        two = [(1, "http://s.com/a/b/c", link("http://nowhere.com/") + link(target)), (2, "http://s.com/a/y/w?q=1", ""), (3, "http://s.com/a/b/c?p=2", "")]
+        bad = table(spark, [("http://s.com/a/y/w?q=1", "http://bad.net/"), ("http://s.com/a/b/c?p=2", "http://bad.net/")], "src string, dst string")
+        assert {r.page_id: r.verdict for r in url_filter.judge_urls(table(spark, two, "page_id long, url string, html string"), rules, bad).collect()}[1] == want
     assert url_filter.judge_urls(df.limit(0), rules).count() == 0
 
 
