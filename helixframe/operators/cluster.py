@@ -241,13 +241,15 @@ def cluster_components(seqs: DataFrame, key: str, links: DataFrame, a: str = "id
     return seqs.select(F.col(key)).distinct().join(found, F.col(key) == F.col("node"), "left").select(key, F.coalesce("component", key).alias("representative"))
 
 
-def greedy_clusters(seqs: DataFrame, key: str, sequence: str, links: DataFrame, max_rounds: int = 100) -> DataFrame:
+def greedy_clusters(seqs: DataFrame, key: str, sequence: str, links: DataFrame) -> DataFrame:
     """``key, representative``: longest-first greedy clustering over linked pairs.
 
     A sequence becomes a representative if no earlier (longer, then smaller
     key) representative is linked to it; the others join the linked
     representative of highest identity. Rounds settle every sequence whose
-    earlier neighbours are settled.
+    earlier neighbours are settled, at least the earliest one left, until none
+    is left: as many rounds as the longest chain of neighbours that depend on
+    each other.
     """
     order = seqs.select(F.col(key).alias("id"), F.length(sequence).alias("n"))
     both = links.select("id1", "id2", "identity").unionByName(links.select(F.col("id2").alias("id1"), F.col("id1").alias("id2"), "identity"))
@@ -256,9 +258,7 @@ def greedy_clusters(seqs: DataFrame, key: str, sequence: str, links: DataFrame,
     early = materialize(before.where("n2 > n1 or (n2 = n1 and id2 < id1)").select(F.col("id1").alias("id"), F.col("id2").alias("head"), "identity"), "early")
     state = materialize(order.select("id").join(early.select("id").distinct(), "id", "left_anti").withColumn("rep", F.lit(True)), "greedy")
     total = order.count()
-    for _ in range(max_rounds):
-        if state.count() == total:
-            break
+    while state.count() < total:
         known = early.join(state.withColumnRenamed("id", "head"), "head", "left")
         ready = known.groupBy("id").agg(F.max(F.coalesce("rep", F.lit(False))).alias("hit"), F.min(F.col("rep").isNotNull()).alias("whole"))
         ready = ready.where("hit or whole").join(state, "id", "left_anti").select("id", (~F.col("hit")).alias("rep"))
@@ -273,9 +273,11 @@ def greedy_clusters(seqs: DataFrame, key: str, sequence: str, links: DataFrame,
 def extract_ranges(numbered: DataFrame, spark_ranges: DataFrame, key: str, number: str, residue: str) -> tuple[DataFrame, DataFrame]:
     """``key, region, sequence`` of the residues whose number is in a region, and keys without any.
 
-    ``spark_ranges(region, first, last)`` is a table of a few regions.
+    ``spark_ranges(region, first, last)`` is a table of regions of whole numbers; it is joined
+    number by number, so there may be any number of them.
     """
-    inside = numbered.join(F.broadcast(spark_ranges.limit(1000)), (F.col(number) >= F.col("first")) & (F.col(number) <= F.col("last")) & (F.col(residue) != "-"))
+    numbers = spark_ranges.where("first <= last").select("region", F.explode(F.sequence(F.col("first").cast("long"), F.col("last").cast("long"))).alias("_at"))
+    inside = numbered.where(F.col(residue) != "-").join(numbers, F.col(number).cast("long") == F.col("_at")).drop("_at")
     from helixframe.operators.sequences import ordered_join
 
     found = ordered_join(inside, [key, "region"], [number], residue, "sequence")

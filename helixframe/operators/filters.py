@@ -72,23 +72,34 @@ def pairs_with_type(pairs: DataFrame, a: str, b: str, types: list[str], place: i
 
 def train_filter(entries: DataFrame, chains: DataFrame, key: str, value: str, date: str, component: str, code: str,
                  cutoff: float = 9.0, end: str = "2021-09-30", chains_at_most: int = 300,
-                 waters: list[str] = WATER) -> tuple[DataFrame, DataFrame]:
-    """Polymer cap, resolution and date, water: the training set's entries and their chains."""
+                 waters: list[str] = WATER, signals: tuple[DataFrame, str, str, str, str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """Polymer cap, resolution and date, water, signal peptides: the training set's entries and their chains.
+
+    ``signals`` is the table of annotated prefixes with the column names of
+    ``trim_prefix``: the chains' key, the table's key, the position, the last position.
+    """
     entries = cap_polymers(entries, chains, key, chains_at_most, code)
     entries = by_resolution_and_date(entries, value, cutoff, date, end=end)
     chains = drop_components(chains, component, waters)
+    if signals:
+        cuts, chain_key, cut_key, position, last = signals
+        chains = trim_prefix(chains, chain_key, position, cuts, cut_key, last)
     entries = non_empty(entries, chains, key)
     return entries, non_empty(chains, entries, key)
 
 
 def valid_filter(entries: DataFrame, chains: DataFrame, residues: DataFrame, key: str, value: str, date: str, component: str,
                  code: str, cutoff: float = 4.5, start: str = "2021-09-30", end: str = "2023-09-30", chains_at_most: int = 20,
-                 tokens_at_most: int = 2560, waters: list[str] = WATER) -> tuple[DataFrame, DataFrame]:
+                 tokens_at_most: int = 2560, waters: list[str] = WATER,
+                 signals: tuple[DataFrame, str, str, str, str] | None = None) -> tuple[DataFrame, DataFrame]:
     """As the training filter, with a date window and a cap on residues that still counts water."""
     entries = by_resolution_and_date(entries, value, cutoff, date, start, end)
     entries = cap_polymers(entries, chains, key, chains_at_most, code)
     entries = cap_members(entries, residues, key, tokens_at_most)
     chains = drop_components(chains, component, waters)
+    if signals:
+        cuts, chain_key, cut_key, position, last = signals
+        chains = trim_prefix(chains, chain_key, position, cuts, cut_key, last)
     entries = non_empty(entries, chains, key)
     return entries, non_empty(chains, entries, key)
 

@@ -50,9 +50,10 @@ def edge_clusters(labels: DataFrame, gid: str = "gid", keys: tuple[str, ...] = (
     Every label links its graphs to the smallest one (as many links as rows),
     never graph to graph.
     """
-    rows = labels.select(gid, *keys).distinct()
-    w = Window.partitionBy(*keys)
-    links = rows.withColumn("_low", F.min(gid).over(w)).select(F.col(gid).alias("src"), F.col("_low").alias("dst"))
+    rows = labels.select(gid, *keys)
+    # a minimum is combined before it moves, so a hot label costs rows, not one task's sort
+    low = rows.groupBy(*keys).agg(F.min(gid).alias("_low"))
+    links = rows.join(low, list(keys)).select(F.col(gid).alias("src"), F.col("_low").alias("dst"))
     return connected_components(links).withColumnRenamed("node", "gid").withColumnRenamed("component", "cluster")
 
 

@@ -52,13 +52,13 @@ def prefix_trim(t: Tables):
 
 
 BRAND_PAIRS_SQL = """SELECT DISTINCT least(a.p_brand, b.p_brand) AS c1, greatest(a.p_brand, b.p_brand) AS c2
-FROM (SELECT l_orderkey, p_brand FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_quantity >= 48) a
-JOIN (SELECT l_orderkey, p_brand FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_quantity >= 48) b
+FROM (SELECT l_orderkey, p_brand FROM lineitem JOIN part ON l_partkey = p_partkey) a
+JOIN (SELECT l_orderkey, p_brand FROM lineitem JOIN part ON l_partkey = p_partkey) b
 ON a.l_orderkey = b.l_orderkey AND a.p_brand < b.p_brand"""
 
 
 def brand_pairs(t: Tables):
-    rows = t.lineitem.where("l_quantity >= 48").join(t.part, F.col("l_partkey") == F.col("p_partkey")).select("l_orderkey", "p_brand")
+    rows = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select("l_orderkey", "p_brand")
     other = rows.select("l_orderkey", F.col("p_brand").alias("other"))
     return rows.join(other, "l_orderkey").where("p_brand < other").select(F.col("p_brand").alias("c1"), F.col("other").alias("c2")).distinct()
 
@@ -75,44 +75,53 @@ def coded_lines(t: Tables):
     return t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).withColumn("code", F.substring("p_type", 1, 1))
 
 
-@query(f"""WITH c AS ({CODED_SQL}), kept AS (
+CUTS_SQL = "SELECT s_suppkey AS k, 1 + s_nationkey % 4 AS last FROM supplier WHERE s_acctbal < 2000"
+
+
+def signals(t: Tables):
+    """Annotated prefixes: how many of the first lines from a supplier count as signal."""
+    return t.supplier.where("s_acctbal < 2000").select(F.col("s_suppkey").alias("k"), (F.col("s_nationkey") % 4 + 1).alias("last"))
+
+
+@query(f"""WITH c AS ({CODED_SQL}), cuts AS ({CUTS_SQL}), kept AS (
 SELECT o_orderkey FROM orders WHERE o_totalprice <= 300000 AND o_orderdate < TIMESTAMP '1998-06-01'
 AND (SELECT count(*) FROM c WHERE l_orderkey = o_orderkey AND code IN ('P', 'Q', 'D', 'R', 'N')) <= 1)
 SELECT l_orderkey AS entry, count(*) AS n_chains FROM c JOIN kept ON l_orderkey = o_orderkey
-WHERE l_returnflag <> 'N' GROUP BY l_orderkey""")
+LEFT JOIN cuts ON k = l_suppkey WHERE l_returnflag <> 'N' AND (last IS NULL OR l_linenumber > last) GROUP BY l_orderkey""")
 def train_chain(t: Tables):
     entries = t.orders.select(F.col("o_orderkey").alias("entry"), "o_totalprice", "o_orderdate")
-    chains = coded_lines(t).select(F.col("l_orderkey").alias("entry"), "l_returnflag", "code")
-    _, kept = filters.train_filter(entries, chains, "entry", "o_totalprice", "o_orderdate", "l_returnflag", "code", 300000, "1998-06-01", 1, ["N"])
+    chains = coded_lines(t).select(F.col("l_orderkey").alias("entry"), "l_returnflag", "code", "l_suppkey", "l_linenumber")
+    _, kept = filters.train_filter(entries, chains, "entry", "o_totalprice", "o_orderdate", "l_returnflag", "code", 300000, "1998-06-01", 1, ["N"],
+                                   signals=(signals(t), "l_suppkey", "k", "l_linenumber", "last"))
     return kept.groupBy("entry").agg(F.count(F.lit(1)).alias("n_chains"))
 
 
-@query(f"""WITH c AS ({CODED_SQL}), kept AS (
+@query(f"""WITH c AS ({CODED_SQL}), cuts AS ({CUTS_SQL}), kept AS (
 SELECT o_orderkey FROM orders WHERE o_totalprice <= 300000 AND o_orderdate >= TIMESTAMP '1998-06-01' AND o_orderdate < TIMESTAMP '2000-06-01'
 AND (SELECT count(*) FROM c WHERE l_orderkey = o_orderkey AND code IN ('P', 'Q', 'D', 'R', 'N')) <= 1
 AND (SELECT count(*) FROM c WHERE l_orderkey = o_orderkey) <= 5)
 SELECT l_orderkey AS entry, count(*) AS n_chains FROM c JOIN kept ON l_orderkey = o_orderkey
-WHERE l_returnflag <> 'N' GROUP BY l_orderkey""")
+LEFT JOIN cuts ON k = l_suppkey WHERE l_returnflag <> 'N' AND (last IS NULL OR l_linenumber > last) GROUP BY l_orderkey""")
 def valid_chain(t: Tables):
     entries = t.orders.select(F.col("o_orderkey").alias("entry"), "o_totalprice", "o_orderdate")
-    chains = coded_lines(t).select(F.col("l_orderkey").alias("entry"), "l_returnflag", "code")
+    chains = coded_lines(t).select(F.col("l_orderkey").alias("entry"), "l_returnflag", "code", "l_suppkey", "l_linenumber")
     _, kept = filters.valid_filter(entries, chains, chains, "entry", "o_totalprice", "o_orderdate", "l_returnflag", "code", 300000,
-                                   "1998-06-01", "2000-06-01", 1, 5, ["N"])
+                                   "1998-06-01", "2000-06-01", 1, 5, ["N"], signals=(signals(t), "l_suppkey", "k", "l_linenumber", "last"))
     return kept.groupBy("entry").agg(F.count(F.lit(1)).alias("n_chains"))
 
 
 @query("""WITH d AS (SELECT upper(substr(lang, 1, 1)) AS mol_type, text AS sequence, min(doc_id) AS first FROM documents
 WHERE lang IS NOT NULL AND text IS NOT NULL GROUP BY 1, 2),
 o AS (SELECT mol_type, sequence, row_number() OVER (ORDER BY f, mol_type, sequence) - 1 AS n FROM (
-SELECT upper(substr(lang, 1, 1)) AS mol_type, text AS sequence, min(doc_id) AS f FROM documents WHERE doc_id < 100 AND lang IS NOT NULL AND text IS NOT NULL GROUP BY 1, 2)),
+SELECT upper(substr(lang, 1, 1)) AS mol_type, text AS sequence, min(doc_id) AS f FROM documents WHERE source = 'src1' AND lang IS NOT NULL AND text IS NOT NULL GROUP BY 1, 2)),
 new AS (SELECT d.mol_type, d.sequence, row_number() OVER (ORDER BY first, d.mol_type, d.sequence) + (SELECT max(n) FROM o) AS n
 FROM d LEFT JOIN o USING (mol_type, sequence) WHERE o.n IS NULL)
 SELECT mol_type || lpad(CAST(n AS VARCHAR), 7, '0') AS seq_id, mol_type, length(sequence) AS n_letters FROM (
 SELECT d.mol_type, d.sequence, o.n FROM d JOIN o USING (mol_type, sequence) UNION ALL SELECT * FROM new)""")
 def seq_id_map(t: Tables):
     docs = t.documents.where("lang is not null and text is not null").select(
-        F.upper(F.substring("lang", 1, 1)).alias("mol_type"), F.col("text").alias("sequence"), "doc_id")
-    old = sequences.assign_seq_ids(docs.where("doc_id < 100"), None, "mol_type", "sequence", "doc_id")
+        F.upper(F.substring("lang", 1, 1)).alias("mol_type"), F.col("text").alias("sequence"), "doc_id", "source")
+    old = sequences.assign_seq_ids(docs.where("source = 'src1'"), None, "mol_type", "sequence", "doc_id")
     ids = sequences.assign_seq_ids(docs, old, "mol_type", "sequence", "doc_id")
     return ids.select("seq_id", "mol_type", F.length("sequence").cast("long").alias("n_letters"))
 

@@ -138,14 +138,15 @@ def greedy_representatives(t: Tables):
     return cluster.with_copies(cluster.greedy_clusters(seqs, "id", "sequence", links), copies, "id")
 
 
-@query("""WITH c AS (SELECT l_partkey AS id, min(l_suppkey) AS rep FROM lineitem WHERE l_quantity >= 45 GROUP BY 1)
-SELECT p_partkey AS id, coalesce('s' || lpad(CAST(rep AS VARCHAR), 5, '0'), 'p' || p_partkey) AS representative,
-CASE WHEN rep IS NULL AND p_size < 10 THEN 'protein' ELSE p_type END AS route FROM part LEFT JOIN c ON c.id = p_partkey""")
+@query("""WITH c AS (SELECT doc_id AS id, 's' || max(quality) || max(toxic) AS rep FROM labels GROUP BY 1)
+SELECT doc_id AS id, coalesce(rep, 'p' || doc_id) AS representative,
+CASE WHEN rep IS NULL AND n_chars < 600 THEN 'protein' ELSE source END AS route FROM documents LEFT JOIN c ON c.id = doc_id""")
 def cluster_assembly(t: Tables):
-    found = t.lineitem.where("l_quantity >= 45").groupBy(F.col("l_partkey").alias("id")).agg(F.concat(F.lit("s"), F.lpad(F.min("l_suppkey").cast("string"), 5, "0")).alias("representative"))
-    ids = t.part.select(F.col("p_partkey").alias("id"), "p_size", F.col("p_type").alias("route"))
+    """Labelled documents are clustered by their labels, the others stand alone."""
+    found = t.labels.groupBy(F.col("doc_id").alias("id")).agg(F.concat(F.lit("s"), F.max("quality"), F.max("toxic")).alias("representative"))
+    ids = t.documents.select(F.col("doc_id").alias("id"), "n_chars", F.col("source").alias("route"))
     alone = cluster.with_singletons(found.withColumn("id", F.col("id").cast("string")), ids.select(F.col("id").cast("string").alias("id")), "id", "representative")
-    failed = ids.where("p_size < 10").join(found, "id", "left_anti")
+    failed = ids.where("n_chars < 600").join(found, "id", "left_anti")
     routed = cluster.reroute(ids, failed, "id", "route", "protein").withColumn("id", F.col("id").cast("string"))
     merged = cluster.merge_clusterings([found.withColumn("id", F.col("id").cast("string")), alone], "id", "representative")
     out = merged.join(routed.select("id", "route"), "id")

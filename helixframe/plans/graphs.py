@@ -13,9 +13,9 @@ from helixframe.session import materialize
 
 @query("""SELECT DISTINCT least(x.n_name, y.n_name) AS c1, greatest(x.n_name, y.n_name) AS c2 FROM lineitem a JOIN lineitem b
 ON a.l_orderkey = b.l_orderkey AND a.l_suppkey < b.l_suppkey JOIN supplier s ON s.s_suppkey = a.l_suppkey JOIN supplier t ON t.s_suppkey = b.l_suppkey
-JOIN nation x ON x.n_nationkey = s.s_nationkey JOIN nation y ON y.n_nationkey = t.s_nationkey WHERE a.l_quantity >= 45 AND b.l_quantity >= 45""")
+JOIN nation x ON x.n_nationkey = s.s_nationkey JOIN nation y ON y.n_nationkey = t.s_nationkey""")
 def interacting_pairs(t: Tables):
-    lines = t.lineitem.where("l_quantity >= 45").select("l_orderkey", "l_suppkey").distinct()
+    lines = t.lineitem.select("l_orderkey", "l_suppkey").distinct()
     contacts = lines.select("l_orderkey", F.col("l_suppkey").alias("src")).join(lines.select("l_orderkey", F.col("l_suppkey").alias("dst")), "l_orderkey").where("src < dst")
     ids = graph.interacting_ids(contacts, lines, "l_orderkey", "l_suppkey", "l_suppkey", "src", "dst")
     members = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select("s_suppkey", "n_name")
@@ -36,13 +36,21 @@ def category_counts(t: Tables):
     return graph.category_counts(t.lineitem.select(char("l_partkey").alias("a"), char("l_suppkey").alias("b")), "a", "b")
 
 
-EDGES_SQL = """SELECT DISTINCT 'p' || lpad(CAST(l_partkey AS VARCHAR), 9, '0') AS a, 's' || lpad(CAST(l_suppkey AS VARCHAR), 9, '0') AS b FROM lineitem WHERE l_quantity = 50 AND l_discount = 0.1"""
+EDGES_SQL = """SELECT DISTINCT 'c' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS a, 'o' || lpad(CAST(o_orderkey AS VARCHAR), 9, '0') AS b FROM orders"""
 
 
-def edges(t: Tables, whole: bool = False):
-    name = lambda c, k: F.concat(F.lit(k), F.lpad(F.col(c).cast("string"), 9, "0"))
-    lines = t.lineitem if whole else t.lineitem.where("l_quantity = 50 and l_discount = 0.1")
-    return lines.select(name("l_partkey", "p").alias("a"), name("l_suppkey", "s").alias("b")).distinct()
+def named(c: str, letter: str):
+    return F.concat(F.lit(letter), F.lpad(F.col(c).cast("string"), 9, "0"))
+
+
+def edges(t: Tables):
+    """Customers and their orders: as many components as customers with an order."""
+    return t.orders.select(named("o_custkey", "c").alias("a"), named("o_orderkey", "o").alias("b")).distinct()
+
+
+def part_edges(t: Tables):
+    """Parts and their suppliers: few, large components."""
+    return t.lineitem.select(named("l_partkey", "p").alias("a"), named("l_suppkey", "s").alias("b")).distinct()
 
 
 def closure(edge_sql: str, node: str = "node") -> str:
@@ -64,23 +72,24 @@ def component_sizes(t: Tables):
 
 
 GRAPH_LABELS_SQL = """SELECT DISTINCT x.l_orderkey AS gid, least(a.p_brand, b.p_brand) AS ka, greatest(a.p_brand, b.p_brand) AS kb
-FROM (SELECT * FROM lineitem WHERE l_quantity >= 49) x JOIN (SELECT * FROM lineitem WHERE l_quantity >= 49) y ON x.l_orderkey = y.l_orderkey AND x.l_partkey < y.l_partkey
-JOIN part a ON a.p_partkey = x.l_partkey JOIN part b ON b.p_partkey = y.l_partkey"""
+FROM lineitem x JOIN lineitem y ON x.l_orderkey = y.l_orderkey AND x.l_partkey < y.l_partkey JOIN part a ON a.p_partkey = x.l_partkey JOIN part b ON b.p_partkey = y.l_partkey"""
+PART_LABELS_SQL = """SELECT DISTINCT x.l_orderkey AS gid, x.l_partkey AS ka, y.l_partkey AS kb
+FROM lineitem x JOIN lineitem y ON x.l_orderkey = y.l_orderkey AND x.l_partkey < y.l_partkey"""
 
 
-def order_graphs(t: Tables, least: int | None = 49):
-    """Orders as graphs: nodes are parts labelled with their brand, every two parts of an order are linked."""
-    lines = t.lineitem.where(F.col("l_quantity") >= least) if least else t.lineitem
-    lines = lines.select("l_orderkey", "l_partkey").distinct().join(
-        t.part.select(F.col("p_partkey").alias("l_partkey"), "p_brand"), "l_partkey")
+def order_graphs(t: Tables, label: str = "p_brand"):
+    """Orders as graphs: nodes are parts with a label, every two parts of an order are linked."""
+    lines = t.lineitem.select("l_orderkey", "l_partkey").distinct().join(
+        t.part.select(F.col("p_partkey").alias("l_partkey"), F.col(label).alias("label")), "l_partkey")
     contacts = lines.select("l_orderkey", F.col("l_partkey").alias("src")).join(lines.select("l_orderkey", F.col("l_partkey").alias("dst")), "l_orderkey").where("src < dst")
-    return graph.molecule_graphs(lines, contacts, "l_orderkey", "l_partkey", "p_brand", "src", "dst")
+    return graph.molecule_graphs(lines, contacts, "l_orderkey", "l_partkey", "label", "src", "dst")
 
 
-@query(closure(f"SELECT g.gid AS a, l.low AS b FROM ({GRAPH_LABELS_SQL}) g JOIN (SELECT ka, kb, min(gid) AS low FROM ({GRAPH_LABELS_SQL}) GROUP BY 1, 2) l USING (ka, kb)", "gid")
+@query(closure(f"SELECT g.gid AS a, l.low AS b FROM ({PART_LABELS_SQL}) g JOIN (SELECT ka, kb, min(gid) AS low FROM ({PART_LABELS_SQL}) GROUP BY 1, 2) l USING (ka, kb)", "gid")
        + " SELECT gid, component AS cluster FROM c")
 def edge_cluster(t: Tables):
-    return graph.edge_clusters(graph.edge_labels(*order_graphs(t)))
+    """Orders that share a pair of parts."""
+    return graph.edge_clusters(graph.edge_labels(*order_graphs(t, "p_partkey")))
 
 
 @query(f"""WITH l AS ({GRAPH_LABELS_SQL}) SELECT gid, count(*) AS n_labels, bool_or(ka IN ('Brand#1', 'Brand#2') OR kb IN ('Brand#1', 'Brand#2')) AS shares FROM l GROUP BY gid""")
@@ -93,8 +102,7 @@ def label_sets(t: Tables):
 
 
 @query(f"""WITH l AS ({GRAPH_LABELS_SQL}) SELECT gid, count(*) AS n_edges FROM (
-SELECT DISTINCT x.l_orderkey AS gid, x.l_partkey AS u, y.l_partkey AS v FROM lineitem x JOIN lineitem y ON x.l_orderkey = y.l_orderkey AND x.l_partkey < y.l_partkey
-WHERE x.l_quantity >= 49 AND y.l_quantity >= 49) WHERE gid IN (SELECT gid FROM l) GROUP BY gid""")
+SELECT DISTINCT x.l_orderkey AS gid, x.l_partkey AS u, y.l_partkey AS v FROM lineitem x JOIN lineitem y ON x.l_orderkey = y.l_orderkey AND x.l_partkey < y.l_partkey) WHERE gid IN (SELECT gid FROM l) GROUP BY gid""")
 def graph_tables(t: Tables):
     nodes, links = order_graphs(t)
     return links.join(nodes.select("gid").distinct(), "gid", "left_semi").groupBy("gid").agg(F.count(F.lit(1)).alias("n_edges"))
@@ -102,7 +110,7 @@ def graph_tables(t: Tables):
 
 @query()
 def graph_dedup(t: Tables):
-    return graph.graph_dedup(*order_graphs(t, None))
+    return graph.graph_dedup(*order_graphs(t))
 
 
 @query()
@@ -118,34 +126,47 @@ def canonical_string(t: Tables):
 @query()
 def split_components(t: Tables):
     """Components of part and supplier with the supplier's region as category, split for training and validation."""
-    labels, _ = graph.split_by_components(edges(t, whole=True), "a", "b")
+    labels, _ = graph.split_by_components(part_edges(t), "a", "b")
     kinds = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
         F.concat(F.lit("s"), F.lpad(F.col("s_suppkey").cast("string"), 9, "0")).alias("b"), F.concat(F.lit("r"), "n_regionkey").alias("region"))
-    rows = edges(t, whole=True).join(labels.withColumnRenamed("node", "a"), "a").join(kinds, "b")
+    rows = part_edges(t).join(labels.withColumnRenamed("node", "a"), "a").join(kinds, "b")
     counts = materialize(rows.groupBy("component").pivot("region", [f"r{i}" for i in range(5)]).count().na.fill(0), "kinds")
     return graph.split_train_valid(counts, [f"r{i}" for i in range(5)])
 
 
-SPARSE_SQL = """SELECT DISTINCT least(a.p_brand || a.p_size, b.p_brand || b.p_size) AS a, greatest(a.p_brand || a.p_size, b.p_brand || b.p_size) AS b
-FROM (SELECT * FROM lineitem WHERE l_quantity = 50) x JOIN (SELECT * FROM lineitem WHERE l_quantity = 50) y ON x.l_orderkey = y.l_orderkey
-JOIN part a ON a.p_partkey = x.l_partkey JOIN part b ON b.p_partkey = y.l_partkey AND a.p_brand || a.p_size < b.p_brand || b.p_size"""
-SPARSE_MEMBERS = """SELECT DISTINCT p_brand || p_size AS cluster_id, o_orderdate FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey WHERE l_quantity >= 49"""
-LEAK_SQL = closure(SPARSE_SQL) + f""", m AS ({SPARSE_MEMBERS}), train AS (SELECT DISTINCT cluster_id FROM m WHERE o_orderdate < TIMESTAMP '1995-04-01'),
-valid AS (SELECT DISTINCT cluster_id FROM m WHERE o_orderdate >= TIMESTAMP '1999-01-01'),
+BUYER_SQL = "'c' || substr(c_mktsegment, 1, 1) || c_custkey"
+BOUGHT_SQL = f"""SELECT {BUYER_SQL} AS cluster_id, l_partkey, l_shipdate, l_orderkey, l_linenumber FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey"""
+SPARSE_SQL = f"""SELECT DISTINCT x.cluster_id AS a, y.cluster_id AS b FROM ({BOUGHT_SQL}) x JOIN ({BOUGHT_SQL}) y
+ON x.l_partkey = y.l_partkey AND x.l_shipdate = y.l_shipdate AND x.cluster_id < y.cluster_id AND substr(x.cluster_id, 2, 1) <> 'F' AND substr(y.cluster_id, 2, 1) <> 'F'"""
+LEAK_SQL = closure(SPARSE_SQL) + f""", m AS (SELECT {BUYER_SQL} AS cluster_id, o_orderdate FROM orders JOIN customer ON c_custkey = o_custkey),
+train AS (SELECT DISTINCT cluster_id FROM m WHERE o_orderdate < TIMESTAMP '1995-07-01' AND substr(cluster_id, 2, 1) <> 'F'),
+valid AS (SELECT DISTINCT cluster_id FROM m WHERE o_orderdate >= TIMESTAMP '2001-01-01'),
 free AS (SELECT cluster_id FROM valid WHERE cluster_id NOT IN (SELECT cluster_id FROM train) AND cluster_id NOT IN (
 SELECT node FROM c WHERE component IN (SELECT component FROM c JOIN train ON node = cluster_id)))"""
 
 
 def sparse_interactions(t: Tables):
-    rows = t.lineitem.where("l_quantity = 50").join(t.part, F.col("l_partkey") == F.col("p_partkey")).select("l_orderkey", F.concat("p_brand", "p_size").alias("c"))
-    return rows.select("l_orderkey", F.col("c").alias("c1")).join(rows.select("l_orderkey", F.col("c").alias("c2")), "l_orderkey").where("c1 < c2").select("c1", "c2").distinct()
+    """Customers to whom the same part was shipped on the same day."""
+    rows = bought(t)
+    x = rows.select("l_partkey", "l_shipdate", F.col("cluster_id").alias("c1"))
+    y = rows.select("l_partkey", "l_shipdate", F.col("cluster_id").alias("c2"))
+    return x.join(y, ["l_partkey", "l_shipdate"]).where("c1 < c2").select("c1", "c2").distinct()
+
+
+def buyers(t: Tables):
+    """Orders with their customer as a cluster; the second letter is the market segment's."""
+    people = t.customer.select(F.col("c_custkey").alias("o_custkey"), F.concat(F.lit("c"), F.substring("c_mktsegment", 1, 1), F.col("c_custkey").cast("string")).alias("cluster_id"))
+    return t.orders.join(people, "o_custkey").select("o_orderkey", "o_orderdate", "cluster_id")
+
+
+def bought(t: Tables):
+    return t.lineitem.join(buyers(t), F.col("l_orderkey") == F.col("o_orderkey"))
 
 
 def free_clusters(t: Tables):
-    rows = t.lineitem.where("l_quantity >= 49").join(t.orders, F.col("l_orderkey") == F.col("o_orderkey")).join(t.part, F.col("l_partkey") == F.col("p_partkey"))
-    rows = rows.select(F.concat("p_brand", "p_size").alias("cluster_id"), "o_orderdate").distinct()
-    train, valid = rows.where("o_orderdate < timestamp '1995-04-01'"), rows.where("o_orderdate >= timestamp '1999-01-01'")
-    return graph.leakage_free(train, valid, sparse_interactions(t), ["r"])
+    rows = buyers(t)
+    train, valid = rows.where("o_orderdate < timestamp '1995-07-01'"), rows.where("o_orderdate >= timestamp '2001-01-01'")
+    return graph.leakage_free(train, valid, sparse_interactions(t), ["A", "B", "H", "M"])
 
 
 @query(LEAK_SQL + " SELECT cluster_id FROM free")
@@ -153,10 +174,10 @@ def leakage_free(t: Tables):
     return free_clusters(t)
 
 
-@query(LEAK_SQL + """ SELECT o_orderkey FROM orders WHERE o_orderdate >= TIMESTAMP '1999-01-01' AND NOT EXISTS (
-SELECT 1 FROM lineitem JOIN part ON l_partkey = p_partkey WHERE l_orderkey = o_orderkey AND l_quantity >= 49 AND p_brand || p_size NOT IN (SELECT cluster_id FROM free))""")
+@query(LEAK_SQL + f""" SELECT o_orderkey FROM orders WHERE o_orderdate >= TIMESTAMP '1999-01-01' AND NOT EXISTS (
+SELECT 1 FROM customer WHERE c_custkey = o_custkey AND {BUYER_SQL} NOT IN (SELECT cluster_id FROM free))""")
 def valid2_chain(t: Tables):
-    members = t.lineitem.where("l_quantity >= 49").join(t.part, F.col("l_partkey") == F.col("p_partkey")).select("l_orderkey", F.concat("p_brand", "p_size").alias("cluster_id"))
+    members = buyers(t).select(F.col("o_orderkey").alias("l_orderkey"), "cluster_id")
     late = filters.by_resolution_and_date(t.orders, "o_totalprice", float("inf"), "o_orderdate", "1999-01-01")
     return filters.all_members_in(late, members, "o_orderkey", "cluster_id", free_clusters(t), "cluster_id", "l_orderkey").select("o_orderkey")
 
@@ -200,21 +221,21 @@ def interface_pairs(t: Tables):
     return flagship(t)[1].select("a", "b").distinct()
 
 
-@query("""WITH r AS (SELECT l_orderkey, p_brand || '/' || p_size AS cluster, 'o' || l_orderkey || '_1_1_.(' || l_linenumber || ')' AS ref FROM lineitem JOIN part ON p_partkey = l_partkey WHERE l_quantity = 50),
+@query(f"""WITH r AS (SELECT DISTINCT l_partkey, l_shipdate, cluster_id AS cluster, 'o' || l_orderkey || '_1_1_.(' || l_linenumber || ')' AS ref FROM ({BOUGHT_SQL})),
 p AS (SELECT CASE WHEN x.cluster < y.cluster THEN x.cluster ELSE y.cluster END AS a, CASE WHEN x.cluster < y.cluster THEN y.cluster ELSE x.cluster END AS b, x.ref AS ra, y.ref AS rb,
-x.cluster > y.cluster AS flip FROM r x JOIN r y ON x.l_orderkey = y.l_orderkey AND x.ref < y.ref AND x.cluster <> y.cluster),
+x.cluster > y.cluster AS flip FROM r x JOIN r y ON x.l_partkey = y.l_partkey AND x.l_shipdate = y.l_shipdate AND x.ref < y.ref AND x.cluster <> y.cluster),
 i AS (SELECT a, b, string_agg(v, ',' ORDER BY v) AS refs FROM (SELECT DISTINCT a, b, CASE WHEN flip THEN rb || ':' || ra ELSE ra || ':' || rb END AS v FROM p) GROUP BY 1, 2),
 n AS (SELECT cluster, string_agg(ref, ',' ORDER BY ref) AS refs FROM (SELECT DISTINCT cluster, ref FROM r) GROUP BY 1)
 SELECT a AS c1, b AS c2, refs AS chains FROM i UNION ALL SELECT cluster, 'None', refs FROM n WHERE cluster NOT IN (SELECT a FROM i UNION SELECT b FROM i)""")
 def edge_node(t: Tables):
     from helixframe.sinks import edge_node_lines
 
-    rows = t.lineitem.where("l_quantity = 50").join(t.part, F.col("l_partkey") == F.col("p_partkey")).select(
-        "l_orderkey", F.concat_ws("/", "p_brand", "p_size").alias("cluster"),
+    rows = bought(t).select(
+        "l_partkey", "l_shipdate", F.col("cluster_id").alias("cluster"),
         F.concat(F.lit("o"), "l_orderkey", F.lit("_1_1_.("), "l_linenumber", F.lit(")")).alias("ref"))
-    x = rows.select("l_orderkey", F.col("cluster").alias("a"), F.col("ref").alias("ra"))
-    y = rows.select("l_orderkey", F.col("cluster").alias("b"), F.col("ref").alias("rb"))
-    faces = stats.interface_map(x.join(y, "l_orderkey").where("ra < rb and a <> b"), "a", "b", "ra", "rb")
+    x = rows.select("l_partkey", "l_shipdate", F.col("cluster").alias("a"), F.col("ref").alias("ra"))
+    y = rows.select("l_partkey", "l_shipdate", F.col("cluster").alias("b"), F.col("ref").alias("rb"))
+    faces = stats.interface_map(x.join(y, ["l_partkey", "l_shipdate"]).where("ra < rb and a <> b"), "a", "b", "ra", "rb")
     return edge_node_lines(stats.isolated_nodes(stats.node_map(rows, "cluster", "ref"), faces), faces)
 
 
