@@ -166,6 +166,15 @@ def full_length(scheme: DataFrame, comp_atoms: DataFrame, observed: DataFrame, c
     return atoms.join(have, [*chain, residue, comp, atom], "left")
 
 
+def outside_scheme(scheme: DataFrame, observed: DataFrame, chain: list[str], residue: str, comp: str = "comp_id") -> DataFrame:
+    """``chain..., residue, comp``: observed components that their residue's ``comp_ids`` don't list, or whose residue is in no scheme.
+
+    ``full_length`` leaves their atoms out, so they belong in a quarantine.
+    """
+    seen = observed.select(*chain, residue, comp).distinct().join(scheme.select(*chain, residue, "comp_ids"), [*chain, residue], "left")
+    return seen.where("comp_ids is null or not array_contains(comp_ids, `" + comp + "`)").select(*chain, residue, comp)
+
+
 def sequence_bonds(rows: DataFrame, chain: list[str], order: list[str], value: str) -> DataFrame:
     """``chain..., src, dst``: each row with the next of its chain."""
     w = Window.partitionBy(*chain).orderBy(*order)
@@ -203,6 +212,34 @@ def operator_table(rows: DataFrame, keys: list[str]) -> DataFrame:
     return rows.select(*keys, *(F.col(n).cast("double").alias(n) for n in names))
 
 
+def connection_edges(conns: DataFrame, atoms: DataFrame, keys: list[str], entry: str = "entry_id") -> tuple[DataFrame, DataFrame]:
+    """Residue edges and, where both atoms exist, atom edges of connections under one operator.
+
+    ``conns(entry, asym_a, auth_a, atom_a, asym_b, auth_b, atom_b, conn_type, value_order)``;
+    ``atoms`` has ``keys``, the entry, ``oper_id, asym_id, auth_idx, atom_id, res_idx, atom_idx``.
+    Both results hold ``keys..., src, dst, conn_type, value_order``.
+    """
+    residues = atoms.select(*keys, entry, "oper_id", "asym_id", "auth_idx", "res_idx").distinct()
+    x = residues.select(*keys, entry, "oper_id", F.col("asym_id").alias("asym_a"), F.col("auth_idx").alias("auth_a"), F.col("res_idx").alias("src"))
+    y = residues.select(*keys, "oper_id", F.col("asym_id").alias("asym_b"), F.col("auth_idx").alias("auth_b"), F.col("res_idx").alias("dst"))
+    pairs = conns.join(x, [entry, "asym_a", "auth_a"]).join(y, [*keys, "oper_id", "asym_b", "auth_b"])
+    a = atoms.select(*keys, F.col("res_idx").alias("src"), F.col("atom_id").alias("atom_a"), F.col("atom_idx").alias("_x"))
+    b = atoms.select(*keys, F.col("res_idx").alias("dst"), F.col("atom_id").alias("atom_b"), F.col("atom_idx").alias("_y"))
+    linked = pairs.join(a, [*keys, "src", "atom_a"]).join(b, [*keys, "dst", "atom_b"])
+    return (
+        pairs.select(*keys, "src", "dst", "conn_type", "value_order").distinct(),
+        linked.select(*keys, F.col("_x").alias("src"), F.col("_y").alias("dst"), "conn_type", "value_order").distinct(),
+    )
+
+
+def component_bond_edges(bonds: DataFrame, atoms: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys..., src, dst, value_order``: the component's bonds within every residue, where both atoms exist."""
+    rows = atoms.select(*keys, "res_idx", "comp_id", "atom_id", "atom_idx")
+    x = rows.withColumnsRenamed({"atom_id": "atom_id_1", "atom_idx": "src"})
+    y = rows.select(*keys, "res_idx", F.col("atom_id").alias("atom_id_2"), F.col("atom_idx").alias("dst"))
+    return x.join(bonds, ["comp_id", "atom_id_1"]).join(y, [*keys, "res_idx", "atom_id_2"]).select(*keys, "src", "dst", "value_order")
+
+
 def map_connections(conns: DataFrame, chains: DataFrame, keys: list[str], a: str, b: str, asym: str, oper: str, index: str) -> DataFrame:
     """Connections between chains under the same operator: ``src``, ``dst`` chain indices."""
     x = chains.select(*keys, F.col(asym).alias(a), F.col(oper).alias("_o"), F.col(index).alias("src"))

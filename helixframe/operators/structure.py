@@ -14,9 +14,13 @@ from pyspark.sql.window import Window
 from helixframe.operators import normalize, spatial
 from helixframe.session import materialize
 
+# fixed values: item names of the structure file format
 MATRIX = {f"m{r}{c}": f"matrix[{r}][{c}]" for r in (1, 2, 3) for c in (1, 2, 3)} | {f"v{r}": f"vector[{r}]" for r in (1, 2, 3)}
 ATOM_ITEMS = ["label_asym_id", "pdbx_PDB_model_num", "label_alt_id", "auth_seq_id", "pdbx_PDB_ins_code", "Cartn_x", "Cartn_y", "Cartn_z",
               "occupancy", "B_iso_or_equiv", "label_atom_id", "type_symbol", "label_comp_id", "auth_asym_id"]
+CONN_ITEMS = ["conn_type_id", "pdbx_value_order", *(f"ptnr{k}_{item}" for k in (1, 2) for item in ("label_asym_id", "auth_seq_id", "label_atom_id", "label_comp_id")),
+              "pdbx_ptnr1_PDB_ins_code", "pdbx_ptnr2_PDB_ins_code"]
+BRANCH_ITEMS = ["entity_id", "entity_branch_list_num_1", "entity_branch_list_num_2", "atom_id_1", "atom_id_2", "value_order"]
 
 
 def entries(long: DataFrame) -> DataFrame:
@@ -99,6 +103,37 @@ def expand(full: DataFrame, rows: DataFrame, opers: DataFrame, atoms: DataFrame)
     })
 
 
+def entities(long: DataFrame) -> DataFrame:
+    """``entry_id, entity_id, kind, poly_type, letters, descriptor``: polymer, branched and other entities."""
+    base = normalize.pivot_category(long, "_entity", ["id", "type", "pdbx_description"]).select(
+        "entry_id", F.col("id").alias("entity_id"), F.col("type").alias("kind"), F.col("pdbx_description").alias("description"))
+    poly = normalize.pivot_category(long, "_entity_poly", ["entity_id", "type", "pdbx_seq_one_letter_code"]).select(
+        "entry_id", "entity_id", F.col("type").alias("poly_type"), normalize.one_letter_tokens(F.regexp_replace("pdbx_seq_one_letter_code", r"[\s;]+", "")).alias("letters"))
+    branch = normalize.pivot_category(long, "_pdbx_entity_branch_descriptor", ["entity_id", "descriptor", "type"]).groupBy("entry_id", "entity_id").agg(F.min_by("descriptor", F.struct("type", "descriptor")).alias("descriptor"))
+    known = base.join(poly, ["entry_id", "entity_id"], "full_outer").join(branch, ["entry_id", "entity_id"], "left")
+    return known.withColumn("kind", F.coalesce("kind", F.when(F.col("poly_type").isNotNull(), "polymer")))
+
+
+def connections(long: DataFrame) -> DataFrame:
+    """The connection rows between known components, ends as (asym, auth_idx, atom)."""
+    rows = normalize.drop_unknown_pairs(normalize.pivot_category(long, "_struct_conn", CONN_ITEMS), "ptnr1_label_comp_id", "ptnr2_label_comp_id")
+    end = lambda k, s: [
+        F.col(f"ptnr{k}_label_asym_id").alias(f"asym_{s}"), normalize.auth_index(F.col(f"ptnr{k}_auth_seq_id"), F.col(f"pdbx_ptnr{k}_PDB_ins_code")).alias(f"auth_{s}"),
+        F.col(f"ptnr{k}_label_atom_id").alias(f"atom_{s}")]
+    return rows.select("entry_id", *end(1, "a"), *end(2, "b"), F.col("conn_type_id").alias("conn_type"), F.col("pdbx_value_order").alias("value_order"))
+
+
+def branch_links(long: DataFrame) -> DataFrame:
+    """Links of branched entities as connections between the residues of each of their chains."""
+    links = normalize.pivot_category(long, "_pdbx_entity_branch_link", BRANCH_ITEMS)
+    places = normalize.pivot_category(long, "_pdbx_branch_scheme", ["asym_id", "entity_id", "num", "pdb_seq_num", "pdb_ins_code"]).select(
+        "entry_id", "entity_id", "asym_id", "num", normalize.auth_index(F.col("pdb_seq_num"), F.col("pdb_ins_code")).alias("auth"))
+    end = lambda k, s: places.select("entry_id", "entity_id", F.col("asym_id"), F.col("num").alias(f"entity_branch_list_num_{k}"), F.col("auth").alias(f"auth_{s}"))
+    joined = links.join(end(1, "a"), ["entry_id", "entity_id", "entity_branch_list_num_1"]).join(end(2, "b"), ["entry_id", "entity_id", "entity_branch_list_num_2", "asym_id"])
+    return joined.select("entry_id", F.col("asym_id").alias("asym_a"), "auth_a", F.col("atom_id_1").alias("atom_a"), F.col("asym_id").alias("asym_b"), "auth_b",
+                         F.col("atom_id_2").alias("atom_b"), F.lit("branch").alias("conn_type"), "value_order")
+
+
 def polymer_bonds(atoms: DataFrame, polymer: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Residue bonds of neighbours in polymer chains and their backbone atom bonds.
 
@@ -109,18 +144,36 @@ def polymer_bonds(atoms: DataFrame, polymer: DataFrame) -> tuple[DataFrame, Data
     return pairs.select("mol_key", "src", "dst"), normalize.backbone_bonds(pairs, atoms, ["mol_key"], F.col("protein"))
 
 
-def build(long: DataFrame, comp_atoms: DataFrame, radius: float = 6.0, most: int = 128) -> dict[str, DataFrame]:
+def build(long: DataFrame, comp_atoms: DataFrame, radius: float = 6.0, most: int = 128, comp_bonds: DataFrame | None = None) -> dict[str, DataFrame]:
     """All tables of some structure files.
 
     ``comp_atoms(comp_id, atom_ord, atom_id)`` is the component dictionary's
-    heavy atoms. Entries without assemblies have no molecules.
+    heavy atoms and ``comp_bonds(comp_id, atom_id_1, atom_id_2, value_order)``
+    its bonds. Entries without assemblies have no molecules. Edges are those of
+    neighbours in a polymer, branch links, the file's connections and, between
+    atoms, the components' own bonds. The quarantine holds chains with several
+    author ids and observed components that the scheme doesn't list.
     """
     atoms = materialize(observed_atoms(long), "atoms")
+    scheme = materialize(schemes(long), "schemes")
     rows, opers = assemblies(long)
-    whole = materialize(expand(molecule_atoms(atoms, schemes(long), comp_atoms), rows, opers, atoms), "molecules")
+    whole = materialize(expand(molecule_atoms(atoms, scheme, comp_atoms), rows, opers, atoms), "molecules")
+    entity = entities(long)
+    polymer = entity.where("poly_type is not null").select("entry_id", "entity_id", F.contains(F.col("poly_type"), F.lit("polypeptide")).alias("protein"))
+    next_, backbone = polymer_bonds(whole, polymer)
+    linked, bonded = normalize.connection_edges(connections(long).unionByName(branch_links(long)), whole, ["mol_key"])
+    plain = lambda df, kind: df.select("mol_key", "src", "dst", F.lit(kind).alias("conn_type"), F.lit(None).cast("string").alias("value_order"))
+    residue_edge = plain(next_, "polymer").unionByName(linked)
+    atom_edge = plain(backbone.select("mol_key", F.col("src_atom").alias("src"), F.col("dst_atom").alias("dst")), "polymer").unionByName(bonded)
+    if comp_bonds is not None:
+        own = normalize.component_bond_edges(comp_bonds, whole, ["mol_key"])
+        atom_edge = atom_edge.unionByName(own.withColumn("conn_type", F.lit("component")))
     author, clash = single_author_chain(atoms)
     chain = whole.select("entry_id", "mol_key", "chain_idx", "chain_id", "asym_id", "oper_id", "entity_id").distinct().join(author, ["entry_id", "asym_id"])
     residue = whole.select("mol_key", "chain_idx", "res_idx", "auth_idx", "comp_id", "hetero").distinct()
     contact = spatial.contact_graph(whole, radius, ["mol_key"], "atom_idx", "chain_idx", most=most)
     quarantine = clash.select(F.lit("author chain").alias("stage"), F.concat_ws("_", "entry_id", "asym_id").alias("key"), F.concat("n_values", F.lit(" author ids")).alias("error"))
-    return {"entry": entries(long), "chain": chain, "residue": residue, "atom": whole, "chain_contact": contact, "quarantine": quarantine}
+    strange = normalize.outside_scheme(scheme, atoms, ["entry_id", "asym_id"], "auth_idx").select(
+        F.lit("scheme").alias("stage"), F.concat_ws("_", "entry_id", "asym_id", "auth_idx").alias("key"), F.concat("comp_id", F.lit(" is not in the scheme")).alias("error"))
+    return {"entry": entries(long), "entity": entity, "chain": chain, "residue": residue, "atom": whole, "residue_edge": residue_edge, "atom_edge": atom_edge,
+            "chain_contact": contact, "quarantine": quarantine.unionByName(strange)}

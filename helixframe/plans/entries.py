@@ -339,6 +339,58 @@ def full_length(t: Tables):
     return out.select("l_orderkey", F.col("l_linenumber").cast("long").alias("l_linenumber"), "quantity")
 
 
+@query("""SELECT l_orderkey, l_linenumber, p_type FROM (SELECT DISTINCT l_orderkey, l_linenumber, p_type FROM lineitem JOIN part ON p_partkey = l_partkey)
+WHERE p_type NOT IN (SELECT p_type FROM part WHERE p_size = 1 + l_orderkey % 3)""")
+def scheme_violations(t: Tables):
+    """Lines whose part type is not among those of their order's part size."""
+    kinds = t.part.groupBy("p_size").agg(F.collect_set("p_type").alias("comp_ids"))
+    scheme = t.lineitem.select("l_orderkey", "l_linenumber").distinct().withColumn("p_size", (F.col("l_orderkey") % 3 + 1).cast(dict(t.part.dtypes)["p_size"])).join(kinds, "p_size")
+    seen = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select("l_orderkey", "l_linenumber", "p_type")
+    return normalize.outside_scheme(scheme, seen, ["l_orderkey"], "l_linenumber", "p_type")
+
+
+@query("""SELECT coalesce(o_custkey, c_custkey) AS k, coalesce(n, 0) AS n, c_name FROM (SELECT o_custkey, count(*) AS n FROM orders WHERE o_totalprice > 300000 GROUP BY 1)
+FULL JOIN (SELECT c_custkey, c_name FROM customer WHERE c_acctbal > 1000) ON o_custkey = c_custkey""")
+def merged_categories(t: Tables):
+    rich = t.orders.where("o_totalprice > 300000").groupBy(F.col("o_custkey").alias("k")).agg(F.count(F.lit(1)).alias("n"))
+    return normalize.merge_by_key(rich, t.customer.where("c_acctbal > 1000").select(F.col("c_custkey").alias("k"), "c_name"), ["k"]).withColumn("n", F.coalesce("n", F.lit(0)))
+
+
+@query("""SELECT o_orderkey, c_name, 'hit' AS state FROM orders JOIN customer ON c_custkey = o_custkey WHERE c_acctbal > 0
+UNION ALL SELECT o_orderkey, NULL, 'miss' FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_acctbal > 0)""")
+def strict_lookup(t: Tables):
+    table = t.customer.where("c_acctbal > 0").select(F.col("c_custkey").alias("o_custkey"), "c_name")
+    hit, miss = sequences.strict_lookup(t.orders.select("o_orderkey", "o_custkey"), table, ["o_custkey"], ["c_name"])
+    return hit.select("o_orderkey", "c_name", F.lit("hit").alias("state")).unionByName(
+        miss.select("o_orderkey", F.lit(None).cast("string").alias("c_name"), F.lit("miss").alias("state")))
+
+
+@query("""WITH s AS (SELECT p_type AS mol_type, p_name AS sequence, min(p_partkey) AS seq_id FROM part GROUP BY 1, 2)
+SELECT p_partkey AS header, seq_id, seq_id % 7 AS cluster_id FROM part JOIN s ON p_type = mol_type AND p_name = sequence""")
+def header_clusters(t: Tables):
+    fasta = t.part.select(F.col("p_partkey").alias("header"), F.col("p_type").alias("mol_type"), F.col("p_name").alias("sequence"))
+    seqs = fasta.groupBy("mol_type", "sequence").agg(F.min("header").alias("seq_id"))
+    return sequences.header_clusters(fasta, seqs, seqs.select("seq_id", (F.col("seq_id") % 7).alias("cluster_id")))
+
+
+@query("""WITH a AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, date_trunc('month', l_shipdate) AS m FROM lineitem)
+SELECT x.l_orderkey AS mol_key, x.l_partkey AS src, y.l_partkey AS dst, 'c' AS conn_type, o_orderstatus AS value_order, count(*) AS n FROM orders
+JOIN a x ON x.l_orderkey = o_orderkey AND x.l_linenumber = 1 JOIN a y ON y.l_orderkey = o_orderkey AND y.l_linenumber = 2 AND x.m = y.m
+WHERE x.l_suppkey % 3 = 0 AND y.l_suppkey % 3 = 1 GROUP BY ALL""")
+def connection_atoms(t: Tables):
+    """Connections of the first and the second line of an order in one month; parts are residues, suppliers' remainders atom names."""
+    atoms = t.lineitem.select(
+        F.col("l_orderkey").alias("mol_key"), F.col("l_orderkey").alias("entry_id"), F.date_trunc("month", "l_shipdate").alias("oper_id"), F.col("l_linenumber").alias("asym_id"),
+        F.lit("1").alias("auth_idx"), (F.col("l_suppkey") % 3).alias("atom_id"), F.col("l_partkey").alias("res_idx"), F.col("l_suppkey").alias("atom_idx"))
+    conns = t.orders.select(F.col("o_orderkey").alias("entry_id"), F.lit(1).alias("asym_a"), F.lit("1").alias("auth_a"), F.lit(0).alias("atom_a"), F.lit(2).alias("asym_b"),
+                            F.lit("1").alias("auth_b"), F.lit(1).alias("atom_b"), F.lit("c").alias("conn_type"), F.col("o_orderstatus").alias("value_order"))
+    residues, linked = normalize.connection_edges(conns, atoms, ["mol_key"])
+    both = linked.join(atoms.select("mol_key", F.col("atom_idx").alias("src"), F.col("res_idx").alias("_a"), F.col("asym_id").alias("_x")), ["mol_key", "src"]).join(
+        atoms.select("mol_key", F.col("atom_idx").alias("dst"), F.col("res_idx").alias("_b"), F.col("asym_id").alias("_y")), ["mol_key", "dst"]).where("_x = 1 and _y = 2")
+    rows = both.select("mol_key", F.col("_a").alias("src"), F.col("_b").alias("dst"), "conn_type", "value_order")
+    return residues.join(rows, ["mol_key", "src", "dst", "conn_type", "value_order"]).groupBy("mol_key", "src", "dst", "conn_type", "value_order").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("""SELECT a.l_orderkey AS entry, a.l_partkey AS src, b.l_partkey AS dst, date_trunc('month', a.l_shipdate) AS oper
 FROM lineitem a JOIN lineitem b ON a.l_orderkey = b.l_orderkey AND date_trunc('month', a.l_shipdate) = date_trunc('month', b.l_shipdate)
 WHERE a.l_linenumber = 1 AND b.l_linenumber = 2""")

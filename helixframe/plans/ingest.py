@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from helixframe import sinks
 from helixframe.operators import normalize, sequences
 from helixframe.plans.base import Tables, query
 from helixframe.sinks import cluster_lines, key_counts, metadata_lines, seq_id_lines
@@ -118,7 +119,23 @@ def store_counts(t: Tables):
 @query("""SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_custkey IN (SELECT c_custkey FROM customer WHERE c_mktsegment = 'MACHINERY' AND c_acctbal > 5000)""")
 def store_lookup(t: Tables):
     keys = t.customer.where("c_mktsegment = 'MACHINERY' and c_acctbal > 5000").select("c_custkey")
-    return t.orders.join(keys, F.col("o_custkey") == F.col("c_custkey"), "left_semi").select("o_orderkey", "o_custkey", "o_totalprice")
+    return sinks.lookup(t.orders, keys, "o_custkey", "c_custkey").select("o_orderkey", "o_custkey", "o_totalprice")
+
+
+@query("""SELECT DISTINCT o_custkey, o_orderpriority FROM orders""")
+def pair_lines(t: Tables):
+    return sinks.pair_lines(t.orders, "o_custkey", "o_orderpriority")
+
+
+@query("""WITH s AS (SELECT substr(p_type, 1, 1) AS type, count(*) AS n FROM part GROUP BY 1),
+i AS (SELECT least(substr(p_type, 1, 1), substr(p_brand, 7)) || '-' || greatest(substr(p_type, 1, 1), substr(p_brand, 7)) AS type, count(*) AS n FROM part GROUP BY 1)
+SELECT 1 AS part, type || ',' || n AS line FROM s UNION ALL SELECT 4, type || ',' || n FROM i
+UNION ALL VALUES (0, 'Monomer Cluster Statistics:'), (2, ''), (3, 'Interface Cluster Statistics:')""")
+def statistics_file(t: Tables):
+    kind, brand = F.substring("p_type", 1, 1), F.substring("p_brand", 7, 9)
+    rows = t.part.select(F.lit("monomer").alias("section"), kind.alias("type")).unionByName(
+        t.part.select(F.lit("interface").alias("section"), F.concat_ws("-", F.least(kind, brand), F.greatest(kind, brand)).alias("type")))
+    return sinks.statistics_lines(rows.groupBy("section", "type").agg(F.count(F.lit(1)).alias("n")))
 
 
 @query("""SELECT p_brand, p_size, min(length(p_name)) AS length FROM part GROUP BY 1, 2 HAVING min(length(p_name)) = max(length(p_name))""")

@@ -36,6 +36,32 @@ def check_lines(df: DataFrame, key: str, result: str) -> DataFrame:
     return df.select(key, F.coalesce(result, F.lit("passed")).alias("result"))
 
 
+def statistics_lines(statistics: DataFrame) -> DataFrame:
+    """``part, line``: the two sections of a statistics file from ``section, type, n``; write it in the order of ``part, line``."""
+    names = {"monomer": "Monomer Cluster Statistics:", "interface": "Interface Cluster Statistics:"}
+    heads = statistics.sparkSession.createDataFrame([(k, i, line) for k, (i, line) in enumerate([(0, names["monomer"]), (2, ""), (3, names["interface"])])], "_k int, part int, line string").drop("_k")
+    rows = statistics.select(F.when(F.col("section") == "monomer", 1).otherwise(4).alias("part"), F.concat_ws(",", "type", F.col("n").cast("string")).alias("line"))
+    return heads.unionByName(rows)
+
+
+def atom_site_lines(atoms: DataFrame, key: str, order: str, columns: dict[str, Column]) -> DataFrame:
+    """``key, serial, line``: a whole atom table of a structure file; serials below 1 are the block's and loop's heads.
+
+    ``columns`` are item names and values in the file's order; ``atom_lines`` pads them.
+    """
+    body = atom_lines(atoms, [key], order, columns)
+    heads = ["#", "loop_", "_atom_site.group_PDB", "_atom_site.id", *(f"_atom_site.{c}" for c in columns)]
+    places = F.array(*(F.struct(F.lit(i - len(heads)).alias("serial"), F.lit(h).alias("line")) for i, h in enumerate(heads)))
+    first = body.select(key).distinct()
+    named = first.select(key, F.lit(-len(heads) - 1).alias("serial"), F.concat(F.lit("data_"), F.col(key).cast("string")).alias("line"))
+    return named.unionByName(first.select(key, F.inline(places))).unionByName(body)
+
+
+def lookup(store: DataFrame, keys: DataFrame, store_key: str, key: str) -> DataFrame:
+    """The stored rows of the wanted keys, each once however often it is wanted."""
+    return store.join(keys.select(F.col(key).alias("_k")), F.col(store_key) == F.col("_k"), "left_semi")
+
+
 def write_blocks(blocks: DataFrame, path: str) -> None:
     """One row a block, in folders by its first letter."""
     blocks.select("prefix", "text").write.partitionBy("prefix").text(path)

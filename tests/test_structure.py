@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from helixframe import sinks
 from helixframe.operators import structure
 from helixframe.sources import mmcif
 
@@ -72,6 +73,84 @@ def test_molecules(spark):
     touching = {(r.mol_key, r.src, r.dst): r.n for r in t["chain_contact"].collect()}
     assert touching["1tst_1_1_A", 0, 2] == 4 and ("1tst_1_1_A", 0, 1) not in touching
     assert t["chain"].where("mol_key = '1tst_1_1_A'").count() == 4 and t["quarantine"].count() == 0
+    assert t["residue_edge"].count() == t["atom_edge"].count() == 0  # no entity says that these chains are polymers
     polymer = spark.createDataFrame([("1tst", "1", True)], "entry_id string, entity_id string, protein boolean")
     residues, backbone = structure.polymer_bonds(t["atom"], polymer)
     assert residues.where("mol_key = '1tst_1_1_A'").count() == 2 and backbone.where(F.col("mol_key") == "1tst_1_1_A").count() == 2
+
+
+LINKED = """loop_
+_entity.id
+_entity.type
+_entity.pdbx_description
+1 polymer small
+2 branched sugars
+loop_
+_entity_poly.entity_id
+_entity_poly.type
+_entity_poly.pdbx_seq_one_letter_code
+1 polypeptide(L) G(MSE)
+loop_
+_pdbx_entity_branch_descriptor.entity_id
+_pdbx_entity_branch_descriptor.descriptor
+_pdbx_entity_branch_descriptor.type
+2 'b DGlcp' WURCS
+2 'a DGlcp' LINUCS
+loop_
+_pdbx_branch_scheme.asym_id
+_pdbx_branch_scheme.entity_id
+_pdbx_branch_scheme.mon_id
+_pdbx_branch_scheme.num
+_pdbx_branch_scheme.pdb_seq_num
+_pdbx_branch_scheme.pdb_ins_code
+_pdbx_branch_scheme.hetero
+C 2 NAG 1 11 . n
+C 2 NAG 2 12 . n
+_pdbx_entity_branch_link.entity_id 2
+_pdbx_entity_branch_link.entity_branch_list_num_1 2
+_pdbx_entity_branch_link.entity_branch_list_num_2 1
+_pdbx_entity_branch_link.atom_id_1 C1
+_pdbx_entity_branch_link.atom_id_2 O4
+_pdbx_entity_branch_link.value_order sing
+loop_
+_struct_conn.conn_type_id
+_struct_conn.pdbx_value_order
+_struct_conn.ptnr1_label_asym_id
+_struct_conn.ptnr1_auth_seq_id
+_struct_conn.ptnr1_label_atom_id
+_struct_conn.ptnr1_label_comp_id
+_struct_conn.ptnr2_label_asym_id
+_struct_conn.ptnr2_auth_seq_id
+_struct_conn.ptnr2_label_atom_id
+_struct_conn.ptnr2_label_comp_id
+covale sing A 1 CA GLY B 1 N GLY
+covale ? A 1 XX GLY B 1 N GLY
+metalc ? A 1 N GLY B 1 N UNL
+"""
+
+
+def test_entities_links_and_connections(spark):
+    text = HEAD + SCHEME + ATOMS + "C 1 . 11 ? 8.0 0.0 0.0 1.0 5.0 O4 O NAG C\nB 1 . 1 ? 0.0 4.0 1.0 1.0 5.0 CB C ALA B\n" + ASSEMBLY.replace("1 1,2 A,B", "1 1,2 A,B,C") + LINKED
+    long = mmcif.normal_ids(spark.createDataFrame(list(mmcif.parse(text)), mmcif.SCHEMA))
+    comp = spark.createDataFrame([("GLY", 0, "N"), ("GLY", 1, "CA"), ("GLY", 2, "C"), ("NAG", 0, "C1"), ("NAG", 1, "O4")], "comp_id string, atom_ord int, atom_id string")
+    bonds = spark.createDataFrame([("GLY", "N", "CA", "sing"), ("GLY", "CA", "C", "sing"), ("GLY", "C", "OXT", "sing"), ("NAG", "C1", "O4", "sing")], "comp_id string, atom_id_1 string, atom_id_2 string, value_order string")
+    t = structure.build(long, comp, comp_bonds=bonds)
+    assert [(r.entity_id, r.kind, r.poly_type, r.letters, r.descriptor) for r in t["entity"].orderBy("entity_id").collect()] == [
+        ("1", "polymer", "polypeptide(L)", ["G", "(MSE)"], None), ("2", "branched", None, None, "a DGlcp")]
+    names = {r.atom_idx: (r.chain_id, r.auth_idx, r.atom_id) for r in t["atom"].where("mol_key = '1tst_1_1_A'").collect()}
+    places = {r.res_idx: (r.chain_id, r.auth_idx) for r in t["atom"].where("mol_key = '1tst_1_1_A'").collect()}
+    edges = {(places[r.src], places[r.dst], r.conn_type, r.value_order) for r in t["residue_edge"].where("mol_key = '1tst_1_1_A'").collect()}
+    both = lambda f: {x for o in "12" for x in f(o)}
+    assert edges == both(lambda o: [
+        (("A_" + o, "1"), ("A_" + o, "2"), "polymer", None), (("C_" + o, "12"), ("C_" + o, "11"), "branch", "sing"),
+        (("A_" + o, "1"), ("B_" + o, "1"), "covale", "sing"), (("A_" + o, "1"), ("B_" + o, "1"), "covale", "?")])
+    bonded = {(names[r.src], names[r.dst], r.conn_type) for r in t["atom_edge"].where("mol_key = '1tst_1_1_A'").collect()}
+    glycine = lambda c, n: [((c, n, "N"), (c, n, "CA"), "component"), ((c, n, "CA"), (c, n, "C"), "component")]
+    assert bonded == both(lambda o: [
+        *glycine("A_" + o, "1"), *glycine("A_" + o, "2"), *glycine("B_" + o, "1"), *(((f"C_{o}", n, "C1"), (f"C_{o}", n, "O4"), "component") for n in ("11", "12")),
+        (("A_" + o, "1", "C"), ("A_" + o, "2", "N"), "polymer"), (("C_" + o, "12", "C1"), ("C_" + o, "11", "O4"), "branch"),
+        (("A_" + o, "1", "CA"), ("B_" + o, "1", "N"), "covale")])
+    assert [(r.stage, r.key, r.error) for r in t["quarantine"].collect()] == [("scheme", "1tst_B_1", "ALA is not in the scheme")]
+    lines = sinks.atom_site_lines(t["atom"], "mol_key", "atom_idx", {"label_atom_id": F.col("atom_id"), "Cartn_x": F.format_string("%.3f", F.col("x"))})
+    text = [r.line.rstrip() for r in lines.where("mol_key = '1tst_1_1_A'").orderBy("serial").collect()]
+    assert text[:7] == ["data_1tst_1_1_A", "#", "loop_", "_atom_site.group_PDB", "_atom_site.id", "_atom_site.label_atom_id", "_atom_site.Cartn_x"] and text[7].split() == ["ATOM", "1", "N", "0.000"]
