@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import sys
+from functools import reduce
+from operator import add, and_, or_
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -177,36 +179,19 @@ def isomorphic(a: tuple[dict, set], b: tuple[dict, set]) -> bool:
     return match(0, {})
 
 
-def graph_dedup(nodes: DataFrame, edges: DataFrame, rounds: int = 3) -> DataFrame:
+def graph_dedup(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """``gid, class_id``: graphs equal up to isomorphism share the smallest gid.
 
-    Graphs meet only within a hash bucket. A bucket's graphs first collapse to
-    distinct (sorted) tables, so a group of identical graphs counts once, and
-    the exact test runs on what is left.
+    Graphs are equal if their canonical forms are, so a class is a minimum over
+    equal forms, combined before it moves: graphs never meet one another, and
+    a class of any size costs rows. Null labels equal empty ones; an edge with
+    an end that isn't a node is left out.
     """
-    hashes = graph_hashes(nodes, edges, rounds)
-    ns = nodes.groupBy("gid").agg(F.sort_array(F.collect_list(F.struct(F.col("node").cast("string").alias("node"), "label"))).alias("nodes"))
-    es = edges.groupBy("gid").agg(F.sort_array(F.collect_list(F.struct(F.col("u").cast("string").alias("u"), F.col("v").cast("string").alias("v")))).alias("edges"))
-    whole = hashes.join(ns, "gid").join(es, "gid", "left").withColumn("form", F.to_json(F.struct("nodes", "edges")))
-    whole = materialize(whole.select("gid", "hash", "form"), "graphs")
-    firsts = whole.groupBy("hash", "form").agg(F.min("gid").alias("first"))
-
-    def classes(pdf: pd.DataFrame) -> pd.DataFrame:
-        import json
-
-        heads, out = [], []
-        for r in pdf.sort_values("first").itertuples():
-            d = json.loads(r.form)
-            g = ({n["node"]: n.get("label") or "" for n in d["nodes"]}, {(e["u"], e["v"]) for e in d.get("edges") or []})
-            head = next((h for h, x in heads if isomorphic(x, g)), None)
-            if head is None:
-                heads.append((r.first, g))
-            out.append((r.hash, r.form, r.first if head is None else head))
-        return pd.DataFrame(out, columns=["hash", "form", "class_id"])
-
-    kind = dict(nodes.dtypes)["gid"]
-    named = firsts.groupBy("hash").applyInPandas(classes, f"hash string, form string, class_id {kind}")
-    return whole.join(named, ["hash", "form"]).select("gid", "class_id")
+    # digests of the labels keep forms unambiguous whatever the labels hold
+    coded = nodes.withColumn("label", F.md5(F.coalesce(F.col("label").cast("string"), F.lit(""))))
+    forms = materialize(canonical_strings(coded, edges).select("gid", F.sha2("canonical", 256).alias("form")), "forms")
+    firsts = forms.groupBy("form").agg(F.min("gid").alias("class_id"))
+    return forms.join(firsts, "form").select("gid", "class_id")
 
 
 def canonical_form(labels: dict, edges: set) -> str:
@@ -218,6 +203,7 @@ def canonical_form(labels: dict, edges: set) -> str:
     same neighbours) need no choice, and a choice that an automorphism found so
     far maps to an earlier one is left out, which changes no result.
     """
+    edges = {(u, v) for u, v in edges if u in labels and v in labels}
     near = {n: set() for n in labels}
     for u, v in edges:
         near[u].add(v)
@@ -317,32 +303,67 @@ def split_train_valid(components: DataFrame, categories: list[str], ratio: float
 
     A component with more edges of a category than validation may keep
     (``min(floor(total * (1 - ratio)), least)``) goes to training. The others are
-    taken for training smallest first while every category keeps that number
-    for validation. Each component is visited once. The accept loop is
-    sequential by nature; it reads the components that are not fixed, in one
-    group of rows that hold a name and counts.
+    taken for training smallest first (then by component) while every category
+    keeps that number for validation. Each component is visited once.
+
+    The free components are range-partitioned in that order. As long as what
+    fits of the next partitions fits altogether, these are settled at once from
+    sums; only the partition in which a category runs out is walked row by row.
+    A category's room falls below the count that didn't fit, so there are at
+    most ``least * len(categories)`` such partitions, and never more than there
+    are partitions. Null counts are zero; an empty table gives an empty split.
     """
-    totals = components.agg(*(F.sum(c).alias(c) for c in categories)).first()
-    keep = {c: min(int((totals[c] or 0) * (1 - ratio) + 1e-9), least) for c in categories}
-    must = F.lit(False)
-    for c in categories:
-        must |= F.col(c) > keep[c]
-    marked = components.withColumn("_must", must)
-    taken = marked.where("_must").agg(*(F.sum(c).alias(c) for c in categories)).first()
-    left0 = {c: (totals[c] or 0) - (taken[c] or 0) for c in categories}
+    counts = components.select("component", *(F.coalesce(F.col(c), F.lit(0)).cast("long").alias(c) for c in categories))
+    sums = [F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in categories]
+    totals = counts.agg(*sums).first()
+    keep = {c: min(int(totals[c] * (1 - ratio) + 1e-9), least) for c in categories}
+    must = reduce(or_, (F.col(c) > keep[c] for c in categories))
+    taken = counts.where(must).agg(*sums).first()
+    room = {c: totals[c] - taken[c] - keep[c] for c in categories}
     kind = dict(components.dtypes)["component"]
-
-    def accept(pdf: pd.DataFrame) -> pd.DataFrame:
-        left, out = dict(left0), []
-        pdf = pdf.assign(_n=pdf[categories].sum(axis=1)).sort_values(["_n", "component"])
-        for r in pdf.to_dict("records"):
-            ok = all(left[c] - r[c] >= keep[c] for c in categories)
-            if ok:
-                for c in categories:
-                    left[c] -= r[c]
-            out.append((r["component"], "train" if ok else "valid"))
-        return pd.DataFrame(out, columns=["component", "split"])
-
-    rest = marked.where("not _must").select("component", *categories).withColumn("_g", F.lit(0))
-    chosen = rest.groupBy("_g").applyInPandas(lambda p: accept(p), f"component {kind}, split string")
-    return marked.where("_must").select("component", F.lit("train").alias("split")).unionByName(chosen)
+    ordered = counts.where(~must).withColumn("_n", reduce(add, (F.col(c) for c in categories)))
+    free = materialize(ordered.repartitionByRange("_n", "component").withColumn("_part", F.spark_partition_id()), "free")
+
+    def walk(start: dict[str, int]):
+        def run(pdf: pd.DataFrame) -> pd.DataFrame:
+            left, out = dict(start), []
+            for r in pdf.sort_values(["_n", "component"]).to_dict("records"):
+                ok = all(r[c] <= left[c] for c in categories)
+                if ok:
+                    left = {c: left[c] - r[c] for c in categories}
+                out.append((r["component"], "train" if ok else "valid", *(r[c] for c in categories)))
+            return pd.DataFrame(out, columns=["component", "split", *categories])
+
+        return run
+
+    settled: list[tuple] = []  # partitions in which all that fits goes to training
+    walked: list[DataFrame] = []
+    start = 0
+    while True:
+        fits = reduce(and_, (F.col(c) <= room[c] for c in categories))
+        # a row a partition
+        parts = free.where(F.col("_part") >= start).groupBy("_part").agg(*(F.sum(F.when(fits, F.col(c)).otherwise(0)).alias(c) for c in categories)).orderBy("_part").collect()
+        begin, full, spent = dict(room), None, dict.fromkeys(categories, 0)
+        for p in parts:
+            upto = {c: spent[c] + p[c] for c in categories}
+            if any(p[c] and upto[c] > begin[c] for c in categories):
+                full = p["_part"]
+                break
+            spent = upto
+            settled.append((p["_part"], *(begin[c] for c in categories)))
+        room = {c: begin[c] - spent[c] for c in categories}
+        if full is None:
+            break
+        schema = f"component {kind}, split string, " + ", ".join(f"`{c}` long" for c in categories)
+        rows = materialize(free.where(F.col("_part") == full).groupBy("_part").applyInPandas(walk(room), schema), "walked")
+        used = rows.where("split = 'train'").agg(*sums).first()
+        room = {c: room[c] - used[c] for c in categories}
+        walked.append(rows.select("component", "split"))
+        start = full + 1
+    names = [f"_room{i}" for i in range(len(categories))]
+    plan = components.sparkSession.createDataFrame(settled, "_part int, " + ", ".join(f"{n} long" for n in names))
+    taken_whole = reduce(and_, (F.col(c) <= F.col(n) for c, n in zip(categories, names)))
+    out = counts.where(must).select("component", F.lit("train").alias("split"))
+    for more in [free.join(F.broadcast(plan), "_part").select("component", F.when(taken_whole, "train").otherwise("valid").alias("split")), *walked]:
+        out = out.unionByName(more)
+    return out

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -9,6 +11,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from helixframe.functions.codes import GAP_INDEX, PROFILE_BINS, RNA_INDEX, lookup, protein_index
+from helixframe.operators.sequences import global_rank
+from helixframe.session import materialize
 
 
 def aligned(row: Column) -> Column:
@@ -99,38 +103,62 @@ def coverage(row: Column) -> Column:
     return F.lit(1.0) - gap_fraction(row)
 
 
-def drop_redundant(rows: DataFrame, msa: str, row: str, order: str, least_coverage: float, most_identity: float = 0.9, block: int = 512) -> DataFrame:
+def _cells(texts) -> np.ndarray:
+    """Rows of characters, filled with gaps to one width."""
+    width = max(map(len, texts), default=0)
+    return np.frombuffer("".join(t.ljust(width, "-") for t in texts).encode("latin-1", "replace"), np.uint8).reshape(len(texts), width)
+
+
+def _like_any(row: np.ndarray, others: np.ndarray, most_identity: float) -> bool:
+    """Whether a row is more like one of the others than allowed, over columns where both have a letter."""
+    both = (others != ord("-")) & (row != ord("-"))
+    same = ((others == row) & both).sum(1)
+    return bool((same > most_identity * np.maximum(both.sum(1), 1)).any())
+
+
+def drop_redundant(rows: DataFrame, msa: str, row: str, order: str, least_coverage: float, most_identity: float = 0.9, block: int = 2048) -> DataFrame:
     """Rows of enough coverage that are at most ``most_identity`` like every row kept before.
 
-    One alignment is one group: its rows are compared in blocks of matches with
-    the kept ones, in row order.
+    An alignment's rows are taken in blocks in row order (ties by the row). A
+    round settles the first block that is left of every alignment, one task
+    each, and holds what it keeps against every later block, one task a pair of
+    blocks: no task holds more than two blocks, and only rows still standing
+    move on. A null alignment name is an alignment of its own; null rows are
+    left out, empty ones are like no other row.
     """
-    names = rows.columns
-
-    def keep(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(order)
-        text = pdf["_a"].to_numpy()
-        if not len(text):
-            return pdf[names]
-        width = max(map(len, text))
-        cells = np.frombuffer("".join(t.ljust(width, "-") for t in text).encode("latin-1", "replace"), np.uint8).reshape(len(text), width)
-        solid = cells != ord("-")
-        kept: list[int] = []
-        for i in range(len(text)):
-            ok = True
-            for b in range(0, len(kept), block):
-                k = kept[b : b + block]
-                both = solid[k] & solid[i]
-                same = ((cells[k] == cells[i]) & both).sum(1)
-                if (same > most_identity * np.maximum(both.sum(1), 1)).any():
-                    ok = False
-                    break
-            if ok:
+    packed = rows.where(coverage(F.col(row)) >= least_coverage).select(
+        F.col(msa).alias("k"), F.col(order).alias("o"), aligned(F.col(row)).alias("a"), F.struct(*rows.columns).alias("row"))
+    ranked = materialize(global_rank(packed, ["k", "o", "a"], "rank"), "msa-rows")
+    heads = ranked.groupBy("k").agg(F.min("rank").alias("gid")).withColumnRenamed("k", "_k")
+    todo = ranked.join(heads, F.col("k").eqNullSafe(F.col("_k"))).select("gid", "rank", ((F.col("rank") - F.col("gid")) / block).cast("long").alias("block"), "a")
+    todo = materialize(todo, "msa-todo")
+
+    def settle(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values("rank")
+        cells, kept = _cells(pdf["a"].tolist()), []
+        for i in range(len(pdf)):
+            if not _like_any(cells[i], cells[kept], most_identity):
                 kept.append(i)
-        return pdf.iloc[kept][names]
-
-    covered = rows.where(coverage(F.col(row)) >= least_coverage).withColumn("_a", aligned(F.col(row)))
-    return covered.groupBy(msa).applyInPandas(keep, rows.schema)
+        return pdf.iloc[kept]
+
+    def stand(pdf: pd.DataFrame) -> pd.DataFrame:
+        cells, known = _cells(pdf["a"].tolist()), pdf["known"].to_numpy(bool)
+        kept = cells[known]
+        return pdf[[not k and not _like_any(x, kept, most_identity) for k, x in zip(known, cells)]].drop(columns="known")
+
+    schema = "gid long, rank long, block long, a string"
+    chosen = []
+    while not todo.isEmpty():
+        first = todo.groupBy("gid").agg(F.min("block").alias("first"))
+        marked = todo.join(first, "gid")
+        kept = materialize(marked.where("block = first").drop("first").groupBy("gid").applyInPandas(settle, schema), "msa-kept")
+        chosen.append(kept.select("rank"))
+        later = marked.where("block > first").drop("first")
+        meets = kept.drop("block").join(later.select("gid", "block").distinct(), "gid").select("gid", "rank", "block", "a", F.lit(True).alias("known"))
+        both = later.withColumn("known", F.lit(False)).unionByName(meets)
+        todo = materialize(both.groupBy("gid", "block").applyInPandas(stand, schema), "msa-todo")
+    ranks = reduce(DataFrame.unionByName, chosen, todo.select("rank"))
+    return ranked.join(ranks, "rank", "left_semi").select("row.*")
 
 
 def choose_tier(counts: DataFrame, key: str, tier: str, n75: str, n50: str, least75: int = 2000, least50: int = 4000) -> DataFrame:

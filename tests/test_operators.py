@@ -1,5 +1,6 @@
 """Hand-computed fixtures and properties of the structural operators."""
 
+import itertools
 import random
 
 import pytest
@@ -104,6 +105,28 @@ def test_depth_cap_and_redundancy(spark):
     assert kept == {1, 2}
 
 
+def test_redundancy_is_the_same_in_any_blocks(spark):
+    rng = random.Random(11)
+    data = [(rng.choice(["m", "n", None]), i, "".join(rng.choice("AC-") for _ in range(rng.choice([6, 6, 6, 3])))) for i in range(150)]
+    data += [("m", 200, ""), ("m", 201, None), ("m", 4, "AAAAAA"), ("m", 4, "AAAAAA")]
+    df = spark.createDataFrame(data, "msa string, rank int, a string")
+    want = []
+    for name in ("m", "n", None):
+        kept = []
+        for _, i, text in sorted((r for r in data if r[0] == name and r[2] is not None), key=lambda r: r[1:]):
+            if sum(c != "-" for c in text) < len(text) / 2:
+                continue
+            pairs = [[(x, y) for x, y in zip(text, k) if "-" not in (x, y)] for k in kept]
+            if all(sum(x == y for x, y in p) <= 0.7 * max(len(p), 1) for p in pairs):
+                kept.append(text)
+                want.append((name, i, text))
+    for block in (7, 1000):
+        got = msa.drop_redundant(df, "msa", "a", "rank", 0.5, 0.7, block)
+        assert got.columns == df.columns
+        assert sorted((r.msa or "", r.rank, r.a) for r in got.collect()) == sorted((n or "", i, t) for n, i, t in want)
+    assert msa.drop_redundant(df.limit(0), "msa", "a", "rank", 0.5).count() == 0
+
+
 def test_category_counts(spark):
     e = spark.createDataFrame([("cP1", "cA1"), ("cA1", "cP1"), ("cB1", "cP1"), ("cX1", "cP1")], "a string, b string")
     got = {r.category: r.n for r in graph.category_counts(e, "a", "b", 2).collect()}
@@ -259,6 +282,25 @@ def test_isomorphic_graphs(spark):
     assert {r.gid: r.class_id for r in graph.graph_dedup(nodes, edges).collect()} == {"a": "a", "b": "a", "c": "c"}
     form = {r.gid: r.canonical for r in graph.canonical_strings(nodes, edges).collect()}
     assert form["a"] == form["b"] != form["c"]
+    marks = {r.gid: r.hash for r in graph.graph_hashes(nodes, edges).collect()}
+    assert marks["a"] == marks["b"] != marks["c"]
+    odd = spark.createDataFrame([("x", 1, "a)(b"), ("y", 1, "a"), ("y", 2, "b"), ("z", 1, None), ("t", 5, "")], "gid string, node int, label string")
+    loose = spark.createDataFrame([("x", 1, 9)], "gid string, u int, v int")
+    assert {r.gid: r.class_id for r in graph.graph_dedup(odd, loose).collect()} == {"x": "x", "y": "y", "z": "t", "t": "t"}
+
+
+def test_classes_agree_with_the_pairwise_test(spark):
+    rng = random.Random(8)
+    nodes, edges = [], []
+    for g in range(60):
+        n = rng.randint(1, 5)
+        names = rng.sample(range(90), n)
+        nodes += [(g, k, rng.choice("AB")) for k in names]
+        edges += [(g, *sorted(p)) for p in itertools.combinations(names, 2) if rng.random() < 0.5]
+    graphs = {g: ({k: x for h, k, x in nodes if h == g}, {(u, v) for h, u, v in edges if h == g}) for g in range(60)}
+    want = {g: next(h for h in range(60) if graph.isomorphic(graphs[h], graphs[g])) for g in range(60)}
+    got = graph.graph_dedup(spark.createDataFrame(nodes, "gid int, node int, label string"), spark.createDataFrame(edges, "gid int, u int, v int"))
+    assert {r.gid: r.class_id for r in got.collect()} == want
 
 
 def test_canonical_form_ignores_numbering():
@@ -302,6 +344,30 @@ def test_split_has_no_leak(spark):
         assert sum((i % 7, i % 3)[c - 1] for i in got if got[i] == "valid") >= min(int(total * 0.1), 100)
 
 
+@pytest.mark.parametrize("ratio, least", [(0.9, 100), (0.5, 6), (0.2, 10_000), (1.0, 100), (0.0, 3)])
+def test_split_is_the_walk_in_order(spark, ratio, least):
+    """Component by component, smallest first."""
+    rng = random.Random(int(ratio * 10) + least)
+    data = [(f"c{i:04d}", rng.choice([0, 1, 1, 2, 9]), rng.choice([0, 0, 3, 5, 40]), rng.choice([None, 0, 1])) for i in range(400)]
+    df = spark.createDataFrame(data, "component string, P long, L long, Q long")
+    sizes = {k: [n or 0 for n in v] for k, *v in data}
+    total = [sum(v[i] for v in sizes.values()) for i in range(3)]
+    keep = [min(int(t * (1 - ratio) + 1e-9), least) for t in total]
+    want = {k: "train" for k, v in sizes.items() if any(n > m for n, m in zip(v, keep))}
+    left = [t - sum(sizes[k][i] for k in want) for i, t in enumerate(total)]
+    for k, v in sorted(sizes.items(), key=lambda x: (sum(x[1]), x[0])):
+        if k not in want:
+            ok = all(n - x >= m for n, x, m in zip(left, v, keep))
+            left = [n - x for n, x in zip(left, v)] if ok else left
+            want[k] = "train" if ok else "valid"
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")  # as many partitions as a large table has
+    try:
+        assert {r.component: r.split for r in graph.split_train_valid(df, ["P", "L", "Q"], ratio, least).collect()} == want
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert graph.split_train_valid(df.limit(0), ["P", "L", "Q"]).count() == 0
+
+
 def test_last_pair_wins_option(spark):
     pairs = spark.createDataFrame([("a", "b", 1), ("a", "c", 2)], "id1 string, id2 string, ord int")
     members = spark.createDataFrame([(x, "c" + x) for x in "abc"], "id string, cl string")
