@@ -15,10 +15,12 @@ from __future__ import annotations
 
 import bisect
 import hashlib
+from itertools import accumulate
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
+
+from helixframe.operators.sequences import global_rank
 
 CELL_BITS = 14
 
@@ -70,22 +72,23 @@ def shard(df: DataFrame, key: str, n_shards: int, vnodes: int = 128, load: float
 
     ``order`` names further columns that break ties of equal keys; rows equal
     in all of them are interchangeable. Null keys share one ring position, and
-    so do the rows of a repeated key, which are ranked in one task: a key
-    should name few rows.
+    so do the rows of a repeated key. Ranks come from a range partitioning of
+    all rows by ring position, key and ``order``, so a key that names many rows
+    spreads over tasks; only rows equal in all of these stay together.
     Columns named shard or slot are replaced; an empty table stays empty.
     """
     spark = df.sparkSession
     kept = [c for c in df.columns if c not in ("shard", "slot")]
     # the caller's columns travel in a struct, so no name of theirs can clash
-    rows = df.select(F.xxhash64(F.col(key)).alias("h"), F.struct(*kept).alias("row"))
+    rows = df.select(F.xxhash64(F.col(key)).alias("h"), *(F.col(c).alias(f"o{i}") for i, c in enumerate((key, *order))), F.struct(*kept).alias("row"))
     rows = rows.withColumn("cell", F.shiftrightunsigned("h", 64 - CELL_BITS).cast("int"))
     counts = {r["cell"]: r["n"] for r in rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
-    plan = segments(counts, n_shards, vnodes, load)
+    starts = dict(zip(sorted(counts), accumulate((counts[c] for c in sorted(counts)), initial=0)))
+    plan = [(c, starts[c] + first, starts[c] + end, s, base) for c, first, end, s, base in segments(counts, n_shards, vnodes, load)]
     table = spark.createDataFrame(plan, "c int, first long, end long, shard int, base long")
-    rank = F.row_number().over(Window.partitionBy("cell").orderBy("h", *(F.col("row")[c] for c in (key, *order)))) - 1
+    ranked = global_rank(rows, ["cell", "h", *(f"o{i}" for i in range(len(order) + 1))], "rank")
     # at most one segment more than cells and shards together: a bounded table
     return (
-        rows.withColumn("rank", rank)
-        .join(F.broadcast(table), (F.col("cell") == F.col("c")) & (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("end")))
+        ranked.join(F.broadcast(table), (F.col("cell") == F.col("c")) & (F.col("rank") >= F.col("first")) & (F.col("rank") < F.col("end")))
         .select("row.*", "shard", (F.col("base") + F.col("rank") - F.col("first")).alias("slot"))
     )

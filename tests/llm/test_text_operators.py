@@ -1,6 +1,7 @@
 """The text operators against brute force, round trips and held-out labels."""
 
 import hashlib
+import itertools
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -409,6 +410,23 @@ def test_shards_are_a_walk_round_the_ring(spark):
         assert got == want
 
 
+def test_a_hot_key_goes_clockwise_in_order(spark):
+    """A third of the rows under one key, and null keys: ties go by ``order``, slots have no gap."""
+    docs = table(spark, [(7, f"t{i:03d}") for i in range(100)] + [(None, f"n{i:03d}") for i in range(40)] + [(100 + i, "x") for i in range(160)])
+    got = sharding.shard(docs, "doc_id", 7, order=("text",)).collect()
+    by = defaultdict(list)
+    for r in got:
+        by[r.shard].append(r.slot)
+    assert len(got) == 300 and sorted(map(len, by.values())) == [42] + [43] * 6
+    assert all(sorted(s) == list(range(len(s))) for s in by.values())
+    for key in (7, None):
+        hot = sorted((r.text, r.shard, r.slot) for r in got if r.doc_id == key)
+        # a shard takes the rows that come next in order, then the next shard on the ring goes on
+        runs = [list(g) for _, g in itertools.groupby(hot, key=lambda r: r[1])]
+        assert len({g[0][1] for g in runs}) == len(runs) > 1 - (key is None)
+        assert all([r[2] for r in g] == list(range(g[0][2], g[0][2] + len(g))) for g in runs)
+
+
 # transport streams
 
 
