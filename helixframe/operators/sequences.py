@@ -14,20 +14,24 @@ def ordered_join(df: DataFrame, keys: list[str], order: list[str], value: str, o
     return df.groupBy(*keys).agg(text.alias(out))
 
 
-def chain_sequences(chains: DataFrame, residues: DataFrame, keys: list[str], order: str, letter: str, comp: str, kind: str) -> DataFrame:
+def chain_sequences(chains: DataFrame, residues: DataFrame, keys: list[str], order: str, letter: str, comp: str, kind: str,
+                    branched: DataFrame | None = None) -> DataFrame:
     """One string a chain: canonical letters of a polymer, ``(COMP)`` of a non-polymer's first residue.
 
-    Branched chains get a null sequence here; their string is a canonical graph
-    (``canonical_strings``).
+    A branched chain's string is its canonical graph (``canonical_strings``),
+    from ``branched`` with the keys and ``canonical``; without it, it is null.
     """
     joined = ordered_join(residues, keys, [order], letter, "_letters")
     first = residues.groupBy(*keys).agg(F.min_by(comp, order).alias("_first"))
     polymer = ~F.col(kind).isin("non-polymer", "branched", "water")
-    return (
-        chains.join(joined, keys, "left").join(first, keys, "left")
-        .withColumn("sequence", F.when(polymer, F.col("_letters")).when(F.col(kind) == "non-polymer", F.concat(F.lit("("), F.col("_first"), F.lit(")"))))
-        .drop("_letters", "_first")
-    )
+    out = chains.join(joined, keys, "left").join(first, keys, "left")
+    if branched is None:
+        out = out.withColumn("_graph", F.lit(None).cast("string"))
+    else:
+        out = out.join(branched.select(*keys, F.col("canonical").alias("_graph")), keys, "left")
+    one = F.concat(F.lit("("), F.col("_first"), F.lit(")"))
+    sequence = F.when(polymer, F.col("_letters")).when(F.col(kind) == "non-polymer", one).when(F.col(kind) == "branched", F.col("_graph"))
+    return out.withColumn("sequence", sequence).drop("_letters", "_first", "_graph")
 
 
 def first_per_key(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

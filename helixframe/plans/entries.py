@@ -159,6 +159,17 @@ def earliest_by_key(t: Tables):
     return sequences.earliest(t.orders, "o_custkey", "o_orderdate")
 
 
+@query("""SELECT p_partkey AS seq_id, min(o_orderdate) AS earliest, min(CASE WHEN p_size % 3 = 0 THEN substr(p_name, p_size % 4 + 2) ELSE p_name END) AS sequence
+FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN part ON p_partkey = l_partkey GROUP BY 1""")
+def template_dates(t: Tables):
+    """Parts as sequences, a third of them with an annotated end, in orders as entries with a date."""
+    dates = t.orders.select(F.col("o_orderkey").alias("entry_id"), F.col("o_orderdate").alias("date"))
+    chains = t.lineitem.select(F.col("l_orderkey").alias("entry_id"), F.col("l_linenumber").alias("chain_id"), F.col("l_partkey").alias("seq_id"))
+    seqs = t.part.select(F.col("p_partkey").alias("seq_id"), F.col("p_name").alias("sequence"))
+    signals = t.part.where("p_size % 3 = 0").select(F.col("p_partkey").alias("seq_id"), F.lit(0).alias("start0"), (F.col("p_size") % 4).alias("end0"))
+    return sequences.template_metadata(dates, chains, seqs, signals)[1]
+
+
 POINTS_SQL = """SELECT vec_id, vec_id % 5 AS mol, label, CAST(embedding[1] AS DOUBLE) * 10 AS x, CAST(embedding[2] AS DOUBLE) * 10 AS y,
 CAST(embedding[3] AS DOUBLE) * 10 AS z FROM embeddings"""
 
@@ -298,6 +309,17 @@ def ordered_flags(t: Tables):
     return sequences.ordered_join(t.lineitem, ["l_orderkey"], ["l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"], "l_returnflag", "sequence")
 
 
+@query("""SELECT o_orderkey AS l_orderkey, CASE o_orderstatus WHEN 'F' THEN s WHEN 'O' THEN '(' || f || ')' END AS sequence FROM orders LEFT JOIN (
+SELECT l_orderkey, string_agg(l_returnflag, '' ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS s,
+first(p_type ORDER BY l_linenumber, l_partkey, l_suppkey, l_extendedprice) AS f FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1) ON l_orderkey = o_orderkey""")
+def chain_strings(t: Tables):
+    """Orders as chains: filled ones are polymers, open ones non-polymers, the others branched."""
+    kind = F.when(F.col("o_orderstatus") == "F", "polymer").when(F.col("o_orderstatus") == "O", "non-polymer").otherwise("branched")
+    chains = t.orders.select(F.col("o_orderkey").alias("l_orderkey"), kind.alias("kind"))
+    residues = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).withColumn("place", F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_extendedprice"))
+    return sequences.chain_sequences(chains, residues, ["l_orderkey"], "place", "l_returnflag", "p_type", "kind").select("l_orderkey", "sequence")
+
+
 @query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_extendedprice, p_type FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_type <> 'PROMO' AND l_shipdate >= TIMESTAMP '1996-01-01'""")
 def unknown_drop(t: Tables):
     rows = t.lineitem.where("l_shipdate >= timestamp '1996-01-01'").join(t.part, F.col("l_partkey") == F.col("p_partkey"))

@@ -134,6 +134,29 @@ def split_components(t: Tables):
     return graph.split_train_valid(counts, [f"r{i}" for i in range(5)])
 
 
+def _walk_sql(kinds: str, ratio: float = 0.9, least: int = 100) -> str:
+    """SQL of the split of customers: the walk over free components, one a step."""
+    each = lambda f, sep=", ": sep.join(f(c.lower()) for c in kinds)
+    return f"""WITH RECURSIVE k AS (SELECT 'c' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS component, {", ".join(f"count_if(o_orderstatus = '{c}') AS {c.lower()}" for c in kinds)} FROM orders GROUP BY o_custkey),
+t AS (SELECT {each(lambda c: f"least(CAST(floor(sum({c}) * (1 - CAST({ratio} AS DOUBLE)) + 1e-9) AS BIGINT), {least}) AS keep_{c}")} FROM k),
+m AS (SELECT k.*, {each(lambda c: f"{c} > keep_{c}", " OR ")} AS must FROM k, t),
+free AS (SELECT *, row_number() OVER (ORDER BY {each(lambda c: c, " + ")}, component) AS i FROM m WHERE NOT must),
+s AS (SELECT {each(lambda c: f"CAST(coalesce(sum({c}) FILTER (NOT must), 0) - any_value(keep_{c}) AS BIGINT) AS room_{c}")} FROM m, t),
+w AS (SELECT CAST(0 AS BIGINT) AS i, '' AS component, false AS ok, {each(lambda c: f"room_{c}")} FROM s
+UNION ALL SELECT free.i, free.component, {each(lambda c: f"{c} <= room_{c}", " AND ")},
+{each(lambda c: "room_{0} - CASE WHEN {1} THEN {0} ELSE 0 END".format(c, each(lambda d: f"{d} <= room_{d}", " AND ")))} FROM w JOIN free ON free.i = w.i + 1)
+SELECT component, 'train' AS split FROM m WHERE must UNION ALL SELECT component, CASE WHEN ok THEN 'train' ELSE 'valid' END FROM w WHERE i > 0"""
+
+
+@query(_walk_sql("FOP"))
+def split_customers(t: Tables):
+    """Components of customers and their orders with the order's status as category, split for training and validation."""
+    labels, _ = graph.split_by_components(edges(t), "a", "b")
+    kinds = t.orders.select(named("o_orderkey", "o").alias("node"), F.lower("o_orderstatus").alias("kind"))
+    counts = materialize(labels.join(kinds, "node").groupBy("component").pivot("kind", ["f", "o", "p"]).count().na.fill(0), "kinds")
+    return graph.split_train_valid(counts, ["f", "o", "p"])
+
+
 BUYER_SQL = "'c' || substr(c_mktsegment, 1, 1) || c_custkey"
 BOUGHT_SQL = f"""SELECT {BUYER_SQL} AS cluster_id, l_partkey, l_shipdate, l_orderkey, l_linenumber FROM lineitem JOIN orders ON o_orderkey = l_orderkey JOIN customer ON c_custkey = o_custkey"""
 SPARSE_SQL = f"""SELECT DISTINCT x.cluster_id AS a, y.cluster_id AS b FROM ({BOUGHT_SQL}) x JOIN ({BOUGHT_SQL}) y

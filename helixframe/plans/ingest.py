@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -9,6 +11,7 @@ from helixframe import sinks
 from helixframe.operators import normalize, sequences
 from helixframe.plans.base import Tables, query
 from helixframe.sinks import cluster_lines, key_counts, metadata_lines, seq_id_lines
+from helixframe.session import shared_dir
 from helixframe.sources import text
 
 
@@ -30,6 +33,18 @@ def a3m_roundtrip(t: Tables):
     return out.withColumn("is_query", F.coalesce("is_query", F.lit(False)))
 
 
+@query("""SELECT substr(c_name, length(c_name), 1) AS prefix, count(*) AS n_blocks, CAST(sum(c_custkey) AS BIGINT) AS keys FROM customer GROUP BY 1""")
+def block_files(t: Tables):
+    """Customers as blocks, written to folders by their first letter and read back."""
+    head = F.reverse("c_name")
+    body = F.concat(F.lit("data_"), head, F.lit("\n_entry.id "), "c_custkey")
+    path = f"{shared_dir(t.spark).rstrip('/')}/blocks-{uuid.uuid4().hex}"
+    sinks.write_blocks(t.customer.select(F.substring(head, 1, 1).alias("prefix"), body.alias("text")), path)
+    blocks = text.read_blocks(t.spark, path)
+    keys = F.regexp_extract("text", r"_entry\.id (\d+)", 1).cast("long")
+    return blocks.groupBy("prefix").agg(F.count(F.lit(1)).alias("n_blocks"), F.sum(keys).alias("keys"))
+
+
 @query("""SELECT substr(s_name, length(s_name), 1) AS prefix, count(*) AS n_blocks, CAST(sum(s_suppkey) AS BIGINT) AS keys FROM supplier GROUP BY 1""")
 def block_split(t: Tables):
     chunk = F.concat(F.when(F.col("s_suppkey") == 0, "data_").otherwise(""), F.reverse("s_name"), F.lit("\n_entry.id "), "s_suppkey", F.lit("\n"))

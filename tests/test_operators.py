@@ -275,6 +275,15 @@ def test_components_properties(spark):
     assert connected_components(spark.createDataFrame([], "src long, dst long")).count() == 0
 
 
+def test_branched_chains_have_their_canonical_string(spark):
+    chains = spark.createDataFrame([("a", "branched"), ("b", "polymer"), ("c", "non-polymer"), ("d", "water")], "k string, kind string")
+    residues = spark.createDataFrame([("a", 1, "X", "NAG"), ("b", 2, "G", "GLY"), ("b", 1, "A", "ALA"), ("c", 1, "X", "ATP"), ("d", 1, "X", "HOH")], "k string, place int, letter string, comp string")
+    graphs = spark.createDataFrame([("a", "(NAG)(FUC)|(0,1)")], "k string, canonical string")
+    got = sequences.chain_sequences(chains, residues, ["k"], "place", "letter", "comp", "kind", graphs)
+    assert {r.k: r.sequence for r in got.collect()} == {"a": "(NAG)(FUC)|(0,1)", "b": "AG", "c": "(ATP)", "d": None}
+    assert got.columns == ["k", "kind", "sequence"]
+
+
 def test_isomorphic_graphs(spark):
     n = [("a", 1, "x"), ("a", 2, "y"), ("a", 3, "x"), ("b", 7, "x"), ("b", 8, "x"), ("b", 9, "y"), ("c", 1, "x"), ("c", 2, "y"), ("c", 3, "x")]
     e = [("a", 1, 2), ("a", 2, 3), ("b", 7, 9), ("b", 8, 9), ("c", 1, 2), ("c", 1, 3)]
