@@ -37,7 +37,7 @@ def _kmers(seqs: DataFrame, key: str, sequence: str, k: int) -> DataFrame:
     return seqs.where(F.length(text) >= k).select(F.col(key).alias("id"), F.explode(F.array_distinct(words)).alias("w"))
 
 
-def shared_kmers(seqs: DataFrame, key: str, sequence: str, k: int = 6, hot: int | None = None) -> DataFrame:
+def shared_kmers(seqs: DataFrame, key: str, sequence: str, k: int = 6, hot: int | None = 1000) -> DataFrame:
     """``id1, id2, n``: pairs (id1 < id2) that share ``n`` distinct k-mers.
 
     K-mers in more than ``hot`` sequences are dealt over blocks of about that
@@ -47,7 +47,7 @@ def shared_kmers(seqs: DataFrame, key: str, sequence: str, k: int = 6, hot: int
     return _pairs_by_word(_kmers(seqs, key, sequence, k), hot)
 
 
-def shared_shingles(docs: DataFrame, key: str, text: str, size: int = 8, hot: int | None = None) -> DataFrame:
+def shared_shingles(docs: DataFrame, key: str, text: str, size: int = 8, hot: int | None = 1000) -> DataFrame:
     """As ``shared_kmers`` with runs of ``size`` words."""
     words = docs.select(F.col(key).alias("id"), F.filter(F.split(text, r"[ \n]"), lambda w: w != "").alias("t")).where(F.size("t") >= size)
     runs = F.transform(F.sequence(F.lit(1), F.size("t") - (size - 1)), lambda i: F.array_join(F.slice("t", i, F.lit(size)), " "))
@@ -249,9 +249,10 @@ def greedy_clusters(seqs: DataFrame, key: str, sequence: str, links: DataFrame)
     representative of highest identity. Rounds settle every sequence whose
     earlier neighbours are settled, at least the earliest one left, until none
     is left: as many rounds as the longest chain of neighbours that depend on
-    each other.
+    each other. A repeated key counts once, with its longest sequence; links
+    whose ends are not among the sequences count for nothing.
     """
-    order = seqs.select(F.col(key).alias("id"), F.length(sequence).alias("n"))
+    order = seqs.groupBy(F.col(key).alias("id")).agg(F.max(F.length(sequence)).alias("n"))
     both = links.select("id1", "id2", "identity").unionByName(links.select(F.col("id2").alias("id1"), F.col("id1").alias("id2"), "identity"))
     before = both.join(order.select(F.col("id").alias("id1"), F.col("n").alias("n1")), "id1").join(order.select(F.col("id").alias("id2"), F.col("n").alias("n2")), "id2")
     # edges from each sequence to its earlier neighbours

@@ -74,7 +74,13 @@ def msa_depth_cap(t: Tables):
     return msa.cap_depth(rows(t), "p_brand", "row", "p_partkey", 20).select("p_partkey", "p_brand")
 
 
-@query()
+@query(f"""WITH RECURSIVE s AS (SELECT p_partkey, a, p_brand || '/' || length(a) AS msa, row_number() OVER (PARTITION BY p_brand, length(a) ORDER BY p_partkey) AS i FROM ({ROW_SQL})
+WHERE 1 - (length(a) - length(replace(a, '-', ''))) / greatest(length(a), 1) >= 0.5),
+w AS (SELECT DISTINCT msa, CAST(0 AS BIGINT) AS i, CAST([] AS VARCHAR[]) AS kept, CAST(NULL AS BIGINT) AS p_partkey FROM s
+UNION ALL SELECT msa, i, CASE WHEN fresh THEN list_append(kept, a) ELSE kept END, CASE WHEN fresh THEN p_partkey END FROM (
+SELECT s.msa, s.i, s.a, s.p_partkey, w.kept, len(list_filter(w.kept, lambda k: len(list_filter(range(1, length(s.a) + 1), lambda j: k[j] = s.a[j] AND k[j] <> '-'))
+> CAST(0.9 AS DOUBLE) * greatest(len(list_filter(range(1, length(s.a) + 1), lambda j: k[j] <> '-' AND s.a[j] <> '-')), 1))) = 0 AS fresh FROM w JOIN s ON s.msa = w.msa AND s.i = w.i + 1))
+SELECT p_partkey, msa FROM w WHERE p_partkey IS NOT NULL""")
 def msa_redundancy(t: Tables):
     kept = msa.drop_redundant(rows(t).select("p_partkey", "msa", "row"), "msa", "row", "p_partkey", 0.5)
     return kept.select("p_partkey", "msa")
