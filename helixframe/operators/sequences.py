@@ -53,18 +53,22 @@ def global_rank(df: DataFrame, order: list[str], out: str, partitions: int | Non
     Rows are range-partitioned by ``order``; a partition's rows are numbered in
     it and shifted by the rows before it (one small aggregate a partition).
     """
-    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id())
+    return running_count(df, order, F.lit(1), out, partitions).withColumn(out, F.col(out) - 1)
+
+
+def running_count(df: DataFrame, order: list[str], step: Column, out: str, partitions: int | None = None) -> DataFrame:
+    """The sum of ``step`` up to each row, in ``order`` over all rows, from range partitions as in ``global_rank``."""
     from helixframe.session import materialize
 
-    ranged = materialize(ranged, "ranked")
-    counts = ranged.groupBy("_part").agg(F.count(F.lit(1)).alias("_n"))
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged = materialize(df.withColumn("_step", step).repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()), "ranked")
+    sums = ranged.groupBy("_part").agg(F.sum("_step").alias("_n"))
     # as many rows as partitions
-    before = counts.withColumn("_before", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-    local = F.row_number().over(Window.partitionBy("_part").orderBy(*order)) - 1
+    before = sums.select("_part", F.coalesce(F.sum("_n").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_before"))
+    local = F.sum("_step").over(Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow))
     return (
-        ranged.withColumn("_local", local).join(F.broadcast(before.select("_part", "_before")), "_part")
-        .withColumn(out, F.col("_local") + F.col("_before")).drop("_part", "_local", "_before")
+        ranged.withColumn("_local", local).join(F.broadcast(before), "_part")
+        .withColumn(out, F.col("_local") + F.col("_before")).drop("_part", "_step", "_local", "_before")
     )
 
 

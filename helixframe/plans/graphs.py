@@ -125,21 +125,10 @@ def canonical_string(t: Tables):
     return graph.canonical_strings(nodes, links)
 
 
-@query()
-def split_components(t: Tables):
-    """Components of part and supplier with the supplier's region as category, split for training and validation."""
-    labels, _ = graph.split_by_components(part_edges(t), "a", "b")
-    kinds = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
-        F.concat(F.lit("s"), F.lpad(F.col("s_suppkey").cast("string"), 9, "0")).alias("b"), F.concat(F.lit("r"), "n_regionkey").alias("region"))
-    rows = part_edges(t).join(labels.withColumnRenamed("node", "a"), "a").join(kinds, "b")
-    counts = materialize(rows.groupBy("component").pivot("region", [f"r{i}" for i in range(5)]).count().na.fill(0), "kinds")
-    return graph.split_train_valid(counts, [f"r{i}" for i in range(5)])
-
-
-def _walk_sql(kinds: str, ratio: float = 0.9, least: int = 100) -> str:
-    """SQL of the split of customers: the walk over free components, one a step."""
-    each = lambda f, sep=", ": sep.join(f(c.lower()) for c in kinds)
-    return f"""WITH RECURSIVE k AS (SELECT 'c' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS component, {", ".join(f"count_if(o_orderstatus = '{c}') AS {c.lower()}" for c in kinds)} FROM orders GROUP BY o_custkey),
+def _walk_sql(counts: str, kinds: list[str], ratio: float = 0.9, least: int = 100) -> str:
+    """SQL of a split: the walk over free components, one a step; ``counts`` defines k with a component and its kinds."""
+    each = lambda f, sep=", ": sep.join(map(f, kinds))
+    return f"""WITH RECURSIVE {counts},
 t AS (SELECT {each(lambda c: f"least(CAST(floor(sum({c}) * (1 - CAST({ratio} AS DOUBLE)) + 1e-9) AS BIGINT), {least}) AS keep_{c}")} FROM k),
 m AS (SELECT k.*, {each(lambda c: f"{c} > keep_{c}", " OR ")} AS must FROM k, t),
 free AS (SELECT *, row_number() OVER (ORDER BY {each(lambda c: c, " + ")}, component) AS i FROM m WHERE NOT must),
@@ -150,7 +139,27 @@ UNION ALL SELECT free.i, free.component, {each(lambda c: f"{c} <= room_{c}", " A
 SELECT component, 'train' AS split FROM m WHERE must UNION ALL SELECT component, CASE WHEN ok THEN 'train' ELSE 'valid' END FROM w WHERE i > 0"""
 
 
-@query(_walk_sql("FOP"))
+ORDERS_SQL = """k AS (SELECT 'c' || lpad(CAST(o_custkey AS VARCHAR), 9, '0') AS component,
+count_if(o_orderstatus = 'F') AS f, count_if(o_orderstatus = 'O') AS o, count_if(o_orderstatus = 'P') AS p FROM orders GROUP BY o_custkey)"""
+PARTS_SQL = f"""l AS (SELECT DISTINCT l_partkey AS part, l_suppkey AS supp FROM lineitem),
+e AS (SELECT DISTINCT x.supp AS a, y.supp AS b FROM l x JOIN l y ON x.part = y.part),
+r(n, m) AS (SELECT a, a FROM e UNION SELECT e.b, r.m FROM r JOIN e ON e.a = r.n),
+g AS (SELECT part, supp, 'p' || lpad(CAST(min(part) OVER (PARTITION BY low) AS VARCHAR), 9, '0') AS component FROM l JOIN (SELECT n, min(m) AS low FROM r GROUP BY n) ON n = supp),
+k AS (SELECT component, {", ".join(f"count_if(n_regionkey = {i}) AS r{i}" for i in range(5))} FROM g JOIN supplier ON s_suppkey = supp JOIN nation ON n_nationkey = s_nationkey GROUP BY 1)"""
+
+
+@query(_walk_sql(PARTS_SQL, [f"r{i}" for i in range(5)]))
+def split_components(t: Tables):
+    """Components of part and supplier with the supplier's region as category, split for training and validation."""
+    labels, _ = graph.split_by_components(part_edges(t), "a", "b")
+    kinds = t.supplier.join(t.nation, F.col("s_nationkey") == F.col("n_nationkey")).select(
+        F.concat(F.lit("s"), F.lpad(F.col("s_suppkey").cast("string"), 9, "0")).alias("b"), F.concat(F.lit("r"), "n_regionkey").alias("region"))
+    rows = part_edges(t).join(labels.withColumnRenamed("node", "a"), "a").join(kinds, "b")
+    counts = materialize(rows.groupBy("component").pivot("region", [f"r{i}" for i in range(5)]).count().na.fill(0), "kinds")
+    return graph.split_train_valid(counts, [f"r{i}" for i in range(5)])
+
+
+@query(_walk_sql(ORDERS_SQL, ["f", "o", "p"]))
 def split_customers(t: Tables):
     """Components of customers and their orders with the order's status as category, split for training and validation."""
     labels, _ = graph.split_by_components(edges(t), "a", "b")

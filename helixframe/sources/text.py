@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from helixframe.operators.sequences import running_count
+
 
 def list_files(spark: SparkSession, folder: str, pattern: str = "*") -> DataFrame:
     """``path, stem``: files below a folder that match the pattern."""
@@ -140,13 +142,21 @@ def parse_hmm_nodes(lines: DataFrame, keys: list[str], value: str = "value") ->
 
 
 def parse_clstr(lines: DataFrame, keys: list[str], ord_: str = "ord", value: str = "value") -> DataFrame:
-    """``keys..., representative, member`` of a cluster file; names lose ``_H3``/``_L3`` and representatives start with A."""
-    w = Window.partitionBy(*keys).orderBy(ord_).rowsBetween(Window.unboundedPreceding, Window.currentRow) if keys else Window.partitionBy(F.lit(0)).orderBy(ord_)
-    numbered = lines.withColumn("_c", F.sum(F.startswith(F.col(value), F.lit(">Cluster")).cast("int")).over(w))
-    rows = numbered.where(F.contains(F.col(value), F.lit(", >"))).withColumn("member", F.regexp_replace(F.regexp_extract(value, r">(.+?)\.\.\.", 1), "_[HL]3$", ""))
-    rows = rows.withColumn("_star", F.endswith(F.rtrim(value), F.lit("*")))
-    rep = F.max(F.when(F.col("_star"), F.col("member"))).over(Window.partitionBy(*keys, "_c"))
-    return rows.withColumn("_rep", rep).select(*keys, F.regexp_replace("_rep", "^P", "A").alias("representative"), "member")
+    """``keys..., representative, member`` of a cluster file; names lose ``_H3``/``_L3`` and representatives start with A.
+
+    Headings are counted over range partitions and a cluster's representative
+    is an aggregate, so neither a file nor a cluster has to fit in one task.
+    """
+    heading = F.startswith(F.col(value), F.lit(">Cluster")).cast("int")
+    numbered = running_count(lines, [*keys, ord_], F.coalesce(heading, F.lit(0)), "_c")
+    rows = numbered.where(F.contains(F.col(value), F.lit(", >"))).select(
+        *keys, "_c", F.regexp_replace(F.regexp_extract(value, r">(.+?)\.\.\.", 1), "_[HL]3$", "").alias("member"), F.endswith(F.rtrim(value), F.lit("*")).alias("_star"))
+    # a file starts a cluster of its own, also for lines in front of its first heading
+    found = rows.groupBy(*(F.col(k).alias(f"_k{i}") for i, k in enumerate(keys)), F.col("_c").alias("_d")).agg(F.max(F.when(F.col("_star"), F.col("member"))).alias("_rep"))
+    same = F.col("_c") == F.col("_d")
+    for i, k in enumerate(keys):
+        same &= F.col(k).eqNullSafe(F.col(f"_k{i}"))
+    return rows.join(found, same).select(*keys, F.regexp_replace("_rep", "^P", "A").alias("representative"), "member")
 
 
 def parse_pairs(lines: DataFrame, value: str = "value", keep: list[str] = ()) -> DataFrame:
