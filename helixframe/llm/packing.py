@@ -324,7 +324,7 @@ def pack_pieces(pieces: DataFrame, key: str = "doc_id", capacity: int = CAPACITY
     before = Window.partitionBy("length").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     starts = salted.groupBy("length", "_part").agg(F.count(F.lit(1)).alias("_n")).select(
         "length", "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
-    within = F.row_number().over(Window.partitionBy("length", "_part").orderBy(key, "piece")) - 1
+    within = F.row_number().over(Window.partitionBy("length", "_part").orderBy(key, "piece", "ids_crc32")) - 1
     # the plan's size depends on capacity alone (see plan_bins), not on the corpus
     return (
         salted.withColumn("_within", within).join(starts, ["length", "_part"])
