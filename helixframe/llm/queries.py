@@ -97,6 +97,17 @@ def op10_transport_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transport_columns(read_table(spark, sf_dir, "documents"))
 
 
+def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from helixframe.llm.secrets import BASE, scan
+
+    found = scan(read_table(spark, sf_dir, "documents"))
+    count = lambda kind: F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long")
+    joined = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    base = F.filter("spans", lambda s: s["kind"].isin([r.kind for r in BASE]))
+    return found.select("doc_id", *(count(r.kind).alias(f"n_{r.kind}") for r in BASE),
+                        F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
+
+
 def _tuned(query):
     """The query in a session whose Arrow batches have the size its tasks expect."""
 
@@ -118,6 +129,7 @@ QUERIES = {
     "op8_sharding": op8_sharding,
     "op9_quality": op9_quality,
     "op10_transport_stream": op10_transport_stream,
+    "op11_secret_scan": op11_secret_scan,
 }
 QUERIES = {name: _tuned(query) for name, query in QUERIES.items()}
 
@@ -201,7 +213,37 @@ SELECT docs.doc_id, CAST(n AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, c
 FROM docs LEFT JOIN spots ON spots.doc_id = docs.doc_id LEFT JOIN named ON named.doc_id = docs.doc_id
 """
 
+
+
+def _secret_sql() -> str:
+    """Matches and the pieces between them, rule by rule; a match starts behind the pieces and matches before it."""
+    from helixframe.llm.secrets import BASE, RULES as rules
+
+    quoted = lambda pattern: "'" + pattern.replace("'", "''") + "'"
+    of = "\nUNION ALL\n".join(f"""SELECT doc_id, {k} AS k, '{r.kind}' AS kind, {quoted(r.keep or r.pattern)} AS keep,
+  regexp_extract_all(text, {quoted(r.pattern)}) AS m, string_split_regex(text, {quoted(r.pattern)}) AS p
+FROM documents WHERE regexp_matches(text, {quoted(r.pattern)})""" for k, r in enumerate(rules))
+    named = "kind || ':' || s || ':' || (s + length(found))"
+    counts = ", ".join(f"count(*) FILTER (kind = '{r.kind}') AS n_{r.kind}" for r in BASE)
+    kinds = ", ".join(f"'{r.kind}'" for r in BASE)
+    return f"""
+WITH hits AS ({of}),
+each AS (SELECT doc_id, k, kind, keep, m, p, unnest(range(1, len(m) + 1)) AS i FROM hits),
+placed AS (
+  SELECT doc_id, k, kind, keep, m[i] AS found,
+    CAST(list_sum(list_transform(p[1:i], x -> length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], x -> length(x))), 0) AS BIGINT) AS s FROM each),
+spans AS (SELECT * FROM placed WHERE regexp_full_match(found, keep)),
+told AS (
+  SELECT doc_id, {counts}, string_agg({named}, ',' ORDER BY s, k) FILTER (kind IN ({kinds})) AS base, string_agg({named}, ',' ORDER BY s, k) AS spans
+  FROM spans GROUP BY doc_id)
+SELECT d.doc_id, {", ".join(f"coalesce(n_{r.kind}, 0) AS n_{r.kind}" for r in BASE)},
+  sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents d LEFT JOIN told ON told.doc_id = d.doc_id
+"""
+
+
 ORACLES = {
+    "op11_secret_scan": _secret_sql(),
     "op3_near_dedup": _NEAR_SQL,
     "op5_decontamination": _LEAKS_SQL,
     "op4_license_scan": _license_sql(),
