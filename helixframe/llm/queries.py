@@ -108,6 +108,12 @@ def op11_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.sha2(joined(base).cast("binary"), 256).alias("base_sha256"), joined(F.col("spans")).alias("spans"))
 
 
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from helixframe.llm.spelling import variant_groups, vocabulary
+
+    return variant_groups(vocabulary(read_table(spark, sf_dir, "documents"), slip_rate=97))
+
+
 def _tuned(query):
     """The query in a session whose Arrow batches have the size its tasks expect."""
 
@@ -130,6 +136,7 @@ QUERIES = {
     "op9_quality": op9_quality,
     "op10_transport_stream": op10_transport_stream,
     "op11_secret_scan": op11_secret_scan,
+    "op12_spelling_variants": op12_spelling_variants,
 }
 QUERIES = {name: _tuned(query) for name, query in QUERIES.items()}
 
@@ -231,7 +238,7 @@ WITH hits AS ({of}),
 each AS (SELECT doc_id, k, kind, keep, m, p, unnest(range(1, len(m) + 1)) AS i FROM hits),
 placed AS (
   SELECT doc_id, k, kind, keep, m[i] AS found,
-    CAST(list_sum(list_transform(p[1:i], x -> length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], x -> length(x))), 0) AS BIGINT) AS s FROM each),
+    CAST(list_sum(list_transform(p[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(m[1:i - 1], lambda x: length(x))), 0) AS BIGINT) AS s FROM each),
 spans AS (SELECT * FROM placed WHERE regexp_full_match(found, keep)),
 told AS (
   SELECT doc_id, {counts}, string_agg({named}, ',' ORDER BY s, k) FILTER (kind IN ({kinds})) AS base, string_agg({named}, ',' ORDER BY s, k) AS spans
@@ -242,7 +249,52 @@ FROM documents d LEFT JOIN told ON told.doc_id = d.doc_id
 """
 
 
+
+
+def _crc_sql(values: str) -> str:
+    """The unsigned crc32 of a list of bytes, beside ``crc_table``."""
+    return (f"xor(list_reduce({values}, lambda a, b: xor(a >> 8, t[CAST(xor(a, b) & 255 AS INT) + 1]), CAST(4294967295 AS UBIGINT)), "
+            "CAST(4294967295 AS UBIGINT))")
+
+
+_BIT = "CASE WHEN x & 1 = 1 THEN xor(x >> 1, CAST(3988292384 AS UBIGINT)) ELSE x >> 1 END"
+_CRC_TABLE = f"""crc_rounds(i, k, x) AS (
+  SELECT i, 0, CAST(i AS UBIGINT) FROM range(256) AS r(i) UNION ALL SELECT i, k + 1, {_BIT} FROM crc_rounds WHERE k < 8),
+crc_table AS (SELECT list(x ORDER BY i) AS t FROM crc_rounds WHERE k = 8)"""
+
+
+def _spelling_sql() -> str:
+    utf8 = ("flatten(list_transform(string_split(doc_id || ':' || run, ''), lambda c: CASE WHEN unicode(c) < 128 THEN [CAST(unicode(c) AS UBIGINT)] "
+            "ELSE [CAST(192 + (unicode(c) >> 6) AS UBIGINT), CAST(128 + (unicode(c) & 63) AS UBIGINT)] END))")
+    return f"""
+WITH RECURSIVE {_CRC_TABLE},
+found AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\u00C0-\u00FF]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run
+  FROM documents WHERE text IS NOT NULL),
+kept AS (SELECT doc_id, run, count(*) AS n FROM found GROUP BY ALL),
+hashed AS (SELECT run, n, {_crc_sql(utf8)} AS h FROM kept, crc_table WHERE length(run) >= 5),
+slipped AS (
+  SELECT CASE WHEN h % 97 = 0 THEN left(run, CAST(h % length(run) AS INT)) || substr(run, CAST(h % length(run) AS INT) + 2) ELSE run END AS word, n FROM hashed),
+words AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM slipped WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+cut AS (
+  SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS rest FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM words)),
+pairs AS (
+  SELECT a.word AS word, b.word AS near, b.n AS near_n FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT c.word, w.word, w.n FROM cut c JOIN words w ON w.word = c.rest
+  UNION SELECT w.word, c.word, c.n FROM cut c JOIN words w ON w.word = c.rest),
+best AS (SELECT word, count(*) AS n_near, max(near_n) AS near_n FROM pairs GROUP BY word),
+forms AS (
+  SELECT words.word, words.n, coalesce(n_near, 0) AS n_near, CASE WHEN best.near_n >= 2 * words.n THEN best.near_n END AS form_n,
+    CASE WHEN best.near_n >= 2 * words.n THEN (SELECT min(p.near) FROM pairs p WHERE p.word = words.word AND p.near_n = best.near_n) END AS form
+  FROM words LEFT JOIN best ON best.word = words.word),
+walk(word, last, k) AS (SELECT word, word, 0 FROM forms UNION ALL SELECT walk.word, forms.form, k + 1 FROM walk JOIN forms ON forms.word = walk.last WHERE forms.form IS NOT NULL),
+roots AS (SELECT word, max_by(last, k) AS root FROM walk GROUP BY word)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN roots USING (word)
+"""
+
+
 ORACLES = {
+    "op12_spelling_variants": _spelling_sql(),
     "op11_secret_scan": _secret_sql(),
     "op3_near_dedup": _NEAR_SQL,
     "op5_decontamination": _LEAKS_SQL,
