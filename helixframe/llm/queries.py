@@ -114,6 +114,12 @@ def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return variant_groups(vocabulary(read_table(spark, sf_dir, "documents"), slip_rate=97))
 
 
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from helixframe.llm.conversation_trie import prefix_trie, turn_rows, with_shared_heads
+
+    return prefix_trie(with_shared_heads(turn_rows(read_table(spark, sf_dir, "conversations"))))
+
+
 def _tuned(query):
     """The query in a session whose Arrow batches have the size its tasks expect."""
 
@@ -137,6 +143,7 @@ QUERIES = {
     "op10_transport_stream": op10_transport_stream,
     "op11_secret_scan": op11_secret_scan,
     "op12_spelling_variants": op12_spelling_variants,
+    "op13_conversation_trie": op13_conversation_trie,
 }
 QUERIES = {name: _tuned(query) for name, query in QUERIES.items()}
 
@@ -293,7 +300,41 @@ SELECT word, form, root, n, n_near, form_n FROM forms JOIN roots USING (word)
 """
 
 
+
+def _trie_sql() -> str:
+    digits = "list_transform(string_split(CAST(c AS VARCHAR), ''), lambda x: CAST(unicode(x) AS UBIGINT))"
+    return f"""
+WITH RECURSIVE {_CRC_TABLE},
+turns AS (
+  SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) - 1 AS p,
+    md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS t,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS tokens
+  FROM conversations WHERE conv_id IS NOT NULL),
+ids AS (SELECT c, c - c % 20 AS base, {_crc_sql(digits)} % 4 AS h FROM (SELECT DISTINCT c FROM turns), crc_table),
+rebuilt AS (
+  SELECT ids.c, 0 AS part, p, t, tokens FROM ids JOIN turns ON turns.c = base WHERE p < h
+  UNION ALL SELECT ids.c, 1, p, t, tokens FROM ids JOIN turns ON turns.c = ids.c WHERE p >= h),
+placed AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY part, p) AS d, t, tokens FROM rebuilt),
+paths AS (
+  SELECT c, d, string_agg(t, '') OVER (PARTITION BY c ORDER BY d ROWS UNBOUNDED PRECEDING) AS path, tokens FROM placed
+  UNION ALL SELECT c, 0, '', 0 FROM ids),
+lens AS (SELECT c, max(d) AS n FROM paths GROUP BY c),
+nodes AS (SELECT path, d, min(c) AS conv_id, count(*) AS n_convs, any_value(tokens) AS tokens FROM paths GROUP BY path, d),
+kids AS (SELECT left(path, 32 * (d - 1)) AS path, count(*) AS n_children FROM nodes WHERE d > 0 GROUP BY 1),
+full_nodes AS (SELECT nodes.*, coalesce(n_children, 0) AS n_children FROM nodes LEFT JOIN kids USING (path)),
+below AS (
+  SELECT left(path, 32 * CAST(a AS INT)) AS path, count(*) FILTER (n_children = 0) AS n_leaves, sum((n_convs - 1) * tokens) AS saved
+  FROM (SELECT *, unnest(range(0, d + 1)) AS a FROM full_nodes) GROUP BY 1),
+ends AS (SELECT path, string_agg(CAST(paths.c AS VARCHAR), ',' ORDER BY paths.c) AS list FROM paths JOIN lens ON lens.c = paths.c AND d = n GROUP BY path)
+SELECT f.conv_id, f.d AS depth, up.conv_id AS parent_conv_id, f.n_convs, f.n_children, n_leaves, CAST(saved AS BIGINT) AS saved_tokens,
+  sha256(coalesce(list, '')) AS ends_sha256
+FROM full_nodes f JOIN below ON below.path = f.path LEFT JOIN ends ON ends.path = f.path
+LEFT JOIN nodes up ON f.d > 0 AND up.path = left(f.path, 32 * CAST(f.d - 1 AS INT))
+"""
+
+
 ORACLES = {
+    "op13_conversation_trie": _trie_sql(),
     "op12_spelling_variants": _spelling_sql(),
     "op11_secret_scan": _secret_sql(),
     "op3_near_dedup": _NEAR_SQL,
