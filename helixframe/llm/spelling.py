@@ -26,35 +26,26 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from helixframe.llm.textbytes import settle
+from helixframe.llm.textbytes import LOWER, settle
 from helixframe.session import materialize
 
-UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
-_LOWER = str.maketrans(UPPER, UPPER.lower())
+RUNS = "[A-Za-zÀ-ÿ]+"
+#: Letters of a long text.
+LONG = 1 << 20
 #: Words of the largest list that is walked in one piece.
 LIST = 64
 #: Distinct words a task counts before it hands the counts on.
 HELD = 1 << 18
 
 
-def runs(pattern: str = "[A-Za-zÀ-ÿ]+"):
-    """Counts of a text's runs of letters, A-Z in lower case."""
-    find = re.compile(pattern).finditer
+def run_counts(text: str, pattern: re.Pattern) -> Counter:
+    """Counts of a text's runs, A-Z in lower case; a long text's runs are never held together."""
+    low = text.encode().translate(LOWER).decode()
+    return Counter(pattern.findall(low) if len(low) < LONG else map(methodcaller("group"), pattern.finditer(low)))
 
-    def count(text: str) -> Counter:
-        out: Counter = Counter()
-        for run, n in Counter(map(methodcaller("group"), find(text))).items():
-            out[run.translate(_LOWER)] += n
-        return out
 
-    return count
-
-
-def slip(key, run: str, rate: int) -> str:
-    """The run without one code point, where ``rate`` divides the hash of key and run; a stand-in for typing errors."""
-    h = zlib.crc32(f"{key}:{run}".encode())
-    if h % rate:
-        return run
+def slip(run: str, h: int) -> str:
+    """The run without one code point, which the hash names; a stand-in for typing errors."""
     at = h % len(run)
     return run[:at] + run[at + 1 :]
 
@@ -63,11 +54,12 @@ def vocabulary(docs: DataFrame, key: str = "doc_id", text: str = "text", least_l
     """``word, n`` of the words with ``least_length`` code points that occur ``least`` times.
 
     Counts are summed in the tasks before they are shuffled. Null and empty
-    texts have no words. ``slip_rate`` makes ``slip`` act on every run.
+    texts have no words. ``slip_rate``: where it divides the crc32 of
+    ``<key>:<run>``, the run loses a letter (``slip``).
     """
 
     def run(batches):
-        count, held = runs(), Counter()
+        pattern, held = re.compile(RUNS), Counter()
 
         def flush():
             words = pa.RecordBatch.from_arrays([pa.array(list(held), pa.string()), pa.array(list(held.values()), pa.int64())], ["word", "n"])
@@ -76,9 +68,12 @@ def vocabulary(docs: DataFrame, key: str = "doc_id", text: str = "text", least_l
 
         for batch in batches:
             for key, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                for w, n in count(text or "").items():
+                start = zlib.crc32(f"{key}:".encode())
+                for w, n in run_counts(text or "", pattern).items():
                     if len(w) >= least_length:
-                        held[slip(key, w, slip_rate) if slip_rate else w] += n
+                        if slip_rate and not (h := zlib.crc32(w.encode(), start)) % slip_rate:
+                            w = slip(w, h)
+                        held[w] += n
                 if len(held) >= HELD:
                     yield flush()
         yield flush()
