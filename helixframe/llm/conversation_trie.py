@@ -72,7 +72,8 @@ def with_shared_heads(rows: DataFrame, group: int = 20, most: int = 4) -> DataFr
 class _Shard:
     """Some whole conversations in order of their ids: turns, postings and end lists."""
 
-    def __init__(self):
+    def __init__(self, size: int, most: int):
+        self.size, self.most = size, most
         self.ids: list[int] = []
         self.turns: list[list[tuple[bytes, int]]] = []
         self.facts: list[tuple[int | None, bool]] = []
@@ -90,7 +91,7 @@ class _Shard:
             self.held += 1
 
     def full(self) -> bool:
-        return len(self.ids) >= SHARD or self.held >= SHARD_TURNS
+        return len(self.ids) >= self.size or self.held >= self.most
 
     def nodes(self):
         """``path, parent, depth, tokens, members, ended, place of the parent``, parents first."""
@@ -151,16 +152,16 @@ class _Shard:
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], ["path", "n_leaves", "saved_tokens", "owned_here"])
 
 
-def _by_shard(table):
+def _by_shard(table, size: int, most: int):
     """A task over rows ``conv, digest, tokens, top, leaf`` in order of conversations and turns."""
 
     def run(batches):
-        shard = _Shard()
+        shard = _Shard(size, most)
         for batch in batches:
             for conv, digest, tokens, top, leaf in zip(*(c.to_pylist() for c in batch.columns)):
                 if shard.full() and shard.ids[-1] != conv:
                     yield table(shard)
-                    shard = _Shard()
+                    shard = _Shard(size, most)
                 shard.add(conv, digest, tokens, top, leaf)
         if shard.ids:
             yield table(shard)
@@ -196,7 +197,7 @@ def _end_hashes(batches):
         yield table([(path, digest.hexdigest())])
 
 
-def prefix_trie(rows: DataFrame) -> DataFrame:
+def prefix_trie(rows: DataFrame, shard: int = SHARD, shard_turns: int = SHARD_TURNS) -> DataFrame:
     """The trie's nodes, one row each, from ``conv, at, digest, tokens``.
 
     A conversation's turns are its rows in order of ``at``; it must have one row
@@ -210,7 +211,7 @@ def prefix_trie(rows: DataFrame) -> DataFrame:
     rows = materialize(rows, "trie-rows")
     known = rows.select("*", F.lit(None).cast("long").alias("top"), F.lit(False).alias("leaf"))
     parts = materialize(_dealt(known).mapInArrow(
-        _by_shard(_Shard.counts), "path binary, parent binary, depth long, tokens long, n_convs long, conv_id long, ends binary"), "trie-parts")
+        _by_shard(_Shard.counts, shard, shard_turns), "path binary, parent binary, depth long, tokens long, n_convs long, conv_id long, ends binary"), "trie-parts")
     merged = parts.groupBy("path").agg(F.min("parent").alias("parent"), F.min("depth").alias("depth"), F.sum("n_convs").alias("n_convs"), F.min("conv_id").alias("conv_id"))
     merged = materialize(merged, "trie-nodes")
     children = merged.where("parent IS NOT NULL").groupBy(F.col("parent").alias("path")).agg(F.count("*").alias("n_children"))
@@ -218,7 +219,7 @@ def prefix_trie(rows: DataFrame) -> DataFrame:
     owners = nodes.groupBy(F.col("conv_id").alias("conv")).agg(F.min("depth").alias("top"), F.max(F.col("n_children") == 0).alias("leaf"))
     marks = rows.where("digest IS NULL").join(owners, "conv", "left").select(*rows.columns, "top", F.coalesce("leaf", F.lit(False)).alias("leaf"))
     sums = _dealt(marks.unionAll(known.where("digest IS NOT NULL"))).mapInArrow(
-        _by_shard(_Shard.sums), "path binary, n_leaves long, saved_tokens long, owned_here boolean")
+        _by_shard(_Shard.sums, shard, shard_turns), "path binary, n_leaves long, saved_tokens long, owned_here boolean")
     sums = sums.groupBy("path").agg(F.sum("n_leaves").alias("n_leaves"), F.sum("saved_tokens").alias("saved_tokens"), F.max("owned_here").alias("owned_here"))
     lists = parts.where("ends IS NOT NULL").repartition("path").sortWithinPartitions("path", "conv_id").select("path", "ends")
     ends = lists.mapInArrow(_end_hashes, "path binary, ends_sha256 string")

@@ -24,7 +24,6 @@ GRAMS = (1, 2, 3, 4)
 SLOTS = 1 << 16
 #: Training rows used, at most (about): a sample by hash, whatever the input's size.
 TRAIN_ROWS = 6_000
-MAX_LANGUAGES = 256
 SWITCH = 12.0
 #: A word's scores lie within this of its best.
 WORST = 12.0
@@ -116,8 +115,6 @@ def train(df: DataFrame, lang: str = "lang", text: str = "text", order: str = "d
     summed = picked.mapInArrow(_counts, "lang string, slot int, n double").groupBy("lang", "slot").agg(F.sum("n").alias("n")).toArrow()
     names, slot, n = summed["lang"].to_pylist(), summed["slot"].to_numpy(), summed["n"].to_numpy()
     languages = sorted(set(names))
-    if len(languages) > MAX_LANGUAGES:
-        raise ValueError(f"{len(languages)} languages; at most {MAX_LANGUAGES}")
     which = np.array([languages.index(x) for x in names], np.int64)
     table = np.zeros((SLOTS + SCRIPTS, max(len(languages), 1)))
     np.add.at(table, (slot.astype(np.int64), which), n)
@@ -181,7 +178,8 @@ def viterbi(scores: np.ndarray, rows: list[np.ndarray], switch: float = SWITCH)
     """The best language path of every text; all texts step together, longest first."""
     sizes = np.array([len(r) for r in rows], np.int64)
     order = np.argsort(-sizes, kind="stable")
-    paths = [np.zeros(n, np.uint8) for n in sizes]
+    kind = np.min_scalar_type(max(scores.shape[1] - 1, 0))
+    paths = [np.zeros(n, kind) for n in sizes]
     steps = int(sizes.max(initial=0))
     if not steps:
         return paths
@@ -189,10 +187,10 @@ def viterbi(scores: np.ndarray, rows: list[np.ndarray], switch: float = SWITCH)
     flat = np.concatenate([rows[i] for i in order])
     starts = np.cumsum(sizes[order]) - sizes[order]
     value = scores[flat[starts[: active[0]]]].copy()
-    ends = np.zeros(len(rows), np.uint8)
+    ends = np.zeros(len(rows), kind)
     # what the way back needs, in flat arrays: step after step, a row for each text still active
     at = np.concatenate([[0], np.cumsum(active)])
-    stays, bests = np.empty((int(at[-1]), scores.shape[1]), bool), np.empty(int(at[-1]), np.uint8)
+    stays, bests = np.empty((int(at[-1]), scores.shape[1]), bool), np.empty(int(at[-1]), kind)
     for t in range(1, steps):
         n = active[t]
         ends[n : active[t - 1]] = value[n : active[t - 1]].argmax(1)
@@ -203,7 +201,7 @@ def viterbi(scores: np.ndarray, rows: list[np.ndarray], switch: float = SWITCH)
         bests[at[t] : at[t + 1]] = best
         value = np.maximum(value, top) + scores[flat[starts[:n] + t]]
     ends[: active[-1]] = value.argmax(1)
-    out = np.zeros(len(flat), np.uint8)
+    out = np.zeros(len(flat), kind)
     state = ends.copy()
     for t in range(steps - 1, -1, -1):
         n = active[t]
@@ -221,7 +219,7 @@ def paths(scores: np.ndarray, rows: list[np.ndarray], switch: float) -> Iterator
     """Rows with their best paths, as many texts at a time as the memory for the way back allows."""
     part: list[np.ndarray] = []
     for row in rows:
-        if part and (sum(map(len, part)) + len(row)) * (scores.shape[1] + 1) > PATH_BYTES:
+        if part and (sum(map(len, part)) + len(row)) * (scores.shape[1] + (1 if scores.shape[1] <= 256 else 2)) > PATH_BYTES:
             yield from zip(part, viterbi(scores, part, switch))
             part = []
         part.append(row)

@@ -17,8 +17,6 @@ from pyspark.sql import functions as F
 from helixframe.operators.components import connected_components
 from helixframe.session import materialize
 
-#: Parts that a host's rows are dealt over.
-SALTS = 16
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -47,30 +45,36 @@ def rules_table(spark: SparkSession, rules: list[tuple[str, str, str]]) -> DataF
     return spark.range(1).select(F.inline(rows))
 
 
-def match_rules(urls: DataFrame, rules: DataFrame, host: str = "host", path: str = "path") -> DataFrame:
-    """Adds ``rule`` and ``rule_verdict`` (null without a fitting rule).
+def _placed(urls: DataFrame, host: Column, path: Column) -> DataFrame:
+    """``row, host, path``: the caller's columns stay together in ``row``, so none can clash."""
+    return urls.select(F.struct("*").alias("row"), host.alias("host"), path.alias("path"))
+
+
+def _ruled(placed: DataFrame, rules: DataFrame) -> DataFrame:
+    """Adds ``rule`` and ``own`` (its verdict) to placed rows.
 
-    The rules are joined to the distinct hosts, each exploded into as many
-    domain suffixes as the longest rule has labels, so a hot host is looked up
-    once; the result goes back to the rows by host and salt, so a hot host's
-    rows are dealt over several tasks.
+    Each distinct (host, path) is looked up once: its host is exploded into as
+    many domain suffixes as the longest rule has labels, its path into prefixes
+    of the lengths that the rules of such a suffix have, and both together meet
+    the rules by equality. A host may have any number of rules.
     """
+    rules = rules.select("rule_host", "rule_path", "verdict").where("rule_host IS NOT NULL AND rule_path IS NOT NULL")
     labels = rules.agg(F.max(F.size(F.split("rule_host", r"\."))).alias("n")).first()["n"] or 0
-    ends = F.array_distinct(F.array(*(F.substring_index("_h", ".", -i) for i in range(1, max(labels, 1) + 1))))
-    suffixes = urls.select(F.col(host).alias("_h")).distinct().select("_h", F.explode(ends).alias("rule_host"))
+    ends = F.array_distinct(F.array(*(F.substring_index("host", ".", -i) for i in range(1, max(labels, 1) + 1))))
+    lengths = rules.select("rule_host", F.length("rule_path").alias("_n")).distinct()
+    probes = placed.select("host", "path").distinct().select("host", "path", F.explode(ends).alias("rule_host"))
+    probes = probes.join(lengths, "rule_host").where(F.col("_n") <= F.length("path")).select("host", "path", "rule_host", F.expr("left(path, _n)").alias("rule_path"))
     rule = F.concat("rule_host", "rule_path")
-    per_host = (
-        suffixes.join(rules, "rule_host")
-        .groupBy("_h")
-        .agg(F.collect_set(F.struct(F.length(rule).alias("n"), (F.col("verdict") == "allow").alias("allow"), rule.alias("rule"), "verdict", "rule_path")).alias("_rules"))
-    )
-    per_host = per_host.withColumn("_s", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salt = F.pmod(F.xxhash64(path, *[c for c in urls.columns if c not in (host, path)]), F.lit(SALTS)).cast("int")
-    joined = urls.withColumn("_u", salt).join(per_host, (F.col(host) == F.col("_h")) & (F.col("_u") == F.col("_s")), "left")
-    best = F.array_max(F.filter("_rules", lambda r: F.startswith(F.col(path), r["rule_path"])))
-    return joined.withColumn("_best", best).select(
-        *urls.columns, F.col("_best.rule").alias("rule"), F.col("_best.verdict").alias("rule_verdict")
-    )
+    best = F.max(F.struct(F.length(rule).alias("n"), (F.col("verdict") == "allow").alias("allow"), rule.alias("rule"), "verdict")).alias("best")
+    hits = probes.join(rules, ["rule_host", "rule_path"]).groupBy("host", "path").agg(best)
+    return placed.join(hits, ["host", "path"], "left").select("row", "host", "path", F.col("best.rule").alias("rule"), F.col("best.verdict").alias("own"))
+
+
+def match_rules(urls: DataFrame, rules: DataFrame, host: str = "host", path: str = "path") -> DataFrame:
+    """Adds ``rule`` and ``rule_verdict`` (null without a fitting rule), in place of columns of these names."""
+    kept = [c for c in urls.columns if c not in ("rule", "rule_verdict")]
+    found = _ruled(_placed(urls, F.col(host), F.col(path)), rules)
+    return found.select(*(F.col("row")[c].alias(c) for c in kept), "rule", F.col("own").alias("rule_verdict"))
 
 
 def resolve(url: Column, target: Column) -> Column:
@@ -132,20 +136,16 @@ def judge_urls(pages: DataFrame, rules: DataFrame, redirects: DataFrame | None =
     if redirects is not None:
         more = redirects.select(url_node(F.col("src")).alias("src"), url_node(F.col("dst")).alias("dst")).where("src <> dst")
         edges = more if edges is None else edges.unionAll(more)
-    rows = pages.select(*keep).withColumns({"host": url_host(F.col(url)), "path": url_path(F.col(url))})
-    judged = match_rules(rows, rules)
+    judged = _ruled(_placed(pages.select(*keep), url_host(F.col(url)), url_path(F.col(url))), rules)
+    columns = [*(F.col("row")[c].alias(c) for c in keep), "host", "path", "rule"]
     if edges is None:
-        return judged.select(*keep, "host", "path", "rule", F.coalesce("rule_verdict", F.lit("allow")).alias("verdict"))
+        return judged.select(*columns, F.coalesce("own", F.lit("allow")).alias("verdict"))
     edges = materialize(edges.distinct(), "url-edges")
     groups = connected_components(edges)
-    nodes = groups.withColumns({"host": url_host(F.col("node")), "path": url_path(F.col("node"))})
     decided = (
-        match_rules(nodes, rules).where("rule is not null").groupBy("component")
-        .agg(F.when(F.max(F.col("rule_verdict") == "allow"), "allow").otherwise("block").alias("_passed"))
-    )
-    aliases = groups.join(decided, "component").select(F.col("node").alias("_node"), "_passed")
-    return (
-        judged.withColumn("_node0", url_node(F.col(url)))
-        .join(aliases, F.col("_node0") == F.col("_node"), "left")
-        .select(*keep, "host", "path", "rule", F.coalesce("rule_verdict", "_passed", F.lit("allow")).alias("verdict"))
+        _ruled(_placed(groups, url_host(F.col("node")), url_path(F.col("node"))), rules).where("rule is not null").groupBy("row.component")
+        .agg(F.when(F.max(F.col("own") == "allow"), "allow").otherwise("block").alias("passed"))
     )
+    aliases = groups.join(decided, "component").select("node", "passed")
+    named = judged.withColumn("node", url_node(F.col("row")[url]))
+    return named.join(aliases, "node", "left").select(*columns, F.coalesce("own", "passed", F.lit("allow")).alias("verdict"))
