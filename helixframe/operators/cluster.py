@@ -79,20 +79,22 @@ def candidate_pairs(seqs: DataFrame, key: str, sequence: str, cover: float, k: i
 
     A sequence's k-mers are ordered from rare to common. Two sequences with
     ``least_shared`` common k-mers have the first of these among all but the
-    last ``least_shared - 1`` of both lists, so only those are joined, and the
-    pair is taken where that first one meets.
+    last ``least_shared - 1`` of both lists, so only those are joined, with ids
+    and lengths alone; lists and sequences are fetched once for each pair left.
     """
     words = _kmers(seqs, key, sequence, k)
     ranked = words.join(words.groupBy("w").agg(F.count(F.lit(1)).alias("_n")), "w")
     lists = ranked.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("_n", "w"))).alias("ws")).where(F.size("ws") >= least_shared)
-    lists = lists.join(seqs.select(F.col(key).alias("id"), F.col(sequence).alias("s")), "id")
+    texts = seqs.select(F.col(key).alias("id"), F.col(sequence).alias("s"))
+    lists = materialize(lists.join(texts.select("id", F.length("s").alias("len")), "id"), "kmers")
     head = F.filter(F.slice("ws", F.lit(1), F.size("ws") - (max(least_shared, 1) - 1)), lambda x: x["_n"] > 1)
-    rows = materialize(lists.select("id", "s", F.col("ws.w").alias("ws"), F.explode(head).alias("h")).select("id", "s", "ws", "h._n", "h.w"), "kmers")
-    met = _meet(rows, ["s", "ws"], hot).where(F.least(F.length("s1"), F.length("s2")) >= cover * F.greatest(F.length("s1"), F.length("s2")))
-    common = F.array_intersect("ws1", "ws2")
-    met = met.where((F.size(common) >= least_shared) & (F.element_at(common, 1) == F.col("w")))
-    low = F.col("id1") < F.col("id2")
-    return met.select(F.least("id1", "id2").alias("id1"), F.greatest("id1", "id2").alias("id2"), F.when(low, F.col("s1")).otherwise(F.col("s2")).alias("_a"), F.when(low, F.col("s2")).otherwise(F.col("s1")).alias("_b"))
+    rows = lists.select("id", "len", F.explode(head).alias("h")).select("id", "len", "h._n", "h.w")
+    met = _meet(rows, ["len"], hot).where(F.least("len1", "len2") >= cover * F.greatest("len1", "len2"))
+    met = met.select(F.least("id1", "id2").alias("id1"), F.greatest("id1", "id2").alias("id2")).distinct()
+    side = lambda frame, i, c, out: frame.select(F.col("id").alias(f"id{i}"), F.col(c).alias(out))
+    met = met.join(side(lists, 1, "ws.w", "ws1"), "id1").join(side(lists, 2, "ws.w", "ws2"), "id2")
+    met = met.where(F.size(F.array_intersect("ws1", "ws2")) >= least_shared).select("id1", "id2")
+    return met.join(side(texts, 1, "s", "_a"), "id1").join(side(texts, 2, "s", "_b"), "id2").select("id1", "id2", "_a", "_b")
 
 
 def align(a: str, b: str, match: int = 2, mismatch: int = -1, open_: int = -5, extend: int = -1) -> tuple[str, str]:
@@ -272,13 +274,13 @@ def greedy_clusters(seqs: DataFrame, key: str, sequence: str, links: DataFrame)
 
 
 def extract_ranges(numbered: DataFrame, spark_ranges: DataFrame, key: str, number: str, residue: str) -> tuple[DataFrame, DataFrame]:
-    """``key, region, sequence`` of the residues whose number is in a region, and keys without any.
+    """``key, region, sequence`` of the residues whose number is in a region, and keys without any; gaps and unknown residues (X) are none.
 
     ``spark_ranges(region, first, last)`` is a table of regions of whole numbers; it is joined
     number by number, so there may be any number of them.
     """
     numbers = spark_ranges.where("first <= last").select("region", F.explode(F.sequence(F.col("first").cast("long"), F.col("last").cast("long"))).alias("_at"))
-    inside = numbered.where(F.col(residue) != "-").join(numbers, F.col(number).cast("long") == F.col("_at")).drop("_at")
+    inside = numbered.where(~F.col(residue).isin("-", "X")).join(numbers, F.col(number).cast("long") == F.col("_at")).drop("_at")
     from helixframe.operators.sequences import ordered_join
 
     found = ordered_join(inside, [key, "region"], [number], residue, "sequence")
