@@ -152,20 +152,71 @@ def resolve_altlocs(atoms: DataFrame, model_keys: list[str], atom_keys: list[str
 
 
 def full_length(scheme: DataFrame, comp_atoms: DataFrame, observed: DataFrame, chain: list[str], residue: str, comp: str = "comp_id",
-                atom: str = "atom_id", values: tuple[str, ...] = ("x", "y", "z")) -> DataFrame:
+                atom: str = "atom_id", values: tuple[str, ...] = ("x", "y", "z"), order: str | None = None, by: tuple[str, ...] = ()) -> DataFrame:
     """Every scheme residue with all atoms of its component; observed values filled in, others null.
 
-    ``scheme`` has an array ``comp_ids``; the observed component counts, else
-    the first. The component is decided before atoms are joined.
+    ``scheme`` has an array ``comp_ids``; the component observed first (by
+    ``order``, the file's; without it the smallest name) counts, else the first
+    listed. It is decided before atoms are joined. ``by`` names further keys of
+    ``comp_atoms``, such as the entry. Atoms of other observed components are in
+    ``other_components``.
     """
-    seen = observed.groupBy(*chain, residue).agg(F.min(comp).alias("_seen"))
+    seen = observed.groupBy(*chain, residue).agg((F.min_by(comp, order) if order else F.min(comp)).alias("_seen"))
     chosen = scheme.join(seen, [*chain, residue], "left").withColumn(
         comp, F.when(F.array_contains("comp_ids", F.col("_seen")), F.col("_seen")).otherwise(F.element_at("comp_ids", 1))).drop("_seen")
-    atoms = chosen.join(comp_atoms, comp)
+    atoms = chosen.join(comp_atoms, [*by, comp])
     have = observed.select(*chain, residue, comp, atom, *values)
     return atoms.join(have, [*chain, residue, comp, atom], "left")
 
 
+def other_components(scheme: DataFrame, observed: DataFrame, chain: list[str], residue: str, order: str, comp: str = "comp_id") -> DataFrame:
+    """``chain..., residue, comp``: observed components that the scheme lists, but that aren't the residue's first in ``order``.
+
+    ``full_length`` leaves their atoms out, so they belong in a quarantine.
+    """
+    first = observed.groupBy(*chain, residue).agg(F.min_by(comp, order).alias("_seen"))
+    seen = observed.select(*chain, residue, comp).distinct().join(first, [*chain, residue]).join(scheme.select(*chain, residue, "comp_ids"), [*chain, residue])
+    chosen = F.when(F.array_contains("comp_ids", F.col("_seen")), F.col("_seen")).otherwise(F.element_at("comp_ids", 1))
+    return seen.where(F.array_contains("comp_ids", F.col(comp)) & (F.col(comp) != chosen)).select(*chain, residue, comp)
+
+
+def entity_residues(rows: DataFrame, keys: list[str], number: str, comp: str, hetero: str, order: str) -> DataFrame:
+    """``keys..., seq_num, comp_ids, hetero``: an entity's components by number, in the file's order; hetero if one of them is."""
+    return residue_scheme(rows, keys, number, comp, hetero, order).select(*keys, F.col(number).alias("seq_num"), "comp_ids", "hetero")
+
+
+def entity_violations(chains: DataFrame, residues: DataFrame, keys: list[str], chain: list[str], exempt: Column | None = None) -> DataFrame:
+    """``chain..., check, value``: what chains have and their entities don't: ``hetero``, ``component`` and ``number``.
+
+    ``chains`` are scheme residues (``chain``, ``keys`` of the entity,
+    ``cif_idx``, ``comp_ids``, ``hetero``), ``residues`` the entities' own
+    (``seq_num``, ``comp_ids``, ``hetero``). Each is one set check over the whole
+    entity. Rows where ``exempt`` holds (water) are not checked.
+    """
+    rows = chains if exempt is None else chains.where(~F.coalesce(exempt, F.lit(False)))
+    sides = {"hetero": ("hetero", "hetero"), "component": (F.explode("comp_ids"), F.explode("comp_ids")), "number": ("cif_idx", "seq_num")}
+    whole = None
+    for check, (mine, theirs) in sides.items():
+        pick = lambda df, c, ks: df.select(*ks, (F.col(c) if isinstance(c, str) else c).alias("value")).withColumn("value", F.col("value").cast("string")).distinct()
+        bad = subset_violations(pick(rows, mine, [*chain, *[k for k in keys if k not in chain]]), pick(residues, theirs, keys), keys, "value")
+        bad = bad.select(*chain, F.lit(check).alias("check"), "value")
+        whole = bad if whole is None else whole.unionByName(bad)
+    return whole
+
+
+def entity_codes(code: Column, canonical: Column) -> tuple[Column, Column]:
+    """One-letter codes and canonical ones, as arrays of one length.
+
+    Codes are letters; where their number differs from the canonical ones',
+    parenthesised names count as one, and if it still differs (or there are no
+    canonical ones) the canonical codes are the same with X for such names.
+    """
+    plain = lambda c: F.regexp_extract_all(F.regexp_replace(c, r"[\r\n]", ""), F.lit(r"(?s)(.)"), F.lit(1))
+    letters, theirs, names = plain(code), plain(canonical), F.regexp_extract_all(F.regexp_replace(code, r"[\r\n]", ""), F.lit(r"(?s)(\(.*?\)|.)"), F.lit(1))
+    same, named = F.size(letters) == F.size(theirs), F.size(names) == F.size(theirs)
+    return F.when(same, letters).otherwise(names), F.when(same | named, theirs).otherwise(F.transform(names, lambda n: F.when(n.contains("("), "X").otherwise(n)))
+
+
 def outside_scheme(scheme: DataFrame, observed: DataFrame, chain: list[str], residue: str, comp: str = "comp_id") -> DataFrame:
     """``chain..., residue, comp``: observed components that their residue's ``comp_ids`` don't list, or whose residue is in no scheme.
 

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from helixframe import sinks
 from helixframe.operators import normalize, spatial
 from helixframe.session import materialize
 
@@ -36,21 +37,28 @@ def entries(long: DataFrame) -> DataFrame:
 
 
 def schemes(long: DataFrame) -> DataFrame:
-    """``entry_id, asym_id, entity_id, auth_idx, comp_ids, hetero, res_ord`` of polymer, non-polymer and branched chains."""
+    """``entry_id, asym_id, entity_id, auth_idx, comp_ids, hetero, res_ord, cif_idx`` of polymer, non-polymer and branched chains.
+
+    ``cif_idx`` is the row's own number, or its place in the chain where it has none.
+    """
     whole = None
     for category, number, index in (("_pdbx_poly_seq_scheme", "pdb_seq_num", "seq_id"), ("_pdbx_nonpoly_scheme", "pdb_seq_num", None), ("_pdbx_branch_scheme", "pdb_seq_num", "num")):
         rows = normalize.pivot_category(long, category, ["asym_id", "entity_id", "mon_id", number, "pdb_ins_code", "hetero", *([index] if index else [])])
-        rows = rows.select("entry_id", "asym_id", "entity_id", "row_ord", F.col("mon_id").alias("comp_id"),
+        place = F.col(index) if index else F.row_number().over(Window.partitionBy("entry_id", "asym_id").orderBy("row_ord")).cast("string")
+        rows = rows.select("entry_id", "asym_id", "entity_id", "row_ord", F.col("mon_id").alias("comp_id"), place.alias("cif_idx"),
                            normalize.auth_index(F.col(number), F.col("pdb_ins_code")).alias("auth_idx"), F.coalesce(F.lower("hetero").isin("y", "yes"), F.lit(False)).alias("hetero"))
         whole = rows if whole is None else whole.unionByName(rows)
-    return normalize.residue_scheme(normalize.drop_unknown(whole, "comp_id", ["UNL"]), ["entry_id", "asym_id", "entity_id"], "auth_idx", "comp_id", "hetero", "row_ord")
+    whole = normalize.drop_unknown(whole, "comp_id", ["UNL"])
+    keys = ["entry_id", "asym_id", "entity_id"]
+    first = whole.groupBy(*keys, "auth_idx").agg(F.min_by("cif_idx", "row_ord").alias("cif_idx"))
+    return normalize.residue_scheme(whole, keys, "auth_idx", "comp_id", "hetero", "row_ord").join(first, [*keys, "auth_idx"])
 
 
 def observed_atoms(long: DataFrame) -> DataFrame:
     """Atom rows without hydrogens and unknown residues, numbers cast."""
     rows = normalize.pivot_category(long, "_atom_site", ATOM_ITEMS)
     rows = rows.select(
-        "entry_id", F.col("label_asym_id").alias("asym_id"), F.col("pdbx_PDB_model_num").alias("model_id"), F.col("label_alt_id").alias("alt_id"), "auth_seq_id",
+        "entry_id", "row_ord", F.col("label_asym_id").alias("asym_id"), F.col("pdbx_PDB_model_num").alias("model_id"), F.col("label_alt_id").alias("alt_id"), "auth_seq_id",
         F.col("pdbx_PDB_ins_code").alias("ins_code"), F.col("Cartn_x").alias("x"), F.col("Cartn_y").alias("y"), F.col("Cartn_z").alias("z"), "occupancy",
         F.col("B_iso_or_equiv").alias("b_factor"), F.col("label_atom_id").alias("atom_id"), F.col("type_symbol").alias("element"), F.col("label_comp_id").alias("comp_id"), "auth_asym_id")
     return normalize.atom_sites(normalize.drop_unknown(rows.withColumn("alt_id", F.coalesce("alt_id", F.lit("."))), "comp_id"))
@@ -71,7 +79,7 @@ def molecule_atoms(atoms: DataFrame, scheme: DataFrame, comp_atoms: DataFrame) -
     views = picked.select("entry_id", "asym_id", "model_id", "target").distinct()
     wanted = scheme.join(views, ["entry_id", "asym_id"])
     return normalize.full_length(wanted, comp_atoms, picked, ["entry_id", "asym_id", "model_id", "target"], "auth_idx",
-                                 values=("x", "y", "z", "occupancy", "b_factor"))
+                                 values=("x", "y", "z", "occupancy", "b_factor"), order="row_ord", by=tuple(c for c in ("entry_id",) if c in comp_atoms.columns))
 
 
 def assemblies(long: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -103,15 +111,83 @@ def expand(full: DataFrame, rows: DataFrame, opers: DataFrame, atoms: DataFrame)
     })
 
 
+def entity_rows(long: DataFrame) -> DataFrame:
+    """``entry_id, entity_id, seq_num, comp_ids, hetero`` of polymer, branched and non-polymer entities."""
+    flag = F.coalesce(F.lower("hetero").isin("y", "yes"), F.lit(False)).alias("hetero")
+    keys = ["entry_id", "entity_id"]
+    poly = normalize.pivot_category(long, "_entity_poly_seq", ["entity_id", "num", "mon_id", "hetero"]).select(*keys, "num", F.col("mon_id").alias("comp_id"), flag, "row_ord")
+    branch = normalize.pivot_category(long, "_pdbx_entity_branch_list", ["entity_id", "num", "comp_id", "hetero"]).select(*keys, "num", "comp_id", flag, "row_ord")
+    other = normalize.pivot_category(long, "_pdbx_entity_nonpoly", ["entity_id", "comp_id"]).select(*keys, F.lit("1").alias("num"), "comp_id", F.lit(False).alias("hetero"), "row_ord")
+    return normalize.entity_residues(poly.unionByName(branch).unionByName(other), keys, "num", "comp_id", "hetero", "row_ord")
+
+
+def entity_links(long: DataFrame) -> DataFrame:
+    """``entry_id, entity_id, num_1, num_2`` of branched entities with atoms, leaving atoms, components and bond; the last row of two numbers counts."""
+    items = ["entity_id", "entity_branch_list_num_1", "entity_branch_list_num_2", *(f"{n}_{k}" for n in ("comp_id", "atom_id", "leaving_atom_id") for k in (1, 2)), "value_order"]
+    rows = normalize.pivot_category(long, "_pdbx_entity_branch_link", items)
+    rest = [i for i in items[1:] if "list_num" not in i]
+    last = rows.groupBy("entry_id", "entity_id", F.col("entity_branch_list_num_1").alias("num_1"), F.col("entity_branch_list_num_2").alias("num_2")).agg(F.max_by(F.struct(*rest), "row_ord").alias("_l"))
+    return last.select("entry_id", "entity_id", "num_1", "num_2", "_l.*")
+
+
 def entities(long: DataFrame) -> DataFrame:
-    """``entry_id, entity_id, kind, poly_type, letters, descriptor``: polymer, branched and other entities."""
+    """``entry_id, entity_id, kind, poly_type, entity_type, letters, letters_can, descriptor``.
+
+    A polymer's type and descriptor are its polymer type; a branched entity's
+    descriptor is its first; another's is its component. Letters are X, one a
+    number, where there is no code.
+    """
     base = normalize.pivot_category(long, "_entity", ["id", "type", "pdbx_description"]).select(
         "entry_id", F.col("id").alias("entity_id"), F.col("type").alias("kind"), F.col("pdbx_description").alias("description"))
-    poly = normalize.pivot_category(long, "_entity_poly", ["entity_id", "type", "pdbx_seq_one_letter_code"]).select(
-        "entry_id", "entity_id", F.col("type").alias("poly_type"), normalize.one_letter_tokens(F.regexp_replace("pdbx_seq_one_letter_code", r"[\s;]+", "")).alias("letters"))
-    branch = normalize.pivot_category(long, "_pdbx_entity_branch_descriptor", ["entity_id", "descriptor", "type"]).groupBy("entry_id", "entity_id").agg(F.min_by("descriptor", F.struct("type", "descriptor")).alias("descriptor"))
-    known = base.join(poly, ["entry_id", "entity_id"], "full_outer").join(branch, ["entry_id", "entity_id"], "left")
-    return known.withColumn("kind", F.coalesce("kind", F.when(F.col("poly_type").isNotNull(), "polymer")))
+    code, canonical = normalize.entity_codes(F.col("pdbx_seq_one_letter_code"), F.col("pdbx_seq_one_letter_code_can"))
+    poly = normalize.pivot_category(long, "_entity_poly", ["entity_id", "type", "pdbx_seq_one_letter_code", "pdbx_seq_one_letter_code_can"]).select(
+        "entry_id", "entity_id", F.col("type").alias("poly_type"), code.alias("_code"), canonical.alias("_can"))
+    branch = normalize.pivot_category(long, "_pdbx_entity_branch_descriptor", ["entity_id", "descriptor", "type"]).groupBy("entry_id", "entity_id").agg(F.min_by("descriptor", F.struct("type", "descriptor")).alias("_branch"))
+    size = entity_rows(long).groupBy("entry_id", "entity_id").agg(F.count("*").cast("int").alias("_n"), F.min(F.element_at("comp_ids", 1)).alias("_comp"))
+    keys = ["entry_id", "entity_id"]
+    known = base.join(poly, keys, "full_outer").join(branch, keys, "left").join(size, keys, "left")
+    kind = F.coalesce("kind", F.when(F.col("poly_type").isNotNull(), "polymer"))
+    crossed = F.when(F.col("_n").isNotNull() & (kind != "water"), F.array_repeat(F.lit("X"), F.col("_n")))
+    return known.withColumn("kind", kind).select(
+        *keys, "kind", "poly_type", F.coalesce("poly_type", "kind").alias("entity_type"), F.coalesce("_code", crossed).alias("letters"), F.coalesce("_can", crossed).alias("letters_can"),
+        F.when(F.col("kind") == "branched", F.coalesce("_branch", F.lit(""))).when(F.col("poly_type").isNotNull(), F.col("poly_type")).otherwise(F.col("_comp")).alias("descriptor"), "description")
+
+
+def chain_entities(scheme: DataFrame, entity: DataFrame) -> DataFrame:
+    """``entry_id, asym_id, entity_id, entity_type, letters, letters_can, descriptor`` of every chain; water has one X a residue."""
+    size = scheme.groupBy("entry_id", "asym_id", "entity_id").agg(F.count("*").cast("int").alias("_n"))
+    crossed = F.array_repeat(F.lit("X"), F.col("_n"))
+    letters = lambda c: F.when(F.col("kind") == "water", crossed).otherwise(F.col(c)).alias(c)
+    return size.join(entity, ["entry_id", "entity_id"], "left").select("entry_id", "asym_id", "entity_id", "entity_type", letters("letters"), letters("letters_can"), "descriptor")
+
+
+# fixed values: item names of a component's atoms in the structure file format
+LOCAL_ITEMS = {"element": "type_symbol", "charge": "charge", "aromatic": "pdbx_aromatic_flag", "stereo": "pdbx_stereo_config"}
+
+
+def entry_components(long: DataFrame, scheme: DataFrame, comp_atoms: DataFrame) -> DataFrame:
+    """``entry_id`` and the columns of ``comp_atoms``: the entry's own values over the dictionary's, field by field.
+
+    A component whose number of heavy atoms differs in the entry is the
+    dictionary's wholesale; one that only the entry describes is the entry's.
+    """
+    used = scheme.select("entry_id", F.explode("comp_ids").alias("comp_id")).distinct()
+    default = used.join(comp_atoms, "comp_id")
+    values = [c for c in LOCAL_ITEMS if c in comp_atoms.columns]
+    items = {c: LOCAL_ITEMS[c] for c in values} | {"element": "type_symbol"}
+    rows = normalize.pivot_category(long, "_chem_comp_atom", ["comp_id", "atom_id", *dict.fromkeys(items.values())])
+    rows = rows.where(~F.coalesce(F.col("type_symbol").isin("H", "D"), F.lit(False)))
+    given = lambda c: F.when(~F.col(items[c]).isin("?", "."), F.col(items[c])).alias(c)
+    local = rows.select("entry_id", "comp_id", "atom_id", "row_ord", *(given(c) for c in values))
+    keys, count = ["entry_id", "comp_id"], lambda df, n: df.groupBy("entry_id", "comp_id").agg(F.count("*").alias(n))
+    local = local.join(count(local, "_local"), keys)
+    sized = default.join(count(default, "_own"), keys)
+    merged = normalize.local_over_default(local, sized, [*keys, "atom_id"], values, ("_local", "_own")).drop("_own")
+    alone = local.join(default.select(*keys).distinct(), keys, "left_anti").join(used, keys, "left_semi")
+    first = F.min("row_ord").over(Window.partitionBy(*keys))
+    types = dict(comp_atoms.dtypes)
+    alone = alone.select("entry_id", *((F.col("row_ord") - first).cast(types[c]).alias(c) if c == "atom_ord" else (F.col(c) if c in local.columns else F.lit(None)).cast(types[c]).alias(c) for c in comp_atoms.columns))
+    return merged.select("entry_id", *comp_atoms.columns).unionByName(alone)
 
 
 def connections(long: DataFrame) -> DataFrame:
@@ -152,13 +228,15 @@ def build(long: DataFrame, comp_atoms: DataFrame, radius: float = 6.0, most: int
     its bonds. Entries without assemblies have no molecules. Edges are those of
     neighbours in a polymer, branch links, the file's connections and, between
     atoms, the components' own bonds. The quarantine holds chains with several
-    author ids and observed components that the scheme doesn't list.
+    author ids, observed components that the scheme doesn't list or that aren't a
+    residue's first, and chains that differ from their entity (water excepted).
     """
     atoms = materialize(observed_atoms(long), "atoms")
     scheme = materialize(schemes(long), "schemes")
     rows, opers = assemblies(long)
-    whole = materialize(expand(molecule_atoms(atoms, scheme, comp_atoms), rows, opers, atoms), "molecules")
-    entity = entities(long)
+    components = materialize(entry_components(long, scheme, comp_atoms), "components")
+    whole = materialize(expand(molecule_atoms(atoms, scheme, components), rows, opers, atoms), "molecules")
+    entity = materialize(entities(long), "entities")
     polymer = entity.where("poly_type is not null").select("entry_id", "entity_id", F.contains(F.col("poly_type"), F.lit("polypeptide")).alias("protein"))
     next_, backbone = polymer_bonds(whole, polymer)
     linked, bonded = normalize.connection_edges(connections(long).unionByName(branch_links(long)), whole, ["mol_key"])
@@ -169,11 +247,38 @@ def build(long: DataFrame, comp_atoms: DataFrame, radius: float = 6.0, most: int
         own = normalize.component_bond_edges(comp_bonds, whole, ["mol_key"])
         atom_edge = atom_edge.unionByName(own.withColumn("conn_type", F.lit("component")))
     author, clash = single_author_chain(atoms)
-    chain = whole.select("entry_id", "mol_key", "chain_idx", "chain_id", "asym_id", "oper_id", "entity_id").distinct().join(author, ["entry_id", "asym_id"])
+    attached = chain_entities(scheme, entity).drop("entity_id")
+    chain = whole.select("entry_id", "mol_key", "chain_idx", "chain_id", "asym_id", "oper_id", "entity_id").distinct().join(author, ["entry_id", "asym_id"]).join(attached, ["entry_id", "asym_id"], "left")
     residue = whole.select("mol_key", "chain_idx", "res_idx", "auth_idx", "comp_id", "hetero").distinct()
     contact = spatial.contact_graph(whole, radius, ["mol_key"], "atom_idx", "chain_idx", most=most)
     quarantine = clash.select(F.lit("author chain").alias("stage"), F.concat_ws("_", "entry_id", "asym_id").alias("key"), F.concat("n_values", F.lit(" author ids")).alias("error"))
     strange = normalize.outside_scheme(scheme, atoms, ["entry_id", "asym_id"], "auth_idx").select(
         F.lit("scheme").alias("stage"), F.concat_ws("_", "entry_id", "asym_id", "auth_idx").alias("key"), F.concat("comp_id", F.lit(" is not in the scheme")).alias("error"))
-    return {"entry": entries(long), "entity": entity, "chain": chain, "residue": residue, "atom": whole, "residue_edge": residue_edge, "atom_edge": atom_edge,
-            "chain_contact": contact, "quarantine": quarantine.unionByName(strange)}
+    others = normalize.other_components(scheme, atoms, ["entry_id", "asym_id"], "auth_idx", "row_ord").select(
+        F.lit("component").alias("stage"), F.concat_ws("_", "entry_id", "asym_id", "auth_idx").alias("key"), F.concat("comp_id", F.lit(" is not the first observed")).alias("error"))
+    kinds = scheme.join(entity.select("entry_id", "entity_id", "kind"), ["entry_id", "entity_id"])
+    # an entity that lists no residues can't be held against its chains
+    numbers = entity_rows(long)
+    unlike = normalize.entity_violations(kinds.join(numbers.select("entry_id", "entity_id").distinct(), ["entry_id", "entity_id"], "left_semi"), numbers,
+                                         ["entry_id", "entity_id"], ["entry_id", "asym_id"], F.col("kind") == "water")
+    unlike = unlike.select(F.lit("entity").alias("stage"), F.concat_ws("_", "entry_id", "asym_id").alias("key"), F.concat("check", F.lit(" "), "value", F.lit(" is not the entity's")).alias("error"))
+    quarantine = quarantine.unionByName(strange).unionByName(others).unionByName(unlike)
+    return {"entry": entries(long), "entity": entity, "entity_residue": numbers, "entity_link": entity_links(long), "chain": chain, "residue": residue, "atom": whole,
+            "residue_edge": residue_edge, "atom_edge": atom_edge, "chain_contact": contact, "quarantine": quarantine}
+
+
+# fixed values: columns of the written atom table
+WRITTEN = {"type_symbol": "element", "label_atom_id": "atom_id", "label_comp_id": "comp_id", "label_asym_id": "chain_id", "label_entity_id": "entity_id"}
+
+
+def write_molecules(atoms: DataFrame, path: str) -> None:
+    """One structure file a molecule, below folders ``mol_key=...``: its observed atoms, numbered from 1."""
+    number = lambda c, form: F.when(F.col(c).isNotNull(), F.format_string(form, F.col(c)))
+    missing = lambda c: F.coalesce(c.cast("string"), F.lit("."))
+    names = {k: missing(F.col(v)) for k, v in WRITTEN.items() if v in atoms.columns}
+    split = F.split("auth_idx", r"\.")
+    columns = names | {
+        "auth_seq_id": F.element_at(split, 1), "pdbx_PDB_ins_code": F.coalesce(F.try_element_at(split, F.lit(2)), F.lit("?")), "Cartn_x": number("x", "%.3f"), "Cartn_y": number("y", "%.3f"),
+        "Cartn_z": number("z", "%.3f"), "occupancy": F.coalesce(number("occupancy", "%.2f"), F.lit("?")), "B_iso_or_equiv": F.coalesce(number("b_factor", "%.2f"), F.lit("?"))}
+    lines = sinks.atom_site_lines(atoms, "mol_key", "atom_idx", columns)
+    lines.repartition("mol_key").sortWithinPartitions("mol_key", "serial").select("mol_key", F.rtrim("line").alias("line")).write.partitionBy("mol_key").text(path)

@@ -362,11 +362,12 @@ def full_length(t: Tables):
 
 
 @query("""SELECT l_orderkey, l_linenumber, p_type FROM (SELECT DISTINCT l_orderkey, l_linenumber, p_type FROM lineitem JOIN part ON p_partkey = l_partkey)
-WHERE p_type NOT IN (SELECT p_type FROM part WHERE p_size = 1 + l_orderkey % 3)""")
+WHERE length(p_type) % 4 = l_orderkey % 4""")
 def scheme_violations(t: Tables):
-    """Lines whose part type is not among those of their order's part size."""
-    kinds = t.part.groupBy("p_size").agg(F.collect_set("p_type").alias("comp_ids"))
-    scheme = t.lineitem.select("l_orderkey", "l_linenumber").distinct().withColumn("p_size", (F.col("l_orderkey") % 3 + 1).cast(dict(t.part.dtypes)["p_size"])).join(kinds, "p_size")
+    """Lines whose part type has a length that their order doesn't allow."""
+    kinds = t.part.select("p_type").distinct().join(t.lineitem.select((F.col("l_orderkey") % 4).alias("k")).distinct(), F.length("p_type") % 4 != F.col("k"))
+    kinds = kinds.groupBy("k").agg(F.collect_set("p_type").alias("comp_ids"))
+    scheme = t.lineitem.select("l_orderkey", "l_linenumber").distinct().withColumn("k", F.col("l_orderkey") % 4).join(kinds, "k", "left")
     seen = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select("l_orderkey", "l_linenumber", "p_type")
     return normalize.outside_scheme(scheme, seen, ["l_orderkey"], "l_linenumber", "p_type")
 

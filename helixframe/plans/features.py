@@ -146,23 +146,23 @@ def greedy_representatives(t: Tables):
 
 def letters(t: Tables):
     """Documents' letters as sequences, the first of equal ones."""
-    plain = t.documents.select("doc_id", F.regexp_replace(F.upper("text"), "[^A-Z]", "").alias("sequence")).where("sequence <> ''")
+    plain = t.documents.select("doc_id", F.regexp_replace(F.translate("text", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"), "[^A-Z]", "").alias("sequence")).where("sequence <> ''")
     return plain.groupBy("sequence").agg(F.min("doc_id").alias("doc_id"))
 
 
-@query("""WITH RECURSIVE s AS (SELECT min(doc_id) AS id, sequence FROM (SELECT doc_id, regexp_replace(upper(text), '[^A-Z]', '', 'g') AS sequence FROM documents) WHERE sequence <> '' GROUP BY sequence),
-k AS (SELECT id, length(sequence) AS n, i - 1 AS at, substr(sequence, i, 10) AS w FROM (SELECT id, sequence, unnest(range(1, length(sequence) - 8)) AS i FROM s WHERE length(sequence) >= 10)),
+@query("""WITH s AS (SELECT min(doc_id) AS id, sequence FROM (SELECT doc_id, regexp_replace(translate(text, 'abcdefghijklmnopqrstuvwxyz', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ'), '[^A-Z]', '', 'g') AS sequence FROM documents) WHERE sequence <> '' GROUP BY sequence),
+k AS (SELECT id, length(sequence) AS n, i - 1 AS place, substr(sequence, i, 10) AS w FROM (SELECT id, sequence, unnest(range(1, length(sequence) - 8)) AS i FROM s WHERE length(sequence) >= 10)),
 d AS (SELECT DISTINCT w FROM k),
 c AS (SELECT w, CAST(list_reduce(list_transform(string_split(w, ''), lambda x: CAST(unicode(x) & 63 AS HUGEINT)), lambda a, b: a * 64 + b) AS BIGINT) AS word FROM d),
-r AS (SELECT id, n, at, word, CAST(word % 2147483647 AS HUGEINT) * 48271 % 2147483647 AS rank FROM k JOIN c USING (w)),
-o AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY rank, word, at) AS o FROM r),
-m AS (SELECT *, min(o) OVER (PARTITION BY id ORDER BY at ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS low FROM o),
-mins AS (SELECT DISTINCT id, low FROM m WHERE at >= least(29, n - 10)),
-picked AS (SELECT o.id, o.n, o.word, min(o.at) AS at FROM o JOIN mins ON mins.id = o.id AND mins.low = o.o GROUP BY 1, 2, 3),
+r AS (SELECT id, n, place, word, CAST(word % 2147483647 AS HUGEINT) * 48271 % 2147483647 AS rank FROM k JOIN c USING (w)),
+o AS (SELECT *, row_number() OVER (PARTITION BY id ORDER BY rank, word, place) AS o FROM r),
+m AS (SELECT *, min(o) OVER (PARTITION BY id ORDER BY place ROWS BETWEEN 29 PRECEDING AND CURRENT ROW) AS low FROM o),
+mins AS (SELECT DISTINCT id, low FROM m WHERE place >= least(29, n - 10)),
+picked AS (SELECT o.id, o.n, o.word, min(o.place) AS place FROM o JOIN mins ON mins.id = o.id AND mins.low = o.o GROUP BY 1, 2, 3),
 longest AS (SELECT word, max(n) AS n FROM picked GROUP BY word HAVING count(*) > 1),
 centres AS (SELECT word, min(p.id) AS centre, any_value(p.n) AS most FROM picked p JOIN longest USING (word, n) GROUP BY word),
-placed AS (SELECT c.*, p.at AS there FROM centres c JOIN picked p ON p.word = c.word AND p.id = c.centre),
-votes AS (SELECT p.id, centre, p.at - there AS diagonal, count(*) AS votes FROM picked p JOIN placed USING (word) WHERE p.id <> centre AND p.n >= 0.8 * most GROUP BY ALL)
+placed AS (SELECT c.*, p.place AS there FROM centres c JOIN picked p ON p.word = c.word AND p.id = c.centre),
+votes AS (SELECT p.id, centre, p.place - there AS diagonal, count(*) AS votes FROM picked p JOIN placed USING (word) WHERE p.id <> centre AND p.n >= 0.8 * most GROUP BY ALL)
 SELECT id, centre, CAST(list(diagonal ORDER BY votes DESC, abs(diagonal), diagonal DESC)[1] AS BIGINT) AS diagonal, CAST(sum(votes) AS BIGINT) AS votes FROM votes GROUP BY id, centre HAVING sum(votes) >= 3""")
 def kmer_centres(t: Tables):
     """Whole documents as sequences: members, centres and diagonals of their minimisers."""

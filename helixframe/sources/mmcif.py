@@ -13,10 +13,10 @@ from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, In, InputPartition, IsNotNull
 
-#: Tasks over named files, at most.
-TASKS = 4096
+#: Tasks over named files, at most; bytes of a piece of a file; rows of a batch.
+TASKS, SPLIT, BATCH = 4096, 32 << 20, 1 << 14
 SCHEMA = "entry_id string, category string, row_ord long, item string, value string"
 
 
@@ -98,31 +98,133 @@ def parse(text: str, wanted: set[str] | None = None) -> Iterator[tuple[str, str,
     flush()
 
 
+def blocks(f, start: int, end: int | None) -> Iterator[str]:
+    """The blocks of a binary file whose ``data_`` line begins from ``start`` up to before ``end``."""
+    at = max(start - 1, 0)
+    f.seek(at)
+    if start:
+        at += len(f.readline())  # a block that begins at start is kept
+    held: list[bytes] = []
+    for line in f:
+        if line[:5].lower() == b"data_":
+            if held:
+                yield b"".join(held).decode()
+                held = []
+            if end is not None and at >= end:
+                return
+            held = [line]
+        elif held:
+            held.append(line)
+        at += len(line)
+    if held:
+        yield b"".join(held).decode()
+
+
 class _Part(InputPartition):
-    def __init__(self, paths: list[str]):
-        self.paths = paths
+    """Pieces ``(path, start, end)`` of files; a file read whole has no end."""
+
+    def __init__(self, pieces: list[tuple[str, int, int | None]]):
+        self.pieces = pieces
+
+
+def _store(path: str):
+    import pyarrow.fs as pafs
 
+    return pafs.FileSystem.from_uri(path if "://" in path else f"file://{path.removeprefix('file:')}")
+
+
+class _Scan:
+    """What the batch and the stream reader share."""
 
-class _Reader(DataSourceReader):
     def __init__(self, options: dict):
         self.paths = [p for p in options.get("paths", options.get("path", "")).split(",") if p]
         names = options.get("categories", "")
         self.wanted = {c.strip() for c in names.split(",") if c.strip()} or None
+        self.split = int(options.get("splitbytes", options.get("splitBytes", SPLIT)))
+
+    def pieces(self, paths: list[str]) -> list[tuple[str, int, int | None]]:
+        """Large files with several blocks in ranges of bytes; compressed ones whole."""
+        out: list[tuple[str, int, int | None]] = []
+        for path in paths:
+            size = 0
+            if not path.endswith(".gz"):
+                store, name = _store(path)
+                size = store.get_file_info(name).size or 0
+            if size <= self.split:
+                out.append((path, 0, None))
+            else:
+                out += [(path, at, min(at + self.split, size)) for at in range(0, size, self.split)]
+        return out
 
-    def partitions(self):
-        each = max(1, -(-len(self.paths) // TASKS))
-        return [_Part(self.paths[i : i + each]) for i in range(0, len(self.paths), each)]
+    def dealt(self, paths: list[str]) -> list[_Part]:
+        pieces = self.pieces(paths)
+        each = max(1, -(-len(pieces) // TASKS))
+        return [_Part(pieces[i : i + each]) for i in range(0, len(pieces), each)]
 
     def read(self, partition):
+        import pyarrow as pa
+
+        kinds = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.string()]
+        names = ["entry_id", "category", "row_ord", "item", "value"]
+        table = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
+        rows: list[tuple] = []
+        for path, start, end in partition.pieces:
+            store, name = _store(path)
+            with store.open_input_file(name) as raw:
+                f = gzip.GzipFile(fileobj=raw) if name.endswith(".gz") else io.BufferedReader(raw)
+                for text in blocks(f, start, end):
+                    for row in parse(text, self.wanted):
+                        rows.append(row)
+                        if len(rows) == BATCH:
+                            yield table(rows)
+                            rows = []
+        if rows:
+            yield table(rows)
+
+
+class _Reader(_Scan, DataSourceReader):
+    def pushFilters(self, filters):  # noqa: N802
+        """Equality and membership of ``category`` reach the parser; the rest is Spark's."""
+        for f in filters:
+            if isinstance(f, EqualTo) and f.attribute == ("category",):
+                self.wanted = {f.value} if self.wanted is None else self.wanted & {f.value}
+            elif isinstance(f, In) and f.attribute == ("category",):
+                self.wanted = set(f.value) if self.wanted is None else self.wanted & set(f.value)
+            elif not (isinstance(f, IsNotNull) and f.attribute == ("category",)):  # no row is without one
+                yield f
+
+    def partitions(self):
+        return self.dealt(self.paths)
+
+
+class _StreamReader(_Scan, DataSourceStreamReader):
+    """Files below the paths in the order of their time and name; an offset is the last file read."""
+
+    def _listed(self) -> list[tuple[int, str]]:
         import pyarrow.fs as pafs
 
-        for path in partition.paths:
-            store, name = pafs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
-            with store.open_input_stream(name, compression=None) as f:
-                raw = f.read()
-            if name.endswith(".gz"):
-                raw = gzip.GzipFile(fileobj=io.BytesIO(raw)).read()
-            yield from parse(raw.decode(), self.wanted)
+        out = []
+        for path in self.paths:
+            store, name = _store(path)
+            scheme = path[: path.index("://") + 3] if "://" in path else ""
+            found = store.get_file_info(pafs.FileSelector(name, recursive=True))
+            out += [(int(i.mtime_ns or 0), scheme + i.path) for i in found if i.is_file and i.path.endswith((".cif", ".cif.gz"))]
+        return sorted(out)
+
+    def initialOffset(self):  # noqa: N802
+        return {"time": -1, "path": ""}
+
+    def latestOffset(self):  # noqa: N802
+        listed = self._listed()
+        time, path = listed[-1] if listed else (-1, "")
+        return {"time": time, "path": path}
+
+    def partitions(self, start, end):
+        low, high = (start["time"], start["path"]), (end["time"], end["path"])
+        return self.dealt([path for time, path in self._listed() if low < (time, path) <= high])
+
+    def commit(self, end):
+        pass
 
 
 class MmcifSource(DataSource):
@@ -136,18 +238,45 @@ class MmcifSource(DataSource):
     def reader(self, schema) -> DataSourceReader:
         return _Reader(self.options)
 
+    def streamReader(self, schema) -> DataSourceStreamReader:  # noqa: N802
+        return _StreamReader(self.options)
 
-def read_mmcif(spark: SparkSession, paths: list[str], categories: list[str] | None = None) -> DataFrame:
-    """The long table of named files."""
+
+def _registered(spark: SparkSession) -> None:
     spark.dataSource.register(MmcifSource)
-    reader = spark.read.format("mmcif").option("paths", ",".join(paths))
+    spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
+
+
+def read_mmcif(spark: SparkSession, paths: list[str], categories: list[str] | None = None, split: int | None = None) -> DataFrame:
+    """The long table of named files, files of many blocks in pieces of about ``split`` bytes.
+
+    Filters on ``category`` reach the parser (``pushFilters``), as ``categories`` does.
+    """
+    _registered(spark)
+    reader = spark.read.format("mmcif").option("paths", ",".join(paths)).option("splitBytes", split or SPLIT)
     return (reader.option("categories", ",".join(categories)) if categories else reader).load()
 
 
-def read_mmcif_folder(spark: SparkSession, folder: str, categories: list[str] | None = None, pattern: str = "*.cif*") -> tuple[DataFrame, DataFrame]:
-    """The long table of all files below a folder, read through Spark's own file source, and a quarantine ``key, error``."""
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(folder).select("path", "content")
+def stream_mmcif(spark: SparkSession, folder: str, categories: list[str] | None = None) -> DataFrame:
+    """A stream of the long table of the folder's files, each once, in the order of their times.
+
+    A file must be complete when it appears, and later files have later times.
+    """
+    _registered(spark)
+    reader = spark.readStream.format("mmcif").option("path", folder)
+    return (reader.option("categories", ",".join(categories)) if categories else reader).load()
+
+
+def parse_texts(df: DataFrame, key: str, text: str, categories: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
+    """The long table of texts in a column, and the quarantine ``key, error`` of texts that don't parse."""
     wanted = set(categories) if categories else None
+    rows = df.select(F.col(key).cast("string").alias("key"), F.encode(text, "UTF-8").alias("content"))
+    whole = rows.mapInArrow(_parsed(wanted), SCHEMA + ", key string, error string")
+    return whole.where("error is null").select("entry_id", "category", "row_ord", "item", "value"), whole.where("error is not null").select("key", "error")
+
+
+def _parsed(wanted: set[str] | None):
+    """A task over ``key, content`` that parses each content; a key that ends in .gz is compressed."""
 
     def run(batches):
         import pyarrow as pa
@@ -156,7 +285,7 @@ def read_mmcif_folder(spark: SparkSession, folder: str, categories: list[str] |
             rows: list[tuple] = []
             for path, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 try:
-                    text = (gzip.decompress(raw) if path.endswith(".gz") else raw).decode()
+                    text = (gzip.decompress(raw) if (path or "").endswith(".gz") else raw or b"").decode()
                     rows += [(*r, path, None) for r in parse(text, wanted)]
                 except (ValueError, OSError) as e:
                     rows.append((None, None, None, None, None, path, str(e)[:500]))
@@ -164,7 +293,14 @@ def read_mmcif_folder(spark: SparkSession, folder: str, categories: list[str] |
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 7, kinds)],
                                              ["entry_id", "category", "row_ord", "item", "value", "key", "error"])
 
-    whole = files.mapInArrow(run, SCHEMA + ", key string, error string")
+    return run
+
+
+def read_mmcif_folder(spark: SparkSession, folder: str, categories: list[str] | None = None, pattern: str = "*.cif*") -> tuple[DataFrame, DataFrame]:
+    """The long table of all files below a folder, read through Spark's own file source, and a quarantine ``key, error``."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(folder).select("path", "content")
+    wanted = set(categories) if categories else None
+    whole = files.mapInArrow(_parsed(wanted), SCHEMA + ", key string, error string")
     return whole.where("error is null").select("entry_id", "category", "row_ord", "item", "value"), whole.where("error is not null").select("key", "error")
 
 

@@ -213,7 +213,7 @@ def test_greedy_bands_of_odd_tables(spark):
 def test_families_of_documents(spark):
     texts = {}
     for r in spark.read.parquet(f"{FOLDER}/documents.parquet").orderBy("doc_id").collect():
-        s = "".join(c for c in (r.text or "").upper() if "A" <= c <= "Z")
+        s = "".join(c.upper() for c in r.text or "" if c.isascii() and c.isalpha())
         if s:
             texts.setdefault(s, r.doc_id)
     seqs = {i: s for s, i in texts.items()}
