@@ -6,6 +6,7 @@ from functools import reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -57,6 +58,74 @@ def profile_counts(cells: DataFrame) -> DataFrame:
     return counted.join(depth, ["msa", "pos"]).select("msa", "pos", "idx", (F.col("n") / F.col("depth")).alias("frequency"))
 
 
+#: Cells of count matrices that a task holds before it hands them on.
+HELD_CELLS = 1 << 21
+
+
+def profile_matrices(rows: DataFrame, msa: str, row: str, kind: str = "protein") -> DataFrame:
+    """``msa, pos, depth, counts, deletion_mean``: letters of each bin at each position.
+
+    A task adds up a matrix of positions and bins an alignment and hands it on
+    once its matrices fill the bound, so what is shuffled are positions times
+    tasks, not letters. Rows of one alignment may differ in length; null rows
+    count for nothing.
+    """
+    if kind not in ("protein", "rna"):
+        raise ValueError(f"no encoding for {kind}")
+    table, unknown = (protein_index(), 20) if kind == "protein" else (RNA_INDEX, RNA_INDEX["N"])
+    name = dict(rows.dtypes)[msa]
+    code = np.full(1 << 16, unknown, np.int64)
+    for letter, i in table.items():
+        code[ord(letter)] = i
+
+    def run(batches):
+        held: dict = {}
+
+        def flush():
+            keys, places, counts, sums = [], [], [], []
+            for k, (m, d) in held.items():
+                keys += [k] * len(m)
+                places.append(np.arange(len(m)))
+                counts.append(m)
+                sums.append(d)
+            held.clear()
+            flat = np.concatenate(counts) if counts else np.zeros((0, PROFILE_BINS), np.int64)
+            lists = pa.FixedSizeListArray.from_arrays(pa.array(flat.ravel()), PROFILE_BINS).cast(pa.list_(pa.int64()))
+            return pa.RecordBatch.from_arrays([pa.array(keys, kinds), pa.array(np.concatenate(places) if places else np.zeros(0), pa.int64()), lists,
+                                               pa.array(np.concatenate(sums) if sums else np.zeros(0), pa.float64())], ["msa", "pos", "counts", "deletions"])
+
+        for batch in batches:
+            kinds = batch.schema.field(0).type
+            for k, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+                if text is None:
+                    continue
+                chars = np.frombuffer(text.encode("utf-32-le"), np.uint32)
+                low = (chars >= 97) & (chars <= 122)
+                at = np.flatnonzero(~low)
+                n = len(at)
+                m, d = held.get(k, (np.zeros((0, PROFILE_BINS), np.int64), np.zeros(0)))
+                if len(m) < n:
+                    m, d = np.vstack([m, np.zeros((n - len(m), PROFILE_BINS), np.int64)]), np.append(d, np.zeros(n - len(d)))
+                m[np.arange(n), code[np.minimum(chars[at], (1 << 16) - 1)]] += 1
+                d[:n] += np.arctan(np.minimum(np.diff(at, prepend=-1) - 1, 255) / 3) * (2 / np.pi)
+                held[k] = (m, d)
+            if sum(len(m) for m, _ in held.values()) * PROFILE_BINS >= HELD_CELLS:
+                yield flush()
+        if held:
+            yield flush()
+
+    parts = rows.select(F.col(msa).alias("msa"), F.col(row).alias("row")).mapInArrow(run, f"msa {name}, pos long, counts array<bigint>, deletions double")
+    counts = F.array(*(F.sum(F.col("counts")[i]) for i in range(PROFILE_BINS)))
+    whole = parts.groupBy("msa", "pos").agg(counts.alias("counts"), F.sum("deletions").alias("_d"))
+    return whole.withColumn("depth", F.aggregate("counts", F.lit(0).cast("long"), lambda a, b: a + b)).select("msa", "pos", "depth", "counts", (F.col("_d") / F.col("depth")).alias("deletion_mean"))
+
+
+def profile_rows(matrices: DataFrame) -> DataFrame:
+    """``msa, pos, idx, frequency, deletion_mean`` of the bins that occur."""
+    each = matrices.select("msa", "pos", "depth", "deletion_mean", F.posexplode("counts").alias("idx", "n")).where("n > 0")
+    return each.select("msa", "pos", "idx", (F.col("n") / F.col("depth")).alias("frequency"), "deletion_mean")
+
+
 def dense_profile(counts: DataFrame) -> DataFrame:
     """``msa, pos, profile``: all bins as an array."""
     table = counts.groupBy("msa", "pos").agg(F.map_from_entries(F.collect_list(F.struct("idx", "frequency"))).alias("_m"))

@@ -6,14 +6,22 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from helixframe.session import materialize
+
+
+#: Points of a cell above which it is parted, and parts a side at most.
+DENSE, MOST_PARTS = 4096, 16
+
 
 def neighbours(points: DataFrame, radius: float, group: list[str], idx: str, xyz: tuple[str, str, str] = ("x", "y", "z"),
-               most: int | None = None) -> DataFrame:
+               most: int | None = None, dense: int = DENSE) -> DataFrame:
     """Directed neighbour rows ``group..., i, j`` with distance at most ``radius``.
 
     The grid cell is an equi-join key: one side is repeated for its 27
     neighbouring cells, the other keeps its own, so no pair outside adjacent
-    cells is formed and a group's points never meet another group's. With
+    cells is formed and a group's points never meet another group's. A cell with
+    more than ``dense`` points is parted into sub-cells; a point goes to those
+    of them that its radius reaches, so a crowded cell spreads over tasks. With
     ``most`` every point keeps its neighbours of lowest index. Points without a
     complete coordinate have no neighbours.
     """
@@ -22,11 +30,23 @@ def neighbours(points: DataFrame, radius: float, group: list[str], idx: str, xyz
     cell = [F.floor(F.col(c) / radius).cast("long") for c in xyz]
     own = whole.select(*group, F.col(idx).alias("i"), *(F.col(c).alias(f"_a{k}") for k, c in enumerate(xyz)), *(c.alias(f"_c{k}") for k, c in enumerate(cell)))
     other = whole.select(*group, F.col(idx).alias("j"), *(F.col(c).alias(f"_b{k}") for k, c in enumerate(xyz)), *(c.alias(f"_c{k}") for k, c in enumerate(cell)))
+    keys = [*group, "_c0", "_c1", "_c2"]
+    crowded = materialize(other.groupBy(*keys).agg(F.count("*").alias("_n")).where(F.col("_n") > dense), "crowded-cells")
     step = F.array(F.lit(-1), F.lit(0), F.lit(1))
     for k in range(3):
         own = own.withColumn("_s", F.explode(step)).withColumn(f"_c{k}", F.col(f"_c{k}") + F.col("_s")).drop("_s")
+    if not crowded.isEmpty():
+        parts = crowded.select(*keys, F.least(F.lit(MOST_PARTS), F.ceil(F.cbrt(F.col("_n") / dense))).cast("int").alias("_f"))
+        own, other = (df.join(parts, keys, "left").withColumn("_f", F.coalesce("_f", F.lit(1))) for df in (own, other))
+        # a place within the cell in sub-cells, held within it; one sub-cell to spare on both sides for rounding
+        place = lambda c, k, shift: F.floor((F.col(c) + shift - F.col(f"_c{k}") * radius) / radius * F.col("_f"))
+        held = lambda c: F.greatest(F.lit(0), F.least(F.col("_f") - 1, c)).cast("int")
+        for k in range(3):
+            other = other.withColumn(f"_p{k}", held(place(f"_b{k}", k, F.lit(0.0))))
+            own = own.withColumn(f"_p{k}", F.explode(F.sequence(held(place(f"_a{k}", k, F.lit(-radius)) - 1), held(place(f"_a{k}", k, F.lit(radius)) + 1))))
+        own, other, keys = own.drop("_f"), other.drop("_f"), [*keys, "_p0", "_p1", "_p2"]
     distance = sum(((F.col(f"_a{k}") - F.col(f"_b{k}")) * (F.col(f"_a{k}") - F.col(f"_b{k}")) for k in range(3)), F.lit(0.0))
-    pairs = own.join(other, [*group, "_c0", "_c1", "_c2"]).where((F.col("i") != F.col("j")) & (distance <= radius * radius)).select(*group, "i", "j")
+    pairs = own.join(other, keys).where((F.col("i") != F.col("j")) & (distance <= radius * radius)).select(*group, "i", "j")
     if most is None:
         return pairs
     w = Window.partitionBy(*group, "i").orderBy("j")

@@ -37,6 +37,39 @@ def interface_map(pairs: DataFrame, a: str, b: str, ref_a: str, ref_b: str) -> D
     return pairs.groupBy(F.least(a, b).alias("a"), F.greatest(a, b).alias("b")).agg(F.array_join(F.sort_array(F.collect_set(ref)), ",").alias("refs"))
 
 
+#: Characters of one piece of a list, about.
+PIECE = 1 << 20
+
+
+def list_pieces(rows: DataFrame, keys: list[str], ref: str, size: int = PIECE) -> DataFrame:
+    """``keys..., piece, refs``: each key's distinct references in order, comma-joined, cut into numbered pieces.
+
+    Characters are summed over range partitions of all rows, and a piece ends
+    where the sum passes a multiple of ``size``: no row has more than ``size``
+    characters and one reference, however many a key has. Pieces count from 0.
+    """
+    from helixframe.operators.sequences import running_count
+
+    every = rows.select(*keys, F.col(ref).alias("_ref")).where("_ref IS NOT NULL").distinct()
+    order = [*keys, "_ref"]
+    summed = running_count(every, order, F.length("_ref") + 1, "_sum").withColumn("_p", F.floor((F.col("_sum") - 1) / size))
+    first = summed.groupBy(*keys).agg(F.min("_p").alias("_p0"))
+    numbered = summed.join(first, keys).withColumn("piece", F.col("_p") - F.col("_p0"))
+    return numbered.groupBy(*keys, "piece").agg(F.array_join(F.sort_array(F.collect_list("_ref")), ",").alias("refs"))
+
+
+def node_pieces(chains: DataFrame, cluster: str, ref: str, size: int = PIECE) -> DataFrame:
+    """``cluster, piece, refs``: the node map in pieces."""
+    return list_pieces(chains.withColumn("cluster", F.col(cluster)), ["cluster"], ref, size)
+
+
+def interface_pieces(pairs: DataFrame, a: str, b: str, ref_a: str, ref_b: str, size: int = PIECE) -> DataFrame:
+    """``a, b, piece, refs``: the interface map in pieces."""
+    flip = F.col(a) > F.col(b)
+    ref = F.when(flip, F.concat_ws(":", ref_b, ref_a)).otherwise(F.concat_ws(":", ref_a, ref_b))
+    return list_pieces(pairs.select(F.least(a, b).alias("a"), F.greatest(a, b).alias("b"), ref.alias("_r")), ["a", "b"], "_r", size)
+
+
 def isolated_nodes(nodes: DataFrame, interfaces: DataFrame) -> DataFrame:
     """Nodes that occur in no interface."""
     linked = interfaces.select(F.explode(F.array("a", "b")).alias("cluster")).distinct()

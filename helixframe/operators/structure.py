@@ -99,16 +99,29 @@ def expand(full: DataFrame, rows: DataFrame, opers: DataFrame, atoms: DataFrame)
     """
     have = rows.join(atoms.select("entry_id", "asym_id", "model_id", F.col("alt_id").alias("target")).distinct(), ["entry_id", "asym_id"]).select(
         "entry_id", "assembly_id", "model_id", "target").distinct()
-    placed = full.join(rows, ["entry_id", "asym_id"]).join(have, ["entry_id", "assembly_id", "model_id", "target"], "left_semi")
-    moved = spatial.apply_operators(placed, opers, ["entry_id", "oper_id"])
-    key = F.concat_ws("_", "entry_id", "assembly_id", "model_id", "target")
-    out = moved.withColumns({"mol_key": key, "chain_id": F.concat_ws("_", "asym_id", "oper_id")})
-    by = lambda *c: Window.partitionBy("mol_key").orderBy(*c)
-    return out.withColumns({
-        "chain_idx": F.dense_rank().over(by("chain_id")) - 1,
-        "res_idx": F.dense_rank().over(by("chain_id", "res_ord")) - 1,
-        "atom_idx": F.row_number().over(by("chain_id", "res_ord", "atom_ord")) - 1,
-    })
+    return indexed_copies(full, rows, have, opers)
+
+
+CHAIN = ["entry_id", "asym_id", "model_id", "target"]
+
+
+def indexed_copies(full: DataFrame, rows: DataFrame, have: DataFrame, opers: DataFrame) -> DataFrame:
+    """Every chain once per operator of an assembly, with ``chain_idx, res_idx, atom_idx`` within the molecule.
+
+    Places within a chain are numbered before it is copied; chains of a molecule
+    are put one behind the other by running sums over the chains' sizes, a row
+    a copy. So no window ever holds a molecule's atoms.
+    """
+    by = lambda *c: Window.partitionBy(*CHAIN).orderBy(*c)
+    local = materialize(full.withColumns({"_atom": F.row_number().over(by("res_ord", "atom_ord")) - 1, "_res": F.dense_rank().over(by("res_ord")) - 1}), "chains")
+    sizes = local.groupBy(*CHAIN).agg(F.count("*").alias("_atoms"), (F.max("_res") + 1).alias("_ress"))
+    placed = sizes.join(rows.distinct(), ["entry_id", "asym_id"]).join(have, ["entry_id", "assembly_id", "model_id", "target"], "left_semi")
+    placed = placed.withColumns({"mol_key": F.concat_ws("_", "entry_id", "assembly_id", "model_id", "target"), "chain_id": F.concat_ws("_", "asym_id", "oper_id")})
+    before = Window.partitionBy("mol_key").orderBy("chain_id").rowsBetween(Window.unboundedPreceding, -1)
+    places = placed.select(*CHAIN, "assembly_id", "oper_id", "mol_key", "chain_id", (F.row_number().over(Window.partitionBy("mol_key").orderBy("chain_id")) - 1).alias("chain_idx"),
+                           F.coalesce(F.sum("_ress").over(before), F.lit(0)).alias("_r0"), F.coalesce(F.sum("_atoms").over(before), F.lit(0)).alias("_a0"))
+    moved = spatial.apply_operators(local.join(places, CHAIN), opers, ["entry_id", "oper_id"])
+    return moved.withColumns({"res_idx": (F.col("_r0") + F.col("_res")).cast("int"), "atom_idx": (F.col("_a0") + F.col("_atom")).cast("int")}).drop("_r0", "_a0", "_res", "_atom")
 
 
 def entity_rows(long: DataFrame) -> DataFrame:

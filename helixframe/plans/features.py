@@ -38,9 +38,8 @@ def msa_encode(t: Tables):
 @query(f"""WITH c AS ({CELLS_SQL}) SELECT msa, pos, idx, round(n / depth, 6) AS frequency, round(d, 6) AS deletion_mean FROM (
 SELECT msa, pos, idx, count(*) AS n FROM c GROUP BY 1, 2, 3) JOIN (SELECT msa, pos, count(*) AS depth, avg(atan(deletion / 3) * 2 / pi()) AS d FROM c GROUP BY 1, 2) USING (msa, pos)""")
 def msa_profile(t: Tables):
-    cells = msa.positions(rows(t), "msa", "row")
-    out = msa.profile_counts(cells).join(msa.deletion_mean(cells), ["msa", "pos"])
-    return out.select("msa", F.col("pos").cast("long").alias("pos"), "idx", F.round("frequency", 6).alias("frequency"), F.round("deletion_mean", 6).alias("deletion_mean"))
+    out = msa.profile_rows(msa.profile_matrices(rows(t), "msa", "row"))
+    return out.select("msa", "pos", F.col("idx").cast("int").alias("idx"), F.round("frequency", 6).alias("frequency"), F.round("deletion_mean", 6).alias("deletion_mean"))
 
 
 @query(f"""WITH c AS ({CELLS_SQL}) SELECT p_partkey, msa, count(*) AS n_positions, round(sum(f), 4) AS own_frequency FROM c JOIN (

@@ -7,10 +7,13 @@ part, supplier and price. The entity lists lines of up to 45 pieces only.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
-from helixframe.operators import normalize, structure
+from helixframe.operators import normalize, stats, structure
 from helixframe.plans.base import Tables, query
 from helixframe.session import materialize, shared_dir
 from helixframe.sources import mmcif
@@ -138,3 +141,59 @@ def observed_components(t: Tables):
     chosen = normalize.full_length(scheme, dictionary, atoms, chain, "auth_idx", order="row_ord").select("entry_id", "auth_idx", F.col("comp_id").alias("comp"), F.lit(True).alias("chosen")).distinct()
     others = normalize.other_components(scheme, atoms, chain, "auth_idx", "row_ord").select("entry_id", "auth_idx", F.col("comp_id").alias("comp"), F.lit(False).alias("chosen"))
     return order_key(chosen.unionByName(others)).select("l_orderkey", "auth_idx", "comp", "chosen")
+
+
+@query("""WITH o AS (SELECT unnest(range(1, 7)) AS k),
+chains AS (SELECT l_suppkey AS entry, l_returnflag AS asym, l_orderkey, l_extendedprice,
+row_number() OVER (PARTITION BY l_suppkey, l_returnflag ORDER BY l_orderkey, l_linenumber, l_partkey, l_extendedprice, l_quantity, l_shipdate) - 1 AS atom,
+dense_rank() OVER (PARTITION BY l_suppkey, l_returnflag ORDER BY l_orderkey) - 1 AS res FROM lineitem),
+copies AS (SELECT *, asym || '_' || k AS chain_id FROM chains, o WHERE asym <> 'N' OR k <= 2)
+SELECT entry, chain_id, CAST(dense_rank() OVER (PARTITION BY entry ORDER BY chain_id) - 1 AS BIGINT) AS chain_idx,
+CAST(dense_rank() OVER (PARTITION BY entry ORDER BY chain_id, res) - 1 AS BIGINT) AS res_idx, CAST(row_number() OVER (PARTITION BY entry ORDER BY chain_id, atom) - 1 AS BIGINT) AS atom_idx,
+l_orderkey, round(l_extendedprice + 1000 * k, 2) AS x FROM copies""")
+def assembly_index(t: Tables):
+    """Suppliers as entries, return flags as chains, orders as residues and lines as atoms, under two or six shifts."""
+    line = [c for c in ORDER if c != "l_suppkey"]
+    order = F.row_number().over(Window.partitionBy("l_suppkey", "l_returnflag", "l_orderkey").orderBy(*line))
+    full = t.lineitem.select(F.col("l_suppkey").alias("entry_id"), F.col("l_returnflag").alias("asym_id"), F.lit("1").alias("model_id"), F.lit(".").alias("target"),
+                             F.col("l_orderkey").alias("res_ord"), order.alias("atom_ord"), F.col("l_extendedprice").alias("x"), F.col("l_quantity").alias("y"), F.col("l_tax").alias("z"))
+    chains = full.select("entry_id", "asym_id").distinct().withColumn("assembly_id", F.lit("1"))
+    rows = chains.withColumn("oper_id", F.explode(F.sequence(F.lit(1), F.when(F.col("asym_id") == "N", 2).otherwise(6))))
+    unit = {f"m{r}{c}": F.lit(1.0 if r == c else 0.0) for r in (1, 2, 3) for c in (1, 2, 3)}
+    opers = rows.select("entry_id", "oper_id").distinct().withColumns(unit | {"v1": F.col("oper_id") * 1000.0, "v2": F.lit(0.0), "v3": F.lit(0.0)})
+    have = full.select("entry_id", F.lit("1").alias("assembly_id"), "model_id", "target").distinct()
+    out = structure.indexed_copies(full, rows, have, opers)
+    return out.select(F.col("entry_id").alias("entry"), "chain_id", *(F.col(c).cast("long").alias(c) for c in ("chain_idx", "res_idx", "atom_idx")),
+                      F.col("res_ord").alias("l_orderkey"), F.round("x", 2).alias("x"))
+
+
+@query("""WITH k AS (SELECT DISTINCT c_custkey FROM customer WHERE c_acctbal > 5000) SELECT o_orderkey, o_custkey, o_totalprice FROM orders WHERE o_custkey IN (SELECT c_custkey FROM k)""")
+def bucket_lookup(t: Tables):
+    """Orders stored in buckets of their customer; the rows of wealthy customers."""
+    from helixframe.sinks import store_lookup, write_store
+
+    name = f"store_{uuid.uuid4().hex}"
+    write_store(t.orders.select("o_orderkey", "o_custkey", "o_totalprice"), name, "o_custkey", 8, f"{shared_dir(t.spark).rstrip('/')}/{name}")
+    return store_lookup(t.spark, name, "o_custkey", t.customer.where("c_acctbal > 5000"), "c_custkey", listed=100)
+
+
+_PIECES_SQL = """every AS (SELECT DISTINCT {keys}, {ref} AS ref FROM {rows}),
+summed AS (SELECT *, CAST(floor((sum(length(ref) + 1) OVER (ORDER BY {names}, ref) - 1) / 500) AS BIGINT) AS p FROM every)
+SELECT {names}, p - min(p) OVER (PARTITION BY {names}) AS piece, string_agg(ref, ',' ORDER BY ref) AS refs FROM summed GROUP BY {names}, p"""
+
+
+@query("WITH " + _PIECES_SQL.format(keys="p_brand AS cluster", ref="CAST(l_orderkey AS VARCHAR)", rows="lineitem JOIN part ON p_partkey = l_partkey", names="cluster"))
+def node_pieces(t: Tables):
+    """Brands with the orders that name them, in pieces of 500 characters."""
+    rows = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select("p_brand", F.col("l_orderkey").cast("string").alias("ref"))
+    return stats.node_pieces(rows, "p_brand", "ref", 500)
+
+
+@query("WITH x AS (SELECT DISTINCT l_orderkey, p_type FROM lineitem JOIN part ON p_partkey = l_partkey), y AS (SELECT a.l_orderkey, a.p_type AS ta, b.p_type AS tb FROM x a JOIN x b ON a.l_orderkey = b.l_orderkey AND a.p_type < b.p_type), "
+       + _PIECES_SQL.format(keys="ta AS a, tb AS b", ref="l_orderkey || ':' || l_orderkey", rows="y", names="a, b"))
+def interface_pieces(t: Tables):
+    """Pairs of part types with the orders that have both."""
+    rows = t.lineitem.join(t.part, F.col("l_partkey") == F.col("p_partkey")).select("l_orderkey", "p_type").distinct()
+    pairs = rows.withColumnRenamed("p_type", "ta").join(rows.withColumnRenamed("p_type", "tb"), "l_orderkey").where("ta < tb")
+    ref = F.col("l_orderkey").cast("string")
+    return stats.interface_pieces(pairs.select("ta", "tb", ref.alias("ra"), ref.alias("rb")), "tb", "ta", "ra", "rb", 500)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -62,6 +62,26 @@ def lookup(store: DataFrame, keys: DataFrame, store_key: str, key: str) -> DataF
     return store.join(keys.select(F.col(key).alias("_k")), F.col(store_key) == F.col("_k"), "left_semi")
 
 
+def write_store(df: DataFrame, table: str, key: str, buckets: int, path: str | None = None) -> None:
+    """A stored table in sorted buckets of ``key``, with a bloom filter of it in every row group."""
+    out = df.write.bucketBy(buckets, key).sortBy(key).option("parquet.bloom.filter.enabled#" + key, "true")
+    (out.option("path", path) if path else out).mode("overwrite").saveAsTable(table)
+
+
+def store_lookup(spark: SparkSession, table: str, store_key: str, keys: DataFrame, key: str, listed: int = 1000) -> DataFrame:
+    """The stored rows of the wanted keys; the store is never shuffled.
+
+    Up to ``listed`` keys become a filter that row groups are skipped by (bounds
+    and bloom filters); more are dealt out as the store's buckets are and joined
+    bucket by bucket.
+    """
+    wanted = keys.select(F.col(key).alias("_k")).where("_k IS NOT NULL").distinct()
+    few = [r[0] for r in wanted.limit(listed + 1).collect()]
+    if len(few) <= listed:
+        return spark.table(table).where(F.col(store_key).isin(few))
+    return spark.table(table).join(wanted.hint("merge"), F.col(store_key) == F.col("_k"), "left_semi")
+
+
 def write_blocks(blocks: DataFrame, path: str) -> None:
     """One row a block, in folders by its first letter."""
     blocks.select("prefix", "text").write.partitionBy("prefix").text(path)
