@@ -139,14 +139,84 @@ def align(a: str, b: str, match: int = 2, mismatch: int = -1, open_: int = -5, e
     return "".join(reversed(out_a)), "".join(reversed(out_b))
 
 
+#: Cells of the score tables that are aligned together.
+CELLS = 1 << 21
+
+
+def align_many(xs: list[str], ys: list[str], match: int = 2, mismatch: int = -1, open_: int = -5, extend: int = -1) -> list[tuple[str, str]]:
+    """``align`` for many pairs: scores and ways back of a batch of pairs step together."""
+    out: list = [None] * len(xs)
+    sizes = [((len(x) + 1) * (len(y) + 1), i) for i, (x, y) in enumerate(zip(xs, ys))]
+    batch: list[int] = []
+    n = m = 0
+
+    def flush():
+        for i, pair in zip(batch, _align_batch([xs[i] for i in batch], [ys[i] for i in batch], match, mismatch, open_, extend)):
+            out[i] = pair
+
+    for size, i in sorted(sizes):
+        if size > CELLS // 16:  # a long pair: whole rows at once
+            out[i] = align(xs[i], ys[i], match, mismatch, open_, extend)
+            continue
+        n, m = max(n, len(xs[i])), max(m, len(ys[i]))
+        if batch and (n + 1) * (m + 1) * (len(batch) + 1) > CELLS:
+            flush()
+            batch, n, m = [], len(xs[i]), len(ys[i])
+        batch.append(i)
+    flush()
+    return out
+
+
+def _align_batch(xs: list[str], ys: list[str], match: int, mismatch: int, open_: int, extend: int) -> list[tuple[str, str]]:
+    if not xs:
+        return []
+    p, la, lb = len(xs), np.array([len(x) for x in xs]), np.array([len(y) for y in ys])
+    n, m = int(la.max()), int(lb.max())
+    x, y = np.full((n, p), -1, np.int64), np.full((m, p), -2, np.int64)
+    for c, (s, t) in enumerate(zip(xs, ys)):
+        x[: la[c], c], y[: lb[c], c] = np.frombuffer(s.encode("utf-32-le"), np.uint32), np.frombuffer(t.encode("utf-32-le"), np.uint32)
+    low = -(10**9)
+    best = np.full((n + 1, m + 1, p), low, np.int32)
+    down, right = best.copy(), best.copy()
+    best[0, 0] = 0
+    best[1:, 0] = down[1:, 0] = (open_ + extend * np.arange(n))[:, None]
+    best[0, 1:] = right[0, 1:] = (open_ + extend * np.arange(m))[:, None]
+    for i in range(1, n + 1):
+        down[i, 1:] = np.maximum(best[i - 1, 1:] + open_, down[i - 1, 1:] + extend)
+        top = np.maximum(best[i - 1, :-1] + np.where(y == x[i - 1], match, mismatch), down[i, 1:])
+        for j in range(1, m + 1):
+            right[i, j] = np.maximum(best[i, j - 1] + open_, right[i, j - 1] + extend)
+            best[i, j] = np.maximum(top[j - 1], right[i, j])
+    i, j, layer, c = la.copy(), lb.copy(), np.zeros(p, np.int64), np.arange(p)
+    steps: list[np.ndarray] = []  # 0: both letters, 1: a gap in b, 2: a gap in a, 3: done
+    while (live := (i > 0) | (j > 0)).any():
+        k, q = np.maximum(i - 1, 0), np.maximum(j - 1, 0)
+        now = best[i, j, c]
+        score = np.where(x[np.minimum(k, max(n - 1, 0)), c] == y[np.minimum(q, max(m - 1, 0)), c], match, mismatch) if n and m else np.zeros(p, int)
+        diagonal = (layer == 0) & (i > 0) & (j > 0) & (now == best[k, q, c] + score)
+        kind = np.where(layer == 0, np.where((i > 0) & (now == down[i, j, c]), 1, 2), layer)
+        stays = np.where(kind == 1, (i > 1) & (down[i, j, c] != best[k, j, c] + open_), (j > 1) & (right[i, j, c] != best[i, q, c] + open_))
+        kind = np.where(diagonal, 0, kind)
+        steps.append(np.where(live, kind, 3))
+        layer = np.where(live & (kind > 0) & stays, kind, 0)
+        i, j = i - (live & (kind != 2)), j - (live & (kind != 1))
+    ways = np.array(steps[::-1]).reshape(len(steps), p).T
+    out = []
+    for s, t, way in zip(xs, ys, ways.tolist()):
+        a, b = iter(s), iter(t)
+        way = [w for w in way if w != 3]
+        out.append(("".join("-" if w == 2 else next(a) for w in way), "".join("-" if w == 1 else next(b) for w in way)))
+    return out
+
+
 def align_pairs(pairs: DataFrame, a: str, b: str, keys: list[str]) -> DataFrame:
-    """``keys..., aligned_a, aligned_b, matches, columns`` of every pair, in Arrow batches."""
+    """``keys..., aligned_a, aligned_b, matches, columns`` of every pair, aligned in Arrow batches."""
     types = dict(pairs.dtypes)
     schema = ", ".join(f"`{k}` {types[k]}" for k in keys) + ", aligned_a string, aligned_b string, matches int, columns int"
 
     def run(frames):
         for pdf in frames:
-            rows = [align(x or "", y or "") for x, y in zip(pdf[a], pdf[b])]
+            rows = align_many([x or "" for x in pdf[a]], [y or "" for y in pdf[b]])
             out = pdf[keys].copy()
             out["aligned_a"], out["aligned_b"] = [r[0] for r in rows], [r[1] for r in rows]
             out["matches"] = [sum(p == q for p, q in zip(*r)) for r in rows]

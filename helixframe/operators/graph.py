@@ -179,17 +179,76 @@ def isomorphic(a: tuple[dict, set], b: tuple[dict, set]) -> bool:
     return match(0, {})
 
 
+def _sums(*values: str) -> list[Column]:
+    """Two sums of hashes: the same for the same rows in any order, and no list of them is kept."""
+    return [F.sum(F.xxhash64(F.lit(k), *values).cast("decimal(38,0)")) for k in (1, 2)]
+
+
+def stable_colours(nodes: DataFrame, edges: DataFrame) -> DataFrame:
+    """``gid, node, label, colour, n_colours, n_nodes`` once further refinement parts no nodes of the graph.
+
+    A colour is a digest of the node's own colour and the sums of its
+    neighbours' hashed colours, so a hub costs rows. Rounds go on for the graphs
+    whose number of colours still grows; isomorphic graphs stop in the same one.
+    """
+    both = materialize(edges.select("gid", "u", "v").unionAll(edges.select("gid", F.col("v").alias("u"), F.col("u").alias("v"))).distinct(), "graph-edges")
+    state = nodes.withColumn("colour", F.md5(F.concat(F.lit("l"), "label")))
+    sized = lambda df: df.join(df.groupBy("gid").agg(F.count_distinct("colour").alias("n_colours"), F.count("*").alias("n_nodes")), "gid")
+    state, done = materialize(sized(state), "colours"), None
+    while True:
+        settled = state.where("n_colours = n_nodes")
+        done = settled if done is None else done.unionAll(settled)
+        state = state.where("n_colours < n_nodes")
+        if state.isEmpty():
+            return done
+        one, two = _sums("colour")
+        around = both.join(state.select("gid", F.col("node").alias("v"), "colour"), ["gid", "v"]).groupBy("gid", F.col("u").alias("node")).agg(one.alias("_1"), two.alias("_2"), F.count("*").alias("_n"))
+        colour = F.md5(F.concat_ws("|", "colour", *(F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in ("_1", "_2", "_n"))))
+        new = state.join(around, ["gid", "node"], "left").select("gid", "node", "label", colour.alias("colour"), F.col("n_colours").alias("_before"))
+        new = materialize(sized(new), "colours")
+        done = done.unionAll(new.where("n_colours = _before").drop("_before"))
+        state = new.where("n_colours > _before").drop("_before")
+
+
 def graph_dedup(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     """``gid, class_id``: graphs equal up to isomorphism share the smallest gid.
 
-    Graphs are equal if their canonical forms are, so a class is a minimum over
-    equal forms, combined before it moves: graphs never meet one another, and
-    a class of any size costs rows. Null labels equal empty ones; an edge with
-    an end that isn't a node is left out.
+    Colours are refined in columns. Where they tell all nodes apart, or all but
+    twins (nodes with the same neighbours, whose order doesn't matter), ranks by
+    colour number the nodes, and a graph's form is the sums of its hashed
+    labels and edges under these numbers. Only graphs with other ties get their
+    canonical string in Python. A class is a minimum over equal forms: graphs
+    never meet one another, and a class of any size costs rows. Null labels
+    equal empty ones; an edge with an end that isn't a node is left out.
     """
-    # digests of the labels keep forms unambiguous whatever the labels hold
-    coded = nodes.withColumn("label", F.md5(F.coalesce(F.col("label").cast("string"), F.lit(""))))
-    forms = materialize(canonical_strings(coded, edges).select("gid", F.sha2("canonical", 256).alias("form")), "forms")
+    coded = materialize(nodes.select("gid", F.col("node").cast("string").alias("node"), F.md5(F.coalesce(F.col("label").cast("string"), F.lit(""))).alias("label")), "graph-nodes")
+    ends = edges.select("gid", F.col("u").cast("string").alias("u"), F.col("v").cast("string").alias("v"))
+    named = lambda end: coded.select("gid", F.col("node").alias(end))
+    known = ends.join(named("u"), ["gid", "u"], "left_semi").join(named("v"), ["gid", "v"], "left_semi")
+    known = materialize(known.select("gid", F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct(), "graph-links")
+    colours = materialize(stable_colours(coded, known), "stable-colours")
+    tied = colours.groupBy("gid", "colour").agg(F.count("*").alias("n")).where("n > 1")
+    both = known.unionAll(known.select("gid", F.col("v").alias("u"), F.col("u").alias("v"))).distinct()
+    inside = colours.join(tied, ["gid", "colour"], "left_semi").select("gid", "colour", "node")
+    one, two = _sums("v")
+    around = inside.join(both.withColumnRenamed("u", "node"), ["gid", "node"], "left").where("v IS NULL OR v <> node").groupBy("gid", "colour", "node").agg(one.alias("o1"), two.alias("o2"))
+    open_ = [F.coalesce(c, F.lit(0).cast("decimal(38,0)")) for c in ("o1", "o2")]
+    closed = [o + F.xxhash64(F.lit(k), "node").cast("decimal(38,0)") for k, o in enumerate(open_, 1)]
+    same = lambda pair: F.min(F.struct(*pair)) == F.max(F.struct(*pair))
+    # a node without neighbours but itself has no row here
+    whole = inside.join(around, ["gid", "colour", "node"], "left").groupBy("gid", "colour").agg((same(open_) | same(closed)).alias("twins"))
+    loops = known.where("u = v").select("gid").distinct()
+    hard = materialize(whole.where("not twins").select("gid").unionAll(loops).distinct(), "tied-graphs")
+    easy = colours.join(hard, "gid", "left_anti")
+    ranked = easy.select("gid", "node", "label", F.row_number().over(Window.partitionBy("gid").orderBy("colour", "node")).alias("r"))
+    ranked = materialize(ranked, "graph-ranks")
+    facts = lambda df, *values: df.groupBy("gid").agg(F.count("*").alias("n"), *(c.alias(f"h{k}") for k, c in enumerate(_sums(*values))))
+    a, b = (ranked.select("gid", F.col("node").alias(e), F.col("r").alias(f"r{e}")) for e in "uv")
+    links = known.join(a, ["gid", "u"]).join(b, ["gid", "v"]).select("gid", F.least("ru", "rv").alias("x"), F.greatest("ru", "rv").alias("y"))
+    form = facts(ranked, "r", "label").join(facts(links, "x", "y").toDF("gid", "m", "e0", "e1"), "gid", "left")
+    forms = form.select("gid", F.concat_ws("|", *(F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in ("n", "h0", "h1", "m", "e0", "e1"))).alias("form"))
+    strings = canonical_strings(coded.join(hard, "gid", "left_semi"), known.join(hard, "gid", "left_semi"))
+    forms = materialize(forms.unionAll(strings.select("gid", F.sha2("canonical", 256).alias("form"))), "forms")
     firsts = forms.groupBy("form").agg(F.min("gid").alias("class_id"))
     return forms.join(firsts, "form").select("gid", "class_id")
 

@@ -7,7 +7,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from helixframe.operators import msa, spatial, stats, structure
+from helixframe.operators import cluster, graph, msa, spatial, stats, structure
 from helixframe.sinks import store_lookup, write_store
 from helixframe.streaming.ingest import ingest_keyed
 
@@ -136,3 +136,32 @@ def test_pieces_of_long_lists(spark):
     assert [(r.piece, r.refs) for r in got if r.cluster == "one"] == [(0, "x")]
     pairs = spark.createDataFrame([("b", "a", "1", "2"), ("a", "b", "2", "1")], "a string, b string, ra string, rb string")
     assert [tuple(r) for r in stats.interface_pieces(pairs, "a", "b", "ra", "rb").collect()] == [("a", "b", 0, "2:1")]
+
+
+def test_batched_alignment_is_the_single_one():
+    rng = random.Random(9)
+    pairs = [tuple("".join(rng.choice("AB-é") for _ in range(rng.randint(0, 9))) for _ in "xy") for _ in range(400)] + [("", ""), ("", "AB"), ("AB", ""), ("A" * 700, "A" * 650)]
+    xs, ys = map(list, zip(*pairs))
+    assert cluster.align_many(xs, ys) == [cluster.align(x, y) for x, y in pairs]
+    assert cluster.align_many([], []) == []
+
+
+def test_graph_classes_with_every_kind_of_tie(spark):
+    """Paths, stars, cycles, two triangles against a hexagon, twins, loops, isolated nodes; each under several numberings."""
+    rng = random.Random(4)
+    ring = lambda n, at=0: [(at + i, at + (i + 1) % n) for i in range(n)]
+    shapes = [(6, ring(6)), (6, ring(3) + ring(3, 3)), (5, [(0, i) for i in range(1, 5)]), (5, [(i, i + 1) for i in range(4)]), (4, []), (3, [(0, 0), (0, 1)]), (3, [(0, 1)]),
+              (6, [(a, b) for a in range(3) for b in range(3, 6)]), (4, [(a, b) for a in range(4) for b in range(a)]), (8, ring(8) + [(0, 4), (2, 6)]), (8, ring(8) + [(0, 4), (1, 5)])]
+    shapes += [(n, [(a, b) for a in range(n) for b in range(a) if rng.random() < 0.4]) for n in (5, 6, 7, 7)]
+    nodes, links, want, kept = [], [], {}, {}
+    for n, pairs in shapes:
+        for labels in (["x"] * n, ["xy"[i % 2] for i in range(n)]):
+            for _ in range(3):
+                gid, order = len(want), rng.sample(range(100, 100 + n), n)
+                nodes += [(gid, order[i], labels[i]) for i in range(n)]
+                links += [(gid, *((order[a], order[b]) if rng.random() < 0.5 else (order[b], order[a]))) for a, b in pairs] + [(gid, order[0], 999)]
+                mine = (dict(enumerate(labels)), set(pairs))
+                want[gid] = next((c for c, g in kept.items() if graph.isomorphic(mine, g)), gid)
+                kept.setdefault(want[gid], mine)
+    got = graph.graph_dedup(spark.createDataFrame(nodes, "gid int, node int, label string"), spark.createDataFrame(links, "gid int, u int, v int"))
+    assert {r.gid: r.class_id for r in got.collect()} == want
