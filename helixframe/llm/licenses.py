@@ -3,10 +3,9 @@
 A text is split into pieces at sentence ends, semicolons and line ends, each is
 normalised (lower case, every run of other characters than letters and digits
 one space), and a piece, or a run of pieces that no sentence end or blank line
-parts, is mapped to the identifier of a known license sentence. So hard-wrapped
-notices, with comment marks or without, read as one line does. The sequence of
-identifiers is then
-matched against ordered rules: a rule names a license for a run of
+parts, is looked up in the map from known license sentences to their
+identifiers. So hard-wrapped notices, with comment marks or without, read as
+one line does. The sequence of identifiers is then matched against ordered rules: a rule names a license for a run of
 identifiers and uses that run up, so longer, more specific rules come first.
 """
 
@@ -14,8 +13,10 @@ from __future__ import annotations
 
 import re
 
+import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from helixframe.llm.textbytes import LOWER
 
 # fixed values: identifiers of known license sentences in normal form
 SENTENCES = [
@@ -131,48 +132,119 @@ RULES = [
 ]
 RULES += [(t + "-tag", ["spdx_" + re.sub("[^a-z0-9]+", "_", t.lower())]) for t in TAGS]
 
-#: A text is only split if it has one of these or, for each sentence without any of these, its longest word.
-TRIGGERS = ["licen", "permission", "software", "redistribut"]
+# fixed values: names that mentions of a license use, and the names of the public license list
+MENTIONED = [
+    ("apache license 2 0", "Apache-2.0"), ("apache 2 0 license", "Apache-2.0"), ("apache license version 2 0", "Apache-2.0"), ("mit license", "MIT"), ("isc license", "ISC"),
+    ("bsd license", "BSD"), ("bsd 2 clause license", "BSD-2-Clause"), ("bsd 3 clause license", "BSD-3-Clause"), ("new bsd license", "BSD-3-Clause"), ("simplified bsd license", "BSD-2-Clause"),
+    ("gnu general public license version 2", "GPL-2.0"), ("gnu general public license v2 0", "GPL-2.0"), ("gnu general public license version 3", "GPL-3.0"), ("gnu general public license v3 0", "GPL-3.0"),
+    ("gplv2", "GPL-2.0"), ("gplv3", "GPL-3.0"), ("gnu lesser general public license version 2 1", "LGPL-2.1"), ("gnu lesser general public license version 3", "LGPL-3.0"),
+    ("gnu affero general public license version 3", "AGPL-3.0"), ("mozilla public license 2 0", "MPL-2.0"), ("mozilla public license version 2 0", "MPL-2.0"), ("eclipse public license 1 0", "EPL-1.0"),
+    ("eclipse public license 2 0", "EPL-2.0"), ("boost software license version 1 0", "BSL-1.0"), ("zlib license", "Zlib"), ("unlicense", "Unlicense"), ("artistic license 2 0", "Artistic-2.0"),
+    ("creative commons attribution 4 0 international license", "CC-BY-4.0"), ("creative commons attribution sharealike 4 0 international license", "CC-BY-SA-4.0"),
+    ("creative commons attribution noncommercial 4 0 international license", "CC-BY-NC-4.0"), ("creative commons attribution 3 0 unported license", "CC-BY-3.0"),
+]
+# fixed values: sentences that mention a license
+MENTIONS = ["licensed under the {}", "released under the {}", "distributed under the {}", "available under the {}", "this project is licensed under the {}",
+            "this work is licensed under the {}", "this work is licensed under a {}", "this software is released under the {}", "distributed under the terms of the {}",
+            "licensed under the terms of the {}", "published under the {}"]
+_GIVEN = {s for _, s in SENTENCES}
+for _name, _license in MENTIONED:
+    _id = "mention_" + re.sub("[^a-z0-9]+", "_", _name)
+    for _k, _mention in enumerate(MENTIONS):
+        if _mention.format(_name) not in _GIVEN:
+            SENTENCES.append((f"{_id}_{_k}", _mention.format(_name)))
+            RULES.append((f"{_license}-reference", [f"{_id}_{_k}"]))
 
 
 def normal_form(sentence: str) -> str:
     return re.sub("[^a-z0-9]+", " ", sentence.lower()).strip()
 
 
+#: A sentence end, or a line end before a line without letters and digits: no sentence runs over it.
+_HARD = re.compile(r"[.!?](?=[ \t\r\n])|(?:\r\n?+|\n)(?=[^a-z0-9\r\n]*[\r\n])")
+#: A border that a sentence may run over.
+_SOFT = re.compile(r";(?=[ \t])|[\r\n]+")
+_OTHER = re.compile("[^a-z0-9]+")
+
+
+class Sentences:
+    """Known sentences by normal form; what no sentence begins with is passed over at its first word."""
+
+    def __init__(self, sentences: list[tuple[str, str]]):
+        self.known = {}
+        for i, s in sentences:
+            self.known.setdefault(normal_form(s), i)
+        self.firsts = {s.split(" ", 1)[0] for s in self.known}
+        self.longest = max(map(len, self.known), default=0)
+        # a sentence's longest word is in any text that has it, whatever stands between the words
+        self.marks = re.compile("|".join(sorted(map(re.escape, {max(s.split(" "), key=len) for s in self.known})))) if self.known else None
+
+    def find(self, text: str) -> list[str]:
+        low = text.encode().translate(LOWER).decode()
+        if self.marks is None or not self.marks.search(low):
+            return []
+        out = []
+        for part in _HARD.split(low):
+            pieces = [p for p in (_OTHER.sub(" ", x).strip() for x in _SOFT.split(part)) if p]
+            at = 0
+            while at < len(pieces):
+                end = at + 1
+                if pieces[at].split(" ", 1)[0] in self.firsts:
+                    run, found = "", None
+                    for k in range(at, len(pieces)):
+                        run = f"{run} {pieces[k]}" if run else pieces[k]
+                        if len(run) > self.longest:
+                            break
+                        if run in self.known:
+                            found, end = self.known[run], k + 1
+                    if found is not None:
+                        out.append(found)
+                at = end
+        return out
+
+
 def scan_licenses(df: DataFrame, key: str = "doc_id", text: str = "text",
                   sentences: list[tuple[str, str]] = SENTENCES, rules: list[tuple[str, list[str]]] = RULES) -> DataFrame:
     """Per row: ``key``, ``sentence_ids`` (in text order) and ``licenses`` (in rule order), both arrays.
 
-    A rule counts once a text, and so does a license that several rules name. Pieces end at ``.!?;`` before white space and at
-    line ends; a known sentence may run over semicolons and line ends, but not
-    over ``.!?`` or a line without letters and digits. Unknown sentences are
-    skipped. Null, empty and unlicensed texts give empty arrays; repeated rows
-    repeat; other columns are left out. The tables are literals of the plan,
-    for lists of some hundred entries.
+    A rule counts once a text, and so does a license that several rules name;
+    rules use up the runs of identifiers that they name, from the left. Pieces
+    end at ``.!?;`` before white space and at line ends; a known sentence may
+    run over semicolons and line ends, but not over ``.!?`` or a line without
+    letters and digits. Of the sentences that begin at a piece the longest
+    counts. Unknown sentences are skipped. Null, empty and unlicensed texts give
+    empty arrays; repeated rows repeat; other columns are left out. Tables may
+    have thousands of rows: a run of pieces is one lookup.
     """
-    low = F.translate(F.coalesce(F.col(text), F.lit("")), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
-    known = {normal_form(s): i for i, s in sentences}
-    table = F.create_map(*(F.lit(x) for s, i in known.items() for x in (s, i)))
-    marks = TRIGGERS + sorted({max(s.split(), key=len) for s in known if not any(t in s for t in TRIGGERS)})
-    worth = F.lit(False)
-    for t in marks:
-        worth = worth | F.contains(F.col("_low"), F.lit(t))
-    # the lower-case text has no capitals: H stands for a sentence end, S for a border that a sentence may run over
-    cut = F.col("_low")
-    for pattern, mark in ((r"[.!?](?=[ \t\r\n])|(?:\r\n?+|\n)(?=[^a-z0-9\r\n]*[\r\n])", "H"), (r";(?=[ \t])|[\r\n]+", "S"), ("[^a-z0-9HS]+", " "), ("[ S]*+H[ HS]*+", "H"), (" ?S[ S]*+", "S")):
-        cut = F.regexp_replace(cut, pattern, mark)
-    # the longest first, so that a sentence wins over its own beginning
-    runs = "|".join(s.replace(" ", "[ S]") for s in sorted(known, key=len, reverse=True))
-    hits = F.regexp_extract_all(F.concat(F.lit("H"), F.trim(cut), F.lit("H")), F.lit(f"(?<=[HS])(?:{runs})(?=[HS])"), F.lit(0))
-    ids = F.transform(hits, lambda s: F.element_at(table, F.replace(s, F.lit("S"), F.lit(" "))))
-    out = df.select(F.col(key), low.alias("_low"))
-    out = out.select(key, F.when(worth, ids).otherwise(F.array().cast("array<string>")).alias("sentence_ids"))
-    # doubled commas let neighbouring runs keep their own borders
-    out = out.withColumn("_s", F.concat(F.lit(","), F.array_join("sentence_ids", ",,"), F.lit(",")))
-    names = []
+    kind = dict(df.dtypes)[key]
+    shipped = df.sparkSession.sparkContext.broadcast((Sentences(sentences), [(name, tuple(seq)) for name, seq in rules]))
+
+    def run(batches):
+        table, ordered = shipped.value
+        for batch in batches:
+            ids = [table.find(t or "") for t in batch.column(1).to_pylist()]
+            named = [match_rules(i, ordered) for i in ids]
+            lists = pa.list_(pa.string())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, lists), pa.array(named, lists)], [key, "sentence_ids", "licenses"])
+
+    return df.select(key, df[text].alias("_text")).mapInArrow(run, f"`{key}` {kind}, sentence_ids array<string>, licenses array<string>")
+
+
+def match_rules(ids: list[str], rules: list[tuple[str, tuple[str, ...]]]) -> list[str]:
+    """The licenses that ordered rules name; each rule takes its runs out of the sequence, which others don't close over."""
+    if not ids:
+        return []
+    left: list[str | None] = list(ids)
+    present, out = set(ids), []
     for name, seq in rules:
-        run = "," + ",,".join(seq) + ","
-        names.append(F.when(F.contains(F.col("_s"), F.lit(run)), F.lit(name)))
-        out = out.withColumn(f"_l{len(names)}", names[-1]).withColumn("_s", F.replace("_s", F.lit(run), F.lit(",")))
-    found = F.array_distinct(F.array_compact(F.array(*(f"_l{k}" for k in range(1, len(names) + 1)))))
-    return out.select(key, "sentence_ids", found.alias("licenses"))
+        if not present.issuperset(seq):
+            continue
+        at, hit = 0, False
+        while at + len(seq) <= len(left):
+            if tuple(left[at : at + len(seq)]) == seq:
+                left[at : at + len(seq)] = [None]
+                hit = True
+            at += 1
+        if hit and name not in out:
+            out.append(name)
+    return out

@@ -150,37 +150,34 @@ QUERIES = {name: _tuned(query) for name, query in QUERIES.items()}
 _RULES_SQL = ", ".join(f"('{h}', '{p}', '{v}')" for h, p, v in RULES)
 
 
-def _license_sql() -> str:
-    """The sentence rules in SQL, from the same tables."""
-    from helixframe.llm.licenses import RULES as rules
-    from helixframe.llm.licenses import SENTENCES, TRIGGERS
-
-    known = ", ".join(f"('{s}', '{i}')" for i, s in SENTENCES)
-    steps, column, first = "", "s0", {}
-    for k, (name, ids) in enumerate(rules, 1):
-        seq = "," + ",,".join(ids) + ","
-        # a license that an earlier rule has found is not named again
-        again = " OR ".join(f"l{j} <> ''" for j in first.get(name, []))
-        new = f"strpos({column}, '{seq}') > 0" + (f" AND NOT ({again})" if again else "")
-        steps += (f", r{k} AS (SELECT *, CASE WHEN {new} THEN '{name},' ELSE '' END AS l{k}, "
-                  f"replace({column}, '{seq}', ',') AS s{k} FROM {f'r{k - 1}' if k > 1 else 'ids'})")
-        column = f"s{k}"
-        first.setdefault(name, []).append(k)
-    triggers = " OR ".join(f"contains(low, '{t}')" for t in TRIGGERS)
-    found = " || ".join(f"l{k}" for k in range(1, len(rules) + 1))
+def _license_sql(sentences: list | None = None, rules: list | None = None) -> str:
+    """The same sentences and rules in SQL: borders are doubled, so that neighbouring sentences have one each."""
+    from helixframe.llm.licenses import RULES, SENTENCES
+
+    sentences, rules = sentences or SENTENCES, rules or RULES
+    known = ", ".join(f"('{s}', '{i}')" for i, s in sentences)
+    runs = "|".join(s.replace(" ", "(?: |SS)") for s in sorted({s for _, s in sentences}, key=len, reverse=True))
+    # rules in one list, folded over the identifiers: names found so far, and what is left of the sequence
+    fold = ", ".join(f"{{'name': '{name}', 'run': ',{',,'.join(ids)},'}}" for name, ids in rules)
+    cut = "replace(low, chr(13) || chr(10), chr(10))"
+    for pattern, mark in ((r"[.!?]([ \t\r\n])", r"H\1"), (r"(?:\r\n?|\n)([^a-z0-9\r\n]*[\r\n])", r"H\1"), (r";([ \t])", r"S\1"), (r"[\r\n]+", "S"), ("[^a-z0-9HS]+", " "), ("[ S]*H[ HS]*", "H"), (" ?S[ S]*", "S")):
+        cut = f"regexp_replace({cut}, '{pattern}', '{mark}', 'g')"
     return f"""
 WITH known(sentence, id) AS (VALUES {known}),
 low AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS low FROM documents),
-parts AS (
-  SELECT doc_id, generate_subscripts(p, 1) AS k, unnest(p) AS part
-  FROM (SELECT doc_id, string_split_regex(low, '[.!?;][ \t]+|[\r\n]+') AS p FROM low WHERE {triggers})),
-named AS (
-  SELECT doc_id, k, id FROM parts JOIN known ON trim(regexp_replace(part, '[^a-z0-9]+', ' ', 'g')) = sentence),
+cut AS (SELECT doc_id, replace(replace('H' || trim({cut}) || 'H', 'S', 'SS'), 'H', 'HH') AS t FROM low),
+parts AS (SELECT doc_id, generate_subscripts(p, 1) AS k, unnest(p) AS part FROM (SELECT doc_id, regexp_extract_all(t, '[HS]({runs})[HS]', 1) AS p FROM cut)),
+named AS (SELECT doc_id, k, id FROM parts JOIN known ON replace(part, 'SS', ' ') = sentence),
 ids AS (
-  SELECT low.doc_id, coalesce(n, 0) AS n, coalesce(j, '') AS j, ',' || coalesce(replace(j, ',', ',,'), '') || ',' AS s0
-  FROM low LEFT JOIN (SELECT doc_id, count(*) AS n, string_agg(id, ',' ORDER BY k) AS j FROM named GROUP BY doc_id) USING (doc_id))
-{steps}
-SELECT doc_id, n AS n_sentences, j AS sentence_ids, rtrim({found}, ',') AS licenses FROM r{len(rules)}
+  SELECT low.doc_id, coalesce(n, 0) AS n, coalesce(j, '') AS j, ',' || coalesce(replace(j, ',', ',,'), '') || ',' AS s
+  FROM low LEFT JOIN (SELECT doc_id, count(*) AS n, string_agg(id, ',' ORDER BY k) AS j FROM named GROUP BY doc_id) USING (doc_id)),
+rules AS (SELECT unnest(generate_series(1, {len(rules)})) AS k, unnest([{fold}]) AS r),
+walk AS (
+  SELECT doc_id, list_reduce(list_prepend({{'name': '', 'run': s}}, (SELECT list(r ORDER BY k) FROM rules)),
+    lambda a, r: {{'name': CASE WHEN contains(a.run, r.run) AND NOT contains(',' || a.name || ',', ',' || r.name || ',') THEN a.name || CASE WHEN a.name = '' THEN '' ELSE ',' END || r.name ELSE a.name END,
+                  'run': replace(a.run, r.run, ',')}}) AS w
+  FROM ids WHERE n > 0)
+SELECT ids.doc_id, n AS n_sentences, j AS sentence_ids, coalesce(w.name, '') AS licenses FROM ids LEFT JOIN walk USING (doc_id)
 """
 
 

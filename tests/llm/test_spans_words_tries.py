@@ -11,7 +11,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from helixframe.llm import conversation_trie, language_id, quality, queries, secrets, spelling, url_filter
+from helixframe.llm import conversation_trie, language_id, licenses, quality, queries, secrets, spelling, url_filter
 from helixframe.session import read_table
 from tests.llm.test_text_operators import MIDDLE, SMALL, clashing, table
 
@@ -270,3 +270,35 @@ def test_more_than_256_languages(spark):
     assert sum(r.lang == r.lang_pred for r in got) > 590 and {r.lang_spans[0].lang for r in got} > {"l299"}
     long = language_id.identify(table(spark, [(1, "abc " * 2_000_000 + rows[299][1])]), model, spans=True).first()
     assert long.lang_spans[-1].end == 2_000_030
+
+
+def test_license_sql_says_the_same_rule(spark):
+    """Wrapped, neighbouring, repeated and broken notices: operator and SQL agree, and not only on nothing."""
+    import duckdb
+
+    from tests.llm.test_text_operators import APACHE, BSD, GPL, ISC, LGPL, MIT, MPL, NAMES
+
+    mpl = "If a copy of the MPL was not distributed with this file, You can obtain one at http://mozilla.org/MPL/2.0/."
+    base = [APACHE, BSD, BSD + NAMES, GPL.format(3), ISC, LGPL, MIT, MPL, mpl, "This software is distributed without\nany warranty", "Released under\n\nthe MIT license.", "Released under\nthe MIT license",
+            "Released under. The MIT license", "Licensed under the gplv3; Licensed under the ISC License.\r\nThis work is licensed under a\r\n Creative Commons Attribution 4.0 International License!", "", None,
+            "MIT License\n\n" + MIT, MPL + MPL, "permission is hereby granted", "// SPDX-License-Identifier: MIT\n# spdx-license-identifier: isc", "The MIT license;\n" * 40]
+    rng = random.Random(1)
+    texts = base + ["\n".join(rng.sample([b for b in base if b], 3)) for _ in range(30)] + [" ".join(rng.choice(base) or "" for _ in range(2)) for _ in range(20)]
+    got = {r.doc_id: (",".join(r.sentence_ids), ",".join(r.licenses)) for r in licenses.scan_licenses(table(spark, list(enumerate(texts)))).collect()}
+    c = duckdb.connect()
+    c.execute("CREATE TABLE documents (doc_id BIGINT, text VARCHAR)")
+    c.executemany("INSERT INTO documents VALUES (?, ?)", list(enumerate(texts)))
+    found = c.execute(queries.ORACLES["op4_license_scan"])
+    names = [d[0] for d in found.description]
+    want = {r["doc_id"]: (r["sentence_ids"], r["licenses"]) for r in (dict(zip(names, row)) for row in found.fetchall())}
+    assert got == want
+    assert got[8][0] == "mpl2_copy" and got[9][0] == "cc0_warranty" and got[10][0] == "mit_title" and got[11][0] == "mit_line"
+    assert got[13][1] == "ISC-reference,GPL-3.0-reference,CC-BY-4.0-reference" and len({v for v in got.values()}) > 25
+
+
+def test_thousands_of_sentences_and_a_long_text(spark):
+    own = [(f"s{i}", f"clause number {i} of the contract") for i in range(5000)]
+    rules = [(f"L{i}", [f"s{i}", f"s{i + 1}"]) for i in range(4000)]
+    text = "filler words here\n" * 300_000 + "Clause number 17\nof the contract; clause number 18 of\nthe contract. Clause number 4999 of the contract"
+    got = licenses.scan_licenses(table(spark, [(1, text), (2, "clause number 18 of the contract")]), sentences=own, rules=rules).orderBy("doc_id").collect()
+    assert [(list(r.sentence_ids), list(r.licenses)) for r in got] == [(["s17", "s18", "s4999"], ["L17"]), (["s18"], [])]
