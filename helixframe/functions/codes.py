@@ -30,6 +30,7 @@ CLUSTER_LABEL = {
     "X": "Unknown",
 }
 
+# fixed values: cluster codes of polymers, components of water, unknown residues, hydrogens
 POLYMER_CODES = ["P", "Q", "D", "R", "N", "A"]
 WATER = ["HOH", "DOD"]
 UNKNOWN_RESIDUES = ["UNL", "UNK"]
@@ -49,12 +50,15 @@ ENTITY_INDEX = {"A": 0, "P": 1, "Q": 2, "R": 3, "D": 4, "N": 5, "L": 6, "B": 7,
 CDR_RANGES = {"L1": (24, 34), "L2": (50, 56), "L3": (89, 97), "H1": (26, 32), "H2": (50, 65), "H3": (95, 102)}
 
 # fixed values: chemical element symbols in order of atomic number
-ELEMENTS = (
-    "H He Li Be B C N O F Ne Na Mg Al Si P S Cl Ar K Ca Sc Ti V Cr Mn Fe Co Ni Cu Zn Ga Ge As Se Br Kr Rb Sr Y Zr "
-    "Nb Mo Tc Ru Rh Pd Ag Cd In Sn Sb Te I Xe Cs Ba La Ce Pr Nd Pm Sm Eu Gd Tb Dy Ho Er Tm Yb Lu Hf Ta W Re Os Ir "
-    "Pt Au Hg Tl Pb Bi Po At Rn Fr Ra Ac Th Pa U Np Pu Am Cm Bk Cf Es Fm Md No Lr Rf Db Sg Bh Hs Mt Ds Rg Cn Nh Fl "
-    "Mc Lv Ts Og"
-).split()
+ELEMENTS = [
+    "H", "He", "Li", "Be", "B", "C", "N", "O", "F", "Ne", "Na", "Mg", "Al", "Si", "P", "S", "Cl", "Ar", "K", "Ca",
+    "Sc", "Ti", "V", "Cr", "Mn", "Fe", "Co", "Ni", "Cu", "Zn", "Ga", "Ge", "As", "Se", "Br", "Kr", "Rb", "Sr", "Y",
+    "Zr", "Nb", "Mo", "Tc", "Ru", "Rh", "Pd", "Ag", "Cd", "In", "Sn", "Sb", "Te", "I", "Xe", "Cs", "Ba", "La", "Ce",
+    "Pr", "Nd", "Pm", "Sm", "Eu", "Gd", "Tb", "Dy", "Ho", "Er", "Tm", "Yb", "Lu", "Hf", "Ta", "W", "Re", "Os", "Ir",
+    "Pt", "Au", "Hg", "Tl", "Pb", "Bi", "Po", "At", "Rn", "Fr", "Ra", "Ac", "Th", "Pa", "U", "Np", "Pu", "Am", "Cm",
+    "Bk", "Cf", "Es", "Fm", "Md", "No", "Lr", "Rf", "Db", "Sg", "Bh", "Hs", "Mt", "Ds", "Rg", "Cn", "Nh", "Fl", "Mc",
+    "Lv", "Ts", "Og",
+]
 
 
 def protein_index() -> dict[str, int]:

@@ -253,6 +253,18 @@ def graph_dedup(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return forms.join(firsts, "form").select("gid", "class_id")
 
 
+def isomorphic_pairs(pairs: DataFrame, nodes: DataFrame, edges: DataFrame, a: str = "gid1", b: str = "gid2") -> DataFrame:
+    """``pairs`` with ``same``: whether two graphs are isomorphic; a pair with a graph that has no nodes is null.
+
+    Only the pairs' graphs are classified, and the pairs meet classes, not graphs.
+    """
+    wanted = pairs.select(F.explode(F.array(a, b)).alias("gid")).distinct()
+    classes = materialize(graph_dedup(nodes.join(wanted, "gid", "left_semi"), edges.join(wanted, "gid", "left_semi")), "graph-classes")
+    end = lambda c, out: classes.select(F.col("gid").alias(c), F.col("class_id").alias(out))
+    joined = pairs.join(end(a, "_x"), a, "left").join(end(b, "_y"), b, "left")
+    return joined.select(*pairs.columns, (F.col("_x") == F.col("_y")).alias("same"))
+
+
 def canonical_form(labels: dict, edges: set) -> str:
     """``(A)(B)…|(i,j)…`` of a graph, the same for every numbering of its nodes.
 

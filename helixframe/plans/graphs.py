@@ -115,6 +115,40 @@ def graph_dedup(t: Tables):
     return graph.graph_dedup(*order_graphs(t))
 
 
+@query("""WITH g AS (SELECT l_orderkey AS gid, string_agg(p_brand, '|' ORDER BY p_brand) AS labels FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem)
+JOIN part ON p_partkey = l_partkey GROUP BY 1)
+SELECT a.o_orderkey AS gid1, a.o_orderkey + 1 AS gid2, x.labels = y.labels AS same FROM orders a LEFT JOIN g x ON x.gid = a.o_orderkey LEFT JOIN g y ON y.gid = a.o_orderkey + 1""")
+def isomorphic_neighbours(t: Tables):
+    """Whether an order's graph is that of the next one."""
+    pairs = t.orders.select(F.col("o_orderkey").alias("gid1"), (F.col("o_orderkey") + 1).alias("gid2"))
+    return graph.isomorphic_pairs(pairs, *order_graphs(t))
+
+
+@query("""WITH c AS (SELECT DISTINCT l_orderkey AS gid, l_partkey AS p, l_suppkey AS s FROM lineitem),
+n AS (SELECT gid, s, count(*) AS n, string_agg(p_type, ',' ORDER BY p_type) AS kinds FROM c JOIN part ON p_partkey = p GROUP BY 1, 2),
+shared AS (SELECT gid FROM c GROUP BY gid, p HAVING count(*) > 1),
+f AS (SELECT gid, string_agg(kinds, '|' ORDER BY kinds) AS form FROM n WHERE gid NOT IN (SELECT gid FROM shared) GROUP BY gid)
+SELECT gid, min(gid) OVER (PARTITION BY form) AS class_id FROM f""")
+def supplier_forests(t: Tables):
+    """Orders whose parts have one supplier each, as forests of stars; a form is its stars, which only the SQL uses."""
+    lines = t.lineitem.select(F.col("l_orderkey").alias("gid"), "l_partkey", "l_suppkey").distinct()
+    shared = lines.groupBy("gid", "l_partkey").count().where("count > 1").select("gid").distinct()
+    lines = lines.join(shared, "gid", "left_anti")
+    part, supplier = F.concat(F.lit("p"), "l_partkey"), F.concat(F.lit("s"), "l_suppkey")
+    kinds = lines.join(t.part, F.col("l_partkey") == F.col("p_partkey"))
+    nodes = kinds.select("gid", part.alias("node"), F.col("p_type").alias("label")).unionByName(kinds.select("gid", supplier.alias("node"), F.lit("SUPPLIER").alias("label"))).distinct()
+    return graph.graph_dedup(nodes, lines.select("gid", part.alias("u"), supplier.alias("v")))
+
+
+@query("""WITH RECURSIVE e AS (SELECT p_partkey AS a, p_partkey + 1 AS b FROM part WHERE p_partkey % 97 <> 96 AND p_partkey + 1 IN (SELECT p_partkey FROM part)),
+r(node, component) AS (SELECT a, a FROM e WHERE a NOT IN (SELECT b FROM e) UNION ALL SELECT b, component FROM r JOIN e ON e.a = r.node) SELECT node, component FROM r""")
+def long_paths(t: Tables):
+    """Components of paths of up to 97 parts: several rounds of both star steps."""
+    edges = t.part.select(F.col("p_partkey").alias("src"), (F.col("p_partkey") + 1).alias("dst")).where("src % 97 <> 96")
+    edges = edges.join(t.part.select(F.col("p_partkey").alias("dst")), "dst", "left_semi")
+    return connected_components(edges)
+
+
 @query()
 def canonical_string(t: Tables):
     lines = t.lineitem.select("l_orderkey", "l_partkey", "l_suppkey").distinct().join(

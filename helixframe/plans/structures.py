@@ -197,3 +197,44 @@ def interface_pieces(t: Tables):
     pairs = rows.withColumnRenamed("p_type", "ta").join(rows.withColumnRenamed("p_type", "tb"), "l_orderkey").where("ta < tb")
     ref = F.col("l_orderkey").cast("string")
     return stats.interface_pieces(pairs.select("ta", "tb", ref.alias("ra"), ref.alias("rb")), "tb", "ta", "ra", "rb", 500)
+
+
+@query("""WITH a AS (SELECT l_suppkey AS comp, l_partkey AS atom, min(l_orderkey) AS ord, max(l_returnflag) AS flag FROM lineitem GROUP BY 1, 2),
+h AS (SELECT comp, atom, row_number() OVER (PARTITION BY comp ORDER BY ord, atom) - 1 AS idx FROM a WHERE flag <> 'R')
+SELECT x.comp, x.atom AS atom_1, y.atom AS atom_2, x.idx AS src, y.idx AS dst FROM h x JOIN h y ON y.comp = x.comp AND y.atom = x.atom + 1""")
+def component_bonds(t: Tables):
+    """Suppliers as components, their parts as atoms, returned ones as hydrogens; neighbouring part numbers are bonded."""
+    atoms = t.lineitem.groupBy(F.col("l_suppkey").cast("string").alias("comp_id"), "l_partkey").agg(F.min("l_orderkey").alias("o"), F.max("l_returnflag").alias("flag"))
+    atoms = atoms.select("comp_id", F.col("l_partkey").cast("string").alias("atom_id"), F.struct("o", "l_partkey").alias("atom_ord"), F.when(F.col("flag") == "R", "H").otherwise("C").alias("element"))
+    bonds = atoms.select("comp_id", F.col("atom_id").alias("atom_id_1"), (F.col("atom_id").cast("long") + 1).cast("string").alias("atom_id_2"))
+    _, _, kept = normalize.component_tables(t.supplier.select(F.col("s_suppkey").cast("string").alias("comp_id")), atoms, bonds)
+    return kept.select(F.col("comp_id").cast("long").alias("comp"), F.col("atom_id_1").cast("long").alias("atom_1"), F.col("atom_id_2").cast("long").alias("atom_2"),
+                       F.col("src").cast("long").alias("src"), F.col("dst").cast("long").alias("dst"))
+
+
+@query("""SELECT l_orderkey, l_linenumber || CASE WHEN l_linestatus = 'F' THEN '' ELSE '.' || l_returnflag END AS auth_idx,
+CASE WHEN l_tax > 0.01 THEN l_extendedprice END AS x, CASE WHEN l_discount > 0.02 THEN l_quantity END AS occupancy FROM lineitem WHERE l_quantity > 3""")
+def observed_sites(t: Tables):
+    """Lines as atom rows: small quantities are hydrogens, low taxes and discounts missing numbers, open lines have an insertion code."""
+    text = lambda c: F.col(c).cast("string")
+    rows = t.lineitem.select("l_orderkey", F.when(F.col("l_quantity") > 3, "C").otherwise("H").alias("element"), F.when(F.col("l_tax") > 0.01, text("l_extendedprice")).otherwise("?").alias("x"),
+                             F.lit("1").alias("y"), F.lit(".").alias("z"), F.lit("2.0").alias("b_factor"), F.when(F.col("l_discount") > 0.02, text("l_quantity")).otherwise(".").alias("occupancy"),
+                             text("l_linenumber").alias("auth_seq_id"), F.when(F.col("l_linestatus") == "F", "?").otherwise(F.col("l_returnflag")).alias("ins_code"))
+    return normalize.atom_sites(rows).select("l_orderkey", "auth_idx", "x", "occupancy")
+
+
+@query("""WITH places AS (SELECT DISTINCT l_orderkey, l_returnflag AS asym, l_linenumber AS num FROM lineitem)
+SELECT a.l_orderkey, a.asym, CAST(a.num + 10 AS VARCHAR) AS auth_a, CAST(b.num + 10 AS VARCHAR) AS auth_b FROM places a JOIN places b ON b.l_orderkey = a.l_orderkey AND b.asym = a.asym AND b.num = a.num + 1""")
+def branched_links(t: Tables):
+    """Orders as branched entities with links from each line number to the next, one chain a return flag."""
+    lines = t.lineitem.select("l_orderkey", "l_returnflag", "l_linenumber").distinct()
+    entry, number = F.concat(F.lit("e"), "l_orderkey"), F.col("l_linenumber").cast("string")
+    item = lambda name, value: F.struct(F.lit(name).alias("item"), value.cast("string").alias("value"))
+    cells = lambda df, category, order, *items: df.select(entry.alias("entry_id"), F.lit(category).alias("category"), order.cast("long").alias("row_ord"), F.inline(F.array(*(item(*i) for i in items))))
+    scheme = cells(lines, "_pdbx_branch_scheme", F.ascii("l_returnflag") * 100 + F.col("l_linenumber"), ("asym_id", F.col("l_returnflag")), ("entity_id", F.lit("1")), ("num", number),
+                   ("pdb_seq_num", F.col("l_linenumber") + 10), ("pdb_ins_code", F.lit(".")))
+    steps = lines.select("l_orderkey", "l_linenumber").distinct()
+    links = cells(steps, "_pdbx_entity_branch_link", F.col("l_linenumber"), ("entity_id", F.lit("1")), ("entity_branch_list_num_1", number), ("entity_branch_list_num_2", F.col("l_linenumber") + 1),
+                  ("atom_id_1", F.lit("C1")), ("atom_id_2", F.lit("O4")), ("value_order", F.lit("sing")))
+    out = structure.branch_links(materialize(scheme.unionByName(links), "branches"))
+    return out.select(F.expr("CAST(substring(entry_id, 2) AS BIGINT)").alias("l_orderkey"), F.col("asym_a").alias("asym"), "auth_a", "auth_b")

@@ -24,6 +24,14 @@ def cluster_lines(members: DataFrame, cluster: str, member: str) -> DataFrame:
     return members.groupBy(F.concat(F.lit("c"), cluster).alias("cluster_id")).agg(F.array_join(F.sort_array(F.collect_list(member)), ",").alias("members"))
 
 
+def cluster_pieces(members: DataFrame, cluster: str, member: str, size: int = 1 << 20) -> DataFrame:
+    """``cluster_id, piece, members``: as ``cluster_lines``, a long cluster in numbered pieces of about ``size`` characters."""
+    from helixframe.operators.stats import list_pieces
+
+    rows = members.select(F.concat(F.lit("c"), cluster).alias("cluster_id"), F.col(member).cast("string").alias("_m"))
+    return list_pieces(rows, ["cluster_id"], "_m", size).withColumnRenamed("refs", "members")
+
+
 def metadata_lines(df: DataFrame, columns: list[str], null: str = "NA") -> DataFrame:
     return df.select(*(F.coalesce(F.col(c).cast("string"), F.lit(null)).alias(c) for c in columns))
 
