@@ -1,6 +1,7 @@
 """The pipeline's stages against brute force on their own inputs."""
 
 import sys
+import zlib
 
 sys.path.insert(0, __file__.rsplit("/tests/", 1)[0])
 
@@ -77,6 +78,42 @@ def test_language_stage_without_languages(spark):
     assert {r.doc_id for r in got} == {r.doc_id for r in docs.collect()} and {r.lang for r in got} == {None}
 
 
+def brute_hits(text, items, window=10):
+    """Which words of a text an item's window covers, by comparing every place with every window."""
+    tokens = decontamination.words(text)
+    hit = np.zeros(len(tokens), bool)
+    for item in items:
+        n = min(len(item), window)
+        known = {tuple(item[p : p + n]) for p in range(len(item) - n + 1)} if n else set()
+        for p in range(len(tokens) - n + 1 if known else 0):
+            if tuple(tokens[p : p + n]) in known:
+                hit[p : p + n] = True
+    return hit
+
+
+def test_run_is_the_stages_by_brute_force(spark):
+    """The whole pipeline: which documents are left, and the tokens of those that no benchmark passage touched."""
+    from tokenizers import Tokenizer
+
+    docs = {r.doc_id: r.text for r in read_table(spark, SMALL, "documents").collect() if any(c.isalpha() for c in r.text or "")}
+    docs = {d: docs[d] for d, w in brute_groups(list(docs.items()), 80).items() if w[2]}
+    docs = brute_cut(list(docs.items()))
+    items = [decontamination.words(r.text) for r in read_table(spark, SMALL, "benchmark").collect()]
+    hits = {d: brute_hits(t, items) for d, t in docs.items()}
+    rows = corpus_pipeline.run(spark, SMALL).collect()
+    got = {}
+    for r in rows:
+        got.setdefault(r.doc_id, []).append(r)
+    assert set(got) == {d for d, h in hits.items() if h.sum() <= 0.5 * len(h)}
+    encode = Tokenizer.from_file(queries.tokenizer_path()).encode
+    for d, pieces in got.items():
+        if not hits[d].any():
+            ids = np.array([*encode(docs[d], add_special_tokens=False).ids, 1], "<u4")
+            assert sum(r.length for r in pieces) == len(ids)
+            assert all(r.ids_crc32 == zlib.crc32(ids[r.start : r.start + r.length].tobytes()) for r in pieces)
+    assert check_packing(rows, 4096) and sum(h.any() for h in hits.values())
+
+
 def test_run(spark):
     assert corpus_pipeline.run(spark, SMALL).count() > 100
     assert set(queries.ORACLES) <= set(queries.QUERIES)

@@ -302,3 +302,67 @@ def test_thousands_of_sentences_and_a_long_text(spark):
     text = "filler words here\n" * 300_000 + "Clause number 17\nof the contract; clause number 18 of\nthe contract. Clause number 4999 of the contract"
     got = licenses.scan_licenses(table(spark, [(1, text), (2, "clause number 18 of the contract")]), sentences=own, rules=rules).orderBy("doc_id").collect()
     assert [(list(r.sentence_ids), list(r.licenses)) for r in got] == [(["s17", "s18", "s4999"], ["L17"]), (["s18"], [])]
+
+
+def test_gradients_of_the_classifier():
+    """Analytic gradients against differences of the plain loss, for short, long and empty texts together."""
+    rng = np.random.default_rng(3)
+    net = quality.Network(*(rng.normal(0, 0.5, s) for s in ((256, quality.DIM), (quality.STEP * quality.DIM, 2 * quality.FILTERS), (quality.FILTERS,), (quality.FILTERS + 1,))))
+    texts = [b"", b"abc", bytes(rng.integers(0, 256, 700, np.uint8)), bytes(rng.integers(90, 100, 1500, np.uint8))]
+    labels, shift = np.array([1, 0, 1, 0], np.float32), -3
+
+    def loss():
+        total = 0.0
+        for text, y in zip(texts, labels):
+            tops = []
+            halves = max(1, -(-len(text) // quality.HALF) - 1)
+            for c in range(halves):
+                chunk = text[c * quality.HALF : (c + 2) * quality.HALF].ljust(2 * quality.HALF, b"\0")
+                data = np.roll(np.frombuffer(chunk, np.uint8), shift)
+                x = net.embed[data].reshape(-1, quality.STEP * quality.DIM)
+                z = x[:-1] @ net.filters[:, : quality.FILTERS] + x[1:] @ net.filters[:, quality.FILTERS :]
+                tops.append(np.maximum(z.max(0) + net.bias, 0))
+            p = 1 / (1 + np.exp(-(np.mean(tops, 0) @ net.out[:-1] + net.out[-1])))
+            total -= np.log(p if y else 1 - p)
+        return total / len(texts)
+
+    for part, grad in zip((net.embed, net.filters, net.bias, net.out), quality._gradients(net, texts, labels, shift, len(texts))):
+        flat, want = part.reshape(-1), np.asarray(grad).reshape(-1)
+        for k in {*rng.integers(0, len(flat), 12).tolist(), int(np.abs(want).argmax())}:
+            keep, step = flat[k], 1e-5
+            flat[k] = keep + step
+            high = loss()
+            flat[k] = keep - step
+            low = loss()
+            flat[k] = keep
+            assert abs((high - low) / (2 * step) - want[k]) < 1e-4
+
+
+def test_word_scores_from_plain_counts(spark):
+    """Log probabilities of n-gram slots from counts made word by word, and a word's score as their sum."""
+    rows = [(1, "the cat the", "en"), (2, "die Katze", "de"), (3, "über 12 cats!", "de"), (4, None, "en"), (5, "lost", None)]
+    docs = table(spark, rows, "doc_id long, text string, lang string")
+    model = language_id.train(docs)
+
+    def slots(word):
+        raw, out = b"\x02" + word + b"\x03", []
+        for n in language_id.GRAMS:
+            for p in range(len(raw) - n + 1):
+                h = 0
+                for k in range(1, n + 1):
+                    h = (h * 0x100000001B3 ^ (raw[p + k - 1] + (k << 9))) % (1 << 64)
+                out.append((h * 0x9E3779B97F4A7C15 % (1 << 64)) >> 48)
+        return out
+
+    counts = {lang: Counter(s for _, text, name in rows if name == lang for w in language_id.words(text) for s in slots(w)) for lang in ("de", "en")}
+    logs = {lang: {s: np.log((c[s] + 0.5) / (sum(c.values()) + 0.5 * language_id.SLOTS)) for s in set(counts["de"]) | set(counts["en"])} for lang, c in counts.items()}
+    assert model.languages == ["de", "en"]
+    for k, lang in enumerate(model.languages):
+        assert all(abs(model.table[s, k] - v) < 1e-5 for s, v in logs[lang].items())
+    scorer = language_id.Scorer(model)
+    import pyarrow as pa
+
+    row = scorer.rows(pa.array(["the katze"]))[0]
+    for place, word in zip(row, (b"the", b"katze")):
+        sums = np.array([sum(model.table[s, k] for s in slots(word)) for k in range(2)])
+        assert np.allclose(scorer.scores[place], np.maximum(sums - sums.max(), -language_id.WORST), atol=1e-3)
