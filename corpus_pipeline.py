@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from helixframe.llm import decontamination, language_id, near_dedup, packing, suffix_dedup
 from helixframe.llm.queries import tokenizer_path
 from helixframe.llm.textbytes import expanded, small_batches, squeezed
-from helixframe.session import read_table, scratch, shared_dir
+from helixframe.session import read_table, release, scratch, shared_dir
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 #: A repeated passage of this many bytes loses its later copies.
@@ -84,11 +84,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over ``documents``, each written to the shared folder and reread; a stage's own tables go with it."""
-    docs = read_table(spark, sf_dir, "documents")
+    """All stages over ``documents``, each written to the shared folder and reread; only the last stage's table stays."""
+    docs, before = read_table(spark, sf_dir, "documents"), []
     for name, stage in STAGES:
         path = f"{shared_dir(spark).rstrip('/')}/pipeline-{name}-{uuid.uuid4().hex}"
         with scratch(spark):
             stage(spark, docs, sf_dir).write.parquet(path)
         docs = spark.read.parquet(path)
+        release(spark, before)
+        before = [path]
     return docs
