@@ -10,7 +10,7 @@ from pyspark.sql.window import Window
 
 from helixframe.functions.codes import CDR_RANGES
 from helixframe.operators.components import connected_components
-from helixframe.session import materialize
+from helixframe.session import materialize, scratch
 
 
 def route_sequences(seqs: DataFrame, heavy: DataFrame, light: DataFrame, kind: str = "mol_type", sequence: str = "sequence", shortest: int = 10) -> DataFrame:
@@ -322,20 +322,29 @@ def greedy_clusters(seqs: DataFrame, key: str, sequence: str, links: DataFrame)
     earlier neighbours are settled, at least the earliest one left, until none
     is left: as many rounds as the longest chain of neighbours that depend on
     each other. A repeated key counts once, with its longest sequence; links
-    whose ends are not among the sequences count for nothing.
+    whose ends are not among the sequences count for nothing. Rounds add what
+    they settle; their tables go at the end. ``seqcluster.greedy_bands`` needs no
+    links beforehand and fewer rounds.
     """
+    with scratch(seqs.sparkSession):
+        return materialize(_greedy_clusters(seqs, key, sequence, links), "greedy-clusters", lasting=True)
+
+
+def _greedy_clusters(seqs: DataFrame, key: str, sequence: str, links: DataFrame) -> DataFrame:
     order = seqs.groupBy(F.col(key).alias("id")).agg(F.max(F.length(sequence)).alias("n"))
     both = links.select("id1", "id2", "identity").unionByName(links.select(F.col("id2").alias("id1"), F.col("id1").alias("id2"), "identity"))
     before = both.join(order.select(F.col("id").alias("id1"), F.col("n").alias("n1")), "id1").join(order.select(F.col("id").alias("id2"), F.col("n").alias("n2")), "id2")
     # edges from each sequence to its earlier neighbours
     early = materialize(before.where("n2 > n1 or (n2 = n1 and id2 < id1)").select(F.col("id1").alias("id"), F.col("id2").alias("head"), "identity"), "early")
     state = materialize(order.select("id").join(early.select("id").distinct(), "id", "left_anti").withColumn("rep", F.lit(True)), "greedy")
-    total = order.count()
-    while state.count() < total:
+    total, count = order.count(), state.count()
+    while count < total:
         known = early.join(state.withColumnRenamed("id", "head"), "head", "left")
         ready = known.groupBy("id").agg(F.max(F.coalesce("rep", F.lit(False))).alias("hit"), F.min(F.col("rep").isNotNull()).alias("whole"))
         ready = ready.where("hit or whole").join(state, "id", "left_anti").select("id", (~F.col("hit")).alias("rep"))
-        state = materialize(state.unionByName(ready), "greedy")
+        new = materialize(ready, "greedy")
+        count += new.count()
+        state = state.unionByName(new)
     reps = state.where("rep").select(F.col("id").alias("head"))
     joined = early.join(reps, "head").join(state.where("not rep").select("id"), "id")
     w = Window.partitionBy("id").orderBy(F.desc("identity"), "head")

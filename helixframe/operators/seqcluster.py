@@ -21,7 +21,7 @@ from pyspark.sql.window import Window
 
 from helixframe.operators.cluster import align_counts
 from helixframe.operators.sequences import global_rank
-from helixframe.session import materialize
+from helixframe.session import materialize, scratch
 
 #: Ranks of k-mers: a multiplicative generator modulo a prime; any fixed pair would do.
 FACTOR, PRIME = 48271, (1 << 31) - 1
@@ -209,8 +209,13 @@ def greedy_bands(seqs: DataFrame, key: str, sequence: str, identity: float = 0.9
     of at most ``most`` rows. Bands change the work and not the result. Equal
     sequences should be collapsed first (``first_copies``). Sequences with
     fewer than ``k`` letters, and nulls, stand alone; of a repeated key the
-    longest, then smallest sequence counts.
+    longest, then smallest sequence counts. The bands' tables go at the end.
     """
+    with scratch(seqs.sparkSession):
+        return materialize(_greedy_bands(seqs, key, sequence, identity, cover, k, first, most), "greedy-clusters", lasting=True)
+
+
+def _greedy_bands(seqs: DataFrame, key: str, sequence: str, identity: float, cover: float, k: int, first: int, most: int) -> DataFrame:
     one = seqs.groupBy(F.col(key).alias("id")).agg(F.min_by(F.col(sequence), F.struct((-F.length(sequence)).alias("n"), F.col(sequence).alias("s"))).alias("s"))
     one = materialize(one, "greedy-sequences")
     kind = dict(one.dtypes)["id"]

@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from helixframe.session import materialize
+
 
 def ordered_join(df: DataFrame, keys: list[str], order: list[str], value: str, out: str, sep: str = "") -> DataFrame:
     """The values of each key in order, joined to one string."""
@@ -58,8 +60,6 @@ def global_rank(df: DataFrame, order: list[str], out: str, partitions: int | Non
 
 def running_count(df: DataFrame, order: list[str], step: Column, out: str, partitions: int | None = None) -> DataFrame:
     """The sum of ``step`` up to each row, in ``order`` over all rows, from range partitions as in ``global_rank``."""
-    from helixframe.session import materialize
-
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = materialize(df.withColumn("_step", step).repartitionByRange(n, *order).withColumn("_part", F.spark_partition_id()), "ranked")
     sums = ranged.groupBy("_part").agg(F.sum("_step").alias("_n"))
@@ -79,11 +79,13 @@ def assign_seq_ids(records: DataFrame, old: DataFrame | None, kind: str, sequenc
     old number in the order they are first seen. Without an old table numbers
     start at 0.
     """
-    seen = records.groupBy(kind, sequence).agg(F.min(order).alias("_first"))
+    # keys are digests; a sequence itself goes along once
+    digest = lambda c: F.md5(F.col(c).cast("binary")).alias("_d")
+    seen = records.groupBy(kind, digest(sequence)).agg(F.min(order).alias("_first"), F.min(sequence).alias(sequence))
     if old is None:
         return global_rank(seen, ["_first", kind, sequence], "_n").select(_seq_id(kind, F.col("_n"), digits), kind, sequence)
-    known = old.select(F.substring("seq_id", 1, 1).alias("_k"), F.col("sequence").alias("_s"), "seq_id")
-    joined = seen.join(known, (F.col(kind) == F.col("_k")) & (F.col(sequence) == F.col("_s")), "left")
+    known = old.select(F.substring("seq_id", 1, 1).alias(kind), digest("sequence"), "seq_id")
+    joined = materialize(seen.join(known, [kind, "_d"], "left"), "seen-sequences")
     top = old.agg(F.coalesce(F.max(F.substring("seq_id", 2, 20).cast("long")), F.lit(-1))).first()[0]
     new = global_rank(joined.where("seq_id is null").select(kind, sequence, "_first"), ["_first", kind, sequence], "_n")
     return joined.where("seq_id is not null").select("seq_id", kind, sequence).unionByName(
