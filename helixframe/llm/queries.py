@@ -330,6 +330,48 @@ LEFT JOIN nodes up ON f.d > 0 AND up.path = left(f.path, 32 * CAST(f.d - 1 AS IN
 """
 
 
+
+def _redirect_sql() -> str:
+    """Rules, the edges that pages' canonical links and refreshes make, and the closure over them."""
+    low = lambda x: f"translate({x}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    rest = lambda u: f"(CASE WHEN strpos({u}, '://') > 0 THEN substr({u}, strpos({u}, '://') + 3) END)"
+    host = lambda u: f"coalesce({low(f'regexp_extract({rest(u)}, {chr(39)}^[^/?#]*{chr(39)})')}, '')"
+    path = lambda u: f"coalesce(regexp_extract({rest(u)}, '^[^/?#]*([^?#]*)', 1), '')"
+    scheme = lambda u: low(f"regexp_extract({u}, '^[^:/?#]*')")
+    node = lambda u: f"CASE WHEN strpos({u}, '://') > 0 THEN {scheme(u)} || '://' || {host(u)} || {path(u)} || regexp_extract({u}, '^[^?#]*(\\?[^#]*)', 1) END"
+    fits = "(host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)"
+    ruled = lambda of: f"""SELECT *, (SELECT max_by(rh || rp, length(rh || rp)) FROM rules WHERE {fits}) AS rule,
+    (SELECT max_by(v, length(rh || rp)) FROM rules WHERE {fits}) AS own FROM {of}"""
+    quote, word = "[\"'']?", "([^\"''\\s>]+)"
+    return f"""
+WITH RECURSIVE rules(rh, rp, v) AS (VALUES {_RULES_SQL}),
+q AS (SELECT page_id, url, {host('url')} AS host, {path('url')} AS path FROM pages),
+best AS ({ruled('q')}),
+tags AS (SELECT url, unnest(regexp_extract_all(html, '(?i)<(?:link|meta)\\b[^>]*>')) AS tag FROM pages WHERE url IS NOT NULL),
+targets AS (
+  SELECT url, regexp_extract(tag, '(?i)\\bhref\\s*=\\s*{quote}{word}', 1) AS t FROM tags WHERE regexp_matches(tag, '(?i)\\brel\\s*=\\s*{quote}canonical\\b')
+  UNION SELECT url, regexp_extract(tag, '(?i)\\burl\\s*=\\s*{quote}{word}', 1) FROM tags WHERE regexp_matches(tag, '(?i)\\bhttp-equiv\\s*=\\s*{quote}refresh\\b')),
+cut AS (
+  SELECT url, t, regexp_extract(url, '^[^:/?#]*') AS scheme, regexp_extract(url, '^[^:/?#]*') || '://' || {host('url')} AS origin, {path('url')} AS path,
+    regexp_extract({path('url')}, '^.*/') AS folder, regexp_extract(t, '^[^?#]*') AS tp, regexp_extract(t, '^[^?#]*(.*)$', 1) AS tr FROM targets WHERE t <> ''),
+steps AS (SELECT *, string_split(CASE WHEN starts_with(tp, '/') THEN tp ELSE CASE WHEN folder = '' THEN '/' ELSE folder END || tp END, '/') AS s FROM cut),
+walked AS (
+  SELECT *, list_reduce(list_prepend(CAST([] AS VARCHAR[]), list_transform(s, lambda x: [x])), lambda a, x: CASE
+    WHEN x[1] = '..' THEN a[1:CASE WHEN len(a) > 1 THEN len(a) - 1 ELSE len(a) END] WHEN x[1] = '.' THEN a ELSE list_concat(a, x) END) AS kept FROM steps),
+full_urls AS (
+  SELECT url, CASE WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN t WHEN starts_with(t, '//') THEN scheme || ':' || t
+    WHEN regexp_matches(t, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL WHEN tp = '' THEN origin || path || tr
+    ELSE origin || array_to_string(kept, '/') || CASE WHEN s[-1] IN ('.', '..') THEN '/' ELSE '' END || tr END AS target FROM walked),
+edges AS (SELECT DISTINCT src, dst FROM (SELECT {node('url')} AS src, {node('target')} AS dst FROM full_urls) WHERE src <> dst),
+twoway AS (SELECT src, dst FROM edges UNION SELECT dst, src FROM edges),
+reach(n, m) AS (SELECT src, src FROM twoway UNION SELECT reach.n, dst FROM reach JOIN twoway ON src = reach.m),
+spots AS (SELECT n AS node, {host('n')} AS host, {path('n')} AS path FROM (SELECT DISTINCT n FROM reach)),
+known AS ({ruled('spots')}),
+passed AS (SELECT n, CASE WHEN bool_or(own = 'allow') THEN 'allow' ELSE 'block' END AS verdict FROM reach JOIN known ON known.node = m WHERE own IS NOT NULL GROUP BY n)
+SELECT page_id, host, path, rule, coalesce(own, passed.verdict, 'allow') AS verdict FROM best LEFT JOIN passed ON passed.n = {node('url')}
+"""
+
+
 ORACLES = {
     "op13_conversation_trie": _trie_sql(),
     "op12_spelling_variants": _spelling_sql(),
@@ -337,22 +379,5 @@ ORACLES = {
     "op3_near_dedup": _NEAR_SQL,
     "op5_decontamination": _LEAKS_SQL,
     "op4_license_scan": _license_sql(),
-    "op7_url_filter": f"""
-WITH RECURSIVE rules(rh, rp, v) AS (VALUES {_RULES_SQL}),
-p AS (
-  SELECT page_id, url, html,
-    CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) END AS rest
-  FROM pages),
-q AS (
-  SELECT page_id, url, html,
-    coalesce(translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '') AS host,
-    coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path
-  FROM p),
-best AS (
-  SELECT page_id, url, host, path,
-    (SELECT max_by(rh || rp, length(rh || rp)) FROM rules WHERE (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)) AS rule,
-    (SELECT max_by(v, length(rh || rp)) FROM rules WHERE (host = rh OR ends_with(host, '.' || rh)) AND starts_with(path, rp)) AS own
-  FROM q)
-SELECT page_id, host, path, rule, coalesce(own, 'allow') AS verdict FROM best
-""",
+    "op7_url_filter": _redirect_sql(),
 }

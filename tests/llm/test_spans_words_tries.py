@@ -366,3 +366,24 @@ def test_word_scores_from_plain_counts(spark):
     for place, word in zip(row, (b"the", b"katze")):
         sums = np.array([sum(model.table[s, k] for s in slots(word)) for k in range(2)])
         assert np.allclose(scorer.scores[place], np.maximum(sums - sums.max(), -language_id.WORST), atol=1e-3)
+
+
+def test_redirect_sql_says_the_same(spark):
+    """Chains, refreshes, relative targets and aliases: operator and SQL agree on pages that do redirect."""
+    import duckdb
+
+    link = lambda u: f'<head><LINK href="{u}" rel=canonical></head>'
+    fresh = lambda u: f"<meta content='3; URL={u}' http-equiv=\"Refresh\">"
+    pages = [(1, "https://a.bad.net/x", ""), (2, "http://alias.com/1", link("https://a.bad.net/x")), (3, "http://far.com/", fresh("http://alias.com/1#top")), (4, "http://good.com/", link("http://other.com/")),
+             (5, "http://example.net/en/1", link("http://alias2.com/")), (6, "http://alias2.com/", fresh("http://blocked.net/")), (7, None, link("x")), (8, "no url", link("http://a.bad.net/")), (9, "HTTP://A.B.ORG/fr/x?q#f", None),
+             (9, "HTTP://A.B.ORG/fr/x?q#f", None), (10, "http://x.net", ""), (11, "http://rel.com/a/b/c", link("../y/./w?q=1#f")), (12, "http://rel.com/a/y/w?q=1", fresh("//bad.net/z")), (13, "http://rel.com/a/b/c?p=2", link("?p=3")),
+             (14, "http://rel.com/a/b/c?p=3", link("mailto:x@y.net")), (15, "http://up.com/a/", link("../../../..")), (16, "http://up.com/", link("http://d.example.com/de/1")), (17, "http://one.com/p", link("q") + fresh("/r") + "<link rel='next' href='http://s.net/'>"),
+             (18, "http://one.com/r", link("https://deep.net/")), (19, "http://one.com/q", "<p>"), (20, "http://example.com/de/x", link("http://b.org/fr/ok"))]
+    df = table(spark, pages, "page_id long, url string, html string")
+    got = {(r.page_id, r.host, r.path, r.rule, r.verdict) for r in url_filter.judge_urls(df, url_filter.rules_table(spark, queries.RULES)).collect()}
+    c = duckdb.connect()
+    c.execute("CREATE TABLE pages (page_id BIGINT, url VARCHAR, html VARCHAR)")
+    c.executemany("INSERT INTO pages VALUES (?, ?, ?)", pages)
+    assert got == set(c.execute(queries.ORACLES["op7_url_filter"]).fetchall())
+    verdicts = {g[0]: g[4] for g in got}
+    assert [verdicts[k] for k in (2, 3, 4, 5, 6, 11, 12, 13, 15, 16, 17, 19, 20)] == ["block", "block", "allow", "allow", "allow", "block", "block", "allow", "block", "block", "block", "block", "block"]
