@@ -117,11 +117,11 @@ def graph_dedup(t: Tables):
 
 @query("""WITH g AS (SELECT l_orderkey AS gid, string_agg(p_brand, '|' ORDER BY p_brand) AS labels FROM (SELECT DISTINCT l_orderkey, l_partkey FROM lineitem)
 JOIN part ON p_partkey = l_partkey GROUP BY 1)
-SELECT a.o_orderkey AS gid1, a.o_orderkey + 1 AS gid2, x.labels = y.labels AS same FROM orders a LEFT JOIN g x ON x.gid = a.o_orderkey LEFT JOIN g y ON y.gid = a.o_orderkey + 1""")
+SELECT a.o_orderkey AS gid1, a.o_orderkey + 1 AS gid2, coalesce(x.labels = y.labels, false) AS same FROM orders a LEFT JOIN g x ON x.gid = a.o_orderkey LEFT JOIN g y ON y.gid = a.o_orderkey + 1""")
 def isomorphic_neighbours(t: Tables):
     """Whether an order's graph is that of the next one."""
     pairs = t.orders.select(F.col("o_orderkey").alias("gid1"), (F.col("o_orderkey") + 1).alias("gid2"))
-    return graph.isomorphic_pairs(pairs, *order_graphs(t))
+    return graph.isomorphic_pairs(pairs, *order_graphs(t)).withColumn("same", F.coalesce("same", F.lit(False)))
 
 
 @query("""WITH c AS (SELECT DISTINCT l_orderkey AS gid, l_partkey AS p, l_suppkey AS s FROM lineitem),
