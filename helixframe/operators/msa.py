@@ -9,6 +9,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType
 from pyspark.sql.window import Window
 
 from helixframe.functions.codes import GAP_INDEX, PROFILE_BINS, RNA_INDEX, lookup, protein_index
@@ -178,55 +179,174 @@ def _cells(texts) -> np.ndarray:
     return np.frombuffer("".join(t.ljust(width, "-") for t in texts).encode("latin-1", "replace"), np.uint8).reshape(len(texts), width)
 
 
-def _like_any(row: np.ndarray, others: np.ndarray, most_identity: float) -> bool:
-    """Whether a row is more like one of the others than allowed, over columns where both have a letter."""
+def _like(row: np.ndarray, others: np.ndarray, most_identity: float) -> np.ndarray:
+    """Which of the others a row is more like than allowed, over columns where both have a letter."""
     both = (others != ord("-")) & (row != ord("-"))
     same = ((others == row) & both).sum(1)
-    return bool((same > most_identity * np.maximum(both.sum(1), 1)).any())
+    return same > most_identity * np.maximum(both.sum(1), 1)
+
+
+def _paired(frame: DataFrame, earlier: DataFrame) -> DataFrame:
+    """Rows beside every earlier or equal block of their alignment: ``gid, e, b, at, a, known``; known rows are block ``e``'s."""
+    blocks = earlier.select("gid", F.col("b").alias("e")).distinct()
+    later = frame.join(blocks, "gid").where("e <= b").select("gid", "e", "b", "at", "a", F.lit(False).alias("known"))
+    pairs = frame.select("gid", "b").distinct().join(blocks, "gid").where("e <= b")
+    known = earlier.withColumnRenamed("b", "e").join(pairs, ["gid", "e"]).select("gid", "e", "b", "at", "a", F.lit(True).alias("known"))
+    return later.unionByName(known)
+
+
+def _linked(width: int, most_identity: float):
+    """For each row of a block, as a bit row, the rows of another (or, before it, of its own) that it is too like."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        known, own = pdf["known"].to_numpy(bool), pdf["e"].iloc[0] == pdf["b"].iloc[0]
+        cells, at = _cells(pdf["a"].tolist()), pdf["at"].to_numpy()
+        others, places = cells[known], at[known]
+        out = []
+        for i in np.flatnonzero(~known):
+            like = _like(cells[i], others, most_identity)
+            if own:
+                like &= places < at[i]
+            if like.any():
+                bits = np.zeros(width * 8, bool)
+                bits[places[like]] = True
+                out.append((pdf["gid"].iloc[0], pdf["e"].iloc[0], pdf["b"].iloc[0], at[i], np.packbits(bits).tobytes()))
+        return pd.DataFrame(out, columns=["gid", "e", "b", "at", "bits"])
+
+    return run
+
+
+def _overruled(most_identity: float):
+    """Rows of a block that are too like a kept row of an earlier one."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        known = pdf["known"].to_numpy(bool)
+        cells = _cells(pdf["a"].tolist())
+        gone = [i for i in np.flatnonzero(~known) if _like(cells[i], cells[known], most_identity).any()]
+        return pdf.iloc[gone][["gid", "b", "at"]]
+
+    return run
+
+
+def _settled(width: int):
+    """One block's rows as far as the earlier blocks allow: kept, still open, or neither."""
+
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        state = pdf[pdf["code"].isna()].iloc[0]
+        kept, open_ = (np.unpackbits(np.frombuffer(state[c], np.uint8)).astype(bool) for c in ("kept", "open"))
+        code = np.zeros(width * 8, np.int8)
+        links: dict[int, np.ndarray] = {}
+        marks = pdf.loc[pdf["code"].notna(), ["at", "code", "bits"]].astype({"at": int, "code": int})
+        for at, c, bits in marks.itertuples(index=False):
+            if bits is None:
+                code[at] = max(code[at], c)
+            else:
+                links[at] = np.unpackbits(np.frombuffer(bits, np.uint8)).astype(bool)
+        for i in np.flatnonzero(open_):
+            own = links.get(i)
+            if code[i] == 2 or own is not None and (own & kept).any():
+                open_[i] = False
+            elif code[i] == 0 and (own is None or not (own & open_).any()):
+                kept[i], open_[i] = True, False
+        return pd.DataFrame({"gid": [state["gid"]], "b": [state["b"]], "kept": [np.packbits(kept).tobytes()], "open": [np.packbits(open_).tobytes()], "n_open": [int(open_.sum())]})
+
+    return run
+
+
+_STATE = "gid long, b long, kept binary, open binary, n_open long"
+
+
+def _first_state(width: int):
+    def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        bits = np.zeros(width * 8, bool)
+        bits[pdf["at"].to_numpy()] = True
+        none = np.zeros(width, np.uint8).tobytes()
+        return pd.DataFrame({"gid": [pdf["gid"].iloc[0]], "b": [pdf["b"].iloc[0]], "kept": [none], "open": [np.packbits(bits).tobytes()], "n_open": [len(pdf)]})
+
+    return run
+
+
+@F.pandas_udf(IntegerType())
+def _meets(bits: pd.Series, kept: pd.Series, open_: pd.Series) -> pd.Series:
+    """2 where a bit row meets kept rows, else 1 where it meets open ones, else 0."""
+    if not len(bits):
+        return pd.Series([], dtype="int32")
+    rows, k, o = (np.frombuffer(b"".join(c), np.uint8).reshape(len(bits), -1) for c in (bits, kept, open_))
+    return pd.Series(np.where((rows & k).any(1), 2, np.where((rows & o).any(1), 1, 0)).astype("int32"))
+
+
+def _kept_places(batches):
+    for pdf in batches:
+        rows = [(g, b, int(i)) for g, b, kept in pdf[["gid", "b", "kept"]].itertuples(index=False)
+                for i in np.flatnonzero(np.unpackbits(np.frombuffer(kept, np.uint8)))]
+        yield pd.DataFrame(rows, columns=["gid", "b", "at"])
+
+
+def _walk_window(now: DataFrame, width: int, most_identity: float) -> DataFrame:
+    """``gid, b, at`` of the rows of a window that the walk in row order keeps.
+
+    Every two blocks meet once, each pair in a task; a round then settles all
+    rows whose earlier like rows are settled. The first block with open rows is
+    always settled whole, so there are no more rounds than blocks; mostly there
+    are two or three.
+    """
+    links = materialize(_paired(now, now).groupBy("gid", "e", "b").applyInPandas(_linked(width, most_identity), "gid long, e long, b long, at int, bits binary"), "msa-links")
+    state = materialize(now.select("gid", "b", "at").groupBy("gid", "b").applyInPandas(_first_state(width), _STATE), "msa-state")
+    while True:
+        busy = state.where("n_open > 0")
+        held = links.join(busy.select("gid", "b"), ["gid", "b"], "left_semi")
+        before = state.select("gid", F.col("b").alias("e"), "kept", "open")
+        none = F.lit(None).cast("binary")
+        outer = held.where("e < b").join(before, ["gid", "e"]).select("gid", "b", "at", _meets("bits", "kept", "open").alias("code"))
+        outer = outer.groupBy("gid", "b", "at").agg(F.max("code").alias("code")).where("code > 0")
+        parts = busy.select("gid", "b", "kept", "open", F.lit(None).cast("int").alias("at"), F.lit(None).cast("int").alias("code"), none.alias("bits"))
+        parts = parts.unionByName(outer.select("gid", "b", none.alias("kept"), none.alias("open"), "at", "code", none.alias("bits")))
+        parts = parts.unionByName(held.where("e = b").select("gid", "b", none.alias("kept"), none.alias("open"), "at", F.lit(0).alias("code"), "bits"))
+        settled = parts.groupBy("gid", "b").applyInPandas(_settled(width), _STATE)
+        state = materialize(state.where("n_open = 0").unionByName(settled), "msa-state")
+        if not state.agg(F.sum("n_open")).first()[0]:
+            return state.select("gid", "b", "kept").mapInPandas(_kept_places, "gid long, b long, at int")
 
 
 def drop_redundant(rows: DataFrame, msa: str, row: str, order: str, least_coverage: float, most_identity: float = 0.9, block: int = 2048) -> DataFrame:
     """Rows of enough coverage that are at most ``most_identity`` like every row kept before.
 
-    An alignment's rows are taken in blocks in row order (ties by the row). A
-    round settles the first block that is left of every alignment, one task
-    each, and holds what it keeps against every later block, one task a pair of
-    blocks: no task holds more than two blocks, and only rows still standing
-    move on. A null alignment name is an alignment of its own; null rows are
+    An alignment's rows are walked in row order (ties by the row), in windows of
+    1, 3, 12, 48, ... blocks: a window is settled, then every later row is held
+    against what it keeps, one task for each two blocks. So the windows grow with
+    the logarithm of the depth, no task holds more than two blocks, and only
+    rows still standing move on. Likeness within a window is kept as bit rows
+    (``block`` / 8 bytes for a row and a block with like rows), about as much as
+    the comparison itself shuffles, or less.
+
+    A row equal to an earlier one goes at once: whatever keeps or drops that one
+    drops it. A null alignment name is an alignment of its own; null rows are
     left out, empty ones are like no other row.
     """
     packed = rows.where(coverage(F.col(row)) >= least_coverage).select(
         F.col(msa).alias("k"), F.col(order).alias("o"), aligned(F.col(row)).alias("a"), F.struct(*rows.columns).alias("row"))
     ranked = materialize(global_rank(packed, ["k", "o", "a"], "rank"), "msa-rows")
     heads = ranked.groupBy("k").agg(F.min("rank").alias("gid")).withColumnRenamed("k", "_k")
-    todo = ranked.join(heads, F.col("k").eqNullSafe(F.col("_k"))).select("gid", "rank", ((F.col("rank") - F.col("gid")) / block).cast("long").alias("block"), "a")
+    todo = ranked.join(heads, F.col("k").eqNullSafe(F.col("_k"))).select("gid", "rank", "a")
+    if 0 <= most_identity < 1:
+        # rows without a letter are like none
+        alone = F.when(F.rlike("a", F.lit("[^-]")), F.lit(-1)).otherwise(F.col("rank"))
+        todo = todo.groupBy("gid", "a", alone).agg(F.min("rank").alias("rank")).select("gid", "rank", "a")
+    place = F.col("rank") - F.col("gid")
+    todo = todo.select("gid", F.floor(place / block).cast("long").alias("b"), (place % block).cast("int").alias("at"), "a")
     todo = materialize(todo, "msa-todo")
-
-    def settle(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("rank")
-        cells, kept = _cells(pdf["a"].tolist()), []
-        for i in range(len(pdf)):
-            if not _like_any(cells[i], cells[kept], most_identity):
-                kept.append(i)
-        return pdf.iloc[kept]
-
-    def stand(pdf: pd.DataFrame) -> pd.DataFrame:
-        cells, known = _cells(pdf["a"].tolist()), pdf["known"].to_numpy(bool)
-        kept = cells[known]
-        return pdf[[not k and not _like_any(x, kept, most_identity) for k, x in zip(known, cells)]].drop(columns="known")
-
-    schema = "gid long, rank long, block long, a string"
-    chosen = []
+    width, high, chosen = -(-block // 8), 1, []
     while not todo.isEmpty():
-        first = todo.groupBy("gid").agg(F.min("block").alias("first"))
-        marked = todo.join(first, "gid")
-        kept = materialize(marked.where("block = first").drop("first").groupBy("gid").applyInPandas(settle, schema), "msa-kept")
-        chosen.append(kept.select("rank"))
-        later = marked.where("block > first").drop("first")
-        meets = kept.drop("block").join(later.select("gid", "block").distinct(), "gid").select("gid", "rank", "block", "a", F.lit(True).alias("known"))
-        both = later.withColumn("known", F.lit(False)).unionByName(meets)
-        todo = materialize(both.groupBy("gid", "block").applyInPandas(stand, schema), "msa-todo")
-    ranks = reduce(DataFrame.unionByName, chosen, todo.select("rank"))
+        now, later = todo.where(F.col("b") < high), todo.where(F.col("b") >= high)
+        places = materialize(_walk_window(now, width, most_identity), "msa-kept")
+        chosen.append(places)
+        if later.isEmpty():
+            break
+        kept = now.join(places, ["gid", "b", "at"], "left_semi")
+        gone = _paired(later, kept).groupBy("gid", "e", "b").applyInPandas(_overruled(most_identity), "gid long, b long, at int").distinct()
+        todo = materialize(later.join(gone, ["gid", "b", "at"], "left_anti"), "msa-todo")
+        high *= 4
+    ranks = reduce(DataFrame.unionByName, chosen, todo.select("gid", "b", "at").limit(0)).select((F.col("gid") + F.col("b") * block + F.col("at")).alias("rank"))
     return ranked.join(ranks, "rank", "left_semi").select("row.*")
 
 

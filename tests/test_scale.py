@@ -165,3 +165,36 @@ def test_graph_classes_with_every_kind_of_tie(spark):
                 kept.setdefault(want[gid], mine)
     got = graph.graph_dedup(spark.createDataFrame(nodes, "gid int, node int, label string"), spark.createDataFrame(links, "gid int, u int, v int"))
     assert {r.gid: r.class_id for r in got.collect()} == want
+
+
+def test_redundancy_of_a_deep_alignment_in_few_rounds(spark, monkeypatch):
+    """Fifty blocks: windows, not blocks, are walked one after another; chains and copies included."""
+    rng = random.Random(8)
+    base = ["".join(rng.choice("ARNDCQEG") for _ in range(30)) for _ in range(300)]
+
+    def near(text, n):
+        cells = list(text)
+        for i in rng.sample(range(30), n):
+            cells[i] = rng.choice("ARNDCQEG-")
+        return "".join(cells)
+
+    texts = [near(rng.choice(base), rng.randint(0, 5)) for _ in range(1200)]
+    drift = [base[0]]
+    for i in range(199):  # each like its neighbours alone
+        cells = list(drift[-1])
+        for j in (2 * i % 30, (2 * i + 1) % 30):
+            cells[j] = rng.choice([c for c in "ARNDCQEG" if c != cells[j]])
+        drift.append("".join(cells))
+    texts += drift + [texts[0]] * 200
+    kept = []
+    for i, text in enumerate(texts):
+        pairs = ([(x, y) for x, y in zip(text, texts[k]) if "-" not in (x, y)] for k in kept)
+        if all(sum(x == y for x, y in p) <= 0.9 * max(len(p), 1) for p in pairs):
+            kept.append(i)
+    made = []
+    real = msa.materialize
+    monkeypatch.setattr(msa, "materialize", lambda df, *a, **k: made.append(a) or real(df, *a, **k))
+    frame = spark.createDataFrame([("m", i, t) for i, t in enumerate(texts)], "msa string, ord int, row string")
+    got = sorted(r.ord for r in msa.drop_redundant(frame, "msa", "row", "ord", 0.5, 0.9, 32).collect())
+    assert got == kept
+    assert len(texts) / 32 == 50 and len(made) < 40
