@@ -49,9 +49,31 @@ def shared_kmers(seqs: DataFrame, key: str, sequence: str, k: int = 6, hot: int
 
 def shared_shingles(docs: DataFrame, key: str, text: str, size: int = 8, hot: int | None = 1000) -> DataFrame:
     """As ``shared_kmers`` with runs of ``size`` words."""
+    return _pairs_by_word(_shingles(docs, key, text, size), hot)
+
+
+def _shingles(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
+    """``id, w``: the distinct runs of ``size`` words of every text."""
     words = docs.select(F.col(key).alias("id"), F.filter(F.split(text, r"[ \n]"), lambda w: w != "").alias("t")).where(F.size("t") >= size)
     runs = F.transform(F.sequence(F.lit(1), F.size("t") - (size - 1)), lambda i: F.array_join(F.slice("t", i, F.lit(size)), " "))
-    return _pairs_by_word(words.select("id", F.explode(F.array_distinct(runs)).alias("w")), hot)
+    return words.select("id", F.explode(F.array_distinct(runs)).alias("w"))
+
+
+def shingle_links(docs: DataFrame, key: str, text: str, size: int = 8, salts: int = 32) -> DataFrame:
+    """``id, first, n``: ``id`` shares ``n`` distinct runs of ``size`` words whose smallest key is ``first``.
+
+    Texts with a common run are in one component of these links, as they are in
+    one of all pairs, but a run in m texts gives m - 1 links. Runs are grouped by
+    128-bit digests; one in very many texts is found and looked up over
+    ``salts`` parts, so no task holds it whole. Texts that are null or of fewer
+    words have no runs, null keys are left out, and rows of one key count as one text.
+    """
+    runs = _shingles(docs.where(F.col(key).isNotNull()), key, text, size).select("id", F.unhex(F.md5("w")).alias("w")).distinct()
+    runs = runs.withColumn("_s", F.pmod(F.xxhash64("id"), F.lit(salts)))
+    parts = runs.groupBy("w", "_s").agg(F.min("id").alias("_f"))
+    heads = parts.groupBy("w").agg(F.min("_f").alias("first"))
+    known = parts.select("w", "_s").join(heads, "w")
+    return runs.join(known, ["w", "_s"]).where("id > first").groupBy("id", "first").agg(F.count(F.lit(1)).alias("n"))
 
 
 def _pairs_by_word(rows: DataFrame, hot: int | None) -> DataFrame:

@@ -122,6 +122,16 @@ def similar_candidates(t: Tables):
     return cluster.shared_shingles(firsts, "doc_id", "text", 8)
 
 
+@query("""WITH w AS (SELECT doc_id, string_split(trim(regexp_replace(text, '[ \\n]+', ' ', 'g')), ' ') AS t FROM (SELECT min(doc_id) AS doc_id, text FROM documents GROUP BY text)),
+s AS (SELECT DISTINCT doc_id, array_to_string(t[i:i + 7], ' ') AS g FROM (SELECT doc_id, t, unnest(range(1, len(t) - 6)) AS i FROM w WHERE len(t) >= 8)),
+f AS (SELECT g, min(doc_id) AS first FROM s GROUP BY g)
+SELECT s.doc_id AS id, f.first, count(*) AS n FROM s JOIN f ON s.g = f.g WHERE s.doc_id > f.first GROUP BY 1, 2""")
+def shingle_links(t: Tables):
+    """Each different text's links to the first texts of its word runs."""
+    firsts = t.documents.groupBy("text").agg(F.min("doc_id").alias("doc_id"))
+    return cluster.shingle_links(firsts, "doc_id", "text", 8)
+
+
 def names(t: Tables):
     """Short sequences: customers' segments with their nation and balance spelled out."""
     return t.customer.select(F.col("c_custkey").alias("id"), F.concat("c_mktsegment", F.col("c_nationkey").cast("string"), F.round("c_acctbal", 0).cast("string")).alias("sequence"))

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from helixframe.operators import cluster, graph, msa, spatial, stats, structure
+from helixframe.operators.components import connected_components
 from helixframe.sinks import store_lookup, write_store
 from helixframe.streaming.ingest import ingest_keyed
 
@@ -198,3 +199,25 @@ def test_redundancy_of_a_deep_alignment_in_few_rounds(spark, monkeypatch):
     got = sorted(r.ord for r in msa.drop_redundant(frame, "msa", "row", "ord", 0.5, 0.9, 32).collect())
     assert got == kept
     assert len(texts) / 32 == 50 and len(made) < 40
+
+
+def test_links_to_first_texts_span_all_pairs(spark):
+    rng = random.Random(6)
+    words = [f"w{i}" for i in range(40)]
+    pool = [" ".join(rng.choice(words) for _ in range(4)) for _ in range(60)]
+    data = [(i, " ".join(rng.sample(pool, rng.randint(1, 3)))) for i in range(250)] + [(250, None), (251, ""), (252, "w1 w2"), (None, pool[0] * 2), (3, pool[1])]
+    docs = spark.createDataFrame(data, "id int, text string")
+    links = cluster.shingle_links(docs, "id", "text", 4, salts=4)
+    runs: dict = {}
+    for i, text in data:
+        tokens = (text or "").split()
+        for p in range(len(tokens) - 3 if i is not None else 0):
+            runs.setdefault(tuple(tokens[p : p + 4]), set()).add(i)
+    want = Counter((i, min(ids)) for ids in runs.values() for i in ids if i > min(ids))
+    assert {(r.id, r.first): r.n for r in links.collect()} == dict(want)
+    single = docs.where("id < 250").dropDuplicates(["id"])
+    whole = lambda frame, a, b: {(r.node, r.component) for r in connected_components(frame, a, b).collect()}
+    assert whole(cluster.shingle_links(single, "id", "text", 4), "id", "first") == whole(cluster.shared_shingles(single, "id", "text", 4), "id1", "id2")
+    common = spark.range(400).select("id", F.concat(F.lit("a b c d "), F.col("id").cast("string")).alias("text"))
+    assert cluster.shingle_links(common, "id", "text", 4).count() == 399
+    assert cluster.shingle_links(docs.limit(0), "id", "text").count() == 0
