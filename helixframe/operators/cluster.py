@@ -68,10 +68,11 @@ def shingle_links(docs: DataFrame, key: str, text: str, size: int = 8, salts: in
     ``salts`` parts, so no task holds it whole. Texts that are null or of fewer
     words have no runs, null keys are left out, and rows of one key count as one text.
     """
-    runs = _shingles(docs.where(F.col(key).isNotNull()), key, text, size).select("id", F.unhex(F.md5("w")).alias("w")).distinct()
-    runs = runs.withColumn("_s", F.pmod(F.xxhash64("id"), F.lit(salts)))
-    parts = runs.groupBy("w", "_s").agg(F.min("id").alias("_f"))
-    heads = parts.groupBy("w").agg(F.min("_f").alias("first"))
+    runs = _shingles(docs.where(F.col(key).isNotNull()), key, text, size).select("id", F.unhex(F.md5("w")).alias("w"))
+    # one shuffle serves the distinct rows, the parts' firsts and the lookup
+    runs = runs.withColumn("_s", F.pmod(F.xxhash64("id"), F.lit(salts))).repartition("w", "_s").distinct()
+    parts = runs.groupBy("w", "_s").agg(F.min("id").alias("_f"), F.count(F.lit(1)).alias("_n"))
+    heads = parts.groupBy("w").agg(F.min("_f").alias("first"), F.sum("_n").alias("_n")).where("_n > 1").drop("_n")
     known = parts.select("w", "_s").join(heads, "w")
     return runs.join(known, ["w", "_s"]).where("id > first").groupBy("id", "first").agg(F.count(F.lit(1)).alias("n"))
 
