@@ -49,14 +49,9 @@ def shared_kmers(seqs: DataFrame, key: str, sequence: str, k: int = 6, hot: int
 
 def shared_shingles(docs: DataFrame, key: str, text: str, size: int = 8, hot: int | None = 1000) -> DataFrame:
     """As ``shared_kmers`` with runs of ``size`` words."""
-    return _pairs_by_word(_shingles(docs, key, text, size), hot)
-
-
-def _shingles(docs: DataFrame, key: str, text: str, size: int) -> DataFrame:
-    """``id, w``: the distinct runs of ``size`` words of every text."""
     words = docs.select(F.col(key).alias("id"), F.filter(F.split(text, r"[ \n]"), lambda w: w != "").alias("t")).where(F.size("t") >= size)
     runs = F.transform(F.sequence(F.lit(1), F.size("t") - (size - 1)), lambda i: F.array_join(F.slice("t", i, F.lit(size)), " "))
-    return words.select("id", F.explode(F.array_distinct(runs)).alias("w"))
+    return _pairs_by_word(words.select("id", F.explode(F.array_distinct(runs)).alias("w")), hot)
 
 
 def shingle_links(docs: DataFrame, key: str, text: str, size: int = 8, salts: int = 32) -> DataFrame:
@@ -68,12 +63,15 @@ def shingle_links(docs: DataFrame, key: str, text: str, size: int = 8, salts: in
     ``salts`` parts, so no task holds it whole. Texts that are null or of fewer
     words have no runs, null keys are left out, and rows of one key count as one text.
     """
-    runs = _shingles(docs.where(F.col(key).isNotNull()), key, text, size).select("id", F.unhex(F.md5("w")).alias("w"))
-    # one shuffle serves the distinct rows, the parts' firsts and the lookup
-    runs = runs.withColumn("_s", F.pmod(F.xxhash64("id"), F.lit(salts))).repartition("w", "_s").distinct()
+    tokens = docs.select(F.col(key).alias("id"), F.array_remove(F.split(text, r"[ \n]"), "").alias("t")).where(F.col("id").isNotNull() & (F.size("t") >= size))
+    # without lambdas and with the joins' null checks in place, all three uses share one shuffle
+    runs = tokens.select("id", "t", F.explode(F.sequence(F.lit(1), F.size("t") - (size - 1))).alias("i"))
+    runs = runs.select("id", F.unhex(F.md5(F.array_join(F.slice("t", F.col("i"), F.lit(size)), " "))).alias("w"), F.pmod(F.xxhash64("id"), F.lit(salts)).alias("_s"))
+    runs = runs.where("w is not null and _s is not null").repartition("w", "_s").distinct()
     parts = runs.groupBy("w", "_s").agg(F.min("id").alias("_f"), F.count(F.lit(1)).alias("_n"))
     heads = parts.groupBy("w").agg(F.min("_f").alias("first"), F.sum("_n").alias("_n")).where("_n > 1").drop("_n")
-    known = parts.select("w", "_s").join(heads, "w")
+    # always true; without it the ids are pruned here and the shuffle is another one
+    known = parts.where("_n > 0").select("w", "_s").join(heads, "w")
     return runs.join(known, ["w", "_s"]).where("id > first").groupBy("id", "first").agg(F.count(F.lit(1)).alias("n"))
 
 
