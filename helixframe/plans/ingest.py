@@ -112,9 +112,11 @@ def hmm_parse(t: Tables):
 def clstr_parse(t: Tables):
     w = Window.partitionBy("p_brand", "p_size")
     star = F.when(F.min("p_partkey").over(w) == F.col("p_partkey"), "*").otherwise("at 95.00%")
-    body = t.part.select("p_brand", (F.col("p_size") * 1_000_000 + F.col("p_partkey") + 1).alias("ord"),
+    # a heading stands in front of its parts: its key is null
+    place = lambda key: F.struct("p_size", key.cast("long").alias("key")).alias("ord")
+    body = t.part.select("p_brand", place(F.col("p_partkey")),
                          F.concat(F.lit("0\t12aa, >P"), F.lpad(F.col("p_partkey").cast("string"), 7, "0"), F.lit("_H3... "), star).alias("value"))
-    heads = t.part.select("p_brand", (F.col("p_size") * 1_000_000).alias("ord"), F.concat(F.lit(">Cluster "), "p_size").alias("value")).distinct()
+    heads = t.part.select("p_brand", place(F.lit(None)), F.concat(F.lit(">Cluster "), "p_size").alias("value")).distinct()
     return text.parse_clstr(body.unionByName(heads), ["p_brand"])
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from helixframe.operators import cluster, graph, msa, spatial, stats, structure
 from helixframe.operators.components import connected_components
+from helixframe.plans.registry import QUERIES
 from helixframe.sinks import store_lookup, write_store
 from helixframe.streaming.ingest import ingest_keyed
 
@@ -221,3 +222,20 @@ def test_links_to_first_texts_span_all_pairs(spark):
     common = spark.range(400).select("id", F.concat(F.lit("a b c d "), F.col("id").cast("string")).alias("text"))
     assert cluster.shingle_links(common, "id", "text", 4).count() == 399
     assert cluster.shingle_links(docs.limit(0), "id", "text").count() == 0
+
+
+def test_large_part_keys_keep_their_clusters(spark, tmp_path):
+    """A key beyond a million is still a line of its own size's cluster."""
+    rows = [(1, "Brand#1", 2), (2, "Brand#1", 1), (1_000_001, "Brand#1", 1), (2_000_007, "Brand#1", 1), (1_500_000, "Brand#1", 2), (1_000_002, "Brand#2", 1), (3, "Brand#2", 2)]
+    spark.createDataFrame(rows, "p_partkey long, p_brand string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    got = {(r.p_brand, r.representative, r.member) for r in QUERIES["clstr_parse"](spark, str(tmp_path)).collect()}
+    first = {g: min(k for k, *h in rows if tuple(h) == g) for g in {(b, s) for _, b, s in rows}}
+    assert got == {(b, f"A{first[b, s]:07d}", f"P{k:07d}") for k, b, s in rows}
+
+
+def test_rows_of_letters_are_not_broadcast(spark, tmp_path):
+    """Exploded rows of a small file."""
+    rows = [(i, "ab cd ef"[: 2 + i % 6], f"Brand#{i % 3}", "STANDARD", i % 4) for i in range(50)]
+    spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string, p_type string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
+    for name, most in [("msa_tables", 0), ("align_project", 2)]:  # the sizes' first names, in both uses of the pairs
+        assert str(QUERIES[name](spark, str(tmp_path))._jdf.queryExecution().sparkPlan()).count("BroadcastHashJoin") == most, name
