@@ -56,7 +56,7 @@ def profile_counts(cells: DataFrame) -> DataFrame:
     """``msa, pos, idx, frequency`` of the bins that occur; frequencies of a position sum to 1."""
     counted = cells.groupBy("msa", "pos", "idx").agg(F.count(F.lit(1)).alias("n"))
     depth = cells.groupBy("msa", "pos").agg(F.count(F.lit(1)).alias("depth"))
-    return counted.join(depth, ["msa", "pos"]).select("msa", "pos", "idx", (F.col("n") / F.col("depth")).alias("frequency"))
+    return counted.join(depth.hint("merge"), ["msa", "pos"]).select("msa", "pos", "idx", (F.col("n") / F.col("depth")).alias("frequency"))
 
 
 #: Cells of count matrices that a task holds before it hands them on.

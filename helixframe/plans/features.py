@@ -49,7 +49,8 @@ def msa_tables(t: Tables):
     base = rows(t)
     dense = msa.dense_profile(msa.profile_counts(msa.positions(base, "msa", "row")))
     cells = base.select("p_partkey", "msa", F.posexplode(msa.encode(F.col("row"))).alias("pos", "idx"))
-    joined = cells.join(dense, ["msa", "pos"]).select("p_partkey", "msa", F.element_at("profile", F.col("idx") + 1).cast("double").alias("f"))
+    # a row a letter: small as a file, but not to be broadcast
+    joined = cells.hint("merge").join(dense, ["msa", "pos"]).select("p_partkey", "msa", F.element_at("profile", F.col("idx") + 1).cast("double").alias("f"))
     return joined.groupBy("p_partkey", "msa").agg(F.count(F.lit(1)).alias("n_positions"), F.round(F.sum("f"), 4).alias("own_frequency"))
 
 
