@@ -45,10 +45,13 @@ def coverage(columns: DataFrame, queries: DataFrame, keys: list[str], length: st
 
 
 def project(columns: DataFrame, template: DataFrame, keys: list[str], queries: DataFrame, length: str, values: dict[str, object]) -> DataFrame:
-    """Template values at every query position; missing ones get ``values``' defaults."""
+    """Template values at every query position; missing ones get ``values``' defaults.
+
+    A side has a row a position, many more than its source's file size suggests, so neither is broadcast.
+    """
     every = queries.select(*keys, F.explode(F.sequence(F.lit(0), F.col(length) - 1)).alias("q_pos"))
-    placed = columns.join(template, [*keys, "t_pos"]).select(*keys, "q_pos", *values)
-    out = every.join(placed, [*keys, "q_pos"], "left")
+    placed = columns.join(template.hint("merge"), [*keys, "t_pos"]).select(*keys, "q_pos", *values)
+    out = every.join(placed.hint("merge"), [*keys, "q_pos"], "left")
     for c, default in values.items():
         if default is not None:
             out = out.withColumn(c, F.coalesce(F.col(c), F.lit(default)))
