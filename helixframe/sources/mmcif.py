@@ -18,86 +18,129 @@ from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStrea
 #: Tasks over named files, at most; bytes of a piece of a file; rows of a batch.
 TASKS, SPLIT, BATCH = 4096, 32 << 20, 1 << 14
 SCHEMA = "entry_id string, category string, row_ord long, item string, value string"
+#: A category's row as one row: its values by item, which ``pivot_category`` takes as well.
+ROWS = "entry_id string, category string, row_ord long, cells map<string, string>"
+
+
+def _line_tokens(line: str, lines: Iterator[str]) -> Iterator[tuple[str, bool]]:
+    if line.startswith(";"):
+        parts = [line[1:]]
+        for more in lines:
+            if more.startswith(";"):
+                break
+            parts.append(more)
+        yield "\n".join(parts).rstrip("\r"), True
+        return
+    if not _special(line):
+        for value in line.split():
+            yield value, False
+        return
+    at, n = 0, len(line)
+    while at < n:
+        ch = line[at]
+        if ch.isspace():
+            at += 1
+        elif ch == "#":
+            break
+        elif ch in "'\"":
+            end = at + 1
+            while end < n and not (line[end] == ch and (end + 1 == n or line[end + 1].isspace())):
+                end += 1
+            yield line[at + 1 : end], True
+            at = end + 1
+        else:
+            end = at
+            while end < n and not line[end].isspace():
+                end += 1
+            yield line[at:end], False
+            at = end
+
+
+def _special(line: str) -> bool:
+    return "'" in line or '"' in line or "#" in line
 
 
 def tokens(text: str) -> Iterator[tuple[str, bool]]:
     """Values and whether they were quoted; text fields between ``;`` lines are one value."""
     lines = iter(text.split("\n"))
     for line in lines:
-        if line.startswith(";"):
-            parts = [line[1:]]
-            for more in lines:
-                if more.startswith(";"):
-                    break
-                parts.append(more)
-            yield "\n".join(parts).rstrip("\r"), True
-            continue
-        at, n = 0, len(line)
-        while at < n:
-            ch = line[at]
-            if ch.isspace():
-                at += 1
-            elif ch == "#":
-                break
-            elif ch in "'\"":
-                end = at + 1
-                while end < n and not (line[end] == ch and (end + 1 == n or line[end + 1].isspace())):
-                    end += 1
-                yield line[at + 1 : end], True
-                at = end + 1
-            else:
-                end = at
-                while end < n and not line[end].isspace():
-                    end += 1
-                yield line[at:end], False
-                at = end
+        yield from _line_tokens(line, lines)
 
 
-def parse(text: str, wanted: set[str] | None = None) -> Iterator[tuple[str, str, int, str, str]]:
-    """Rows of the long table; a loop's values that don't fill its last row raise."""
-    entry, loop, names, row, held = "", False, [], [], None
-    number = 0
-
-    def split(name: str) -> tuple[str, str]:
-        category, _, item = name.partition(".")
-        return category, item
+def parse_rows(text: str, wanted: set[str] | None = None) -> Iterator[tuple[str, str, int, list[str], list[str]]]:
+    """``entry, category, row_ord, items, values`` of every row; a loop's values that don't fill its last row raise."""
+    entry, loop, names, items, row, held = "", False, [], [], [], None
+    number, category, keep = 0, "", False
 
     def flush():
         if row:
             raise ValueError(f"{entry}: {len(row)} values too many in {names[:1]}")
 
-    for value, quoted in tokens(text):
-        low = value.lower() if not quoted else ""
-        if low.startswith("data_"):
-            flush()
-            entry, loop, names, held = value[5:], False, [], None
-        elif low == "loop_":
-            flush()
-            loop, names, row, number = True, [], [], 0
-        elif not quoted and value.startswith("_"):
-            if loop and (number or row):
-                flush()
-                loop, names = False, []
-            if loop:
-                names.append(value)
-            else:
-                held = value
-        elif loop:
-            row.append(value)
-            if len(row) == len(names):
-                category, _ = split(names[0])
-                if wanted is None or category in wanted:
-                    for name, v in zip(names, row):
-                        yield entry, category, number, split(name)[1], v
+    lines = iter(text.split("\n"))
+    for line in lines:
+        if loop and names and "_" not in line and not line.startswith(";") and not _special(line):
+            # values alone: no name, keyword or quote
+            row += line.split()
+        else:
+            for value, quoted in _line_tokens(line, lines):
+                low = value.lower() if not quoted else ""
+                if low.startswith("data_"):
+                    flush()
+                    entry, loop, names, items, held = value[5:], False, [], [], None
+                elif low == "loop_":
+                    flush()
+                    loop, names, items, row, number = True, [], [], [], 0
+                elif not quoted and value.startswith("_"):
+                    if loop and (number or row):
+                        flush()
+                        loop, names, items = False, [], []
+                    if loop:
+                        names.append(value)
+                        items.append(value.partition(".")[2])
+                        category = names[0].partition(".")[0]
+                        keep = wanted is None or category in wanted
+                    else:
+                        held = value
+                elif loop:
+                    row.append(value)
+                    if len(row) == len(names):
+                        if keep:
+                            yield entry, category, number, items, row
+                        row, number = [], number + 1
+                elif held is not None:
+                    alone, _, item = held.partition(".")
+                    if wanted is None or alone in wanted:
+                        yield entry, alone, 0, [item], [value]
+                    held = None
+        if row and names and len(row) >= (n := len(names)):
+            if len(row) == n:
+                if keep:
+                    yield entry, category, number, items, row
                 row, number = [], number + 1
-        elif held is not None:
-            category, item = split(held)
-            if wanted is None or category in wanted:
-                yield entry, category, 0, item, value
-            held = None
+            else:
+                for at in range(0, len(row) - n + 1, n):
+                    if keep:
+                        yield entry, category, number, items, row[at : at + n]
+                    number += 1
+                row = row[len(row) // n * n :]
     flush()
 
 
+def parse(text: str, wanted: set[str] | None = None) -> Iterator[tuple[str, str, int, str, str]]:
+    """Rows of the long table; a loop's values that don't fill its last row raise."""
+    for entry, category, number, items, values in parse_rows(text, wanted):
+        for item, value in zip(items, values):
+            yield entry, category, number, item, value
+
+
+def _cells(items: list[str], values: list[str]) -> dict[str, str]:
+    """A row's values by item; of a repeated item the largest, as the pivot of the long table has it."""
+    cells: dict[str, str] = {}
+    for item, value in zip(items, values):
+        cells[item] = max(value, cells.get(item, value))
+    return cells
+
+
 def blocks(f, start: int, end: int | None) -> Iterator[str]:
     """The blocks of a binary file whose ``data_`` line begins from ``start`` up to before ``end``."""
     at = max(start - 1, 0)
@@ -133,6 +176,54 @@ def _store(path: str):
     return pafs.FileSystem.from_uri(path if "://" in path else f"file://{path.removeprefix('file:')}")
 
 
+class _Held:
+    """Rows on their way into Arrow batches: a row a cell or, as ``rows``, a row with its cells."""
+
+    def __init__(self, rows: bool, keyed: bool = False):
+        self.rows, self.keyed = rows, keyed
+        self._clear()
+
+    def _clear(self):
+        self.heads, self.items, self.values, self.ends = ([], [], []), [], [], [0]
+        self.keys, self.errors = [], []
+
+    def __len__(self) -> int:
+        return len(self.heads[0])
+
+    def full(self) -> bool:
+        return len(self.items) >= BATCH
+
+    def add(self, row: tuple, key: str | None = None, error: str | None = None):
+        *head, items, values = row
+        if self.rows and len(set(items)) < len(items):
+            cells = _cells(items, values)
+            items, values = list(cells), list(cells.values())
+        n = 1 if self.rows else len(items)
+        for column, v in zip(self.heads, head):
+            column += [v] * n
+        self.items += items
+        self.values += values
+        self.ends.append(len(self.items))
+        if self.keyed:
+            self.keys += [key] * n
+            self.errors += [error] * n
+
+    def batch(self):
+        import pyarrow as pa
+
+        names, text = ["entry_id", "category", "row_ord"], pa.string()
+        columns = [pa.array(c, k) for c, k in zip(self.heads, (text, text, pa.int64()))]
+        items, values = pa.array(self.items, text), pa.array(self.values, text)
+        if self.rows:
+            names, columns = [*names, "cells"], [*columns, pa.MapArray.from_arrays(pa.array(self.ends, pa.int32()), items, values)]
+        else:
+            names, columns = [*names, "item", "value"], [*columns, items, values]
+        if self.keyed:
+            names, columns = [*names, "key", "error"], [*columns, pa.array(self.keys, text), pa.array(self.errors, text)]
+        self._clear()
+        return pa.RecordBatch.from_arrays(columns, names)
+
+
 class _Scan:
     """What the batch and the stream reader share."""
 
@@ -140,6 +231,7 @@ class _Scan:
         self.paths = [p for p in options.get("paths", options.get("path", "")).split(",") if p]
         names = options.get("categories", "")
         self.wanted = {c.strip() for c in names.split(",") if c.strip()} or None
+        self.rows = options.get("rows", "") == "true"
         self.split = int(options.get("splitbytes", options.get("splitBytes", SPLIT)))
 
     def pieces(self, paths: list[str]) -> list[tuple[str, int, int | None]]:
@@ -162,24 +254,18 @@ class _Scan:
         return [_Part(pieces[i : i + each]) for i in range(0, len(pieces), each)]
 
     def read(self, partition):
-        import pyarrow as pa
-
-        kinds = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.string()]
-        names = ["entry_id", "category", "row_ord", "item", "value"]
-        table = lambda rows: pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
-        rows: list[tuple] = []
+        held = _Held(self.rows)
         for path, start, end in partition.pieces:
             store, name = _store(path)
             with store.open_input_file(name) as raw:
                 f = gzip.GzipFile(fileobj=raw) if name.endswith(".gz") else io.BufferedReader(raw)
                 for text in blocks(f, start, end):
-                    for row in parse(text, self.wanted):
-                        rows.append(row)
-                        if len(rows) == BATCH:
-                            yield table(rows)
-                            rows = []
-        if rows:
-            yield table(rows)
+                    for row in parse_rows(text, self.wanted):
+                        held.add(row)
+                        if held.full():
+                            yield held.batch()
+        if len(held):
+            yield held.batch()
 
 
 class _Reader(_Scan, DataSourceReader):
@@ -233,7 +319,7 @@ class MmcifSource(DataSource):
         return "mmcif"
 
     def schema(self) -> str:
-        return SCHEMA
+        return ROWS if self.options.get("rows") == "true" else SCHEMA
 
     def reader(self, schema) -> DataSourceReader:
         return _Reader(self.options)
@@ -247,13 +333,13 @@ def _registered(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
 
 
-def read_mmcif(spark: SparkSession, paths: list[str], categories: list[str] | None = None, split: int | None = None) -> DataFrame:
-    """The long table of named files, files of many blocks in pieces of about ``split`` bytes.
+def read_mmcif(spark: SparkSession, paths: list[str], categories: list[str] | None = None, split: int | None = None, rows: bool = False) -> DataFrame:
+    """The long table of named files, files of many blocks in pieces of about ``split`` bytes; with ``rows`` a row a category's row.
 
     Filters on ``category`` reach the parser (``pushFilters``), as ``categories`` does.
     """
     _registered(spark)
-    reader = spark.read.format("mmcif").option("paths", ",".join(paths)).option("splitBytes", split or SPLIT)
+    reader = spark.read.format("mmcif").option("paths", ",".join(paths)).option("splitBytes", split or SPLIT).option("rows", "true" if rows else "false")
     return (reader.option("categories", ",".join(categories)) if categories else reader).load()
 
 
@@ -267,31 +353,31 @@ def stream_mmcif(spark: SparkSession, folder: str, categories: list[str] | None
     return (reader.option("categories", ",".join(categories)) if categories else reader).load()
 
 
-def parse_texts(df: DataFrame, key: str, text: str, categories: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
-    """The long table of texts in a column, and the quarantine ``key, error`` of texts that don't parse."""
+def parse_texts(df: DataFrame, key: str, text: str, categories: list[str] | None = None, rows: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The long table (with ``rows`` a row a category's row) of texts in a column, and the quarantine ``key, error`` of texts that don't parse."""
     wanted = set(categories) if categories else None
-    rows = df.select(F.col(key).cast("string").alias("key"), F.encode(text, "UTF-8").alias("content"))
-    whole = rows.mapInArrow(_parsed(wanted), SCHEMA + ", key string, error string")
-    return whole.where("error is null").select("entry_id", "category", "row_ord", "item", "value"), whole.where("error is not null").select("key", "error")
+    texts = df.select(F.col(key).cast("string").alias("key"), F.encode(text, "UTF-8").alias("content"))
+    whole = texts.mapInArrow(_parsed(wanted, rows), (ROWS if rows else SCHEMA) + ", key string, error string")
+    return whole.where("error is null").drop("key", "error"), whole.where("error is not null").select("key", "error")
 
 
-def _parsed(wanted: set[str] | None):
+def _parsed(wanted: set[str] | None, wide: bool = False):
     """A task over ``key, content`` that parses each content; a key that ends in .gz is compressed."""
 
     def run(batches):
-        import pyarrow as pa
-
+        held = _Held(wide, keyed=True)
         for batch in batches:
-            rows: list[tuple] = []
             for path, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 try:
                     text = (gzip.decompress(raw) if (path or "").endswith(".gz") else raw or b"").decode()
-                    rows += [(*r, path, None) for r in parse(text, wanted)]
+                    for row in list(parse_rows(text, wanted)):
+                        held.add(row, path)
                 except (ValueError, OSError) as e:
-                    rows.append((None, None, None, None, None, path, str(e)[:500]))
-            kinds = [pa.string(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.string()]
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows) if rows else [[]] * 7, kinds)],
-                                             ["entry_id", "category", "row_ord", "item", "value", "key", "error"])
+                    held.add((None, None, None, [None] * (not wide), [None] * (not wide)), path, str(e)[:500])
+                if held.full():
+                    yield held.batch()
+        if len(held):
+            yield held.batch()
 
     return run
 

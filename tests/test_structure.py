@@ -318,3 +318,16 @@ def test_stream_of_structure_files(spark, tmp_path):
     add("c.cif", 2000)
     assert run() == ["a.cif", "b.cif", "c.cif"]
     assert run() == ["a.cif", "b.cif", "c.cif"]
+
+
+def test_rows_of_cells_are_the_long_table(spark):
+    """A row a category's row gives the pivots of a row a cell, with a repeated item, two loops and single values too."""
+    texts = [("a", "data_a\n_x.id 1\n_x.kind 'a b'\nloop_\n_y.id\n_y.id\n_y.v\n1 2 p\n3 1 'q r'\nloop_\n_y.id\n_y.w\n9 z\n#\n"), ("b", "data_b\nloop_\n_y.id\n_y.v\n1 p 2\nq_1 3\n;r\ns\n;\n"), ("c", "data_c\nloop_\n_y.id\n_y.v\n1\n")]
+    df = spark.createDataFrame(texts, "key string, text string")
+    long, bad = mmcif.parse_texts(df, "key", "text")
+    rows, worse = mmcif.parse_texts(df, "key", "text", rows=True)
+    assert rows.columns == ["entry_id", "category", "row_ord", "cells"] and rows.count() == 2 + 3 + 3
+    assert bad.collect() == worse.collect() and bad.count() == 1
+    for category, items in [("_x", ["id", "kind"]), ("_y", ["id", "v", "w"])]:
+        want, got = (sorted(map(tuple, normalize.pivot_category(t, category, items).collect())) for t in (long, rows))
+        assert got == want and want
