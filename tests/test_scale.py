@@ -239,3 +239,31 @@ def test_rows_of_letters_are_not_broadcast(spark, tmp_path):
     spark.createDataFrame(rows, "p_partkey long, p_name string, p_brand string, p_type string, p_size int").write.parquet(f"{tmp_path}/part.parquet")
     for name, most in [("msa_tables", 0), ("align_project", 2)]:  # the sizes' first names, in both uses of the pairs
         assert str(QUERIES[name](spark, str(tmp_path))._jdf.queryExecution().sparkPlan()).count("BroadcastHashJoin") == most, name
+
+
+def test_forests_and_twins_need_no_canonical_string(spark, monkeypatch):
+    """Equal stars on different hubs, paths, matchings beside a hub, crowns of two labels: told apart in columns; rings are not."""
+    rng = random.Random(6)
+    ring = lambda n, at=0: [(at + i, at + (i + 1) % n) for i in range(n)]
+    stars = lambda *sizes: [(h, len(sizes) + sum(sizes[:h]) + i) for h, n in enumerate(sizes) for i in range(n)]
+    crown = [(2 * a, 2 * b + 1) for a in range(4) for b in range(4) if a != b]
+    shapes = [(6, stars(2, 2)), (6, stars(1, 3)), (8, stars(1, 1, 1, 1)), (9, stars(1, 1, 1, 1) + [(8, i) for i in range(8)]), (7, ring(7)[:6]), (8, ring(4)[:3] + ring(4, 4)[:3]), (8, crown)]
+    shapes += [(n, [(rng.randrange(i), i) for i in range(1, n) if rng.random() < 0.85]) for n in (5, 6, 7)]
+    hard = [(6, ring(6)), (6, ring(3) + ring(3, 3))]
+    nodes, links, want, kept, ringed = [], [], {}, {}, set()
+    for n, pairs in shapes + hard:
+        for labels in (["x"] * n, ["xy"[i % 2] for i in range(n)]):
+            for _ in range(3):
+                gid, order = len(want), rng.sample(range(100, 100 + n), n)
+                nodes += [(gid, order[i], labels[i]) for i in range(n)]
+                links += [(gid, order[a], order[b]) for a, b in pairs]
+                mine = (dict(enumerate(labels)), set(pairs))
+                want[gid] = next((c for c, g in kept.items() if graph.isomorphic(mine, g)), gid)
+                kept.setdefault(want[gid], mine)
+                if (n, pairs) in hard or pairs == crown and len(set(labels)) == 1:
+                    ringed.add(gid)
+    plain, asked = graph.canonical_strings, []
+    monkeypatch.setattr(graph, "canonical_strings", lambda a, b: asked.extend(r.gid for r in a.select("gid").distinct().collect()) or plain(a, b))
+    got = graph.graph_dedup(spark.createDataFrame(nodes, "gid int, node int, label string"), spark.createDataFrame(links, "gid int, u int, v int"))
+    assert {r.gid: r.class_id for r in got.collect()} == want
+    assert asked and set(asked) <= ringed
