@@ -267,3 +267,20 @@ def test_forests_and_twins_need_no_canonical_string(spark, monkeypatch):
     got = graph.graph_dedup(spark.createDataFrame(nodes, "gid int, node int, label string"), spark.createDataFrame(links, "gid int, u int, v int"))
     assert {r.gid: r.class_id for r in got.collect()} == want
     assert asked and set(asked) <= ringed
+
+
+@pytest.mark.parametrize("name", ["graph_tables", "label_sets", "edge_cluster", "stage_rebuild", "grid_neighbours"])
+def test_tasks_grow_in_number_not_in_size(spark, monkeypatch, name):
+    """With few rows a task, the query's tables are written with more shuffle tasks, and the session's settings come back."""
+    from helixframe import session
+    from helixframe.plans import entries, graphs
+    from helixframe.plans.registry import QUERIES
+
+    names = ("spark.sql.shuffle.partitions", "spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    before, seen = [spark.conf.get(n) for n in names], []
+    monkeypatch.setattr(session, "TASK_ROWS", 100)
+    for module in (entries, graphs):
+        monkeypatch.setattr(module, "materialize", lambda df, *a, **k: seen.append(int(spark.conf.get(names[0]))) or session.materialize(df, *a, **k))
+    QUERIES[name](spark, "/root/testdata/sf0.001").count()
+    assert min(seen) > int(before[0])
+    assert [spark.conf.get(n) for n in names] == before
