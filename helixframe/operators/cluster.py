@@ -48,10 +48,20 @@ def shared_kmers(seqs: DataFrame, key: str, sequence: str, k: int = 6, hot: int
 
 
 def shared_shingles(docs: DataFrame, key: str, text: str, size: int = 8, hot: int | None = 1000) -> DataFrame:
-    """As ``shared_kmers`` with runs of ``size`` words."""
+    """As ``shared_kmers`` with runs of ``size`` words.
+
+    Runs go by 128-bit digests. Those of exactly the same texts (a shared passage
+    has many) are one word that counts for all of them, so a passage of any
+    length makes the pairs of its texts once.
+    """
     words = docs.select(F.col(key).alias("id"), F.filter(F.split(text, r"[ \n]"), lambda w: w != "").alias("t")).where(F.size("t") >= size)
-    runs = F.transform(F.sequence(F.lit(1), F.size("t") - (size - 1)), lambda i: F.array_join(F.slice("t", i, F.lit(size)), " "))
-    return _pairs_by_word(words.select("id", F.explode(F.array_distinct(runs)).alias("w")), hot)
+    runs = F.transform(F.sequence(F.lit(1), F.size("t") - (size - 1)), lambda i: F.unhex(F.md5(F.array_join(F.slice("t", i, F.lit(size)), " "))))
+    rows = words.select("id", F.explode(F.array_distinct(runs)).alias("w"))
+    mark = [F.sum(F.xxhash64(F.lit(k), "id").cast("decimal(38,0)")).alias(f"_x{k}") for k in (1, 2)]
+    sets = rows.groupBy("w").agg(*mark, F.count(F.lit(1)).alias("_n")).where("_n > 1")
+    sets = materialize(sets.groupBy("_x1", "_x2", "_n").agg(F.min("w").alias("w"), F.count(F.lit(1)).alias("_m")).select("w", "_n", "_m"), "shingle-sets")
+    pairs = _meet(rows.join(sets, "w"), ["_m"], hot).select(F.least("id1", "id2").alias("id1"), F.greatest("id1", "id2").alias("id2"), "_m1")
+    return pairs.groupBy("id1", "id2").agg(F.sum("_m1").alias("n"))
 
 
 def shingle_links(docs: DataFrame, key: str, text: str, size: int = 8, salts: int = 32) -> DataFrame:

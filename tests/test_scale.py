@@ -1,5 +1,6 @@
 """Operators whose plans must hold at many times the tests' size: what they shuffle, read and keep in one row."""
 
+import itertools
 import random
 from collections import Counter
 
@@ -284,3 +285,20 @@ def test_tasks_grow_in_number_not_in_size(spark, monkeypatch, name):
     QUERIES[name](spark, "/root/testdata/sf0.001").count()
     assert min(seen) > int(before[0])
     assert [spark.conf.get(n) for n in names] == before
+
+
+def test_a_shared_passage_makes_its_pairs_once(spark, monkeypatch):
+    """Forty texts with a passage of 200 words: a row a text and set of runs meets, and the counts are those of all runs."""
+    passage = " ".join(f"p{i}" for i in range(200))
+    texts = [(i, f"{passage} own{i} " + (" ".join(f"q{k}" for k in range(20)) if i % 2 else f"x{i}")) for i in range(40)] + [(7, f"{passage} own7b"), (50, None)]
+    plain, met = cluster._meet, []
+    monkeypatch.setattr(cluster, "_meet", lambda rows, *a: met.append(rows.count()) or plain(rows, *a))
+    got = {(r.id1, r.id2): r.n for r in cluster.shared_shingles(spark.createDataFrame(texts, "id int, t string"), "id", "t", 4, hot=10).collect()}
+    runs = lambda t: {tuple(t.split()[i : i + 4]) for i in range(len(t.split()) - 3)}
+    want = {}
+    for (i, s), (j, t) in itertools.combinations([x for x in texts if x[1]], 2):
+        n = len(runs(s) & runs(t))
+        if n and i != j:
+            want[min(i, j), max(i, j)] = want.get((min(i, j), max(i, j)), 0) + n
+    assert got == want
+    assert met[0] < 200
