@@ -381,10 +381,27 @@ def _span_rows(spans, buckets: int):
         yield _rows((doc[part] % buckets).astype(np.int32), doc[part], begin[part], end[part], [None] * n)
 
 
+def _runs(source: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The bytes of runs laid end to end; their places, eight times as large, are made for some runs at a time."""
+    ends = np.cumsum(size)
+    out = np.empty(int(ends[-1]) if len(ends) else 0, np.uint8)
+    for i in range(0, len(size), 4096):
+        part = slice(i, i + 4096)
+        low, high = int(ends[i] - size[i]), int(ends[part][-1])
+        out[low:high] = source[np.repeat(begin[part] - (ends[part] - size[part]), size[part]) + np.arange(low, high)]
+    return out
+
+
 def _ship(gathered: list[tuple[np.ndarray, ...]], length: int, buckets: int):
     """Scans a task's own repeats, then yields spans and the buckets' blobs; empties the list."""
-    h, doc, at, left, right, body = (np.concatenate(x) for x in zip(*gathered))
+    bodies = [x[-1] for x in gathered]
+    h, doc, at, left, right = (np.concatenate(x) for x in list(zip(*gathered))[:-1])
     gathered.clear()
+    body, filled = np.empty(sum(map(len, bodies)), np.uint8), 0
+    while bodies:  # each goes as soon as it is copied
+        x = bodies.pop(0)
+        body[filled : filled + len(x)] = x
+        filled += len(x)
     size = left.astype(np.int64) + right
     begin = np.cumsum(size) - size
     order = np.argsort(h, kind="stable")
@@ -418,11 +435,8 @@ def _ship(gathered: list[tuple[np.ndarray, ...]], length: int, buckets: int):
     ids, blobs = [], []
     for a, b in zip(edges, edges[1:]):
         k = keep[a:b]
-        sizes = size[k]
-        ends = np.cumsum(sizes)
-        take = np.repeat(begin[k] - (ends - sizes), sizes) + np.arange(int(ends[-1]))
         ids.append(int(bucket[a]))
-        blobs.append(_pack(doc[k], at[k], left[k], right[k], body[take]))
+        blobs.append(_pack(doc[k], at[k], left[k], right[k], _runs(body, begin[k], size[k])))
         if len(ids) >= 64:
             yield _rows(ids, *([None] * len(ids) for _ in range(3)), blobs)
             ids, blobs = [], []
@@ -444,10 +458,7 @@ def _map(length: int, buckets: int, hashes: np.ndarray):
             which = np.searchsorted(starts, p0, side="right") - 1
             shift = base[which] - starts[which]
             left, right = (j - p0).astype(np.uint8), (p1 + length - j).astype(np.uint8)
-            size = left.astype(np.int64) + right
-            tops = np.cumsum(size)
-            take = np.repeat(p0 - (tops - size), size) + np.arange(int(tops[-1]) if len(tops) else 0)
-            gathered.append((h, doc[which], j + shift, left, right, buf[take]))
+            gathered.append((h, doc[which], j + shift, left, right, _runs(buf, p0, left.astype(np.int64) + right)))
             held += len(buf)
             if held >= TASK_BYTES:
                 yield from _ship(gathered, length, buckets)

@@ -700,3 +700,24 @@ def test_text_oracles(spark, name):
     got = queries.QUERIES[name](spark, MIDDLE)
     assert sorted(got.columns) == sorted(columns)
     assert sorted(map(str, map(tuple, got.select(columns).collect()))) == sorted(map(str, want))
+
+
+def test_a_map_task_of_the_suffix_arrays_holds_its_bytes_a_few_times():
+    """Places of bytes, eight times as large as these, are made for some entries at a time."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    texts = [bytes(rng.integers(97, 123, 20_000, np.uint8)).decode() for _ in range(400)]
+    batch = pa.table({"doc": pa.array(range(400), pa.int64()), "text": texts}).to_batches()
+    tracemalloc.start()
+    try:
+        assert sum(b.num_rows for b in suffix_dedup._map(100, 1, np.zeros(0, np.uint64))(batch)) == 1
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert peak < 200 << 20
+    begin, size = np.arange(9000) * 3, np.arange(9000) % 7
+    source = rng.integers(0, 256, 28_000, np.uint8)
+    assert suffix_dedup._runs(source, begin, size).tobytes() == b"".join(source[b : b + s].tobytes() for b, s in zip(begin, size))
