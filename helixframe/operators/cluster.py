@@ -329,13 +329,13 @@ def similar_pairs(seqs: DataFrame, key: str, sequence: str, identity: float, cov
 def first_copies(seqs: DataFrame, key: str, sequence: str) -> DataFrame:
     """``key, sequence, first``: ``first`` is the smallest key of an equal sequence; a null is equal to none."""
     firsts = seqs.where(F.col(sequence).isNotNull()).groupBy(F.col(sequence).alias("_s")).agg(F.min(key).alias("first"))
-    return seqs.select(key, sequence).join(firsts, F.col(sequence) == F.col("_s"), "left").select(key, sequence, F.coalesce("first", key).alias("first"))
+    return seqs.select(key, sequence).join(firsts.hint("merge"), F.col(sequence) == F.col("_s"), "left").select(key, sequence, F.coalesce("first", key).alias("first"))
 
 
 def with_copies(clusters: DataFrame, copies: DataFrame, key: str, representative: str = "representative") -> DataFrame:
     """The clusters of first copies for every sequence: a copy goes with its first one."""
     found = clusters.select(F.col(key).alias("first"), representative)
-    return copies.select(key, "first").join(found, "first").select(key, representative)
+    return copies.select(key, "first").join(found.hint("merge"), "first").select(key, representative)
 
 
 def cluster_components(seqs: DataFrame, key: str, links: DataFrame, a: str = "id1", b: str = "id2") -> DataFrame:

@@ -187,7 +187,7 @@ def word_index(seqs: DataFrame, key: str, sequence: str, k: int) -> DataFrame:
     each = rows.select("id", F.length("s").alias("n"), F.posexplode(F.transform(F.sequence(F.lit(1), F.length(text) - (k - 1)), lambda i: F.substr(text, i, F.lit(k)))).alias("p", "w"))
     copy = F.row_number().over(Window.partitionBy("id", "w").orderBy("p"))
     each = each.withColumn("w", F.xxhash64("w", copy)).select("id", "n", "w")
-    ranked = each.join(each.groupBy("w").agg(F.count("*").alias("f")), "w")
+    ranked = each.join(each.groupBy("w").agg(F.count("*").alias("f")).hint("merge"), "w")
     return ranked.groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct("f", "w"))).alias("_l")).select("id", "n", F.col("_l.w").alias("words"))
 
 
@@ -206,7 +206,8 @@ def greedy_bands(seqs: DataFrame, key: str, sequence: str, identity: float = 0.9
     short-word bound. Bands of the order grow from ``first`` to ``most`` rows;
     a band meets the representatives so far, and only what they leave is
     compared within the band and settled in one task, which holds ids and links
-    of at most ``most`` rows. Bands change the work and not the result. Equal
+    of at most ``most`` rows. Joins are merge joins: as broadcasts, every band would
+    send its part of the index through the driver. Bands change the work and not the result. Equal
     sequences should be collapsed first (``first_copies``). Sequences with
     fewer than ``k`` letters, and nulls, stand alone; of a repeated key the
     longest, then smallest sequence counts. The bands' tables go at the end.
@@ -221,8 +222,8 @@ def _greedy_bands(seqs: DataFrame, key: str, sequence: str, identity: float, cov
     kind = dict(one.dtypes)["id"]
     index = word_index(one, "id", "s", k)
     ranked = global_rank(index.select("id", "words", F.col("n"), (-F.col("n")).alias("_o")), ["_o", "id"], "rank")
-    index = materialize(ranked.select("id", "n", "words", "rank"), "greedy-words")
-    total, texts = index.count(), one.select("id", "s")
+    index = materialize(ranked.select("id", "n", "words", "rank").join(one.hint("merge"), "id"), "greedy-words")
+    total = index.count()
     own = short_word_bound(F.col("n"), identity, k)
     # a representative may be longer than the sequence by the cover; the least bound of all such lengths counts
     shortest = F.ceil(F.round(F.col("n") * cover, 6)).cast("int")
@@ -232,10 +233,10 @@ def _greedy_bands(seqs: DataFrame, key: str, sequence: str, identity: float, cov
         """Aligned pairs of ``left`` with earlier rows of ``right``."""
         a = _prefix(left, own)
         b = _prefix(right, least).select(F.col("id").alias("head"), F.col("n").alias("m"), "w")
-        met = a.join(b, "w").where((F.col("id") != F.col("head")) & (F.col("n") >= cover * F.col("m"))).select("id", "head").distinct()
-        full = met.join(left.select("id", "n", "words", "rank"), "id").join(right.select(F.col("id").alias("head"), F.col("words").alias("_w"), F.col("rank").alias("_r")), "head")
-        full = full.where((F.col("_r") < F.col("rank")) & (F.size(F.array_intersect("words", "_w")) >= own))
-        full = full.select("id", "head", "rank", "_r").join(texts, "id").join(texts.select(F.col("id").alias("head"), F.col("s").alias("t")), "head")
+        met = a.join(b.hint("merge"), "w").where((F.col("id") != F.col("head")) & (F.col("n") >= cover * F.col("m"))).select("id", "head").distinct()
+        full = met.join(left.hint("merge"), "id")
+        full = full.join(right.select(F.col("id").alias("head"), F.col("words").alias("_w"), F.col("rank").alias("_r"), F.col("s").alias("t")).hint("merge"), "head")
+        full = full.where((F.col("_r") < F.col("rank")) & (F.size(F.array_intersect("words", "_w")) >= own)).select("id", "head", "rank", "_r", "s", "t")
 
         def run(frames):
             for pdf in frames:
@@ -257,14 +258,14 @@ def _greedy_bands(seqs: DataFrame, key: str, sequence: str, identity: float, cov
     found, reps, at, size = [], None, 0, first
     while at < total:
         band = index.where((F.col("rank") >= at) & (F.col("rank") < at + size))
-        near = materialize(links(band, index.join(reps, "id", "left_semi")), "greedy-links") if reps is not None else None
-        left = band.join(near.select("id").distinct(), "id", "left_anti") if near is not None else band
+        near = materialize(links(band, reps), "greedy-links") if reps is not None else None
+        left = band.join(near.select("id").distinct().hint("merge"), "id", "left_anti") if near is not None else band
         left = materialize(left, "greedy-left")
         inner = materialize(links(band, left), "greedy-links")
         heads = inner.groupBy("id").agg(F.collect_list("head_rank").alias("heads"))
-        walk = left.select("id", "rank").join(heads, "id", "left").groupBy().applyInPandas(settle, f"id {kind}")
-        new = materialize(walk, "greedy-new")
-        inner = inner.join(new.select(F.col("id").alias("head")), "head", "left_semi").select("id", "rank", "head", "head_rank", "identity")
+        walk = left.select("id", "rank").join(heads.hint("merge"), "id", "left").groupBy().applyInPandas(settle, f"id {kind}")
+        new = materialize(left.join(walk.hint("merge"), "id", "left_semi"), "greedy-new")
+        inner = inner.join(new.select(F.col("id").alias("head")).hint("merge"), "head", "left_semi").select("id", "rank", "head", "head_rank", "identity")
         found.append(inner if near is None else inner.unionAll(near))
         reps = new if reps is None else materialize(reps.unionAll(new), "greedy-reps")
         at, size = at + size, min(size * 2, most)
@@ -274,5 +275,5 @@ def _greedy_bands(seqs: DataFrame, key: str, sequence: str, identity: float, cov
     for part in found[1:]:
         every = every.unionAll(part)
     best = F.min_by("head", F.struct((-F.col("identity")).alias("i"), F.col("head_rank").alias("r")))
-    members = every.join(reps, "id", "left_anti").groupBy("id").agg(best.alias("representative"))
-    return one.select("id").join(members, "id", "left").select(F.col("id").alias(key), F.coalesce("representative", "id").alias("representative"))
+    members = every.join(reps.select("id").hint("merge"), "id", "left_anti").groupBy("id").agg(best.alias("representative"))
+    return one.select("id").join(members.hint("merge"), "id", "left").select(F.col("id").alias(key), F.coalesce("representative", "id").alias("representative"))

@@ -8,7 +8,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from helixframe.operators import cluster, graph, msa, spatial, stats, structure
+from helixframe.operators import cluster, graph, msa, seqcluster, spatial, stats, structure
 from helixframe.operators.components import connected_components
 from helixframe.plans.registry import QUERIES
 from helixframe.sinks import store_lookup, write_store
@@ -302,3 +302,19 @@ def test_a_shared_passage_makes_its_pairs_once(spark, monkeypatch):
             want[min(i, j), max(i, j)] = want.get((min(i, j), max(i, j)), 0) + n
     assert got == want
     assert met[0] < 200
+
+
+def test_bands_of_greedy_clusters_broadcast_nothing(spark, monkeypatch):
+    """A band's broadcasts went through the driver, band for band; the index alone has one, a row a partition."""
+    plain, plans = seqcluster.materialize, {}
+
+    def recorded(df, name="t", lasting=False):
+        plans.setdefault(name, []).append(df._jdf.queryExecution().executedPlan().toString())
+        return plain(df, name, lasting)
+
+    monkeypatch.setattr(seqcluster, "materialize", recorded)
+    seqs = spark.createDataFrame([(i, "ACDEFGHIKLMNPQRSTVWY"[i % 7 :] + "KLMNPQ" * (i % 3)) for i in range(40)], "id long, s string")
+    found = seqcluster.greedy_bands(cluster.first_copies(seqs, "id", "s").where("id = first"), "id", "s", k=4, first=2, most=8)
+    assert found.count() == 21
+    assert len(plans["greedy-links"]) > 3
+    assert {n for n, ps in plans.items() if any("BroadcastExchange" in p for p in ps)} <= {"greedy-words"}
