@@ -80,7 +80,11 @@ def apply_operators(points: DataFrame, operators: DataFrame, keys: list[str], xy
     ``operators`` has ``oper_id`` (which may be one of the keys), ``m11..m33``
     and ``v1..v3``; a null coordinate stays null.
     """
-    joined = points.join(operators, keys)
+    return moved_points(points.join(operators, keys), points.columns, xyz)
+
+
+def moved_points(joined: DataFrame, columns: list[str], xyz: tuple[str, str, str] = ("x", "y", "z")) -> DataFrame:
+    """``columns`` of points that have their operator's columns, with the points moved."""
     x, y, z = (F.col(c) for c in xyz)
     out = [(F.col(f"m{r}1") * x + F.col(f"m{r}2") * y + F.col(f"m{r}3") * z + F.col(f"v{r}")).alias(c) for r, c in zip((1, 2, 3), xyz)]
-    return joined.select(*(c for c in points.columns if c not in xyz and c != "oper_id"), "oper_id", *out)
+    return joined.select(*(c for c in columns if c not in xyz and c != "oper_id"), "oper_id", *out)

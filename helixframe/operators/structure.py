@@ -110,7 +110,8 @@ def indexed_copies(full: DataFrame, rows: DataFrame, have: DataFrame, opers: Dat
 
     Places within a chain are numbered before it is copied; chains of a molecule
     are put one behind the other by running sums over the chains' sizes, a row
-    a copy. So no window ever holds a molecule's atoms.
+    a copy. So no window ever holds a molecule's atoms, and an atom is shuffled
+    before it is copied only.
     """
     by = lambda *c: Window.partitionBy(*CHAIN).orderBy(*c)
     local = materialize(full.withColumns({"_atom": F.row_number().over(by("res_ord", "atom_ord")) - 1, "_res": F.dense_rank().over(by("res_ord")) - 1}), "chains")
@@ -120,7 +121,9 @@ def indexed_copies(full: DataFrame, rows: DataFrame, have: DataFrame, opers: Dat
     before = Window.partitionBy("mol_key").orderBy("chain_id").rowsBetween(Window.unboundedPreceding, -1)
     places = placed.select(*CHAIN, "assembly_id", "oper_id", "mol_key", "chain_id", (F.row_number().over(Window.partitionBy("mol_key").orderBy("chain_id")) - 1).alias("chain_idx"),
                            F.coalesce(F.sum("_ress").over(before), F.lit(0)).alias("_r0"), F.coalesce(F.sum("_atoms").over(before), F.lit(0)).alias("_a0"))
-    moved = spatial.apply_operators(local.join(places, CHAIN), opers, ["entry_id", "oper_id"])
+    # the operators meet the copies' places, a row a copy, and not the copied atoms
+    columns = [*local.columns, *(c for c in places.columns if c not in CHAIN)]
+    moved = spatial.moved_points(local.join(places.join(opers, ["entry_id", "oper_id"]), CHAIN), columns)
     return moved.withColumns({"res_idx": (F.col("_r0") + F.col("_res")).cast("int"), "atom_idx": (F.col("_a0") + F.col("_atom")).cast("int")}).drop("_r0", "_a0", "_res", "_atom")
 
 

@@ -59,6 +59,8 @@ def test_copies_of_a_capsid(spark):
     assert [g[3] for g in got] == [c for c in range(120) for _ in range((30 if c < 60 else 11) * 3)]
     windows = [line for line in plan(out).split("\n") if " Window [" in line and "mol_key" in line]
     assert windows and all("atom_ord" not in line for line in windows)
+    joins = [line for line in plan(out).split("\n") if "Join" in line]
+    assert "asym_id" in joins[0] and any("oper_id" in line for line in joins[1:])  # atoms come last, when copies have their operators
 
 
 def test_profiles_from_matrices(spark):
