@@ -2,6 +2,7 @@
 
 import itertools
 import random
+import time
 from collections import Counter
 
 import numpy as np
@@ -320,3 +321,18 @@ def test_bands_of_greedy_clusters_broadcast_nothing(spark, monkeypatch):
     assert found.count() == 21
     assert len(plans["greedy-links"]) > 3
     assert {n for n, ps in plans.items() if any("BroadcastExchange" in p for p in ps)} <= {"greedy-words"}
+
+
+def test_equal_trees_are_not_told_apart_by_choices():
+    """A forest of equal stars takes one choice a level; a numbering changes nothing."""
+    stars = [(f"s{i}", f"p{i}{k}") for i in range(100) for k in range(3)] + [(f"p{i}0", f"q{i}") for i in range(100)]
+    labels = {n: n[0] for e in stars for n in e}
+    began = time.process_time()
+    form = graph.canonical_form(labels, set(stars))
+    assert time.process_time() - began < 4
+    names = list(labels)
+    random.Random(1).shuffle(names)
+    assert graph.canonical_form({n: labels[n] for n in names}, {(b, a) for a, b in stars}) == form
+    ring = {(f"a{i}", f"a{(i + 1) % 6}") for i in range(6)}
+    two = {(f"a{i}", f"a{i // 3 * 3 + (i + 1) % 3}") for i in range(6)}
+    assert graph.canonical_form({f"a{i}": "a" for i in range(6)}, ring) != graph.canonical_form({f"a{i}": "a" for i in range(6)}, two)
