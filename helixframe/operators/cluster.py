@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import hashlib
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -64,25 +68,177 @@ def shared_shingles(docs: DataFrame, key: str, text: str, size: int = 8, hot: in
     return pairs.groupBy("id1", "id2").agg(F.sum("_m1").alias("n"))
 
 
-def shingle_links(docs: DataFrame, key: str, text: str, size: int = 8, salts: int = 32) -> DataFrame:
+#: Letters of text whose runs go on together, and the parts that runs are dealt to by their digests.
+RUN_LETTERS, RUN_BUCKETS = 1 << 23, 512
+
+
+def _word_digests(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The words between spaces and line feeds: number of the text, and two 64-bit halves of a digest a word."""
+    texts = texts.cast(pa.large_string())
+    ends = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + len(texts) + 1]
+    data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)[ends[0] : ends[-1]]
+    ends = ends - ends[0]
+    inside = (data != 0x20) & (data != 0x0A)
+    begins = inside.copy()
+    begins[1:] &= ~inside[:-1]
+    edges = ends[:-1][np.diff(ends) > 0]
+    begins[edges] = inside[edges]
+    starts = np.flatnonzero(begins)
+    row = np.searchsorted(ends, starts, "right") - 1
+    last = inside.copy()
+    last[:-1] &= ~inside[1:] | begins[1:]
+    # the words one after the other, without what parts them
+    places = np.concatenate([[0], np.cumsum(np.flatnonzero(last) + 1 - starts)]).astype(np.int64)
+    words = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(starts), [None, pa.py_buffer(places), pa.py_buffer(data[inside])])
+    coded = words.dictionary_encode()
+    digests = np.frombuffer(b"".join(hashlib.md5(w).digest() for w in coded.dictionary.to_pylist()), np.uint64).reshape(-1, 2)
+    found = digests[coded.indices.to_numpy(zero_copy_only=False)]
+    return row, found[:, 0], found[:, 1]
+
+
+def _run_digests(texts: pa.Array, owner: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct runs of ``size`` words of every owner of texts, in order: two 64-bit halves of a run's digest, and the owner."""
+    row, low, high = _word_digests(texts)
+    n = len(row) - size + 1
+    if n <= 0:
+        return np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
+    whole = row[:n] == row[size - 1 :]
+    halves = []
+    for words, factor in ((low, 0x9E3779B97F4A7C17), (high, 0xC2B2AE3D27D4EB4B)):
+        h = words[:n].copy()
+        for k in range(1, size):
+            h *= np.uint64(factor)
+            h += words[k : n + k]
+        halves.append(h[whole])
+    w, v = halves
+    of = owner[row[:n][whole]]
+    order = np.argsort(w, kind="stable")
+    if (of[1:] < of[:-1]).any() or ((w[order][1:] == w[order][:-1]) & (v[order][1:] != v[order][:-1])).any():
+        order = np.lexsort((of, v, w))
+    w, v, of = w[order], v[order], of[order]
+    new = np.ones(len(w), bool)
+    new[1:] = (w[1:] != w[:-1]) | (v[1:] != v[:-1]) | (of[1:] != of[:-1])
+    return w[new], v[new], of[new]
+
+
+def _starts(w: np.ndarray, v: np.ndarray) -> np.ndarray:
+    """Where another digest begins."""
+    return np.flatnonzero(np.concatenate([[True], (w[1:] != w[:-1]) | (v[1:] != v[:-1])])) if len(w) else np.zeros(0, np.int64)
+
+
+def _planes(w: np.ndarray) -> bytes:
+    """Bytes of numbers place by place, so that the upper ones of sorted numbers compress."""
+    return w.astype(">u8").view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def _from_planes(b: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(8, -1).T).view(">u8").ravel().astype(np.uint64)
+
+
+def shingle_links(docs: DataFrame, key: str, text: str, size: int = 8, salts: int = 32, common: int = 256) -> DataFrame:
     """``id, first, n``: ``id`` shares ``n`` distinct runs of ``size`` words whose smallest key is ``first``.
 
     Texts with a common run are in one component of these links, as they are in
-    one of all pairs, but a run in m texts gives m - 1 links. Runs are grouped by
-    128-bit digests; one in very many texts is found and looked up over
-    ``salts`` parts, so no task holds it whole. Texts that are null or of fewer
+    one of all pairs, but a run in m texts gives m - 1 links. Runs go by 128-bit
+    digests, packed, through one shuffle to ``RUN_BUCKETS`` parts. Of a run in at
+    least ``common`` texts of a batch the batch sends the smallest key alone to
+    the run's part; the other keys are spread over ``salts`` parts and meet the
+    run's first text in a join, so no task holds it whole. Texts that are null or of fewer
     words have no runs, null keys are left out, and rows of one key count as one text.
     """
-    tokens = docs.select(F.col(key).alias("id"), F.array_remove(F.split(text, r"[ \n]"), "").alias("t")).where(F.col("id").isNotNull() & (F.size("t") >= size))
-    # without lambdas and with the joins' null checks in place, all three uses share one shuffle
-    runs = tokens.select("id", "t", F.explode(F.sequence(F.lit(1), F.size("t") - (size - 1))).alias("i"))
-    runs = runs.select("id", F.unhex(F.md5(F.array_join(F.slice("t", F.col("i"), F.lit(size)), " "))).alias("w"), F.pmod(F.xxhash64("id"), F.lit(salts)).alias("_s"))
-    runs = runs.where("w is not null and _s is not null").repartition("w", "_s").distinct()
-    parts = runs.groupBy("w", "_s").agg(F.min("id").alias("_f"), F.count(F.lit(1)).alias("_n"))
-    heads = parts.groupBy("w").agg(F.min("_f").alias("first"), F.sum("_n").alias("_n")).where("_n > 1").drop("_n")
-    # always true; without it the ids are pruned here and the shuffle is another one
-    known = parts.where("_n > 0").select("w", "_s").join(heads, "w")
-    return runs.join(known, ["w", "_s"]).where("id > first").groupBy("id", "first").agg(F.count(F.lit(1)).alias("n"))
+    kind = dict(docs.dtypes)[key]
+    kept = docs.select(F.col(key).alias("id"), F.col(text).alias("t")).where("id is not null and t is not null")
+    # in order, so that a task that runs again makes the same batches
+    texts = kept.groupBy("id").agg(F.collect_list("t").alias("t")).sortWithinPartitions("id")
+
+    def pack(batches):
+        turn = 0
+        for batch in batches:
+            lists = batch.column(1)
+            if not len(lists):
+                continue
+            flat, sizes = lists.flatten(), np.asarray(lists.value_lengths())
+            ends = np.concatenate([[0], np.cumsum(sizes)])
+            letters = np.concatenate([[0], np.cumsum(np.asarray(pc.binary_length(flat), np.int64))])[ends]
+            at = 0
+            while at < len(lists):
+                to = max(at + 1, int(np.searchsorted(letters, letters[at] + RUN_LETTERS, "right")) - 1)
+                keys = batch.column(0).slice(at, to - at)
+                w, v, of = _run_digests(flat.slice(ends[at], ends[to] - ends[at]), np.repeat(np.arange(to - at), sizes[at:to]), size)
+                at = to
+                starts = _starts(w, v)
+                lengths = np.diff(np.append(starts, len(w)))
+                often = lengths >= max(common, 2)
+                stays = np.repeat(~often, lengths)
+                stays[starts[often]] = True  # keys are in order, so the smallest is the first
+                lead = np.zeros(len(w), bool)
+                lead[starts[often]] = True
+                parts: list[tuple] = []
+                for s, n in zip(starts[often], lengths[often]):
+                    parts.append((-1 - turn % salts, w[s : s + 1], v[s : s + 1], np.zeros(0, np.int64), of[s + 1 : s + n]))
+                    turn += 1
+                w, v, of, lead = w[stays], v[stays], of[stays], lead[stays]
+                # digests are in order, so a part's are one stretch
+                part = (w >> np.uint64(64 - (RUN_BUCKETS - 1).bit_length())).astype(np.int64)
+                cuts = np.append(_starts(part, part), len(part))
+                for a, b in zip(cuts[:-1], cuts[1:]):
+                    parts.append((int(part[a]), w[a:b], v[a:b], np.flatnonzero(lead[a:b]), of[a:b]))
+                if not parts:
+                    continue
+                binary = lambda each: pa.array(list(each), pa.binary())
+                owners = np.concatenate([p[4] for p in parts])
+                places = np.cumsum([0] + [len(p[4]) for p in parts])
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([p[0] for p in parts], pa.int32()), binary(_planes(p[1]) for p in parts), binary(p[2].tobytes() for p in parts),
+                    binary(p[3].astype(np.uint32).tobytes() for p in parts), pa.ListArray.from_arrays(pa.array(places, pa.int32()), keys.take(pa.array(owners, pa.int64()))),
+                ], ["part", "w", "v", "lead", "ids"])
+
+    def settle(table: pa.Table) -> pa.Table:
+        table = table.combine_chunks()
+        ids = table.column("ids").combine_chunks()
+        ids = ids.chunk(0) if isinstance(ids, pa.ChunkedArray) else ids
+        keys, many = ids.type.value_type, pa.list_(ids.type.value_type)
+        names = ["id", "first", "n", "w", "ids"]
+        column = lambda name: table.column(name).to_pylist()
+        if column("part")[0] < 0:
+            none = pa.nulls(len(table))
+            runs = pa.array([_from_planes(w).tobytes() + v for w, v in zip(column("w"), column("v"))], pa.binary())
+            return pa.Table.from_arrays([none.cast(keys), none.cast(keys), none.cast(pa.int64()), runs, ids.cast(many)], names)
+        w = np.concatenate([_from_planes(b) for b in column("w")])
+        v = np.concatenate([np.frombuffer(b, np.uint64) for b in column("v")])
+        begins = np.cumsum([0] + np.asarray(ids.value_lengths()).tolist())
+        lead = np.zeros(len(w), bool)
+        for begin, b in zip(begins, column("lead")):
+            lead[begin + np.frombuffer(b, np.uint32)] = True
+        order = np.argsort(w)
+        same = w[order][1:] == w[order][:-1]
+        met = order[np.append(same, False) | np.append(False, same) | lead[order]]
+        known = ids.flatten().take(pa.array(met, pa.int64()))
+        rank = np.asarray(pc.rank(known, "ascending", tiebreaker="dense"), np.int64)
+        order = np.lexsort((rank, v[met], w[met]))
+        met, rank = met[order], rank[order]
+        named = np.zeros(int(rank.max(initial=0)) + 1, np.int64)
+        named[rank] = order  # a place of every key in known
+        starts = _starts(w[met], v[met])
+        lengths = np.diff(np.append(starts, len(met)))
+        first = np.repeat(rank[starts], lengths)
+        later = rank > first
+        pairs, n = np.unique(np.stack([rank[later], first[later]], 1), axis=0, return_counts=True)
+        heads = starts[np.logical_or.reduceat(lead[met], starts)] if len(starts) else starts
+        of = lambda ranks: known.take(pa.array(named[ranks], pa.int64()))
+        runs = [np.uint64(x).tobytes() + np.uint64(y).tobytes() for x, y in zip(w[met][heads], v[met][heads])]
+        size, more = len(pairs), len(heads)
+        return pa.Table.from_arrays([
+            pa.concat_arrays([of(pairs[:, 0]), pa.nulls(more, keys)]), pa.concat_arrays([of(pairs[:, 1]), of(rank[heads])]), pa.concat_arrays([pa.array(n, pa.int64()), pa.nulls(more, pa.int64())]),
+            pa.concat_arrays([pa.nulls(size, pa.binary()), pa.array(runs, pa.binary())]), pa.nulls(size + more, many)], names)
+
+    packed = texts.mapInArrow(pack, f"part int, w binary, v binary, lead binary, ids array<{kind}>")
+    found = packed.groupBy("part").applyInArrow(settle, f"id {kind}, first {kind}, n long, w binary, ids array<{kind}>")
+    found = materialize(found, "run-links")
+    heads = found.where("w is not null and ids is null").select("w", "first")
+    spread = found.where("ids is not null").select("w", "ids").join(heads.hint("merge"), "w").select(F.explode("ids").alias("id"), "first", F.lit(1).cast("long").alias("n"))
+    links = found.where("id is not null").select("id", "first", "n").unionAll(spread)
+    return links.groupBy("id", "first").agg(F.sum("n").alias("n"))
 
 
 def _pairs_by_word(rows: DataFrame, hot: int | None) -> DataFrame:

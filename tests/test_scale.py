@@ -206,6 +206,23 @@ def test_redundancy_of_a_deep_alignment_in_few_rounds(spark, monkeypatch):
     assert len(texts) / 32 == 50 and len(made) < 40
 
 
+def test_common_runs_leave_their_batch_once(spark):
+    rng = random.Random(8)
+    pool = [" ".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(12)]
+    data = [(f"k{rng.randrange(200):03d}", rng.choice([" ", "\n", "  \n"]).join(rng.sample(pool, rng.randint(1, 4))) + rng.choice(["", " ", " \u00e9\u4e2d"])) for _ in range(300)]
+    data += [("k900", "a b"), ("k901", " \n "), ("k902", None), (None, pool[0]), ("k000", "a a a a a a")]
+    runs: dict = {}
+    for i, text in data:
+        tokens = [w for w in (text or "").replace("\n", " ").split(" ") if w]
+        for p in range(len(tokens) - 3 if i is not None else 0):
+            runs.setdefault(tuple(tokens[p : p + 4]), set()).add(i)
+    want = dict(Counter((i, min(ids)) for ids in runs.values() for i in ids if i > min(ids)))
+    docs = spark.createDataFrame(data, "id string, text string").repartition(5)
+    for common in (2, 5, 256):
+        got = cluster.shingle_links(docs, "id", "text", 4, salts=3, common=common).collect()
+        assert len(got) == len(want) and {(r.id, r.first): r.n for r in got} == want
+
+
 def test_links_to_first_texts_span_all_pairs(spark):
     rng = random.Random(6)
     words = [f"w{i}" for i in range(40)]
