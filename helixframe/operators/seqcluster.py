@@ -44,12 +44,10 @@ def minimiser_places(text: str, k: int, window: int) -> tuple[np.ndarray, np.nda
     codes = kmer_codes(text, k)
     if not len(codes):
         return codes, codes
-    ranks = (codes % PRIME) * FACTOR % PRIME
-    order = np.empty(len(codes), np.int64)
-    order[np.lexsort((np.arange(len(codes)), codes, ranks))] = np.arange(len(codes))
-    width = min(window, len(codes))
-    low = np.lib.stride_tricks.sliding_window_view(order, width).min(1)
-    at = np.flatnonzero(np.isin(order, low))
+    # rank above code in one number: codes of one rank differ by multiples of PRIME; the first of equal ones counts
+    keys = ((codes % PRIME) * FACTOR % PRIME << 29) | codes // PRIME
+    windows = np.lib.stride_tricks.sliding_window_view(keys, min(window, len(codes)))
+    at = np.unique(np.arange(len(windows)) + windows.argmin(1))
     return codes[at], at
 
 
@@ -96,48 +94,91 @@ _SCORE, _MATCHES = 42, 21
 _LOW = -(1 << 61)
 
 
-def banded_counts(xs: list[str], ys: list[str], diagonals: list[int], band: int = 16, batch: int = 256) -> tuple[np.ndarray, np.ndarray]:
+#: Letters of a side that are laid out together, and rows after which cells are set down again.
+LAID_OUT, LIFTED = 1 << 23, 1 << 14
+
+
+def banded_counts(xs: list[str], ys: list[str], diagonals: list[int], band: int = 16, batch: int = 512) -> tuple[np.ndarray, np.ndarray]:
     """Matches and columns of the best alignment of each pair within ``band`` of its diagonal (place in x less place in y).
 
     Ends may hang over at no cost; of equal scores the one with more matches,
     then more columns counts. A cell packs score, matches and columns into one
     number, so one maximum carries all three. Sequences up to two million letters.
+
+    Pairs step through their rows together, a place of the band in one stretch
+    of memory. Rows in which a pair's band doesn't reach its y are left out.
+    Cells beyond y's end are no source of those within, so they are only passed
+    over where an alignment may end.
     """
     xs, ys = ([np.frombuffer((s or "").encode("utf-32-le"), np.uint32) for s in side] for side in (xs, ys))
     out = np.zeros(len(xs), np.int64)
-    order = np.argsort([len(s) for s in xs], kind="stable")
-    offset = np.arange(2 * band + 1)
+    width = 2 * band + 1
+    lx, ly = (np.array([len(s) for s in side], np.int64) for side in (xs, ys))
+    shift = band + np.array(diagonals, np.int64).reshape(len(xs))  # cell b of row i: i letters of x against j = i + b - shift letters of y
+    begin = np.maximum(shift - width + 1, 0)
+    rows = np.minimum(lx, ly + shift) - begin
+    order = np.argsort(rows, kind="stable")
+    order = order[rows[order] > 0]
     gap = np.int64(GAP) << _SCORE
-    hit, miss = (np.int64(MATCH) << _SCORE) + (1 << _MATCHES) + 1, (np.int64(MISMATCH) << _SCORE) + 1
-    for at in range(0, len(order), batch):
+    hit, miss = (np.int64(MATCH) << _SCORE) + (1 << _MATCHES) + 1 - 2 * gap, (np.int64(MISMATCH) << _SCORE) + 1 - 2 * gap
+    # a cell is kept less the gap for every letter behind it: gaps in a row are then a running maximum, those in a column a
+    # plain one. The part of the rows is taken off again every so often, as a score has 21 bits.
+    tilt = (np.arange(width) * gap)[:, None]
+    offset, at = np.arange(width)[:, None], 0
+    while at < len(order):
         part = order[at : at + batch]
-        lx, ly = np.array([len(xs[p]) for p in part]), np.array([len(ys[p]) for p in part])
-        n = int(lx.max(initial=0))
-        x = np.zeros((len(part), n), np.uint32)
-        # y is laid out so that row i sees its band at places i to i + 2 * band
-        y = np.full((len(part), n + 2 * band + 1), 0xFFFFFFFF, np.uint32)
-        shift = band + np.array([diagonals[p] for p in part], np.int64)  # y's letter j stands at j + shift
+        few = np.flatnonzero((np.arange(len(part)) + 1) * (rows[part] + width) > LAID_OUT)
+        part = part[: max(1, int(few[0]))] if len(few) else part
+        at += len(part)
+        count, n = rows[part], int(rows[part[-1]])
+        ends, full, past = lx[part] - begin[part], ly[part], shift[part] - begin[part]
+        x = np.zeros((n, len(part)), np.uint32)
+        # y is laid out so that row i sees its band at places i - 1 to i - 1 + 2 * band
+        y = np.full((n + width, len(part)), 0xFFFFFFFF, np.uint32)
         for r, p in enumerate(part):
-            x[r, : lx[r]] = xs[p]
-            a, b = max(0, -int(shift[r])), min(int(ly[r]), y.shape[1] - int(shift[r]))
+            x[: count[r], r] = xs[p][begin[p] : begin[p] + count[r]]
+            a, b = max(0, -int(past[r])), min(int(full[r]), len(y) - int(past[r]))
             if a < b:
-                y[r, a + shift[r] : b + shift[r]] = ys[p][a:b]
-        # cell b of row i: i letters of x against j = i + b - shift letters of y
-        j = offset - shift[:, None]
-        cells = np.where((j >= 0) & (j <= ly[:, None]), np.int64(0), _LOW)
+                y[a + past[r] : b + past[r], r] = ys[p][a:b]
+        cells = np.where(offset >= past, -tilt, _LOW)
+        new, lifted = np.empty_like(cells), 0
         best = np.zeros(len(part), np.int64)
+        last = full + past  # the row in which the band's first cell stands at y's end
+        # pairs are in order of their rows: the first that is not through, and the first whose end is far
+        live = np.searchsorted(count, np.arange(n + 1)).tolist()
+        near = np.searchsorted(count, np.arange(n + 1) + width).tolist()
+        base = 0
         for i in range(1, n + 1):
-            j = j + 1
-            same = y[:, i - 1 : i + 2 * band] == x[:, i - 1 : i]
-            new = cells + np.where(same, hit, miss)
-            new[:, :-1] = np.maximum(new[:, :-1], cells[:, 1:] + gap)
-            new = np.where(j > 0, new, np.where(j == 0, np.int64(0), _LOW))
-            new = np.maximum.accumulate(new - offset * gap, axis=1) + offset * gap
-            new = np.where((j >= 0) & (j <= ly[:, None]), np.maximum(new, _LOW), _LOW)
-            cells = new
-            live = i <= lx
-            edge = np.where((j == ly[:, None]) | (i == lx)[:, None], cells, _LOW).max(1)
-            best = np.where(live, np.maximum(best, edge), best)
+            cut = live[i] - base
+            if cut > (len(part) - base) // 4:
+                base, x, y, cells = base + cut, x[:, cut:], y[:, cut:], cells[:, cut:].copy()
+                new = np.empty_like(cells)
+            np.add(cells, np.where(y[i - 1 : i - 1 + width] == x[i - 1], hit, miss), out=new)
+            np.maximum(new[:-1], cells[1:], out=new[:-1])
+            lifted += 1
+            if i < width:
+                j = i + offset - past[base:]
+                new = np.where(j > 0, new, np.where(j == 0, -tilt - 2 * lifted * gap, _LOW))
+            if len(part) - base < 64:
+                np.maximum.accumulate(new, axis=0, out=new)
+            else:
+                for b in range(1, width):
+                    np.maximum(new[b], new[b - 1], out=new[b])
+            if i < width:
+                new = np.where(j >= 0, new, _LOW)
+            cells, new = new, cells
+            if lifted == LIFTED:
+                cells += 2 * lifted * gap
+                lifted = 0
+            up = 2 * lifted * gap
+            if near[i] > live[i]:
+                r = np.arange(live[i], near[i])
+                at_end = r[i > last[r] - width]
+                b = last[at_end] - i
+                best[at_end] = np.maximum(best[at_end], cells[b, at_end - base] + b * gap + up)
+                r = r[ends[r] == i]
+                if len(r):
+                    best[r] = np.maximum(best[r], np.where(i + offset - past[r] <= full[r], cells[:, r - base] + tilt + up, _LOW).max(0))
         out[part] = best
     low = (1 << _MATCHES) - 1
     return (out >> _MATCHES) & low, out & low

@@ -3,6 +3,7 @@
 import itertools
 import random
 import time
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -206,6 +207,22 @@ def test_redundancy_of_a_deep_alignment_in_few_rounds(spark, monkeypatch):
     assert len(texts) / 32 == 50 and len(made) < 40
 
 
+def test_long_pairs_are_laid_out_in_parts():
+    rng = random.Random(4)
+    word = lambda n: "".join(rng.choice("ACDEFGHIKL") for _ in range(n))
+    xs = [word(rng.randint(1, 40)) for _ in range(250)] + [word(60000)]  # 115 MB in one piece
+    ys = [x[2:] + "A" for x in xs[:-1]] + [xs[-1]]
+    diagonals = [rng.choice([0, 2, -3, 30, -30]) for _ in xs[:-1]] + [0]
+    tracemalloc.start()
+    n, columns = seqcluster.banded_counts(xs, ys, diagonals)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert (n[-1], columns[-1]) == (60000, 60000)
+    alone = [seqcluster.banded_counts([x], [y], [d]) for x, y, d in zip(xs, ys, diagonals)]
+    assert [int(a[0][0]) for a in alone] == n.tolist() and [int(a[1][0]) for a in alone] == columns.tolist()
+    assert peak < 100 << 20
+
+
 def test_common_runs_leave_their_batch_once(spark):
     rng = random.Random(8)
     pool = [" ".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(12)]
