@@ -39,16 +39,34 @@ def kmer_codes(text: str, k: int) -> np.ndarray:
     return out
 
 
-def minimiser_places(text: str, k: int, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """Codes and places of the k-mers that have the least rank (ties: code, place) in some ``window`` of k-mers."""
-    codes = kmer_codes(text, k)
-    if not len(codes):
-        return codes, codes
-    # rank above code in one number: codes of one rank differ by multiples of PRIME; the first of equal ones counts
-    keys = ((codes % PRIME) * FACTOR % PRIME << 29) | codes // PRIME
-    windows = np.lib.stride_tricks.sliding_window_view(keys, min(window, len(codes)))
-    at = np.unique(np.arange(len(windows)) + windows.argmin(1))
-    return codes[at], at
+#: Letters whose minimisers are sought together.
+TOGETHER = 1 << 16
+
+
+def minimisers_of(texts: list[str], k: int, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Number of the text, code and place of every text's minimisers, by number and code; a code of a text where it comes first."""
+    codes, sizes = kmer_codes("".join(texts), k), np.array([len(s) for s in texts], np.int64)
+    row = np.repeat(np.arange(len(texts)), np.maximum(sizes - k + 1, 0))
+    begin, first = np.cumsum(sizes) - sizes, np.searchsorted(row, np.arange(len(texts)))
+    place = np.arange(len(row)) - first[row]
+    codes = codes[begin[row] + place] if len(row) else np.zeros(0, np.int64)
+    if window > 1 and len(row):
+        # rank above code in one number: codes of one rank differ by multiples of PRIME; the first of equal ones counts
+        keys = ((codes % PRIME) * FACTOR % PRIME << 29) | codes // PRIME
+        many = np.maximum(sizes - k + 1, 0)
+        parts = []
+        if len(keys) >= window:
+            at = np.flatnonzero(row[: len(row) - window + 1] == row[window - 1 :])
+            parts.append(at + np.lib.stride_tricks.sliding_window_view(keys, window).argmin(1)[at])
+        for r in np.flatnonzero((many > 0) & (many < window)):  # a text of one window
+            parts.append(first[r : r + 1] + keys[first[r] : first[r] + many[r]].argmin())
+        at = np.unique(np.concatenate(parts))
+        row, codes, place = row[at], codes[at], place[at]
+    order = np.lexsort((codes, row))  # stable: places stay in order
+    row, codes, place = row[order], codes[order], place[order]
+    new = np.ones(len(row), bool)
+    new[1:] = (row[1:] != row[:-1]) | (codes[1:] != codes[:-1])
+    return row[new], codes[new], place[new]
 
 
 def minimisers(seqs: DataFrame, key: str, sequence: str, k: int = 10, window: int = 10) -> DataFrame:
@@ -57,16 +75,14 @@ def minimisers(seqs: DataFrame, key: str, sequence: str, k: int = 10, window: in
 
     def run(batches):
         for batch in batches:
-            rows, words, places, sizes = [], [], [], []
-            for i, s in enumerate(batch.column(1).to_pylist()):
-                found, at = minimiser_places(s, k, window)
-                found, first = np.unique(found, return_index=True)
-                rows += [i] * len(found)
-                words.append(found)
-                places.append(at[first])
-                sizes += [len(s)] * len(found)
-            flat = lambda parts: pa.array(np.concatenate(parts) if parts else np.zeros(0, np.int64), pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(rows, pa.int32())), flat(words), flat(places), pa.array(sizes, pa.int64())], ["id", "word", "at", "length"])
+            texts = batch.column(1).to_pylist()
+            ends, at = np.cumsum([0] + [len(s) for s in texts]), 0
+            while at < len(texts):
+                to = max(at + 1, int(np.searchsorted(ends, ends[at] + TOGETHER, "right")) - 1)
+                row, words, places = minimisers_of(texts[at:to], k, window)
+                row, at = row + at, to
+                flat = lambda each: pa.array(each, pa.int64())
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(flat(row)), flat(words), flat(places), flat(np.diff(ends)[row])], ["id", "word", "at", "length"])
 
     return seqs.where(F.col(sequence).isNotNull()).select(F.col(key).alias("id"), F.col(sequence).alias("s")).mapInArrow(run, f"id {kind}, word long, at long, length long")
 

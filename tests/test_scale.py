@@ -223,6 +223,19 @@ def test_long_pairs_are_laid_out_in_parts():
     assert peak < 100 << 20
 
 
+def test_minimisers_of_many_short_texts():
+    rng = random.Random(5)
+    texts = ["".join(rng.choice("ABC") for _ in range(rng.choice([0, 3, 5, 6, 9, 40]))) for _ in range(300)]
+    for k, window in ((6, 1), (3, 4), (5, 30)):
+        want = set()
+        for i, text in enumerate(texts):
+            codes = seqcluster.kmer_codes(text, k).tolist()
+            ranked = [(c % seqcluster.PRIME * seqcluster.FACTOR % seqcluster.PRIME, c, p) for p, c in enumerate(codes)]
+            picked = {min(ranked[p : p + window]) for p in range(max(1, len(codes) - window + 1)) if codes}
+            want |= {(i, c, min(p for _, d, p in picked if d == c)) for _, c, _ in picked}
+        assert sorted(want) == list(zip(*(x.tolist() for x in seqcluster.minimisers_of(texts, k, window))))
+
+
 def test_common_runs_leave_their_batch_once(spark):
     rng = random.Random(8)
     pool = [" ".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(12)]
