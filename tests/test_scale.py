@@ -320,6 +320,26 @@ def test_forests_and_twins_need_no_canonical_string(spark, monkeypatch):
     assert asked and set(asked) <= ringed
 
 
+def test_graph_tables_have_nodes_labels_and_edges(spark):
+    """Every order's graph as a table: its parts with their brands, one-part orders too, and every two of them linked."""
+    folder = "/root/testdata/sf0.001"
+    rows = [r.asDict() for r in QUERIES["graph_tables"](spark, folder).collect()]
+    brand = {r.p_partkey: r.p_brand for r in spark.read.parquet(f"{folder}/part.parquet").collect()}
+    want = {}
+    for r in spark.read.parquet(f"{folder}/lineitem.parquet").collect():
+        if r.l_partkey in brand:
+            want.setdefault(r.l_orderkey, set()).add(r.l_partkey)
+    got = {gid: {} for gid in want}
+    for r in rows:
+        if r["kind"] == "node":
+            assert r["src"] == r["dst"] not in got[r["gid"]] and r["label"] == brand[int(r["node"])]
+            got[r["gid"]][r["src"]] = int(r["node"])
+    assert any(len(parts) == 1 for parts in want.values())
+    assert got == {gid: dict(enumerate(sorted(parts))) for gid, parts in want.items()}
+    edges = [(r["gid"], got[r["gid"]][r["src"]], got[r["gid"]][r["dst"]]) for r in rows if r["kind"] == "edge"]
+    assert sorted(edges) == sorted((gid, *pair) for gid, parts in want.items() for pair in itertools.combinations(sorted(parts), 2))
+
+
 @pytest.mark.parametrize("name", ["graph_tables", "label_sets", "edge_cluster", "stage_rebuild", "grid_neighbours"])
 def test_tasks_grow_in_number_not_in_size(spark, monkeypatch, name):
     """With few rows a task, the query's tables are written with more shuffle tasks, and the session's settings come back."""
