@@ -340,6 +340,40 @@ def test_graph_tables_have_nodes_labels_and_edges(spark):
     assert sorted(edges) == sorted((gid, *pair) for gid, parts in want.items() for pair in itertools.combinations(sorted(parts), 2))
 
 
+@pytest.mark.parametrize("most, rows", [(2048, 1 << 18), (2048, 7), (5, 7), (0, 1 << 18)])
+def test_classes_are_the_same_for_graphs_of_any_size(spark, monkeypatch, most, rows):
+    """Graphs that one task settles beside others, in any batches, and those that are refined in columns."""
+    monkeypatch.setattr(graph, "SMALL_GRAPH", most)
+    monkeypatch.setattr(graph, "GRAPH_ROWS", rows)
+    rng, nodes, links, want, kept = random.Random(8), [], [], {}, {}
+    for gid in [f"g{i:02}" for i in range(40)]:
+        n = rng.choice([1, 2, 3, 4, 5, 6, 7])
+        labels, pairs = [rng.choice("xy") for _ in range(n)], {(a, b) for b in range(n) for a in range(b) if rng.random() < 0.5}
+        order = rng.sample(range(20), n)
+        nodes += [(gid, f"n{order[i]}", labels[i]) for i in range(n)]
+        # both directions, twice, and one with an end that isn't a node
+        links += [(gid, f"n{order[a]}", f"n{order[b]}") for a, b in pairs] + [(gid, f"n{order[b]}", f"n{order[a]}") for a, b in pairs] + [(gid, f"n{order[0]}", "none"), (gid, None, f"n{order[0]}")]
+        mine = (dict(enumerate(labels)), pairs)
+        want[gid] = next((c for c, g in kept.items() if graph.isomorphic(mine, g)), gid)
+        kept.setdefault(want[gid], mine)
+    nodes += [("none", None, None), (None, "n1", "x")]
+    frame = spark.createDataFrame(nodes, "gid string, node string, label string")
+    got = {r.gid: r.class_id for r in graph.graph_dedup(frame, spark.createDataFrame(links, "gid string, u string, v string")).collect()}
+    assert len(set(want.values())) < len(want) and got.pop("none") == "none"
+    assert got == want
+
+
+def test_rounds_of_refinement_write_nothing(spark, monkeypatch):
+    """Paths that take fifteen rounds: the links are shuffled once and what is written doesn't grow with the rounds."""
+    plain, names = graph.materialize, []
+    monkeypatch.setattr(graph, "materialize", lambda df, name="t", *a: names.append(name) or plain(df, name, *a))
+    nodes = spark.range(4 * 31).selectExpr("id div 31 AS gid", "id AS node", "IF(id div 31 = 3 AND id % 31 = 3, 'y', 'x') AS label")
+    links = nodes.where("node % 31 < 30").selectExpr("gid", "node AS u", "node + 1 AS v")
+    got = {r.gid: r.class_id for r in graph.graph_dedup(nodes, links).collect()}
+    assert got == {0: 0, 1: 0, 2: 0, 3: 3}
+    assert len(names) <= 3
+
+
 @pytest.mark.parametrize("name", ["graph_tables", "label_sets", "edge_cluster", "stage_rebuild", "grid_neighbours"])
 def test_tasks_grow_in_number_not_in_size(spark, monkeypatch, name):
     """With few rows a task, the query's tables are written with more shuffle tasks, and the session's settings come back."""
