@@ -9,14 +9,15 @@ from __future__ import annotations
 
 import gzip
 import io
-from collections.abc import Iterator
+import re
+from collections.abc import Generator, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, In, InputPartition, IsNotNull
 
-#: Tasks over named files, at most; bytes of a piece of a file; rows of a batch.
-TASKS, SPLIT, BATCH = 4096, 32 << 20, 1 << 14
+#: Tasks over named files, at most; bytes of a piece of a file; rows of a batch; bytes read at once.
+TASKS, SPLIT, BATCH, CHUNK = 4096, 32 << 20, 1 << 14, 1 << 18
 SCHEMA = "entry_id string, category string, row_ord long, item string, value string"
 #: A category's row as one row: its values by item, which ``pivot_category`` takes as well.
 ROWS = "entry_id string, category string, row_ord long, cells map<string, string>"
@@ -67,9 +68,9 @@ def tokens(text: str) -> Iterator[tuple[str, bool]]:
         yield from _line_tokens(line, lines)
 
 
-def parse_rows(text: str, wanted: set[str] | None = None) -> Iterator[tuple[str, str, int, list[str], list[str]]]:
-    """``entry, category, row_ord, items, values`` of every row; a loop's values that don't fill its last row raise."""
-    entry, loop, names, items, row, held = "", False, [], [], [], None
+def _rows(text: str, wanted: set[str] | None, entry: str = "") -> Generator[tuple[str, str, int, list[str], list[str]], None, str]:
+    """The rows of ``parse_rows``, and the entry at the end."""
+    loop, names, items, row, held = False, [], [], [], None
     number, category, keep = 0, "", False
 
     def flush():
@@ -124,6 +125,65 @@ def parse_rows(text: str, wanted: set[str] | None = None) -> Iterator[tuple[str,
                     number += 1
                 row = row[len(row) // n * n :]
     flush()
+    return entry
+
+
+#: Heads of loops by their first line: text, items and category.
+_heads: dict[str, tuple[str, list[str], str]] = {}
+
+
+def _head(piece: str) -> tuple[str, list[str], str] | None:
+    """The lines of a loop's names, which are the same in most entries; none if one of them holds more than a name."""
+    first = piece[: piece.find("\n") + 1]
+    known = _heads.get(first)
+    if known and piece.startswith(known[0]):
+        return known
+    names, at = [], 0
+    while piece.startswith("_", at):
+        end = piece.find("\n", at)
+        names.append(piece[at:end])
+        if end < 0 or len(piece[at:end].split()) != 1 or _special(names[-1]):
+            return None
+        at = end + 1
+    if not names:
+        return None
+    if len(_heads) >= 4096:
+        _heads.clear()
+    _heads[first] = piece[:at], [n.partition(".")[2].rstrip() for n in names], names[0].partition(".")[0].rstrip()
+    return _heads[first]
+
+
+def parse_rows(text: str, wanted: set[str] | None = None) -> Iterator[tuple[str, str, int, list[str], list[str]]]:
+    """``entry, category, row_ord, items, values`` of every row; a loop's values that don't fill its last row raise.
+
+    A loop whose values hold no name or keyword is split at once; all others,
+    and texts with text fields or comments, are read value by value.
+    """
+    if "#" in text or "\n;" in text or text.startswith(";"):
+        yield from _rows(text, wanted)
+        return
+    before, *loops = text.split("\nloop_\n")
+    if before.startswith("data_") and len(before.split()) == 1 and not _special(before):
+        entry = before[5:].rstrip()
+    else:
+        entry = yield from _rows(before, wanted)
+    for piece in loops:
+        head = _head(piece)
+        body = piece[len(head[0]) :] if head else "_"
+        if "_" in body:
+            entry = yield from _rows(f"loop_\n{piece}", wanted, entry)
+            continue
+        if _special(body):
+            values = [value for line in body.split("\n") for value, _ in _line_tokens(line, iter(()))]
+        else:
+            values = body.split()
+        _, items, category = head
+        n = len(items)
+        if len(values) % n:
+            entry = yield from _rows(f"loop_\n{piece}", wanted, entry)
+        elif wanted is None or category in wanted:
+            for number, at in enumerate(range(0, len(values), n)):
+                yield entry, category, number, items, values[at : at + n]
 
 
 def parse(text: str, wanted: set[str] | None = None) -> Iterator[tuple[str, str, int, str, str]]:
@@ -141,26 +201,33 @@ def _cells(items: list[str], values: list[str]) -> dict[str, str]:
     return cells
 
 
+_DATA = re.compile(rb"^data_", re.IGNORECASE | re.MULTILINE)
+
+
 def blocks(f, start: int, end: int | None) -> Iterator[str]:
     """The blocks of a binary file whose ``data_`` line begins from ``start`` up to before ``end``."""
     at = max(start - 1, 0)
     f.seek(at)
     if start:
         at += len(f.readline())  # a block that begins at start is kept
-    held: list[bytes] = []
-    for line in f:
-        if line[:5].lower() == b"data_":
-            if held:
-                yield b"".join(held).decode()
-                held = []
-            if end is not None and at >= end:
+    held, inside = b"", False
+    while True:
+        # whole lines, from the place at
+        more = f.read(CHUNK)
+        more += f.readline() if more else b""
+        text, begin, seen = held + more, 0, len(held)
+        for found in _DATA.finditer(text, seen):
+            if inside:
+                yield text[begin : found.start()].decode()
+            if end is not None and at + found.start() - seen >= end:
                 return
-            held = [line]
-        elif held:
-            held.append(line)
-        at += len(line)
-    if held:
-        yield b"".join(held).decode()
+            begin, inside = found.start(), True
+        if not more:
+            break
+        at += len(more)
+        held = text[begin:] if inside else b""
+    if inside:
+        yield held.decode()
 
 
 class _Part(InputPartition):
@@ -185,39 +252,58 @@ class _Held:
 
     def _clear(self):
         self.heads, self.items, self.values, self.ends = ([], [], []), [], [], [0]
+        self.kinds: dict[int, tuple[int, list[str], list[str]]] = {}
+        self.kind: list[int] = []
         self.keys, self.errors = [], []
 
     def __len__(self) -> int:
         return len(self.heads[0])
 
     def full(self) -> bool:
-        return len(self.items) >= BATCH
+        return len(self.values) >= BATCH
 
     def add(self, row: tuple, key: str | None = None, error: str | None = None):
         *head, items, values = row
-        if self.rows and len(set(items)) < len(items):
-            cells = _cells(items, values)
-            items, values = list(cells), list(cells.values())
+        if self.rows:
+            # rows of a loop share their list of items
+            known = self.kinds.get(id(items))
+            if known is None:
+                known = self.kinds[id(items)] = (len(self.kinds), items, list(dict.fromkeys(items)))
+            if len(known[2]) < len(items):
+                values = _cells(items, values).values()
+            self.kind.append(known[0])
         n = 1 if self.rows else len(items)
         for column, v in zip(self.heads, head):
             column += [v] * n
-        self.items += items
+        if not self.rows:
+            self.items += items
         self.values += values
-        self.ends.append(len(self.items))
+        self.ends.append(len(self.values))
         if self.keyed:
             self.keys += [key] * n
             self.errors += [error] * n
 
+    def _names(self, text):
+        """The items of all rows' cells, each name taken from the rows' lists."""
+        import numpy as np
+        import pyarrow as pa
+
+        lists = [items for _, _, items in self.kinds.values()]
+        starts = np.cumsum([0] + [len(x) for x in lists])[np.array(self.kind, np.int64)]
+        ends = np.array(self.ends, np.int64)
+        at = np.repeat(starts - ends[:-1], np.diff(ends)) + np.arange(ends[-1])
+        return pa.array([i for x in lists for i in x], text).take(pa.array(at))
+
     def batch(self):
         import pyarrow as pa
 
         names, text = ["entry_id", "category", "row_ord"], pa.string()
         columns = [pa.array(c, k) for c, k in zip(self.heads, (text, text, pa.int64()))]
-        items, values = pa.array(self.items, text), pa.array(self.values, text)
+        values = pa.array(self.values, text)
         if self.rows:
-            names, columns = [*names, "cells"], [*columns, pa.MapArray.from_arrays(pa.array(self.ends, pa.int32()), items, values)]
+            names, columns = [*names, "cells"], [*columns, pa.MapArray.from_arrays(pa.array(self.ends, pa.int32()), self._names(text), values)]
         else:
-            names, columns = [*names, "item", "value"], [*columns, items, values]
+            names, columns = [*names, "item", "value"], [*columns, pa.array(self.items, text), values]
         if self.keyed:
             names, columns = [*names, "key", "error"], [*columns, pa.array(self.keys, text), pa.array(self.errors, text)]
         self._clear()

@@ -374,6 +374,25 @@ def test_rounds_of_refinement_write_nothing(spark, monkeypatch):
     assert len(names) <= 3
 
 
+def test_structure_files_are_there_a_share_at_a_time(spark, monkeypatch):
+    """A share's files are read and gone before the next ones are written; the rows are those of all lines."""
+    from pathlib import Path
+
+    from helixframe.plans import structures
+    from helixframe.session import shared_dir
+
+    here = lambda: {p for p in Path(shared_dir(spark).removeprefix("file:")).glob("structure*") if p.is_dir() and not p.name.startswith("structure-atoms")}
+    monkeypatch.setattr(structures, "SHARE", 400)
+    plain, sizes, before = structures.mmcif.read_mmcif, [], here()
+    monkeypatch.setattr(structures.mmcif, "read_mmcif", lambda spark, files, **k: sizes.append(sum(Path(f.removeprefix("file:")).stat().st_size for f in files)) or plain(spark, files, **k))
+    rows = structures.structure_scan(structures.Tables(spark, "/root/testdata/sf0.001"))
+    assert len(sizes) == 4 and max(sizes) < sum(sizes) / 3
+    assert here() == before
+    lines = spark.read.parquet("/root/testdata/sf0.001/lineitem.parquet")
+    of = lambda df, *c: sorted(map(tuple, df.select(*c).collect()))
+    assert of(rows, "l_orderkey", F.col("number").cast("int"), "x", "y") == of(lines, "l_orderkey", "l_linenumber", "l_extendedprice", "l_quantity")
+
+
 @pytest.mark.parametrize("name", ["graph_tables", "label_sets", "edge_cluster", "stage_rebuild", "grid_neighbours"])
 def test_tasks_grow_in_number_not_in_size(spark, monkeypatch, name):
     """With few rows a task, the query's tables are written with more shuffle tasks, and the session's settings come back."""

@@ -1,5 +1,6 @@
 """A small structure file from text to molecule tables."""
 
+import pytest
 from pyspark.sql import functions as F
 
 from helixframe import sinks
@@ -331,3 +332,15 @@ def test_rows_of_cells_are_the_long_table(spark):
     for category, items in [("_x", ["id", "kind"]), ("_y", ["id", "v", "w"])]:
         want, got = (sorted(map(tuple, normalize.pivot_category(t, category, items).collect())) for t in (long, rows))
         assert got == want and want
+
+
+def test_loops_split_at_once_are_read_the_same():
+    """Loops of plain values, of quoted ones, and with names and keywords on their lines; rows that don't fill raise."""
+    text = "data_A\nloop_\n_c.x\n_c.y\n1 2\n'a b' 3\nloop_\n_d.z\nu_v\nw\n_e.q 7\ndata_B\nloop_\n_c.x\n_c.y\n4 5\n"
+    every = [("A", "_c", 0, ["x", "y"], ["1", "2"]), ("A", "_c", 1, ["x", "y"], ["a b", "3"]), ("A", "_d", 0, ["z"], ["u_v"]), ("A", "_d", 1, ["z"], ["w"]),
+             ("A", "_e", 0, ["q"], ["7"]), ("B", "_c", 0, ["x", "y"], ["4", "5"])]
+    assert list(mmcif.parse_rows(text)) == every
+    assert list(mmcif.parse_rows(text, {"_d"})) == every[2:4]
+    assert list(mmcif.parse_rows(text.replace("data_B", "# none\ndata_B"))) == every
+    with pytest.raises(ValueError, match="1 values too many"):
+        list(mmcif.parse_rows(text + "6\n", {"_d"}))
