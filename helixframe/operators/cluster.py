@@ -54,20 +54,86 @@ def shared_kmers(seqs: DataFrame, key: str, sequence: str, k: int = 6, hot: int
 def shared_shingles(docs: DataFrame, key: str, text: str, size: int = 8, hot: int | None = 1000) -> DataFrame:
     """As ``shared_kmers`` with runs of ``size`` words.
 
-    Runs go by 128-bit digests. Those of exactly the same texts (a shared passage
-    has many) are one word that counts for all of them, so a passage of any
-    length makes the pairs of its texts once.
+    Runs go by 128-bit digests, made once and packed, through one shuffle to
+    ``RUN_BUCKETS`` parts. Those of exactly the same texts (a shared passage has
+    many) are one word that counts for all of them, so a passage of any length
+    makes the pairs of its texts once.
     """
-    words = docs.select(F.col(key).alias("id"), F.filter(F.split(text, r"[ \n]"), lambda w: w != "").alias("t")).where(F.size("t") >= size)
-    runs = F.transform(F.sequence(F.lit(1), F.size("t") - (size - 1)), lambda i: F.unhex(F.md5(F.array_join(F.slice("t", i, F.lit(size)), " "))))
-    rows = words.select("id", F.explode(F.array_distinct(runs)).alias("w"))
-    mark = [F.sum(F.xxhash64(F.lit(k), "id").cast("decimal(38,0)")).alias(f"_x{k}") for k in (1, 2)]
-    sets = rows.groupBy("w").agg(*mark, F.count(F.lit(1)).alias("_n")).where("_n > 1")
-    sets = materialize(sets.groupBy("_x1", "_x2", "_n").agg(F.min("w").alias("w"), F.count(F.lit(1)).alias("_m")).select("w", "_n", "_m"), "shingle-sets")
-    pairs = _meet(rows.join(sets, "w"), ["_m"], hot).select(F.least("id1", "id2").alias("id1"), F.greatest("id1", "id2").alias("id2"), "_m1")
+    kind = dict(docs.dtypes)[key]
+    texts = docs.select(F.col(key).alias("id"), F.col(text).alias("t")).where("id is not null and t is not null")
+    packed = texts.mapInArrow(_packed_runs(size), f"part int, w binary, v binary, ids array<{kind}>")
+    found = packed.groupBy("part").applyInArrow(_run_sets, f"w binary, _n long, _m long, ids array<{kind}>")
+    sets = materialize(found.groupBy("w", "_n").agg(F.sum("_m").alias("_m"), F.first("ids").alias("ids")), "shingle-sets")
+    pairs = _meet(sets.select("w", "_n", "_m", F.explode("ids").alias("id")), ["_m"], hot)
+    pairs = pairs.select(F.least("id1", "id2").alias("id1"), F.greatest("id1", "id2").alias("id2"), "_m1")
     return pairs.groupBy("id1", "id2").agg(F.sum("_m1").alias("n"))
 
 
+def _packed_runs(size: int):
+    """A task over ``id, t``: a text's distinct runs of ``size`` words, a row a part of their digests with those of many texts."""
+
+    def run(batches):
+        for batch in batches:
+            texts = batch.column(1)
+            letters = np.concatenate([[0], np.cumsum(np.asarray(pc.binary_length(texts), np.int64))])
+            at = 0
+            while at < len(texts):
+                to = max(at + 1, int(np.searchsorted(letters, letters[at] + RUN_LETTERS, "right")) - 1)
+                keys = batch.column(0).slice(at, to - at)
+                w, v, of = _run_digests(texts.slice(at, to - at), np.arange(to - at), size)
+                at = to
+                if not len(w):
+                    continue
+                # digests are in order, so a part's are one stretch
+                part = (w >> np.uint64(64 - (RUN_BUCKETS - 1).bit_length())).astype(np.int64)
+                begins = _starts(part, part)
+                cuts = np.append(begins, len(w))
+                binary = lambda f: pa.array([f(a, b) for a, b in zip(cuts[:-1], cuts[1:])], pa.binary())  # noqa: E731, B023
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(part[begins], pa.int32()), binary(lambda a, b: _planes(w[a:b])), binary(lambda a, b: v[a:b].tobytes()),  # noqa: B023
+                    pa.ListArray.from_arrays(pa.array(cuts, pa.int32()), keys.take(pa.array(of, pa.int64())))], ["part", "w", "v", "ids"])
+
+    return run
+
+
+def _key_digests(keys: pa.Array) -> list[np.ndarray]:
+    """Two 64-bit hashes a key."""
+    coded = keys.dictionary_encode()
+    digests = np.frombuffer(b"".join(hashlib.md5(repr(k).encode()).digest() for k in coded.dictionary.to_pylist()), np.uint64).reshape(-1, 2)
+    at = coded.indices.to_numpy(zero_copy_only=False)
+    return [digests[at, 0], digests[at, 1]]
+
+
+def _run_sets(table: pa.Table) -> pa.Table:
+    """``w, _n, _m, ids``: the sets of ``_n`` texts that share runs of a part, each with a digest and the number ``_m`` of its runs."""
+    ids = table.column("ids").combine_chunks()
+    ids = pa.concat_arrays(ids.chunks) if isinstance(ids, pa.ChunkedArray) else ids
+    w = np.concatenate([_from_planes(b) for b in table.column("w").to_pylist()])
+    v = np.concatenate([np.frombuffer(b, np.uint64) for b in table.column("v").to_pylist()])
+    keys = ids.flatten()
+    order = np.argsort(w)
+    same = w[order][1:] == w[order][:-1]
+    met = order[np.append(same, False) | np.append(False, same)]
+    met = met[np.lexsort((v[met], w[met]))]
+    starts = _starts(w[met], v[met])
+    n = np.diff(np.append(starts, len(met)))
+    keys = keys.take(pa.array(met, pa.int64()))
+    marks = [np.add.reduceat(h, starts) if len(starts) else h for h in _key_digests(keys)]
+    shared = np.flatnonzero(n > 1)
+    marks, starts, n = [m[shared] for m in marks], starts[shared], n[shared]
+    order = np.lexsort((*marks, n))
+    new = np.ones(len(order), bool)
+    new[1:] = np.logical_or.reduce([k[order][1:] != k[order][:-1] for k in (*marks, n)])
+    heads = np.flatnonzero(new)
+    many, first = np.diff(np.append(heads, len(order))), order[heads]
+    n, starts = n[first], starts[first]
+    ends = np.concatenate([[0], np.cumsum(n)])
+    own = np.repeat(starts - ends[:-1], n) + np.arange(ends[-1])
+    names = [a.tobytes() + b.tobytes() for a, b in zip(marks[0][first], marks[1][first])]
+    return pa.Table.from_arrays([pa.array(names, pa.binary()), pa.array(n, pa.int64()), pa.array(many, pa.int64()),
+                                 pa.ListArray.from_arrays(pa.array(ends, pa.int32()), keys.take(pa.array(own, pa.int64())))], ["w", "_n", "_m", "ids"])
+
+
 #: Letters of text whose runs go on together, and the parts that runs are dealt to by their digests.
 RUN_LETTERS, RUN_BUCKETS = 1 << 23, 512
 

@@ -427,6 +427,24 @@ def test_a_shared_passage_makes_its_pairs_once(spark, monkeypatch):
     assert met[0] < 200
 
 
+@pytest.mark.parametrize("kind", ["string", "int"])
+def test_runs_are_made_once_and_meet_as_all_pairs(spark, monkeypatch, kind):
+    """Digests of runs were made three times, and texts with them; odd texts and keys of any kind are those of brute force."""
+    rng, plain, plans = random.Random(6), cluster.materialize, []
+    monkeypatch.setattr(cluster, "materialize", lambda df, *a, **k: plans.append(df._jdf.queryExecution().executedPlan().toString()) or plain(df, *a, **k))
+    key = (lambda i: f"k{i}") if kind == "string" else (lambda i: i)
+    texts = [(key(i), rng.choice([" ", "\n", "  "]).join(rng.choice(["a", "b", "é", "c\td"]) for _ in range(rng.randint(0, 9)))) for i in range(60)]
+    texts += [(key(60), None), (None, "a b a b"), (key(61), ""), (key(62), " a  b\na ")]
+    pairs = cluster.shared_shingles(spark.createDataFrame(texts, f"id {kind}, t string").repartition(3), "id", "t", 3, hot=4)
+    got = {(r.id1, r.id2): r.n for r in pairs.collect()}
+    runs = lambda t: {tuple(w[i : i + 3]) for w in [[x for x in t.replace("\n", " ").split(" ") if x]] for i in range(len(w) - 2)}
+    sets = {k: runs(t) for k, t in texts if k is not None and t}
+    want = {(min(a, b), max(a, b)): len(sets[a] & sets[b]) for a, b in itertools.combinations(sets, 2) if sets[a] & sets[b]}
+    assert got == want and len(want) > 100
+    whole = "".join(plans) + pairs._jdf.queryExecution().executedPlan().toString()
+    assert whole.count("MapInArrow") == 1 and "md5" not in whole
+
+
 def test_bands_of_greedy_clusters_broadcast_nothing(spark, monkeypatch):
     """A band's broadcasts went through the driver, band for band; the index alone has one, a row a partition."""
     plain, plans = seqcluster.materialize, {}
