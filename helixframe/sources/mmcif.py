@@ -439,15 +439,33 @@ def stream_mmcif(spark: SparkSession, folder: str, categories: list[str] | None
     return (reader.option("categories", ",".join(categories)) if categories else reader).load()
 
 
-def parse_texts(df: DataFrame, key: str, text: str, categories: list[str] | None = None, rows: bool = False) -> tuple[DataFrame, DataFrame]:
-    """The long table (with ``rows`` a row a category's row) of texts in a column, and the quarantine ``key, error`` of texts that don't parse."""
+def parse_texts(df: DataFrame, key: str, text: str, categories: list[str] | None = None, rows: bool = False, whole: bool = False) -> tuple[DataFrame, DataFrame]:
+    """The long table (with ``rows`` a row a category's row) of texts in a column, and the quarantine ``key, error`` of texts that don't parse.
+
+    With ``whole`` as well, where no two texts are of one entry, rows of one
+    number in a category are one, and the cells' column is ``row``: then
+    ``pivot_category`` has no rows to bring together.
+    """
     wanted = set(categories) if categories else None
     texts = df.select(F.col(key).cast("string").alias("key"), F.encode(text, "UTF-8").alias("content"))
-    whole = texts.mapInArrow(_parsed(wanted, rows), (ROWS if rows else SCHEMA) + ", key string, error string")
-    return whole.where("error is null").drop("key", "error"), whole.where("error is not null").select("key", "error")
+    found = texts.mapInArrow(_parsed(wanted, rows, whole), (ROWS if rows else SCHEMA) + ", key string, error string")
+    found = found.withColumnRenamed("cells", "row") if rows and whole else found
+    return found.where("error is null").drop("key", "error"), found.where("error is not null").select("key", "error")
+
+
+def _merged(rows: list[tuple]) -> list[tuple]:
+    """One row for each entry, category and number; of an item's values the largest, as the pivot has it."""
+    if len({row[:3] for row in rows}) == len(rows):
+        return rows
+    cells: dict[tuple, tuple[list, list]] = {}
+    for *head, items, values in rows:
+        held = cells.setdefault(tuple(head), ([], []))
+        held[0].extend(items)
+        held[1].extend(values)
+    return [(*head, list(found), list(found.values())) for head, (items, values) in cells.items() for found in (_cells(items, values),)]
 
 
-def _parsed(wanted: set[str] | None, wide: bool = False):
+def _parsed(wanted: set[str] | None, wide: bool = False, whole: bool = False):
     """A task over ``key, content`` that parses each content; a key that ends in .gz is compressed."""
 
     def run(batches):
@@ -456,7 +474,8 @@ def _parsed(wanted: set[str] | None, wide: bool = False):
             for path, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 try:
                     text = (gzip.decompress(raw) if (path or "").endswith(".gz") else raw or b"").decode()
-                    for row in list(parse_rows(text, wanted)):
+                    rows = list(parse_rows(text, wanted))
+                    for row in _merged(rows) if whole else rows:
                         held.add(row, path)
                 except (ValueError, OSError) as e:
                     held.add((None, None, None, [None] * (not wide), [None] * (not wide)), path, str(e)[:500])

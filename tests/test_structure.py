@@ -344,3 +344,16 @@ def test_loops_split_at_once_are_read_the_same():
     assert list(mmcif.parse_rows(text.replace("data_B", "# none\ndata_B"))) == every
     with pytest.raises(ValueError, match="1 values too many"):
         list(mmcif.parse_rows(text + "6\n", {"_d"}))
+
+
+def test_whole_rows_pivot_without_a_shuffle(spark):
+    """Rows of one number, from single items and from two loops of a category, are one; the pivot is that of the long table."""
+    texts = [("a", "data_A\n_c.x 1\n_c.y 2\nloop_\n_d.p\n_d.q\n1 2\n3 4\nloop_\n_d.p\n_d.r\n9 8\n"), ("b", "data_B\nloop_\n_d.p\n_d.p\n5 6\n"), ("c", "data_C\nloop_\n_d.p\n_d.q\n1\n")]
+    frame = spark.createDataFrame(texts, "key string, text string")
+    long, _ = mmcif.parse_texts(frame, "key", "text")
+    whole, bad = mmcif.parse_texts(frame, "key", "text", rows=True, whole=True)
+    assert [r.key for r in bad.collect()] == ["c"]
+    for category, items in (("_c", ["x", "y", "z"]), ("_d", ["p", "q", "r"])):
+        pivot = normalize.pivot_category(whole, category, items)
+        assert sorted(map(tuple, pivot.collect()), key=str) == sorted(map(tuple, normalize.pivot_category(long, category, items).collect()), key=str)
+        assert "Exchange" not in pivot._jdf.queryExecution().executedPlan().toString()
